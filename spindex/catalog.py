@@ -23,6 +23,7 @@ from .operators import weighting as Wt
 from .plans import search as S
 from .plans.build import build_index, frequencies
 from .sources import collection as C
+from .functions.text import natural_key
 
 # Fixed query texts of the single-query keys.
 QUERY_WEIGHTED = "the edon tion"
@@ -66,3 +67,437 @@ def _r6(c):
 def q_search_weighted(spark, sf):
     idx = build_index(_pages(spark, sf), "weighted", prune=None)
     return S.search(idx, QUERY_WEIGHTED)
+
+
+# ---------------------------------------------------------------------------
+# SQL fragments shared by several oracles
+# ---------------------------------------------------------------------------
+def _sql_pages_tok(analyzer: str = "full") -> list[str]:
+    return [O.docs_cte("pages"), O.tok_cte(analyzer)]
+
+
+def _sql_kinded(table: str) -> list[str]:
+    lex = O.lexemes_sql("body")
+    return [O.docs_cte(table),
+            f"lx AS (SELECT doc_id, unnest({lex}) AS x FROM docs)",
+            f"kx AS (SELECT doc_id, {O.kind_case('x')} AS kind, x AS lexeme, {O.token_case('x')} AS token FROM lx)"]
+
+
+def _sql_names(table_cte: str, name_col: str, tiebreak: str | None = None) -> str:
+    order = f"nk, {name_col}" + (f", {tiebreak}" if tiebreak else "")
+    return (f"SELECT *, CAST(row_number() OVER (ORDER BY {order}) - 1 AS BIGINT) AS doc_id FROM "
+            f"(SELECT *, {O.natural_key_sql(name_col)} AS nk FROM {table_cte})")
+
+
+_START = "CAST(coalesce(sum(num_docs) OVER (ORDER BY term ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT)"
+_END = "CAST(sum(num_docs) OVER (ORDER BY term ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT)"
+
+
+def _kinded(collection: DataFrame, analyzer: str = "full") -> DataFrame:
+    return collection.select("doc_id", F.explode(A.kinded_lexemes(F.col("body"), analyzer)).alias("k")).select(
+        "doc_id", "k.kind", "k.lexeme", "k.token")
+
+
+def _weighted_pages(spark, sf, prune="once", profile="weighted"):
+    return build_index(_pages(spark, sf), profile, prune=prune)
+
+
+def _docs_index(spark, sf, profile="weighted"):
+    return build_index(_documents(spark, sf), profile, prune="once")
+
+
+# ---------------------------------------------------------------------------
+# collection
+# ---------------------------------------------------------------------------
+@register("scan_documents", O.with_([O.docs_cte("pages")], "SELECT doc_id, name, body FROM docs"))
+def q_scan_documents(spark, sf):
+    return _pages(spark, sf).select("doc_id", "name", "body")
+
+
+@register("limit_collection", O.with_(
+    ["named AS (SELECT CAST(page_id AS VARCHAR) || '.html' AS name FROM pages)",
+     f"ids AS ({_sql_names('named', 'name')})"],
+    f"SELECT doc_id, name FROM ids WHERE doc_id < {C.MAX_DOCS}"))
+def q_limit_collection(spark, sf):
+    pages = C.read_table(spark, sf, "pages")
+    coll = C.from_table(pages, "html", F.concat(F.col("page_id").cast("string"), F.lit(".html")))
+    return C.limit_collection(coll, C.MAX_DOCS).select("doc_id", "name")
+
+
+@register("natural_sort", O.with_(
+    ["src AS (SELECT DISTINCT source FROM documents)", f"ids AS ({_sql_names('src', 'source')})"],
+    "SELECT source, nk AS natural_key, doc_id AS position FROM ids"))
+def q_natural_sort(spark, sf):
+    src = C.read_table(spark, sf, "documents").select("source").distinct()
+    out = C.assign_doc_ids(src.withColumn("natural_key", natural_key(F.col("source"))), "source")
+    return out.select("source", "natural_key", F.col("doc_id").alias("position"))
+
+
+@register("assign_doc_ids", O.with_(
+    ["src AS (SELECT source, doc_id AS orig_doc_id FROM documents)",
+     f"ids AS ({_sql_names('src', 'source', 'orig_doc_id')})"],
+    "SELECT source, orig_doc_id, doc_id FROM ids"))
+def q_assign_doc_ids(spark, sf):
+    src = C.read_table(spark, sf, "documents").select("source", F.col("doc_id").alias("orig_doc_id"))
+    return C.assign_doc_ids(src, "source", ["orig_doc_id"]).select("source", "orig_doc_id", "doc_id")
+
+
+@register("mapping_table", O.with_(
+    ["named AS (SELECT CAST(page_id AS VARCHAR) || '.html' AS name FROM pages)",
+     f"ids AS ({_sql_names('named', 'name')})"],
+    "SELECT doc_id, name FROM ids"))
+def q_mapping_table(spark, sf):
+    pages = C.read_table(spark, sf, "pages")
+    names = pages.select(F.concat(F.col("page_id").cast("string"), F.lit(".html")).alias("name"))
+    return C.assign_doc_ids(names).select("doc_id", "name")
+
+
+# ---------------------------------------------------------------------------
+# Dictionary, postings, exports
+# ---------------------------------------------------------------------------
+@register("dictionary_table", O.with_(O.index_ctes("pages", "weighted", "once"),
+                                      f"SELECT term, num_docs, {_START} AS start FROM kept"))
+def q_dictionary_table(spark, sf):
+    return _weighted_pages(spark, sf).dictionary("start")
+
+
+@register("dictionary_end_offset", O.with_(O.index_ctes("pages", "raw"),
+                                           f"SELECT term, num_docs, {_END} AS \"end\" FROM kept"))
+def q_dictionary_end_offset(spark, sf):
+    return build_index(_pages(spark, sf), "raw").dictionary("end")
+
+
+@register("raw_postings", O.with_(O.index_ctes("pages", "raw"), "SELECT term, doc_id, raw_freq FROM post"))
+def q_raw_postings(spark, sf):
+    return build_index(_pages(spark, sf), "raw").postings.select("term", "doc_id", "raw_freq")
+
+
+@register("weighted_postings", O.with_(O.index_ctes("pages", "weighted", None),
+                                       "SELECT term, doc_id, raw_freq, tf, round(weight, 6) AS weight FROM post"))
+def q_weighted_postings(spark, sf):
+    p = _weighted_pages(spark, sf, None).postings
+    return p.select("term", "doc_id", "raw_freq", "tf", _r6(F.col("weight")).alias("weight"))
+
+
+@register("stopword_hits", O.with_(
+    _sql_pages_tok() + ["tt AS (SELECT unnest(tokens) AS term FROM tok)"],
+    f"SELECT term, count(*) AS hits FROM tt WHERE term IN {O.STOPLIST} GROUP BY term"))
+def q_stopword_hits(spark, sf):
+    tt = T.token_table(T.document_tokens(_pages(spark, sf)))
+    return tt.where(F.col("term").isin(*R.STOPWORDS)).groupBy("term").agg(F.count(F.lit(1)).alias("hits"))
+
+
+@register("export_mapping_text", O.with_(
+    [O.docs_cte("pages")],
+    "SELECT doc_id, rpad(CAST(doc_id AS VARCHAR), 4, ' ') || chr(9) || "
+    "CASE WHEN length(split_part(name, '.', 1)) >= 6 THEN split_part(name, '.', 1) "
+    "ELSE lpad(split_part(name, '.', 1), 6, ' ') END || '.' || split_part(name, '.', 2) AS line FROM docs"))
+def q_export_mapping_text(spark, sf):
+    from .sources.index_store import mapping_text
+    return mapping_text(_pages(spark, sf).select("doc_id", "name"))
+
+
+@register("export_dictionary_text", O.with_(
+    O.index_ctes("pages", "weighted", "once") + [f"d AS (SELECT term, num_docs, {_START} AS start FROM kept)"],
+    "SELECT term, rpad(term, 5, ' ') || chr(9) || rpad(CAST(num_docs AS VARCHAR), 4, ' ') || chr(9) || "
+    "rpad(CAST(start AS VARCHAR), 8, ' ') AS line FROM d"))
+def q_export_dictionary_text(spark, sf):
+    from .sources.index_store import dictionary_text
+    return dictionary_text(_weighted_pages(spark, sf).dictionary("start"))
+
+
+@register("export_postings_text", O.with_(
+    O.index_ctes("pages", "weighted", "once"),
+    "SELECT term, doc_id, rpad(CAST(doc_id AS VARCHAR), 4, ' ') || chr(9) || "
+    "rpad(printf('%.6f', weight), 8, ' ') AS line FROM post"))
+def q_export_postings_text(spark, sf):
+    from .sources.index_store import postings_text
+    return postings_text(_weighted_pages(spark, sf).postings)
+
+
+@register("export_raw_text", O.with_(
+    O.index_ctes("pages", "raw") + [f"d AS (SELECT term, num_docs, {_END} AS e FROM kept)"],
+    "SELECT term, term || chr(9) || CAST(num_docs AS VARCHAR) || chr(9) || CAST(e AS VARCHAR) AS line FROM d"))
+def q_export_raw_text(spark, sf):
+    d = build_index(_pages(spark, sf), "raw").dictionary("end")
+    return d.select("term", F.concat_ws("\t", "term", F.col("num_docs").cast("string"),
+                                        F.col("end").cast("string")).alias("line"))
+
+
+# ---------------------------------------------------------------------------
+# tokenizer
+# ---------------------------------------------------------------------------
+@register("line_counts", O.with_(
+    [O.docs_cte("pages")],
+    "SELECT doc_id, CAST(length(regexp_replace(coalesce(body, ''), '\\r\\n|\\r|\\n', 'x', 'g')) - "
+    "length(regexp_replace(coalesce(body, ''), '\\r\\n|\\r|\\n', '', 'g')) + CASE WHEN length(coalesce(body, '')) > 0 "
+    "AND right(body, 1) NOT IN (chr(10), chr(13)) THEN 1 ELSE 0 END AS BIGINT) AS lines FROM docs"))
+def q_line_counts(spark, sf):
+    return T.line_counts(_pages(spark, sf))
+
+
+@register("lexeme_kinds", O.with_(_sql_kinded("pages"),
+                                  "SELECT kind, count(*) AS lexemes FROM kx GROUP BY kind"))
+def q_lexeme_kinds(spark, sf):
+    return _kinded(_pages(spark, sf)).groupBy("kind").agg(F.count(F.lit(1)).alias("lexemes"))
+
+
+def _kind_terms(kind: str, table: str):
+    sql = O.with_(_sql_kinded(table), f"SELECT token AS term, count(*) AS n FROM kx WHERE kind = '{kind}' GROUP BY token")
+
+    def run(spark, sf):
+        coll = _pages(spark, sf) if table == "pages" else _documents(spark, sf)
+        return (_kinded(coll).where(F.col("kind") == kind)
+                .groupBy(F.col("token").alias("term")).agg(F.count(F.lit(1)).alias("n")))
+    return sql, run
+
+
+for _key, _kind, _table in [("hyperlink_terms", "url", "pages"), ("number_terms", "number", "pages"),
+                            ("email_terms", "email", "documents"), ("word_terms", "word", "pages")]:
+    _sql, _run = _kind_terms(_kind, _table)
+    register(_key, _sql)(_run)
+
+
+@register("token_counts", O.with_(
+    [O.docs_cte("documents"), O.tok_cte()],
+    "SELECT doc_id, doc_len AS n_tokens, CAST(len(list_distinct(tokens)) AS BIGINT) AS n_distinct FROM tok"))
+def q_token_counts(spark, sf):
+    dt = T.document_tokens(_documents(spark, sf))
+    return dt.select("doc_id", F.col("doc_len").alias("n_tokens"),
+                     F.size(F.array_distinct("tokens")).cast("long").alias("n_distinct"))
+
+
+def _tokens_key(table: str, analyzer: str):
+    sql = O.with_([O.docs_cte(table), O.tok_cte(analyzer)],
+                  "SELECT doc_id, CAST(unnest(range(len(tokens))) AS BIGINT) AS pos, unnest(tokens) AS term FROM tok")
+
+    def run(spark, sf):
+        coll = _pages(spark, sf) if table == "pages" else _documents(spark, sf)
+        return T.token_table(T.document_tokens(coll, analyzer))
+    return sql, run
+
+
+for _key, _table, _an in [("tokens_pages", "pages", "full"), ("tokens_documents", "documents", "full"),
+                          ("tokens_compact", "pages", "compact")]:
+    _sql, _run = _tokens_key(_table, _an)
+    register(_key, _sql)(_run)
+
+
+# ---------------------------------------------------------------------------
+# Filters, stemming, formatting
+# ---------------------------------------------------------------------------
+@register("min_length_filter", O.with_(
+    _sql_pages_tok(), "SELECT doc_id, CAST(len(list_filter(tokens, lambda t: length(t) > 1)) AS BIGINT) AS kept FROM tok"))
+def q_min_length_filter(spark, sf):
+    dt = T.document_tokens(_pages(spark, sf))
+    return dt.select("doc_id", F.size(F.filter("tokens", lambda t: F.length(t) > 1)).cast("long").alias("kept"))
+
+
+@register("stopword_filter", O.with_(
+    _sql_pages_tok(),
+    f"SELECT doc_id, CAST(len(list_filter(tokens, lambda t: t NOT IN {O.STOPLIST})) AS BIGINT) AS kept FROM tok"))
+def q_stopword_filter(spark, sf):
+    dt = T.document_tokens(_pages(spark, sf))
+    return dt.select("doc_id", F.size(F.filter("tokens", lambda t: ~t.isin(*R.STOPWORDS))).cast("long").alias("kept"))
+
+
+@register("prune_rare_once", O.with_(O.index_ctes("pages", "weighted", "once"),
+                                     "SELECT term, num_docs, coll_freq FROM kept"))
+def q_prune_rare_once(spark, sf):
+    return _weighted_pages(spark, sf, "once").terms
+
+
+@register("prune_rare_tf_one", O.with_(O.index_ctes("pages", "weighted", "tf_one"),
+                                       "SELECT term, num_docs, coll_freq FROM kept"))
+def q_prune_rare_tf_one(spark, sf):
+    return _weighted_pages(spark, sf, "tf_one").terms
+
+
+@register("query_terms_lenient", O.with_(O.query_ctes("benchmark", "lenient"),
+                                         "SELECT query_id, term, mult FROM qterms"))
+def q_query_terms_lenient(spark, sf):
+    return Q.query_terms(Q.query_tokens(_benchmark(spark, sf)), "lenient")
+
+
+@register("query_rejects", O.with_(O.query_ctes("benchmark", "lenient"),
+                                   "SELECT query_id, pos, token, reason FROM qtok WHERE reason IS NOT NULL"))
+def q_query_rejects(spark, sf):
+    return Q.query_rejects(Q.query_tokens(_benchmark(spark, sf)))
+
+
+@register("query_terms_strict", O.with_(O.query_ctes("benchmark", "strict"),
+                                        "SELECT query_id, term, mult FROM qterms"))
+def q_query_terms_strict(spark, sf):
+    return Q.query_terms(Q.query_tokens(_benchmark(spark, sf)), "strict")
+
+
+def _stem_sql(x):
+    from .functions.stemmer import stem_sql
+    return stem_sql(x)
+
+
+@register("stem_vocabulary", O.with_(
+    O.index_ctes("pages", "weighted", None) + ["vocab AS (SELECT DISTINCT term FROM freq)"],
+    f"SELECT term, {_stem_sql('term')} AS stem FROM vocab"))
+def q_stem_vocabulary(spark, sf):
+    from .functions.stemmer import stem
+    vocab = frequencies(_pages(spark, sf), "weighted").select("term").distinct()
+    return vocab.select("term", stem(F.col("term")).alias("stem"))
+
+
+@register("search_formatted", O.with_(
+    O.index_ctes("pages", "stemmed", "once") + O.query_ctes(QUERY_STEMMED, "strict", stemmed=True) + O.search_ctes(),
+    "SELECT t.query_id, t.rank, d.name || ' ' || printf('%.4f', t.score) AS line FROM top t JOIN docs d ON t.doc_id = d.doc_id"))
+def q_search_formatted(spark, sf):
+    idx = _weighted_pages(spark, sf, "once", "stemmed")
+    return S.formatted(S.search(idx, QUERY_STEMMED))
+
+
+# ---------------------------------------------------------------------------
+# aggregations
+# ---------------------------------------------------------------------------
+@register("term_frequency", O.with_([O.docs_cte("documents"), O.tok_cte()] + O.freq_ctes("raw"),
+                                    "SELECT doc_id, term, raw_freq FROM freq"))
+def q_term_frequency(spark, sf):
+    return frequencies(_documents(spark, sf), "raw").select("doc_id", "term", "raw_freq")
+
+
+@register("doc_length", O.with_(_sql_pages_tok(), "SELECT doc_id, doc_len FROM tok"))
+def q_doc_length(spark, sf):
+    return T.doc_length(T.document_tokens(_pages(spark, sf)))
+
+
+@register("valid_doc_length", O.with_(
+    _sql_pages_tok(),
+    f"SELECT doc_id, CAST(len(list_filter(tokens, lambda t: {O.valid_sql('t')})) AS BIGINT) AS valid_len FROM tok"))
+def q_valid_doc_length(spark, sf):
+    return T.valid_doc_length(T.document_tokens(_pages(spark, sf)))
+
+
+@register("corpus_size", O.with_(
+    _sql_pages_tok(),
+    f"SELECT CAST(sum(doc_len) AS BIGINT) AS all_tokens, CAST(sum(len(list_filter(tokens, lambda t: {O.valid_sql('t')}))) "
+    "AS BIGINT) AS valid_tokens, count(*) AS documents FROM tok"))
+def q_corpus_size(spark, sf):
+    return T.corpus_size(T.document_tokens(_pages(spark, sf)))
+
+
+@register("document_frequency", O.with_(O.index_ctes("pages", "weighted", None), "SELECT term, num_docs FROM dfs"))
+def q_document_frequency(spark, sf):
+    return Wt.document_frequency(frequencies(_pages(spark, sf), "weighted")).select("term", "num_docs")
+
+
+@register("posting_lists", O.with_(
+    O.index_ctes("pages", "weighted", None),
+    "SELECT term, string_agg(CAST(doc_id AS VARCHAR) || ':' || CAST(raw_freq AS VARCHAR), ' ' ORDER BY doc_id) "
+    "AS postings FROM post GROUP BY term"))
+def q_posting_lists(spark, sf):
+    pl = Wt.posting_lists(_weighted_pages(spark, sf, None).postings, "raw_freq")
+    text = F.array_join(F.transform("postings", lambda s: F.concat(s["doc_id"].cast("string"), F.lit(":"),
+                                                                   s["freq"].cast("string"))), " ")
+    return pl.select("term", text.alias("postings"))
+
+
+@register("index_stats", O.with_(O.index_ctes("pages", "weighted", "once"),
+                                 "SELECT count(*) AS postings, count(DISTINCT term) AS terms FROM post"))
+def q_index_stats(spark, sf):
+    return Wt.index_stats(_weighted_pages(spark, sf).postings)
+
+
+# ---------------------------------------------------------------------------
+# Weighting and index profiles
+# ---------------------------------------------------------------------------
+@register("relative_tf", O.with_(O.index_ctes("pages", "weighted", None), "SELECT doc_id, term, tf FROM post"))
+def q_relative_tf(spark, sf):
+    return _weighted_pages(spark, sf, None).postings.select("doc_id", "term", "tf")
+
+
+@register("idf", O.with_(O.index_ctes("pages", "weighted", None),
+                         "SELECT term, round(1 + log10(CAST(n_docs AS DOUBLE) / num_docs), 6) AS idf FROM kept CROSS JOIN n"))
+def q_idf(spark, sf):
+    idx = _weighted_pages(spark, sf, None)
+    return idx.terms.crossJoin(F.broadcast(idx.n_docs)).select("term", _r6(Wt.idf_col()).alias("idf"))
+
+
+def _index_key(profile: str):
+    prune = None if profile == "raw" else "once"
+    sql = O.with_(O.index_ctes("pages", profile, prune) + [f"d AS (SELECT term, num_docs, {_START} AS start FROM kept)"],
+                  "SELECT p.term, p.doc_id, p.raw_freq, round(p.weight, 6) AS weight, d.num_docs, d.start "
+                  "FROM post p JOIN d ON p.term = d.term")
+
+    def run(spark, sf):
+        idx = build_index(_pages(spark, sf), profile, prune=prune)
+        return idx.postings.join(idx.dictionary("start"), "term").select(
+            "term", "doc_id", "raw_freq", _r6(F.col("weight")).alias("weight"), "num_docs", "start")
+    return sql, run
+
+
+for _p in ("raw", "weighted", "stemmed"):
+    _sql, _run = _index_key(_p)
+    register(f"index_{_p}", _sql)(_run)
+
+
+# ---------------------------------------------------------------------------
+# Q1-Q11: query side, benchmark against documents
+# ---------------------------------------------------------------------------
+_DOCS_Q = O.index_ctes("documents", "weighted", "once") + O.query_ctes("benchmark", "lenient")
+
+
+@register("term_lookup", O.with_(_DOCS_Q + O.search_ctes(),
+                                 "SELECT query_id, term, mult, doc_id, round(weight, 6) AS weight FROM matches"))
+def q_term_lookup(spark, sf):
+    idx = _docs_index(spark, sf)
+    plan = S.query_plan(idx, _benchmark(spark, sf))
+    return plan["matches"].select("query_id", "term", "mult", "doc_id", _r6(F.col("weight")).alias("weight"))
+
+
+@register("missing_terms", O.with_(_DOCS_Q, "SELECT query_id, term FROM qterms WHERE term NOT IN (SELECT term FROM kept)"))
+def q_missing_terms(spark, sf):
+    idx = _docs_index(spark, sf)
+    return Q.missing_terms(Q.query_terms(Q.query_tokens(_benchmark(spark, sf))), idx.terms)
+
+
+@register("score_documents", O.with_(_DOCS_Q + O.search_ctes(),
+                                     "SELECT query_id, doc_id, round(score, 6) AS score FROM scores"))
+def q_score_documents(spark, sf):
+    plan = S.query_plan(_docs_index(spark, sf), _benchmark(spark, sf))
+    return plan["scores"].select("query_id", "doc_id", _r6(F.col("score")).alias("score"))
+
+
+@register("top_k", O.with_(_DOCS_Q + O.search_ctes(), "SELECT query_id, rank, doc_id, score FROM top"))
+def q_top_k(spark, sf):
+    return S.query_plan(_docs_index(spark, sf), _benchmark(spark, sf))["top"]
+
+
+@register("search_stemmed", O.with_(
+    O.index_ctes("pages", "stemmed", "once") + O.query_ctes(QUERY_STEMMED, "strict", stemmed=True) + O.search_ctes(),
+    "SELECT t.query_id, t.rank, t.doc_id, d.name, t.score FROM top t JOIN docs d ON t.doc_id = d.doc_id"))
+def q_search_stemmed(spark, sf):
+    return S.search(_weighted_pages(spark, sf, "once", "stemmed"), QUERY_STEMMED)
+
+
+@register("search_many", O.with_(
+    _DOCS_Q + O.search_ctes(),
+    "SELECT t.query_id, t.rank, t.doc_id, d.name, t.score FROM top t JOIN docs d ON t.doc_id = d.doc_id"))
+def q_search_many(spark, sf):
+    return S.search_many(_docs_index(spark, sf), _benchmark(spark, sf))
+
+
+@register("result_preview", O.with_(
+    _DOCS_Q + O.search_ctes(),
+    "SELECT t.query_id, t.rank, t.doc_id, d.body AS preview FROM top t JOIN docs d ON t.doc_id = d.doc_id"))
+def q_result_preview(spark, sf):
+    coll = _documents(spark, sf)
+    res = S.search_many(build_index(coll, "weighted", prune="once"), _benchmark(spark, sf))
+    n = Q._bounded_rows(res, Q.BROADCAST_ROWS)
+    return Q.result_preview(res, coll, None, bound_rows=n).select("query_id", "rank", "doc_id", "preview")
+
+
+@register("queries_without_results", O.with_(
+    O.index_ctes("documents", "stemmed", "once") + O.query_ctes("benchmark", "strict", stemmed=True) + O.search_ctes(),
+    "SELECT query_id, text FROM qs WHERE query_id NOT IN (SELECT query_id FROM top)"))
+def q_queries_without_results(spark, sf):
+    coll = _documents(spark, sf)
+    queries = _benchmark(spark, sf)
+    res = S.search_many(build_index(coll, "stemmed", prune="once"), queries)
+    return Q.queries_without_results(queries, res)

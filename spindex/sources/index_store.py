@@ -52,7 +52,9 @@ def read_index(spark: SparkSession, path: str) -> Index:
 def mapping_text(mapping: DataFrame) -> DataFrame:
     """``<id padded to 4>\\t<name before the dot, left-padded to 6>.<ext>``."""
     base = F.substring_index("name", ".", 1)
-    ext = F.when(F.instr("name", ".") > 0, F.substring_index("name", ".", -1)).otherwise(F.lit(""))
+    # the extension is the part after the first dot, up to a second one
+    ext = F.when(F.instr("name", ".") > 0, F.substring_index(F.substring_index("name", ".", 2), ".", -1)) \
+        .otherwise(F.lit(""))
     line = F.concat(pad(F.col("doc_id"), R.WIDTH_DOC_ID), F.lit("\t"),
                     pad_left_if_shorter(base, R.WIDTH_FILE_NAME), F.lit("."), ext)
     return mapping.select("doc_id", line.alias("line"))
