@@ -76,11 +76,16 @@ def _sql_pages_tok(analyzer: str = "full") -> list[str]:
     return [O.docs_cte("pages"), O.tok_cte(analyzer)]
 
 
+_EMITTED_SQL = ", ".join(O.lit(r.kind) for r in R.FULL_RULES if r.emit)
+
+
 def _sql_kinded(table: str) -> list[str]:
-    lex = O.lexemes_sql("body")
+    lex = O.lexemes_sql("body", group=0)
     return [O.docs_cte(table),
             f"lx AS (SELECT doc_id, unnest({lex}) AS x FROM docs)",
-            f"kx AS (SELECT doc_id, {O.kind_case('x')} AS kind, x AS lexeme, {O.token_case('x')} AS token FROM lx)"]
+            f"kx0 AS (SELECT doc_id, {O.kind_case('x')} AS kind, x AS lexeme FROM lx)",
+            f"kx AS (SELECT doc_id, kind, lexeme, CASE WHEN kind IN ({_EMITTED_SQL}) THEN {O.token_case('lexeme')} END "
+            "AS token FROM kx0)"]
 
 
 def _sql_names(table_cte: str, name_col: str, tiebreak: str | None = None) -> str:
@@ -94,8 +99,10 @@ _END = "CAST(sum(num_docs) OVER (ORDER BY term ROWS BETWEEN UNBOUNDED PRECEDING
 
 
 def _kinded(collection: DataFrame, analyzer: str = "full") -> DataFrame:
-    return collection.select("doc_id", F.explode(A.kinded_lexemes(F.col("body"), analyzer)).alias("k")).select(
-        "doc_id", "k.kind", "k.lexeme", "k.token")
+    emitted = [r.kind for r in R.RULE_SETS[analyzer] if r.emit]
+    rows = (collection.select("doc_id", F.explode_outer(A.kinded_lexemes(F.col("body"), analyzer)).alias("k"))
+            .where(F.col("k").isNotNull()).select("doc_id", "k.kind", "k.lexeme"))
+    return rows.withColumn("token", F.when(F.col("kind").isin(*emitted), A.token_of(F.col("lexeme"), analyzer)))
 
 
 def _weighted_pages(spark, sf, prune="once", profile="weighted"):
@@ -183,7 +190,7 @@ def q_weighted_postings(spark, sf):
     _sql_pages_tok() + ["tt AS (SELECT unnest(tokens) AS term FROM tok)"],
     f"SELECT term, count(*) AS hits FROM tt WHERE term IN {O.STOPLIST} GROUP BY term"))
 def q_stopword_hits(spark, sf):
-    tt = T.token_table(T.document_tokens(_pages(spark, sf)))
+    tt = T.token_rows(_pages(spark, sf))
     return tt.where(F.col("term").isin(*R.STOPWORDS)).groupBy("term").agg(F.count(F.lit(1)).alias("hits"))
 
 
@@ -273,7 +280,7 @@ def _tokens_key(table: str, analyzer: str):
 
     def run(spark, sf):
         coll = _pages(spark, sf) if table == "pages" else _documents(spark, sf)
-        return T.token_table(T.document_tokens(coll, analyzer))
+        return T.token_rows(coll, analyzer).select("doc_id", "pos", "term")
     return sql, run
 
 

@@ -1,12 +1,21 @@
 """The analyzer as Spark column expressions (no UDF).
 
-A document body becomes an array of lexemes with one ``regexp_extract_all``
-per line over the ordered alternation ``IGNORE|rule1|rule2|...``; the regex
-engine's leftmost-first alternation reproduces "at each position, try the
-rules in order, first match wins; skip a character nothing matches".
-The kind of a lexeme is the first rule that matches at its start (no rule
-looks past its own match, so this is exact). Dropped kinds become NULL and
-are filtered out; emitted kinds are normalized.
+A document body is scanned with one ``regexp_extract_all`` per line over the
+ordered alternation
+
+    IGNORE+ | dropped rules | ( emitted rules ) | dropped rules
+
+whose leftmost-first semantics reproduce "at each position skip an ignored
+character, else try the rules in order, first match wins; skip a character
+nothing matches". Only the emitted rules (hyperlink, number, e-mail, word)
+sit in capture group 1, so ignored runs and dropped lexemes (CSS, entity,
+tag) come back empty and are removed with ``array_remove``: the array holds
+one raw lexeme per token, and a document's token count is its size.
+
+Normalizing a lexeme needs its rule: the first emitted rule that matches at
+its start (no rule looks past its own match, so this is exact), tested behind
+cheap necessary conditions. ``token_of`` is an ordinary column expression,
+so after an explode it runs inside whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -16,20 +25,30 @@ from pyspark.sql import functions as F
 
 from . import rules as R
 
-DROPPED = None
-
 
 def _alternation(rule_list, present_gates: set[str], java: bool = True) -> str:
-    parts = [R.IGNORE_CLASS]
-    for r in rule_list:
-        if r.gate is not None and r.gate not in present_gates:
-            continue
-        parts.append(r.java if java else r.re2)
-    return "|".join(f"(?:{p})" for p in parts)
+    rules = [r for r in rule_list if r.gate is None or r.gate in present_gates]
+    emitted = [i for i, r in enumerate(rules) if r.emit]
+    lo, hi = emitted[0], emitted[-1]
+    if any(not r.emit for r in rules[lo:hi + 1]):
+        raise ValueError("emitted rules must be contiguous in scan order")
+
+    def pat(r):
+        return f"(?:{r.java if java else r.re2})"
+
+    ignore = R.IGNORE_CLASS + ("++" if java else "+")
+    parts = [f"(?:{ignore})"] + [pat(r) for r in rules[:lo]]
+    parts.append("(" + "|".join(pat(r) for r in rules[lo:hi + 1]) + ")")
+    parts += [pat(r) for r in rules[hi + 1:]]
+    return "|".join(parts)
 
 
 def line_pattern(analyzer: str = "full", java: bool = True, gates: set[str] | None = None) -> str:
-    """The scan pattern for a line containing the characters in ``gates``."""
+    """The scan pattern for a line containing the characters in ``gates``.
+
+    Group 0 is every lexeme (ignored runs and dropped kinds included),
+    group 1 the lexemes of emitted rules.
+    """
     rule_list = R.RULE_SETS[analyzer]
     if gates is None:
         gates = {r.gate for r in rule_list if r.gate}
@@ -40,19 +59,20 @@ def _gate_chars(analyzer: str) -> list[str]:
     return sorted({r.gate for r in R.RULE_SETS[analyzer] if r.gate})
 
 
-def line_lexemes(line: Column, analyzer: str = "full") -> Column:
-    """array<string> of the lexemes of one line (gated JVM pattern)."""
+def line_lexemes(line: Column, analyzer: str = "full", group: int = 1) -> Column:
+    """array<string> of one line's lexemes (gated JVM pattern; see ``lexemes``)."""
     gates = _gate_chars(analyzer)
     expr = None
-    # enumerate which gate characters occur in the line; each combination
-    # gets a pattern without the rules that cannot match
+    # which gate characters occur in the line: each combination gets a
+    # pattern without the rules that cannot match (exact, and it keeps the
+    # costly rules off ordinary lines)
     for mask in range(2 ** len(gates)):
         present = {g for i, g in enumerate(gates) if mask >> i & 1}
         cond = F.lit(True)
         for g in gates:
             has = F.instr(line, g) > 0
             cond = cond & (has if g in present else ~has)
-        extract = F.regexp_extract_all(line, F.lit(line_pattern(analyzer, True, present)), 0)
+        extract = F.regexp_extract_all(line, F.lit(line_pattern(analyzer, True, present)), group)
         expr = F.when(cond, extract) if expr is None else expr.when(cond, extract)
     return expr
 
@@ -62,29 +82,53 @@ def split_lines(body: Column) -> Column:
     return F.split(F.coalesce(body, F.lit("")), R.LINE_SPLIT)
 
 
-def lexemes(body: Column, analyzer: str = "full", by_line: bool = True) -> Column:
-    """array<string>: all lexemes of a document, in order (dropped kinds included).
+def lexemes(body: Column, analyzer: str = "full", by_line: bool = True, group: int = 1) -> Column:
+    """array<string>: a document's lexemes in order.
 
+    ``group`` 1 (default): one raw lexeme per token (emitted rules only).
+    ``group`` 0: every lexeme, ignored runs and dropped kinds included.
     ``by_line`` False scans the text as one string, as a query is read.
     """
     if not by_line:
-        return line_lexemes(F.coalesce(body, F.lit("")), analyzer)
-    return F.flatten(F.transform(split_lines(body), lambda l: line_lexemes(l, analyzer)))
+        arr = line_lexemes(F.coalesce(body, F.lit("")), analyzer, group)
+    else:
+        arr = F.flatten(F.transform(split_lines(body), lambda l: line_lexemes(l, analyzer, group)))
+    return F.array_remove(arr, "") if group == 1 else arr
+
+
+def _guard(x: Column, r: R.Rule) -> tuple[Column | None, bool]:
+    """A cheap necessary condition for rule ``r`` to match at the start of
+    ``x``, and whether it is also sufficient."""
+    if r.kind == "css":
+        return F.instr(x, "{") > 0, False
+    if r.kind == "entity":
+        return x.startswith("&"), False
+    if r.kind == "tag":
+        return x.startswith("<"), False
+    if r.kind == "url":
+        return x.startswith("h") | x.startswith("w"), False
+    if r.kind == "number":
+        # first character in 1-9: binary string order, ':' follows '9'
+        return (x >= F.lit("1")) & (x < F.lit(":")), True
+    if r.kind == "email":
+        return F.instr(x, "@") > 0, False
+    return None, False
 
 
 def _starts_with_rule(x: Column, r: R.Rule) -> Column:
+    guard, sufficient = _guard(x, r)
+    if sufficient:
+        return guard
     cond = x.rlike("^(?:" + r.java + ")")
-    if r.gate is not None:
-        cond = (F.instr(x, r.gate) > 0) & cond
-    return cond
+    return cond if guard is None else guard & cond
 
 
 def _is_ignored(x: Column) -> Column:
-    return (F.length(x) == 1) & x.rlike("^" + R.IGNORE_CLASS)
+    return F.instr(F.lit(R.IGNORE_CHARS), F.substring(x, 1, 1)) > 0
 
 
 def lexeme_kind(x: Column, analyzer: str = "full") -> Column:
-    """Name of the rule that produced lexeme ``x`` ('ignore' for skipped characters)."""
+    """Name of the rule that produced a group-0 lexeme ('ignore' for skipped runs)."""
     expr = F.when(_is_ignored(x), F.lit("ignore"))
     for r in R.RULE_SETS[analyzer]:
         expr = expr.when(_starts_with_rule(x, r), F.lit(r.kind))
@@ -104,34 +148,36 @@ def normalize(x: Column, norm: str) -> Column:
     if norm == "email_compact":
         return F.regexp_replace(x, R.EMAIL_STRIP_COMPACT, "")
     if norm == "word":
-        return F.regexp_replace(F.lower(x), R.WORD_STRIP, "")
+        # without an inline tag the strip pattern removes single characters,
+        # which ``translate`` does without a regex
+        low = F.lower(x)
+        return F.when(F.instr(x, "<") > 0, F.regexp_replace(low, R.WORD_STRIP, "")) \
+            .otherwise(F.translate(low, R.WORD_STRIP_CHARS, ""))
     raise ValueError(norm)
 
 
-def lexeme_token(x: Column, analyzer: str = "full") -> Column:
-    """Token of lexeme ``x``, NULL when the lexeme's rule drops it."""
-    expr = F.when(_is_ignored(x), F.lit(DROPPED).cast("string"))
-    for r in R.RULE_SETS[analyzer]:
-        value = normalize(x, r.norm) if r.emit else F.lit(DROPPED).cast("string")
-        expr = expr.when(_starts_with_rule(x, r), value)
-    return expr
+def token_of(x: Column, analyzer: str = "full") -> Column:
+    """Token of a raw (group-1) lexeme: the first emitted rule matching at its
+    start decides the normalizer; the last emitted rule needs no test."""
+    emitted = [r for r in R.RULE_SETS[analyzer] if r.emit]
+    expr = None
+    for r in emitted[:-1]:
+        cond, value = _starts_with_rule(x, r), normalize(x, r.norm)
+        expr = F.when(cond, value) if expr is None else expr.when(cond, value)
+    last = normalize(x, emitted[-1].norm)
+    return last if expr is None else expr.otherwise(last)
 
 
 def tokens(body: Column, analyzer: str = "full", by_line: bool = True) -> Column:
     """array<string>: the token stream of a document, in order."""
-    toks = F.transform(lexemes(body, analyzer, by_line), lambda x: lexeme_token(x, analyzer))
-    return F.filter(toks, lambda t: t.isNotNull())
+    return F.transform(lexemes(body, analyzer, by_line), lambda x: token_of(x, analyzer))
 
 
 def kinded_lexemes(body: Column, analyzer: str = "full") -> Column:
-    """array<struct<kind, lexeme, token>> for inspection (``lexeme_kinds``)."""
+    """array<struct<kind, lexeme>>, ignored runs and dropped kinds included."""
     return F.transform(
-        lexemes(body, analyzer),
-        lambda x: F.struct(
-            lexeme_kind(x, analyzer).alias("kind"),
-            x.alias("lexeme"),
-            lexeme_token(x, analyzer).alias("token"),
-        ),
+        lexemes(body, analyzer, group=0),
+        lambda x: F.struct(lexeme_kind(x, analyzer).alias("kind"), x.alias("lexeme")),
     )
 
 

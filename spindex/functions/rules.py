@@ -54,6 +54,7 @@ URL_STRIP = r"https://|http://|www\."
 URL_STRIP_COMPACT = r"https://|http://|www|\."
 NUMBER_STRIP = r"[,\-]|\..*"
 WORD_STRIP = r"[.\-']|<[^>]+>"
+WORD_STRIP_CHARS = ".-'"
 EMAIL_STRIP_COMPACT = r"@.*|<[^>]+>"
 
 # The 179-word English stopword list, in its original order.
@@ -119,13 +120,16 @@ FULL_RULES = (
 )
 
 # The earlier, compact analyzer: no CSS rule, other order, other normalizers.
+# Its original order is tag, url, email, number, entity, word; entity and word
+# start with disjoint characters ('&' against [A-z]), so listing entity last
+# changes no match and keeps the emitted rules contiguous.
 COMPACT_RULES = (
     Rule("tag", TAG, TAG, emit=False),
     Rule("url", URL, URL, emit=True, norm="url_compact"),
     Rule("email", EMAIL, EMAIL, emit=True, norm="email_compact", gate="@"),
     Rule("number", NUMBER, NUMBER, emit=True, norm="number"),
-    Rule("entity", ENTITY, ENTITY, emit=False),
     Rule("word", WORD_JAVA, WORD_RE2, emit=True, norm="word"),
+    Rule("entity", ENTITY, ENTITY, emit=False),
 )
 
 RULE_SETS = {"full": FULL_RULES, "compact": COMPACT_RULES}

@@ -23,8 +23,9 @@ PUSHDOWN_TERMS = 1000
 def query_tokens(queries: DataFrame, analyzer: str = "full") -> DataFrame:
     """(query_id, pos, token): the document analyzer on each query text, read whole."""
     toks = A.tokens(F.col("text"), analyzer, by_line=False)
-    return queries.select("query_id", F.posexplode(toks).alias("pos", "token")).withColumn(
-        "pos", F.col("pos").cast("long"))
+    return (queries.select("query_id", F.posexplode_outer(toks).alias("pos", "token"))
+            .where(F.col("token").isNotNull())
+            .withColumn("pos", F.col("pos").cast("long")))
 
 
 def classify(qtokens: DataFrame) -> DataFrame:

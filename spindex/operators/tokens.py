@@ -14,25 +14,38 @@ from ..functions import analyzer as A
 PROFILES = ("raw", "weighted", "stemmed")
 
 
+def document_lexemes(collection: DataFrame, analyzer: str = "full") -> DataFrame:
+    """(doc_id, lexemes, doc_len): one raw lexeme per token; empty documents included."""
+    lx = A.lexemes(F.col("body"), analyzer)
+    return collection.select("doc_id", lx.alias("lexemes")).withColumn(
+        "doc_len", F.size("lexemes").cast("long"))
+
+
 def document_tokens(collection: DataFrame, analyzer: str = "full") -> DataFrame:
     """(doc_id, tokens array<string>, doc_len) for every document, empty ones included."""
-    toks = A.tokens(F.col("body"), analyzer)
-    return collection.select("doc_id", toks.alias("tokens")).withColumn(
-        "doc_len", F.size("tokens").cast("long"))
+    return document_lexemes(collection, analyzer).select(
+        "doc_id", F.transform("lexemes", lambda x: A.token_of(x, analyzer)).alias("tokens"), "doc_len")
 
 
-def profile_terms(doc_tokens: DataFrame, profile: str) -> DataFrame:
-    """(doc_id, doc_len, terms): the tokens a profile indexes, before stemming."""
-    if profile not in PROFILES:
-        raise ValueError(f"unknown profile {profile!r}")
-    terms = F.col("tokens") if profile == "raw" else A.valid_tokens(F.col("tokens"))
-    return doc_tokens.select("doc_id", "doc_len", terms.alias("terms"))
+def token_rows(collection: DataFrame, analyzer: str = "full") -> DataFrame:
+    """(doc_id, doc_len, pos, term): one row per token.
+
+    The explode comes right after the scan, so normalizing runs per row in
+    whole-stage codegen. ``explode_outer`` + filter: a plain explode makes the
+    optimizer repeat the whole scan in an inferred ``size() > 0`` filter.
+    """
+    return (document_lexemes(collection, analyzer)
+            .select("doc_id", "doc_len", F.posexplode_outer("lexemes").alias("pos", "lexeme"))
+            .where(F.col("lexeme").isNotNull())
+            .select("doc_id", "doc_len", F.col("pos").cast("long").alias("pos"),
+                    A.token_of(F.col("lexeme"), analyzer).alias("term")))
 
 
-def token_table(doc_tokens: DataFrame, col: str = "tokens") -> DataFrame:
-    """(doc_id, pos, term): one row per token, pos 0-based within the document."""
-    return doc_tokens.select("doc_id", F.posexplode(col).alias("pos", "term")).withColumn(
-        "pos", F.col("pos").cast("long"))
+def profile_rows(rows: DataFrame, profile: str) -> DataFrame:
+    """The token rows a profile indexes (before stemming)."""
+    if profile not in PROFILES:
+        raise ValueError(f"unknown profile {profile!r}")
+    return rows if profile == "raw" else rows.where(A.is_valid_term(F.col("term")))
 
 
 def doc_length(doc_tokens: DataFrame) -> DataFrame:
@@ -54,15 +67,13 @@ def corpus_size(doc_tokens: DataFrame) -> DataFrame:
     )
 
 
-def term_frequency(terms: DataFrame) -> DataFrame:
-    """(doc_id, doc_len, term, raw_freq) from (doc_id, doc_len, terms).
+def term_frequency(rows: DataFrame) -> DataFrame:
+    """(doc_id, doc_len, term, raw_freq) from token rows.
 
-    Partial aggregation runs map-side: a document's tokens are in one row, so
-    the shuffle carries distinct (doc, term) pairs, not tokens.
+    Partial aggregation runs map-side: all tokens of a document are in one
+    task, so the shuffle carries distinct (doc, term) pairs, not tokens.
     """
-    return (terms.select("doc_id", "doc_len", F.explode("terms").alias("term"))
-            .groupBy("doc_id", "doc_len", "term")
-            .agg(F.count(F.lit(1)).alias("raw_freq")))
+    return rows.groupBy("doc_id", "doc_len", "term").agg(F.count(F.lit(1)).alias("raw_freq"))
 
 
 def line_counts(collection: DataFrame) -> DataFrame:

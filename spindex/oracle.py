@@ -24,7 +24,7 @@ def _starts(x: str, r: R.Rule) -> str:
 
 
 def _ignored(x: str) -> str:
-    return f"(length({x}) = 1 AND regexp_matches({x}, {lit('^' + R.IGNORE_CLASS)}))"
+    return f"regexp_matches({x}, {lit('^' + R.IGNORE_CLASS)})"
 
 
 def norm_sql(x: str, norm: str) -> str:
@@ -44,11 +44,10 @@ def norm_sql(x: str, norm: str) -> str:
 
 
 def token_case(x: str, analyzer: str = "full") -> str:
-    parts = [f"WHEN {_ignored(x)} THEN NULL"]
-    for r in R.RULE_SETS[analyzer]:
-        value = norm_sql(x, r.norm) if r.emit else "NULL"
-        parts.append(f"WHEN {_starts(x, r)} THEN {value}")
-    return "CASE " + " ".join(parts) + " END"
+    """Token of a raw (group-1) lexeme: the first emitted rule matching at its start."""
+    emitted = [r for r in R.RULE_SETS[analyzer] if r.emit]
+    parts = [f"WHEN {_starts(x, r)} THEN {norm_sql(x, r.norm)}" for r in emitted[:-1]]
+    return "CASE " + " ".join(parts) + f" ELSE {norm_sql(x, emitted[-1].norm)} END"
 
 
 def kind_case(x: str, analyzer: str = "full") -> str:
@@ -58,18 +57,22 @@ def kind_case(x: str, analyzer: str = "full") -> str:
     return "CASE " + " ".join(parts) + " ELSE 'unmatched' END"
 
 
-def lexemes_sql(body: str, analyzer: str = "full", by_line: bool = True) -> str:
+def lexemes_sql(body: str, analyzer: str = "full", by_line: bool = True, group: int = 1) -> str:
+    """Rule lexemes (group 1) or all lexemes, ignored runs included (group 0)."""
     pattern = lit(A.line_pattern(analyzer, java=False))
     text = f"coalesce({body}, '')"
     if not by_line:
-        return f"regexp_extract_all({text}, {pattern})"
-    return (f"flatten(list_transform(string_split_regex({text}, {lit(R.LINE_SPLIT)}), "
-            f"lambda l: regexp_extract_all(l, {pattern})))")
+        arr = f"regexp_extract_all({text}, {pattern}, {group})"
+    else:
+        arr = (f"flatten(list_transform(string_split_regex({text}, {lit(R.LINE_SPLIT)}), "
+               f"lambda l: regexp_extract_all(l, {pattern}, {group})))")
+    if group == 1:
+        arr = f"list_filter({arr}, lambda s: s IS NOT NULL AND s <> '')"
+    return arr
 
 
 def tokens_sql(body: str, analyzer: str = "full", by_line: bool = True) -> str:
-    return (f"list_filter(list_transform({lexemes_sql(body, analyzer, by_line)}, lambda x: {token_case('x', analyzer)}), "
-            f"lambda t: t IS NOT NULL)")
+    return f"list_transform({lexemes_sql(body, analyzer, by_line)}, lambda x: {token_case('x', analyzer)})"
 
 
 def valid_sql(t: str) -> str:

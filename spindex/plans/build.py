@@ -1,6 +1,7 @@
 """Index build (R4-R6): one DataFrame plan per profile.
 
-    collection -> tokens (array per doc) -> filters -> explode
+    collection -> raw lexemes (array per doc, its size = doc length) -> explode
+      -> normalize + filters (row level, codegen)
       -> (doc, term) counts [shuffle 1, map-side combined]
       -> [stemmed: stem the distinct vocabulary, join back, re-sum]
       -> per-term counts [partial agg] -> pruning
@@ -56,8 +57,7 @@ def stemmed_frequency(tf: DataFrame) -> DataFrame:
 
 def frequencies(collection: DataFrame, profile: str = "weighted", analyzer: str = "full") -> DataFrame:
     """(doc_id, doc_len, term, raw_freq) of a profile."""
-    doc_tokens = T.document_tokens(collection, analyzer)
-    tf = T.term_frequency(T.profile_terms(doc_tokens, profile))
+    tf = T.term_frequency(T.profile_rows(T.token_rows(collection, analyzer), profile))
     if profile == "stemmed":
         tf = stemmed_frequency(tf)
     return tf

@@ -24,6 +24,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     b = SparkSession.builder.master(f"local[{cpus}]").appName(app)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    # the driver's test tables are single row groups: spread them for tokenizing
+    conf.setdefault("spark.spindex.collection.partitions", str(4 * shuffle_partitions))
     conf.setdefault("spark.driver.memory", "16g")
     if extra:
         conf.update(extra)

@@ -13,6 +13,17 @@ from ..operators.sequence import exclusive_prefix_sum
 
 MAX_DOCS = 1750   # fixed value: the collection cap of the original indexer
 
+# Session setting: spread a collection over this many partitions (hash of
+# doc_id) before tokenizing. Leave unset when the source is already split
+# finely (many row groups / files); set it for small inputs stored as a few
+# unsplittable row groups, where one task would otherwise tokenize everything.
+PARTITIONS_CONF = "spark.spindex.collection.partitions"
+
+
+def balanced(collection: DataFrame, partitions: int | None = None) -> DataFrame:
+    n = partitions or collection.sparkSession.conf.get(PARTITIONS_CONF, None)
+    return collection.repartition(int(n), "doc_id") if n else collection
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -29,7 +40,7 @@ def scan_documents(spark: SparkSession, path: str, glob: str = "*.html") -> Data
 
 
 def from_table(df: DataFrame, body: str | Column, name: str | Column | None = None,
-               doc_id: str | Column | None = None) -> DataFrame:
+               doc_id: str | Column | None = None, partitions: int | None = None) -> DataFrame:
     """A collection from any table.
 
     ``doc_id`` given: taken as the dense 0-based id (the caller vouches for it).
@@ -41,12 +52,12 @@ def from_table(df: DataFrame, body: str | Column, name: str | Column | None = No
         i = F.col(doc_id) if isinstance(doc_id, str) else doc_id
         if n is None:
             n = i.cast("string")
-        return df.select(i.cast("long").alias("doc_id"), n.alias("name"), b.alias("body"))
+        return balanced(df.select(i.cast("long").alias("doc_id"), n.alias("name"), b.alias("body")), partitions)
     if n is None:
         raise ValueError("a collection needs a doc_id or a name column")
     named = df.select(n.alias("name"), b.alias("body"))
     ids = assign_doc_ids(named.select("name"))
-    return ids.join(named, "name").select("doc_id", "name", "body")
+    return balanced(ids.join(named, "name").select("doc_id", "name", "body"), partitions)
 
 
 def pages_collection(spark: SparkSession, sf_dir: str) -> DataFrame:

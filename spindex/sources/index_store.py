@@ -21,12 +21,17 @@ from ..plans.build import Index
 
 
 def write_index(index: Index, path: str, mode: str = "overwrite") -> None:
+    """Write postings, then derive the dictionary from the written postings
+    (a columnar re-read, instead of tokenizing the collection a second time)."""
     (index.postings.repartitionByRange("term", "doc_id")
      .sortWithinPartitions("term", "doc_id")
      .write.mode(mode)
      .option("parquet.bloom.filter.enabled#term", "true")
      .parquet(f"{path}/postings"))
-    dictionary = exclusive_prefix_sum(index.terms, ["term"], "num_docs", out_col="start")
+    written = index.postings.sparkSession.read.parquet(f"{path}/postings")
+    terms = written.groupBy("term").agg(F.count(F.lit(1)).alias("num_docs"),
+                                        F.sum("raw_freq").cast("long").alias("coll_freq"))
+    dictionary = exclusive_prefix_sum(terms, ["term"], "num_docs", out_col="start")
     (dictionary.select("term", "num_docs", "coll_freq", "start")
      .repartitionByRange("term").sortWithinPartitions("term")
      .write.mode(mode).parquet(f"{path}/dictionary"))
