@@ -111,9 +111,24 @@ def _small_side(df: DataFrame, bound_rows: int | None) -> DataFrame:
     return F.broadcast(df) if bound_rows is not None and bound_rows <= BROADCAST_ROWS else df
 
 
+def _with_rows(results: DataFrame, table: DataFrame, bound_rows: int | None) -> DataFrame:
+    """Join ``table`` (keyed by doc_id) to ``results`` after the top-k cut.
+
+    With a proven bound of at most PUSHDOWN_TERMS result rows, the results are
+    collected once (bounded) and their doc ids pushed into the table's scan,
+    so a large mapping or collection is read only where results point.
+    """
+    if bound_rows is not None and bound_rows <= PUSHDOWN_TERMS:
+        rows = results.collect()
+        local = results.sparkSession.createDataFrame(rows, results.schema)
+        ids = sorted({r.doc_id for r in rows})
+        return F.broadcast(local).join(table.where(F.col("doc_id").isin(ids)), "doc_id")
+    return _small_side(results, bound_rows).join(table, "doc_id")
+
+
 def resolve_names(top: DataFrame, mapping: DataFrame, bound_rows: int | None = None) -> DataFrame:
     """Adds ``name`` after the top-k cut; ``bound_rows`` is a proven bound on ``top``."""
-    return _small_side(top, bound_rows).join(mapping, "doc_id").select(
+    return _with_rows(top, mapping.select("doc_id", "name"), bound_rows).select(
         "query_id", "rank", "doc_id", "name", "score")
 
 
@@ -122,11 +137,7 @@ def result_preview(results: DataFrame, collection: DataFrame, chars: int | None
     """Adds ``preview``: the text of each result document (first ``chars``
     characters if given), fetched after the top-k cut."""
     body = F.col("body") if chars is None else F.substring("body", 1, chars)
-    docs = collection.select("doc_id", body.alias("preview"))
-    if bound_rows is not None and bound_rows <= PUSHDOWN_TERMS:
-        ids = [r.doc_id for r in results.select("doc_id").distinct().collect()]
-        docs = docs.where(F.col("doc_id").isin(ids))
-    return _small_side(results, bound_rows).join(docs, "doc_id")
+    return _with_rows(results, collection.select("doc_id", body.alias("preview")), bound_rows)
 
 
 def queries_without_results(queries: DataFrame, results: DataFrame) -> DataFrame:

@@ -31,8 +31,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def scan_documents(spark: SparkSession, path: str, glob: str = "*.html") -> DataFrame:
     """Directory of text files -> (name, body); one row per file, whole text."""
-    df = (spark.read.option("wholetext", "true").option("pathGlobFilter", glob)
-          .text(path))
+    df = spark.read.text(path, wholetext=True, pathGlobFilter=glob)
     return df.select(
         F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1).alias("name"),
         F.col("value").alias("body"),
