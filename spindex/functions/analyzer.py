@@ -1,4 +1,4 @@
-"""The analyzer as Spark column expressions (no UDF).
+"""The analyzer as Spark column expressions.
 
 A document body is scanned with one ``regexp_extract_all`` per line over the
 ordered alternation
@@ -16,12 +16,18 @@ Normalizing a lexeme needs its rule: the first emitted rule that matches at
 its start (no rule looks past its own match, so this is exact), tested behind
 cheap necessary conditions. ``token_of`` is an ordinary column expression,
 so after an explode it runs inside whole-stage codegen.
+
+The one Python step is ``exact_scan`` for the rare lines whose selector
+chains exceed what the JVM pattern follows (see ``needs_exact_scan``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from functools import lru_cache
+
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import rules as R
 
@@ -82,18 +88,57 @@ def split_lines(body: Column) -> Column:
     return F.split(F.coalesce(body, F.lit("")), R.LINE_SPLIT)
 
 
+def _commas(text: Column) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(","), F.lit("")))
+
+
+def needs_exact_scan(body: Column, by_line: bool = True) -> Column:
+    """True when some line holds a ``{`` and at least CSS_CHAIN_CAP commas:
+    only there can a selector chain exceed what the JVM pattern follows."""
+    text = F.coalesce(body, F.lit(""))
+    risky = (F.instr(text, "{") > 0) & (_commas(text) >= R.CSS_CHAIN_CAP)
+    if not by_line:
+        return risky
+    return risky & F.exists(split_lines(text), lambda l: (F.instr(l, "{") > 0) & (_commas(l) >= R.CSS_CHAIN_CAP))
+
+
+@lru_cache(maxsize=None)
+def _exact_udf(analyzer: str, group: int, by_line: bool):
+    def scan(texts):
+        from spindex.functions.exact_scan import scan_text
+        return texts.map(lambda t: scan_text(t, analyzer, group, by_line))
+    return F.pandas_udf(scan, T.ArrayType(T.StringType()))
+
+
+def _jvm_lexemes(body: Column, analyzer: str, by_line: bool, group: int) -> Column:
+    if not by_line:
+        arr = line_lexemes(F.coalesce(body, F.lit("")), analyzer, group)
+    else:
+        arr = F.flatten(F.transform(split_lines(body), lambda l: line_lexemes(l, analyzer, group)))
+    return F.array_remove(arr, "") if group == 1 else arr
+
+
 def lexemes(body: Column, analyzer: str = "full", by_line: bool = True, group: int = 1) -> Column:
     """array<string>: a document's lexemes in order.
 
     ``group`` 1 (default): one raw lexeme per token (emitted rules only).
     ``group`` 0: every lexeme, ignored runs and dropped kinds included.
     ``by_line`` False scans the text as one string, as a query is read.
+
+    Documents with a line the JVM pattern cannot follow whole (see
+    ``needs_exact_scan``) are scanned by ``exact_scan`` in Arrow batches;
+    every other row passes NULL to it and is scanned in the JVM.
     """
-    if not by_line:
-        arr = line_lexemes(F.coalesce(body, F.lit("")), analyzer, group)
-    else:
-        arr = F.flatten(F.transform(split_lines(body), lambda l: line_lexemes(l, analyzer, group)))
-    return F.array_remove(arr, "") if group == 1 else arr
+    jvm = _jvm_lexemes(body, analyzer, by_line, group)
+    if not any(r.kind == "css" for r in R.RULE_SETS[analyzer]):
+        return jvm
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        from ..session import ship_package
+        ship_package(spark)
+    risky = needs_exact_scan(body, by_line)
+    exact = _exact_udf(analyzer, group, by_line)(F.when(risky, body))
+    return F.when(risky, exact).otherwise(jvm)
 
 
 def _guard(x: Column, r: R.Rule) -> tuple[Column | None, bool]:

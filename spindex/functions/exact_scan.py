@@ -1,0 +1,126 @@
+"""Exact scan for the rare lines the JVM pattern bounds.
+
+The JVM pattern follows at most ``CSS_CHAIN_CAP`` comma-joined members of a
+selector chain (java.util.regex recurses once per member). A line can only
+reach that bound if it holds a ``{`` and at least that many commas; such
+lines are scanned here instead, row-batched through Arrow.
+
+The CSS rule is evaluated by its closed form, in linear time per line: from
+a start p, the rule's chain region ends where the first blank run not
+preceded by a comma ends; the match runs to the first ``}`` after the last
+``{`` in that region that is followed by a character other than ``}`` and,
+later, by a ``}``. (Checked against the rule's regex on random lines in
+tests/test_exact_scan.py.) The other rules are matched with the same RE2
+patterns through the ``regex`` module at each position.
+"""
+
+from __future__ import annotations
+
+import re
+import unicodedata
+from functools import lru_cache
+
+from . import rules as R
+
+
+def is_blank(ch: str) -> bool:
+    o = ord(ch)
+    return 9 <= o <= 13 or 0x1C <= o <= 0x20 or o == 0x85 or unicodedata.category(ch) in ("Zs", "Zl", "Zp")
+
+
+def _py_pattern(p: str) -> str:
+    """RE2 text -> ``regex`` module text (``\\x{hh}`` escapes)."""
+    return re.sub(r"\\x\{([0-9a-fA-F]+)\}", lambda m: "\\u%04x" % int(m.group(1), 16), p)
+
+
+@lru_cache(maxsize=None)
+def _compiled(analyzer: str):
+    import regex
+
+    rules = [r for r in R.RULE_SETS[analyzer] if r.kind != "css"]
+    has_css = any(r.kind == "css" for r in R.RULE_SETS[analyzer])
+    if has_css and R.RULE_SETS[analyzer][0].kind != "css":
+        raise ValueError("the closed form needs the CSS rule first")
+    emitted = [i for i, r in enumerate(rules) if r.emit]
+    lo, hi = emitted[0], emitted[-1]
+    parts = [f"(?:{r.re2})" for r in rules[:lo]]
+    parts.append("(" + "|".join(f"(?:{r.re2})" for r in rules[lo:hi + 1]) + ")")
+    parts += [f"(?:{r.re2})" for r in rules[hi + 1:]]
+    return regex.compile(_py_pattern("|".join(parts))), has_css
+
+
+def _css_table(line: str):
+    """end[p] of a CSS match starting at p, or -1; O(len(line))."""
+    n = len(line)
+    blank = [is_blank(c) for c in line]
+    next_close = [-1] * (n + 2)
+    for i in range(n - 1, -1, -1):
+        next_close[i] = i if line[i] == "}" else next_close[i + 1]
+    best = [-1] * n            # last feasible '{' at or before j
+    last = -1
+    for q in range(n):
+        if line[q] == "{" and q + 1 < n and line[q + 1] != "}" and next_close[q + 2] != -1:
+            last = q
+        best[q] = last
+    limit = [n - 1] * n        # last position a '{' may take for a start at p
+    nb = n - 1
+    run_end = n
+    for i in range(n - 1, -1, -1):
+        limit[i] = nb
+        if blank[i]:
+            if i == n - 1 or not blank[i + 1]:
+                run_end = i + 1
+            if (i == 0 or not blank[i - 1]) and (i == 0 or line[i - 1] != ","):
+                nb = min(run_end, n - 1)
+    end = [-1] * n
+    for p in range(n):
+        if not blank[p]:
+            q = best[limit[p]]
+            if q > p:
+                end[p] = next_close[q + 2] + 1
+    return end
+
+
+def scan_line(line: str, analyzer: str = "full", group: int = 1) -> list[str]:
+    """Lexemes of one line: group 1 = emitted rule matches, group 0 = all."""
+    rx, has_css = _compiled(analyzer)
+    ignore = R.IGNORE_CHARS
+    n = len(line)
+    css_end = _css_table(line) if has_css and "{" in line else None
+    out: list[str] = []
+    pos = 0
+    while pos < n:
+        if line[pos] in ignore:
+            j = pos + 1
+            while j < n and line[j] in ignore:
+                j += 1
+            if group == 0:
+                out.append(line[pos:j])
+            pos = j
+            continue
+        if css_end is not None and css_end[pos] > pos:
+            if group == 0:
+                out.append(line[pos:css_end[pos]])
+            pos = css_end[pos]
+            continue
+        m = rx.match(line, pos)
+        if m:
+            if group == 0:
+                out.append(m.group(0))
+            elif m.group(1):
+                out.append(m.group(1))
+            pos = m.end()
+            continue
+        pos += 1
+    return out
+
+
+_LINES = re.compile(R.LINE_SPLIT)
+
+
+def scan_text(text: str | None, analyzer: str = "full", group: int = 1, by_line: bool = True) -> list[str] | None:
+    if text is None:
+        return None
+    if not by_line:
+        return scan_line(text, analyzer, group)
+    return [x for line in _LINES.split(text) for x in scan_line(line, analyzer, group)]

@@ -29,8 +29,9 @@ IGNORE_CLASS = r'[ \[\]+$|=%*{}/0\-"#>();:!?.,\t\x{a0}\x{85}\x{e2}\x{0}]'
 # Line breaks: universal newlines, no token crosses a line.
 LINE_SPLIT = r"\r\n|\r|\n"
 
-# Longest comma-joined selector chain the JVM pattern follows (see README,
-# "Declared deviations"): the JVM regex recurses once per chain member.
+# Longest comma-joined selector chain the JVM pattern follows: the JVM regex
+# recurses once per chain member. Lines that could hold a longer chain (a '{'
+# and at least this many commas) are scanned exactly by exact_scan instead.
 CSS_CHAIN_CAP = 200
 
 # ---------------------------------------------------------------------------

@@ -58,3 +58,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="spindex-ckpt-", dir=os.environ.get("SPINDEX_SCRATCH", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``spindex`` importable in Python workers (once per context):
+    the package is zipped and added with ``addPyFile``, which Spark serves
+    to every executor."""
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import shutil
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="spindex-pkg-")
+    staging = os.path.join(out, "src")
+    shutil.copytree(pkg, os.path.join(staging, "spindex"), ignore=shutil.ignore_patterns("__pycache__", "*.pyc"))
+    archive = shutil.make_archive(os.path.join(out, "spindex"), "zip", staging)
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)

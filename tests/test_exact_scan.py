@@ -1,0 +1,43 @@
+"""The exact line scanner agrees with the rule regexes and the JVM scan."""
+
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from spindex.functions import analyzer as A
+from spindex.functions.exact_scan import _css_table, scan_text
+
+CSS = re.compile(r"(?:[^\s]*,\s+)*[^\s]+\s*\{[^}]+\}")
+
+
+def test_css_closed_form_matches_regex():
+    rnd = random.Random(11)
+    alpha = ["a", ",", " ", "{", "}", "b", ", ", "  ", "\t", "x"]
+    for _ in range(20000):
+        s = "".join(rnd.choice(alpha) for _ in range(rnd.randint(1, 14)))
+        table = _css_table(s)
+        for p in range(len(s)):
+            m = CSS.match(s, p)
+            want = m.end() if m else -1
+            assert table[p] == want, (s, p)
+
+
+def test_scanner_matches_jvm_scan(spark):
+    rnd = random.Random(5)
+    alpha = ["a", "b", ",", " ", "{", "}", "<", ">", "&", "@", ".", "1", "0", "http://", "www.", "é", "\t", "-",
+             "'", ";", "x", "\n", "/", ":", " , "]
+    texts = ["".join(rnd.choice(alpha) for _ in range(rnd.randint(0, 40))) for _ in range(3000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, body string")
+    for group in (1, 0):
+        got = {r.id: list(r.l) for r in df.select("id", A._jvm_lexemes(F.col("body"), "full", True, group).alias("l")).collect()}
+        for i, t in enumerate(texts):
+            assert scan_text(t, "full", group) == got[i], t
+
+
+def test_adversarial_lines_are_linear():
+    import time
+    t0 = time.time()
+    assert len(scan_text("ab, " * 20000 + "{")) == 20000
+    assert scan_text("ab, " * 20000 + "{x}") == []
+    assert time.time() - t0 < 5
