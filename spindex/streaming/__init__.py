@@ -1,0 +1,5 @@
+"""Structured Streaming entry points."""
+
+from .search_stream import answer_stream
+
+__all__ = ["answer_stream"]

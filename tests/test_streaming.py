@@ -1,0 +1,25 @@
+"""A query stream gives the same results as the batch search."""
+
+from pyspark.sql import functions as F
+
+from conftest import SF_SMOKE
+from spindex.plans.build import build_index
+from spindex.plans.search import search_many
+from spindex.sources import collection as C
+from spindex.sources.index_store import read_index, write_index
+from spindex.streaming import answer_stream
+
+
+def test_stream_matches_batch(spark, scratch):
+    write_index(build_index(C.pages_collection(spark, SF_SMOKE), "weighted"), f"{scratch}/idx")
+    qs = C.read_table(spark, SF_SMOKE, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    # queries arrive as two files
+    qs.where("query_id < 20").write.parquet(f"{scratch}/in/a")
+    qs.where("query_id >= 20").write.parquet(f"{scratch}/in/b")
+    stream = spark.readStream.schema(qs.schema).option("maxFilesPerTrigger", 1).parquet(f"{scratch}/in/*")
+    q = answer_stream(stream, f"{scratch}/idx", f"{scratch}/out", f"{scratch}/ckpt")
+    q.processAllAvailable()
+    q.stop()
+    got = sorted(tuple(r) for r in spark.read.parquet(f"{scratch}/out").drop("batch_id").collect())
+    want = sorted(tuple(r) for r in search_many(read_index(spark, f"{scratch}/idx"), qs).collect())
+    assert got == want and len(got) > 0
