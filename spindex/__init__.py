@@ -6,8 +6,8 @@
     docs = from_table(spark.read.parquet(".../pages.parquet"), body="html",
                       name=F.concat("page_id", F.lit(".html")), doc_id="page_id")
     index = build_index(docs, profile="weighted", prune="once")   # raw | weighted | stemmed
-    write_index(index, "s3://bucket/index")                        # postings, dictionary, mapping
-    results = search_many(read_index(spark, "s3://bucket/index"), queries_df)  # (query_id, text)
+    write_index(index, "/data/index")                        # postings, dictionary, mapping
+    results = search_many(read_index(spark, "/data/index"), queries_df)  # (query_id, text)
 """
 
 from .plans.build import Index, build_index
