@@ -37,10 +37,14 @@ def pad_left_if_shorter(col: Column, width: int) -> Column:
 
 
 def fixed_decimal(col: Column, decimals: int = 6) -> Column:
-    """Fixed notation text of a double (no exponent)."""
-    return F.format_string(f"%.{decimals}f", col)
+    """Fixed notation text of a double (no exponent), rounded on the exact
+    binary value, half to even, as C and Python format. Java's ``%.nf``
+    rounds the shortest decimal string half up instead (1/128 = 0.0078125
+    would print 0.007813, not 0.007812); ``format_number`` rounds like C but
+    groups thousands, so its separators are removed."""
+    return F.replace(F.format_number(col, decimals), F.lit(","), F.lit(""))
 
 
 def score_text(col: Column) -> Column:
     """Four-decimal score text of the result list."""
-    return F.format_string("%.4f", col)
+    return fixed_decimal(col, 4)
