@@ -396,13 +396,14 @@ def q_document_frequency(spark, sf):
 
 @register("posting_lists", O.with_(
     O.index_ctes("pages", "weighted", None),
-    "SELECT term, string_agg(CAST(doc_id AS VARCHAR) || ':' || CAST(raw_freq AS VARCHAR), ' ' ORDER BY doc_id) "
-    "AS postings FROM post GROUP BY term"))
+    f"SELECT term, CAST(floor(doc_id / {Wt.BLOCK_DOCS}) AS BIGINT) AS block, "
+    "string_agg(CAST(doc_id AS VARCHAR) || ':' || CAST(raw_freq AS VARCHAR), ' ' ORDER BY doc_id) "
+    "AS postings FROM post GROUP BY term, block"))
 def q_posting_lists(spark, sf):
     pl = Wt.posting_lists(_weighted_pages(spark, sf, None).postings, "raw_freq")
     text = F.array_join(F.transform("postings", lambda s: F.concat(s["doc_id"].cast("string"), F.lit(":"),
                                                                    s["freq"].cast("string"))), " ")
-    return pl.select("term", text.alias("postings"))
+    return pl.select("term", "block", text.alias("postings"))
 
 
 @register("index_stats", O.with_(O.index_ctes("pages", "weighted", "once"),

@@ -22,6 +22,8 @@ PUSHDOWN_TERMS = 1000
 
 def query_tokens(queries: DataFrame, analyzer: str = "full") -> DataFrame:
     """(query_id, pos, token): the document analyzer on each query text, read whole."""
+    from ..session import ship_package
+    ship_package(queries.sparkSession)
     toks = A.tokens(F.col("text"), analyzer, by_line=False)
     return (queries.select("query_id", F.posexplode_outer(toks).alias("pos", "token"))
             .where(F.col("token").isNotNull())
@@ -83,8 +85,16 @@ def lookup(qterms: DataFrame, postings: DataFrame) -> DataFrame:
 
 
 def missing_terms(qterms: DataFrame, terms: DataFrame) -> DataFrame:
-    """(query_id, term): query terms no document contains."""
-    return qterms.select("query_id", "term").join(terms.select("term"), "term", "left_anti")
+    """(query_id, term): query terms no document contains.
+
+    The dictionary is streamed through a semi-join with the (size-checked,
+    broadcast) distinct query terms; only the small set of present terms is
+    then anti-joined, so the dictionary is never shuffled.
+    """
+    wanted = qterms.select("term").distinct()
+    n = _bounded_rows(qterms, BROADCAST_ROWS)
+    present = terms.select("term").join(F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted, "term", "left_semi")
+    return qterms.select("query_id", "term").join(present, "term", "left_anti")
 
 
 def accumulate(matches: DataFrame) -> DataFrame:

@@ -67,12 +67,18 @@ def weigh(tf: DataFrame, dfs: DataFrame, n_docs: DataFrame, relative: bool = Tru
     return joined.select("term", "doc_id", "raw_freq", tf_c.alias("tf"), weight.alias("weight"))
 
 
-def posting_lists(postings: DataFrame, value: str = "raw_freq") -> DataFrame:
-    """term -> array of (doc_id, value) in ascending doc_id: a view for users.
-
-    One frequent term is one large row here, so the index never stores this form.
-    """
-    return postings.groupBy("term").agg(
+# Posting lists are cut into segments of this many document ids.
+BLOCK_DOCS = 65536
+
+
+def posting_lists(postings: DataFrame, value: str = "raw_freq", block_docs: int = BLOCK_DOCS) -> DataFrame:
+    """(term, block, postings): a term's ordered list of (doc_id, value), in
+    segments by doc-id block (doc_id // block_docs); the segments in block
+    order concatenate to the whole list. A row holds at most ``block_docs``
+    postings, so a term found in most documents is never one unbounded row,
+    and its segments are spread over tasks by the (term, block) grouping."""
+    block = F.floor(F.col("doc_id") / F.lit(block_docs)).cast("long")
+    return postings.groupBy("term", block.alias("block")).agg(
         F.sort_array(F.collect_list(F.struct(F.col("doc_id"), F.col(value).alias("freq")))).alias("postings"))
 
 

@@ -98,3 +98,12 @@ def test_stemmed_profile(spark):
     assert got == {("run", 0): 2, ("runner", 1): 1, ("ran", 1): 1}
     # strict by default for the stemmed profile; 1 + log10(2/1) = 1.30103
     assert _ranked(search(idx, "runs")) == [(0, 1.30103)]
+
+
+def test_posting_lists_in_blocks(spark):
+    from spindex.operators.weighting import posting_lists
+    idx = build_index(collection(spark, ["a1 b2", "a1", "a1 b2 b2"]), "raw")
+    rows = posting_lists(idx.postings, "raw_freq", block_docs=2).orderBy("term", "block").collect()
+    got = [(r.term, r.block, [(p.doc_id, p.freq) for p in r.postings]) for r in rows]
+    assert got == [("a1", 0, [(0, 1.0), (1, 1.0)]), ("a1", 1, [(2, 1.0)]),
+                   ("b2", 0, [(0, 1.0)]), ("b2", 1, [(2, 2.0)])]
