@@ -60,7 +60,7 @@ def query_terms(qtokens: DataFrame, mode: str = "lenient", stemmed: bool = False
     term = F.col("token")
     if stemmed:
         from ..functions.stemmer import stem
-        term = stem(term)
+        term = F.coalesce(stem(term), F.lit(""))
     return kept.groupBy("query_id", term.alias("term")).agg(F.count(F.lit(1)).alias("mult"))
 
 

@@ -40,7 +40,8 @@ def token_rows(collection: DataFrame, analyzer: str = "full") -> DataFrame:
             .select("doc_id", "doc_len", F.posexplode_outer("lexemes").alias("pos", "lexeme"))
             .where(F.col("lexeme").isNotNull())
             .select("doc_id", "doc_len", F.col("pos").cast("long").alias("pos"),
-                    A.token_of(F.col("lexeme"), analyzer).alias("term")))
+                    # non-nullable, so no isnotnull(token) is inferred and evaluated again
+                    F.coalesce(A.token_of(F.col("lexeme"), analyzer), F.lit("")).alias("term")))
 
 
 def profile_rows(rows: DataFrame, profile: str) -> DataFrame:

@@ -25,7 +25,10 @@ def document_frequency(tf: DataFrame) -> DataFrame:
 def rare_condition(mode: str | None):
     """Condition of a term the pruning mode drops."""
     if mode is None:
-        return F.lit(False)
+        # never true (every term occurs); written on coll_freq so the term
+        # statistics keep reading raw_freq and share the (doc, term) exchange
+        # with the postings branch instead of re-tokenizing
+        return F.col("coll_freq") < 1
     if mode == "once":          # one occurrence in the whole collection
         return (F.col("num_docs") == 1) & (F.col("coll_freq") == 1)
     if mode == "tf_one":        # one document, which consists of this term only

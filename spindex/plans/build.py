@@ -48,8 +48,13 @@ def stemmed_frequency(tf: DataFrame) -> DataFrame:
     """Stem the distinct vocabulary once, join it back, re-sum per (doc, stem)."""
     from ..functions.stemmer import stem
 
-    vocab = tf.select("term").distinct()
-    stems = vocab.select("term", stem(F.col("term")).alias("stem"))
+    # the vocabulary is read off tf through a filter on an aggregate of its
+    # counts: a bare distinct lets the optimizer drop tf's aggregate in this
+    # branch, and the tokenizing stage would run twice instead of being reused
+    vocab = tf.groupBy("term").agg(F.sum("raw_freq").alias("_cf")).where(F.col("_cf") > 0).select("term")
+    # non-nullable stem: otherwise the optimizer infers isnotnull(stem(term))
+    # from the joins downstream and pushes the stemmer down onto every token
+    stems = vocab.select("term", F.coalesce(stem(F.col("term")), F.lit("")).alias("stem"))
     return (tf.join(stems, "term")
             .groupBy("doc_id", "doc_len", F.col("stem").alias("term"))
             .agg(F.sum("raw_freq").cast("long").alias("raw_freq")))

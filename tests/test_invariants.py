@@ -72,3 +72,13 @@ def test_top_k_plan_limits_before_shuffle(spark, index):
     plan = query_plan(index, qs)["top"]
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in text
+
+
+@pytest.mark.parametrize("profile,prune", [("raw", None), ("weighted", None), ("weighted", "once"),
+                                           ("weighted", "tf_one"), ("stemmed", "once")])
+def test_collection_tokenized_once(pages, profile, prune):
+    p = build_index(pages, profile, prune=prune).postings
+    p.collect()
+    plan = p._jdf.queryExecution().executedPlan().toString()
+    final = plan[plan.index("Final Plan"):plan.index("Initial Plan")]
+    assert final.count("Generate posexplode") == 1
