@@ -1,7 +1,6 @@
 """The ranking case worked by hand (FIXTURES §4)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import collection
 from spindex.operators import query as Q
