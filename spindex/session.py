@@ -64,12 +64,13 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``spindex`` importable in Python workers (once per context):
-    the package is zipped and added with ``addPyFile``, which Spark serves
-    to every executor."""
+    """Make ``spindex`` importable in local-mode Python workers (once per
+    context): the package is zipped and added with ``addPyFile``. On a
+    cluster the package is shipped the usual way (``--py-files`` or an
+    installed wheel), so nothing is written to a machine-local folder."""
     sc = spark.sparkContext
     key = sc.applicationId
-    if key in _SHIPPED:
+    if key in _SHIPPED or not sc.master.startswith("local"):
         return
     import shutil
     pkg = os.path.dirname(os.path.abspath(__file__))

@@ -3,16 +3,15 @@ persisted index, one ``search_many`` plan per micro-batch.
 
 The original answers one query per request; here each micro-batch is a query
 table, so a burst of requests costs one postings scan. The index is static
-(read once, reopened per batch by Parquet), results go to any batch sink
-through ``foreachBatch``; with a checkpoint location the stream restarts
-where it stopped, and a batch re-run after a failure overwrites nothing that
-another batch wrote (each batch appends only its own query ids).
+(read once, reopened per batch by Parquet). ``foreachBatch`` runs a batch at
+least once; each batch overwrites its own ``batch_id=N`` folder, so a batch
+re-run after a failure replaces its earlier output instead of duplicating it,
+and with the checkpoint location the stream restarts where it stopped.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..plans.search import search_many
@@ -21,8 +20,9 @@ from ..sources.index_store import read_index
 
 def answer_stream(queries: DataFrame, index_path: str, sink_path: str, checkpoint: str,
                   k: int = R.TOP_K, mode: str | None = None, trigger: dict | None = None):
-    """Start a streaming query writing (batch_id, query_id, rank, doc_id, name,
-    score) as Parquet under ``sink_path``; returns the StreamingQuery."""
+    """Start a streaming query writing (query_id, rank, doc_id, name, score) as
+    Parquet under ``sink_path/batch_id=N`` (read ``sink_path`` to get batch_id
+    as a column); returns the StreamingQuery."""
     spark = queries.sparkSession
     index = read_index(spark, index_path)
 
@@ -30,7 +30,7 @@ def answer_stream(queries: DataFrame, index_path: str, sink_path: str, checkpoin
         if batch.isEmpty():
             return
         res = search_many(index, batch.select("query_id", "text"), k, mode)
-        res.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(sink_path)
+        res.write.mode("overwrite").parquet(f"{sink_path}/batch_id={batch_id}")
 
     writer = queries.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     if trigger:
