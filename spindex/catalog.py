@@ -421,10 +421,10 @@ def q_relative_tf(spark, sf):
 
 
 @register("idf", O.with_(O.index_ctes("pages", "weighted", None),
-                         "SELECT term, round(1 + log10(CAST(n_docs AS DOUBLE) / num_docs), 6) AS idf FROM kept CROSS JOIN n"))
+                         "SELECT term, round(1 + log10(CAST((SELECT n_docs FROM n) AS DOUBLE) / num_docs), 6) AS idf FROM kept"))
 def q_idf(spark, sf):
     idx = _weighted_pages(spark, sf, None)
-    return idx.terms.crossJoin(F.broadcast(idx.n_docs)).select("term", _r6(Wt.idf_col()).alias("idf"))
+    return idx.terms.select("term", _r6(Wt.idf_col(Wt.n_docs_scalar(idx.n_docs))).alias("idf"))
 
 
 def _index_key(profile: str):

@@ -45,8 +45,14 @@ def collection_size(collection: DataFrame) -> DataFrame:
     return collection.agg(F.count(F.lit(1)).alias("n_docs"))
 
 
-def idf_col(n_docs="n_docs", num_docs="num_docs"):
-    return F.lit(1.0) + F.log10(F.col(n_docs).cast("double") / F.col(num_docs).cast("double"))
+def idf_col(n_docs, num_docs="num_docs"):
+    """1 + log10(N / num_docs); ``n_docs`` is a column or a scalar subquery."""
+    return F.lit(1.0) + F.log10(n_docs.cast("double") / F.col(num_docs).cast("double"))
+
+
+def n_docs_scalar(n_docs: DataFrame):
+    """N as a scalar subquery of the one-row ``collection_size`` table."""
+    return n_docs.select("n_docs").scalar()
 
 
 def relative_tf_col():
@@ -58,15 +64,12 @@ def weigh(tf: DataFrame, dfs: DataFrame, n_docs: DataFrame, relative: bool = Tru
     """Postings (term, doc_id, raw_freq, tf, weight) of the terms kept in ``dfs``.
 
     tf ⋈ dfs on term is an equi-join; AQE picks broadcast or sort-merge and
-    splits a skewed (frequent) term. ``n_docs`` is a one-row table.
+    splits a skewed (frequent) term. N enters as a scalar subquery of the
+    one-row ``n_docs`` table.
     """
     joined = tf.join(dfs.select("term", "num_docs"), "term")
     tf_c = relative_tf_col() if relative else F.col("raw_freq").cast("double")
-    if idf:
-        joined = joined.crossJoin(F.broadcast(n_docs))
-        weight = tf_c * idf_col()
-    else:
-        weight = tf_c
+    weight = tf_c * idf_col(n_docs_scalar(n_docs)) if idf else tf_c
     return joined.select("term", "doc_id", "raw_freq", tf_c.alias("tf"), weight.alias("weight"))
 
 

@@ -147,8 +147,8 @@ def index_ctes(table: str, profile: str = "weighted", prune: str | None = "once"
                     "CAST(f.raw_freq AS DOUBLE) AS weight FROM freq f JOIN kept k ON f.term = k.term)")
     else:
         ctes.append("post AS (SELECT f.term, f.doc_id, f.raw_freq, CAST(f.raw_freq AS DOUBLE) / f.doc_len AS tf, "
-                    "(CAST(f.raw_freq AS DOUBLE) / f.doc_len) * (1 + log10(CAST(n.n_docs AS DOUBLE) / k.num_docs)) AS weight "
-                    "FROM freq f JOIN kept k ON f.term = k.term CROSS JOIN n)")
+                    "(CAST(f.raw_freq AS DOUBLE) / f.doc_len) * (1 + log10(CAST((SELECT n_docs FROM n) AS DOUBLE) / k.num_docs)) "
+                    "AS weight FROM freq f JOIN kept k ON f.term = k.term)")
     return ctes
 
 
