@@ -53,3 +53,19 @@ def test_text_layouts(spark):
     assert d["banana"] == "banan\t2   \t1       "
     p = {(r.term, r.doc_id): r.line for r in S.postings_text(idx.postings).collect()}
     assert p[("apple", 0)] == "0   \t0.984748"
+
+
+def test_text_sinks_write(spark, scratch):
+    idx = build_index(collection(spark, ["apple banana apple", "banana cherry the", ""]), "weighted", prune=None)
+    S.write_text_layout(idx, f"{scratch}/txt")
+    assert [r.value for r in spark.read.text(f"{scratch}/txt/mapping_text").collect()] == \
+        ["0   \t     0.html", "1   \t     1.html", "2   \t     2.html"]
+    lines = [r.value for r in spark.read.text(f"{scratch}/txt/dictionary_text").collect()]
+    assert lines == ["apple\t1   \t0       ", "banan\t2   \t1       ", "cherr\t1   \t3       "]
+    posts = [r.value for r in spark.read.text(f"{scratch}/txt/postings_text").collect()]
+    assert posts == ["0   \t0.984748", "0   \t0.392030", "1   \t0.392030", "1   \t0.492374"]
+    raw = build_index(collection(spark, ["apple banana apple", "banana cherry the", ""]), "raw")
+    S.write_raw_text(raw, f"{scratch}/raw")
+    d = spark.read.option("sep", "\t").option("header", True).csv(f"{scratch}/raw/dictionary_raw")
+    assert sorted((r.term, r.num_docs, r.end) for r in d.collect()) == \
+        [("apple", "1", "1"), ("banana", "2", "3"), ("cherry", "1", "4"), ("the", "1", "5")]
