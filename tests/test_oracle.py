@@ -19,6 +19,9 @@ def con():
     return c
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 def _norm(v):
     return round(v, 9) if isinstance(v, float) else v
 
@@ -31,6 +34,8 @@ def test_matches_oracle(spark, con, key):
     rel = con.sql(E.oracle_sql()[key])
     dcols = rel.columns
     assert sorted(dcols) == cols
+    dtypes = dict(zip(dcols, [str(t) for t in rel.types]))
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == dtypes
     drows = Counter(tuple(_norm(r[dcols.index(c)]) for c in cols) for r in rel.fetchall())
     assert srows == drows
 
