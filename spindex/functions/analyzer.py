@@ -17,8 +17,9 @@ its start (no rule looks past its own match, so this is exact), tested behind
 cheap necessary conditions. ``token_of`` is an ordinary column expression,
 so after an explode it runs inside whole-stage codegen.
 
-The one Python step is ``exact_scan`` for the rare lines whose selector
-chains exceed what the JVM pattern follows (see ``needs_exact_scan``).
+The one Python step is ``exact_scan`` for the rare lines the JVM pattern
+cannot take whole: selector chains longer than it follows, and long unspaced
+runs where the e-mail regex turns quadratic (see ``needs_exact_scan``).
 """
 
 from __future__ import annotations
@@ -92,14 +93,27 @@ def _commas(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(","), F.lit("")))
 
 
+_LONG_RUN = f"[^{R.BLANK}]{{{R.LONG_RUN}}}"
+
+
 def needs_exact_scan(body: Column, by_line: bool = True) -> Column:
-    """True when some line holds a ``{`` and at least CSS_CHAIN_CAP commas:
-    only there can a selector chain exceed what the JVM pattern follows."""
+    """True when some line holds a ``{`` and at least CSS_CHAIN_CAP commas
+    (only there can a selector chain exceed what the JVM pattern follows), or
+    an ``@`` and an unspaced run of LONG_RUN characters (where the e-mail
+    regex would re-scan the run from every word start)."""
     text = F.coalesce(body, F.lit(""))
-    risky = (F.instr(text, "{") > 0) & (_commas(text) >= R.CSS_CHAIN_CAP)
+
+    def css(t):
+        return (F.instr(t, "{") > 0) & (_commas(t) >= R.CSS_CHAIN_CAP)
+
+    def email(t):
+        return (F.instr(t, "@") > 0) & (F.length(t) >= R.LONG_RUN)
+
     if not by_line:
-        return risky
-    return risky & F.exists(split_lines(text), lambda l: (F.instr(l, "{") > 0) & (_commas(l) >= R.CSS_CHAIN_CAP))
+        return css(text) | (email(text) & text.rlike(_LONG_RUN))
+    lines = split_lines(text)
+    return ((css(text) & F.exists(lines, css))
+            | (email(text) & F.exists(lines, lambda l: email(l) & l.rlike(_LONG_RUN))))
 
 
 @lru_cache(maxsize=None)
@@ -130,8 +144,6 @@ def lexemes(body: Column, analyzer: str = "full", by_line: bool = True, group: i
     every other row passes NULL to it and is scanned in the JVM.
     """
     jvm = _jvm_lexemes(body, analyzer, by_line, group)
-    if not any(r.kind == "css" for r in R.RULE_SETS[analyzer]):
-        return jvm
     spark = SparkSession.getActiveSession()
     if spark is not None:
         from ..session import ship_package

@@ -1,17 +1,27 @@
-"""Exact scan for the rare lines the JVM pattern bounds.
-
-The JVM pattern follows at most ``CSS_CHAIN_CAP`` comma-joined members of a
-selector chain (java.util.regex recurses once per member). A line can only
-reach that bound if it holds a ``{`` and at least that many commas; such
-lines are scanned here instead, row-batched through Arrow.
-
-The CSS rule is evaluated by its closed form, in linear time per line: from
-a start p, the rule's chain region ends where the first blank run not
-preceded by a comma ends; the match runs to the first ``}`` after the last
-``{`` in that region that is followed by a character other than ``}`` and,
-later, by a ``}``. (Checked against the rule's regex on random lines in
-tests/test_exact_scan.py.) The other rules are matched with the same RE2
-patterns through the ``regex`` module at each position.
+"""Exact scan for the rare lines the JVM pattern cannot take whole.
+
+Two kinds of lines come here, row-batched through Arrow (see
+``analyzer.needs_exact_scan``):
+
+* a ``{`` and at least ``CSS_CHAIN_CAP`` commas: the JVM pattern follows at
+  most that many comma-joined members of a selector chain
+  (java.util.regex recurses once per member);
+* an ``@`` and an unspaced run of at least ``LONG_RUN`` characters: there
+  the e-mail rule's regex re-scans the run from every word start (quadratic).
+
+Both rules are evaluated by closed forms, in linear time per line (checked
+against the rules' regexes on random lines in tests/test_exact_scan.py):
+
+* CSS from p: the chain region ends where the first blank run not preceded
+  by a comma ends; the match runs to the first ``}`` after the last ``{`` in
+  that region that is followed by a character other than ``}`` and, later,
+  by a ``}``.
+* e-mail from p: in p's unspaced run, take the last ``.`` followed by a tail
+  character (not ``< , ? ! .``); the match runs to the end of that tail,
+  provided an ``@`` lies after p and at least two characters before the dot.
+
+The other rules are matched with the same RE2 patterns through the
+``regex`` module, in rule order, at each position.
 """
 
 from __future__ import annotations
@@ -33,26 +43,68 @@ def _py_pattern(p: str) -> str:
     return re.sub(r"\\x\{([0-9a-fA-F]+)\}", lambda m: "\\u%04x" % int(m.group(1), 16), p)
 
 
+TAIL_STOP = "<,?!."    # fixed value: characters that end an e-mail tail (besides blanks)
+
+
 @lru_cache(maxsize=None)
-def _compiled(analyzer: str):
+def _steps(analyzer: str):
+    """The rules in order as scan steps: 'css' and 'email' use closed forms,
+    runs of other rules one anchored alternation with a named group per rule."""
     import regex
 
-    rules = [r for r in R.RULE_SETS[analyzer] if r.kind != "css"]
-    has_css = any(r.kind == "css" for r in R.RULE_SETS[analyzer])
-    if has_css and R.RULE_SETS[analyzer][0].kind != "css":
-        raise ValueError("the closed form needs the CSS rule first")
-    emitted = [i for i, r in enumerate(rules) if r.emit]
-    lo, hi = emitted[0], emitted[-1]
-    parts = [f"(?:{r.re2})" for r in rules[:lo]]
-    parts.append("(" + "|".join(f"(?:{r.re2})" for r in rules[lo:hi + 1]) + ")")
-    parts += [f"(?:{r.re2})" for r in rules[hi + 1:]]
-    return regex.compile(_py_pattern("|".join(parts))), has_css
+    steps: list = []
+    run: list = []
+
+    def flush():
+        if run:
+            rx = regex.compile("|".join(f"(?P<r{i}>{_py_pattern(r.re2)})" for i, r in enumerate(run)))
+            steps.append(("rx", rx, tuple(run)))
+            run.clear()
+
+    for r in R.RULE_SETS[analyzer]:
+        if r.kind in ("css", "email"):
+            flush()
+            steps.append((r.kind, None, (r,)))
+        else:
+            run.append(r)
+    flush()
+    return steps
+
+
+def _email_table(line: str, blank: list[bool]):
+    """end[p] of an e-mail match starting at p, or -1; O(len(line))."""
+    n = len(line)
+    next_at = [n] * (n + 1)
+    for i in range(n - 1, -1, -1):
+        next_at[i] = i if line[i] == "@" else next_at[i + 1]
+    end = [-1] * n
+    i = 0
+    while i < n:
+        if blank[i]:
+            i += 1
+            continue
+        run_end = i
+        while run_end < n and not blank[run_end]:
+            run_end += 1
+        dot = -1
+        for d in range(run_end - 2, i - 1, -1):
+            if line[d] == "." and line[d + 1] not in TAIL_STOP:
+                dot = d
+                break
+        if dot >= 0:
+            e = dot + 1
+            while e < run_end and line[e] not in TAIL_STOP:
+                e += 1
+            for p in range(i, run_end):
+                if next_at[p + 1] <= dot - 2:
+                    end[p] = e
+        i = run_end
+    return end
 
 
-def _css_table(line: str):
+def _css_table(line: str, blank: list[bool]):
     """end[p] of a CSS match starting at p, or -1; O(len(line))."""
     n = len(line)
-    blank = [is_blank(c) for c in line]
     next_close = [-1] * (n + 2)
     for i in range(n - 1, -1, -1):
         next_close[i] = i if line[i] == "}" else next_close[i + 1]
@@ -83,10 +135,15 @@ def _css_table(line: str):
 
 def scan_line(line: str, analyzer: str = "full", group: int = 1) -> list[str]:
     """Lexemes of one line: group 1 = emitted rule matches, group 0 = all."""
-    rx, has_css = _compiled(analyzer)
+    steps = _steps(analyzer)
     ignore = R.IGNORE_CHARS
     n = len(line)
-    css_end = _css_table(line) if has_css and "{" in line else None
+    kinds = {k for k, _, _ in steps}
+    need_css = "css" in kinds and "{" in line
+    need_email = "email" in kinds and "@" in line
+    blank = [is_blank(c) for c in line] if (need_css or need_email) else None
+    css_end = _css_table(line, blank) if need_css else None
+    email_end = _email_table(line, blank) if need_email else None
     out: list[str] = []
     pos = 0
     while pos < n:
@@ -98,20 +155,26 @@ def scan_line(line: str, analyzer: str = "full", group: int = 1) -> list[str]:
                 out.append(line[pos:j])
             pos = j
             continue
-        if css_end is not None and css_end[pos] > pos:
-            if group == 0:
-                out.append(line[pos:css_end[pos]])
-            pos = css_end[pos]
-            continue
-        m = rx.match(line, pos)
-        if m:
-            if group == 0:
-                out.append(m.group(0))
-            elif m.group(1):
-                out.append(m.group(1))
-            pos = m.end()
-            continue
-        pos += 1
+        end, emit = -1, False
+        for kind, rx, rules in steps:
+            if kind == "css":
+                if css_end is not None and css_end[pos] > pos:
+                    end, emit = css_end[pos], rules[0].emit
+            elif kind == "email":
+                if email_end is not None and email_end[pos] > pos:
+                    end, emit = email_end[pos], rules[0].emit
+            else:
+                m = rx.match(line, pos)
+                if m:
+                    end, emit = m.end(), rules[int(m.lastgroup[1:])].emit
+            if end > pos:
+                break
+        if end > pos:
+            if group == 0 or emit:
+                out.append(line[pos:end])
+            pos = end
+        else:
+            pos += 1
     return out
 
 

@@ -34,6 +34,10 @@ LINE_SPLIT = r"\r\n|\r|\n"
 # and at least this many commas) are scanned exactly by exact_scan instead.
 CSS_CHAIN_CAP = 200
 
+# Unspaced runs at least this long, in a line with an '@', are scanned exactly
+# as well: the e-mail rule's regex re-scans the run from every word start.
+LONG_RUN = 2048
+
 # ---------------------------------------------------------------------------
 # Token rules
 # ---------------------------------------------------------------------------

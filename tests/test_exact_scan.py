@@ -6,9 +6,10 @@ import re
 from pyspark.sql import functions as F
 
 from spindex.functions import analyzer as A
-from spindex.functions.exact_scan import _css_table, scan_text
+from spindex.functions.exact_scan import _css_table, _email_table, scan_text
 
 CSS = re.compile(r"(?:[^\s]*,\s+)*[^\s]+\s*\{[^}]+\}")
+EMAIL = re.compile(r"\S+@\S+\.[^<\s,?!.]+")
 
 
 def test_css_closed_form_matches_regex():
@@ -16,13 +17,37 @@ def test_css_closed_form_matches_regex():
     alpha = ["a", ",", " ", "{", "}", "b", ", ", "  ", "\t", "x"]
     for _ in range(20000):
         s = "".join(rnd.choice(alpha) for _ in range(rnd.randint(1, 14)))
-        table = _css_table(s)
+        table = _css_table(s, [c.isspace() for c in s])
         for p in range(len(s)):
             m = CSS.match(s, p)
             want = m.end() if m else -1
             assert table[p] == want, (s, p)
 
 
+def test_email_closed_form_matches_regex():
+    rnd = random.Random(13)
+    alpha = ["a", "@", ".", " ", "b", ",", "<", "?", "x", "..", "@.", "!"]
+    for _ in range(20000):
+        s = "".join(rnd.choice(alpha) for _ in range(rnd.randint(1, 14)))
+        table = _email_table(s, [c.isspace() for c in s])
+        for p in range(len(s)):
+            m = EMAIL.match(s, p)
+            assert table[p] == (m.end() if m else -1), (s, p)
+
+
+def test_long_run_with_email_is_exact_and_fast(spark):
+    import time
+    line = 'var d="' + "AbCd0+/9" * 1500 + '"; mail("me@x.com") a.b@c.de'
+    df = spark.createDataFrame([(0, line)], "id long, body string")
+    t0 = time.time()
+    routed = df.select(A.lexemes(F.col("body")).alias("l")).first().l
+    jvm = df.select(A._jvm_lexemes(F.col("body"), "full", True, 1).alias("l")).first().l
+    assert list(routed) == list(jvm) and routed[-2:] == ['mail("me@x.com")', "a.b@c.de"]
+    big = 'var d="' + "AbCd0+/9" * 60000 + '"; x@y.z'
+    assert len(scan_text(big)) == 120003
+    assert time.time() - t0 < 60
+
+
 def test_scanner_matches_jvm_scan(spark):
     rnd = random.Random(5)
     alpha = ["a", "b", ",", " ", "{", "}", "<", ">", "&", "@", ".", "1", "0", "http://", "www.", "é", "\t", "-",
