@@ -89,31 +89,26 @@ def split_lines(body: Column) -> Column:
     return F.split(F.coalesce(body, F.lit("")), R.LINE_SPLIT)
 
 
-def _commas(text: Column) -> Column:
-    return F.length(text) - F.length(F.replace(text, F.lit(","), F.lit("")))
-
-
-_LONG_RUN = f"[^{R.BLANK}]{{{R.LONG_RUN}}}"
+# Checks for the lines the JVM pattern cannot take whole, each a single
+# linear regex pass over the text (anchored at line or run starts):
+# a line with CSS_CHAIN_CAP commas, and an unspaced run of LONG_RUN characters.
+_MANY_COMMAS_LINE = f"(?m)^(?:[^\\r\\n,]*+,){{{R.CSS_CHAIN_CAP}}}"
+_MANY_COMMAS_TEXT = f"^(?:[^,]*+,){{{R.CSS_CHAIN_CAP}}}"
+_LONG_RUN = f"(?:^|[{R.BLANK}])[^{R.BLANK}]{{{R.LONG_RUN}}}"
 
 
 def needs_exact_scan(body: Column, by_line: bool = True) -> Column:
-    """True when some line holds a ``{`` and at least CSS_CHAIN_CAP commas
-    (only there can a selector chain exceed what the JVM pattern follows), or
-    an ``@`` and an unspaced run of LONG_RUN characters (where the e-mail
-    regex would re-scan the run from every word start)."""
+    """True for a text that may hold a line the JVM pattern cannot take whole:
+    a ``{`` and a line with CSS_CHAIN_CAP commas (a selector chain could be
+    longer than the pattern follows), or an ``@`` and an unspaced run of
+    LONG_RUN characters (the e-mail regex would re-scan it from every word
+    start). The check may flag a few more texts than needed (the ``{`` or
+    ``@`` on another line); those are scanned exactly all the same."""
     text = F.coalesce(body, F.lit(""))
-
-    def css(t):
-        return (F.instr(t, "{") > 0) & (_commas(t) >= R.CSS_CHAIN_CAP)
-
-    def email(t):
-        return (F.instr(t, "@") > 0) & (F.length(t) >= R.LONG_RUN)
-
-    if not by_line:
-        return css(text) | (email(text) & text.rlike(_LONG_RUN))
-    lines = split_lines(text)
-    return ((css(text) & F.exists(lines, css))
-            | (email(text) & F.exists(lines, lambda l: email(l) & l.rlike(_LONG_RUN))))
+    commas = _MANY_COMMAS_LINE if by_line else _MANY_COMMAS_TEXT
+    css = (F.instr(text, "{") > 0) & text.rlike(commas)
+    email = (F.instr(text, "@") > 0) & (F.length(text) >= R.LONG_RUN) & text.rlike(_LONG_RUN)
+    return css | email
 
 
 @lru_cache(maxsize=None)
