@@ -66,3 +66,17 @@ def test_adversarial_lines_are_linear():
     assert len(scan_text("ab, " * 20000 + "{")) == 20000
     assert scan_text("ab, " * 20000 + "{x}") == []
     assert time.time() - t0 < 5
+
+
+def test_routing_condition(spark):
+    texts = [
+        "p{x}\n" + "a, " * 250,              # a '{' and a line with 250 commas: route
+        "p{x}\n" + "a, \n" * 250,            # commas spread over lines: JVM pattern is exact
+        "x@y.z " + "A" * 3000,               # '@' and a 3,000-character run: route
+        "x@y.z " + "A" * 2000,               # run shorter than LONG_RUN: JVM
+        "A" * 3000,                          # long run but no '@': JVM
+        None,
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, body string")
+    got = [r.r for r in df.select(A.needs_exact_scan(F.col("body")).alias("r")).orderBy("id").collect()]
+    assert got == [True, False, True, False, False, False]
