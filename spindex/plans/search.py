@@ -37,10 +37,16 @@ def query_plan(index: Index, queries: DataFrame, k: int = R.TOP_K, mode: str | N
     return {"tokens": qtok, "terms": terms, "matches": matches, "scores": scores, "top": top}
 
 
-def search_many(index: Index, queries: DataFrame, k: int = R.TOP_K, mode: str | None = None) -> DataFrame:
-    """(query_id, rank, doc_id, name, score) for a table (query_id, text)."""
+def search_many(index: Index, queries: DataFrame, k: int = R.TOP_K, mode: str | None = None,
+                n_queries: int | None = None) -> DataFrame:
+    """(query_id, rank, doc_id, name, score) for a table (query_id, text).
+
+    ``n_queries`` is a known bound on the number of queries; without it the
+    table is counted up to the broadcast bound.
+    """
     plan = query_plan(index, queries, k, mode)
-    n_queries = Q._bounded_rows(queries, max(1, Q.BROADCAST_ROWS // max(k, 1)))
+    if n_queries is None:
+        n_queries = Q._bounded_rows(queries, max(1, Q.BROADCAST_ROWS // max(k, 1)))
     return Q.resolve_names(plan["top"], index.mapping, bound_rows=n_queries * k)
 
 
@@ -48,7 +54,7 @@ def search(index: Index, text: str, k: int = R.TOP_K, mode: str | None = None) -
     """One query string -> (query_id=0, rank, doc_id, name, score)."""
     spark = index.postings.sparkSession
     queries = spark.createDataFrame([(0, text)], "query_id long, text string")
-    return search_many(index, queries, k, mode)
+    return search_many(index, queries, k, mode, n_queries=1)
 
 
 def formatted(results: DataFrame) -> DataFrame:
