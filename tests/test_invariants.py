@@ -81,3 +81,16 @@ def test_collection_tokenized_once(pages, profile, prune):
     p.collect()
     final = p._jdf.queryExecution().executedPlan().executedPlan().toString()   # root adaptive plan, final form
     assert final.count("Generate posexplode") == 1
+
+
+def test_paths_beyond_size_bounds_give_same_results(spark, index, monkeypatch):
+    # the small tables always fit the broadcast and pushdown bounds; shrink the
+    # bounds so the plain-join paths (as on large query tables) run too
+    from spindex.operators import query as Q
+    qs = C.read_table(spark, SF_SMOKE, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    base = sorted(tuple(r) for r in search_many(index, qs).collect())
+    missing = sorted(tuple(r) for r in Q.missing_terms(query_plan(index, qs)["terms"], index.terms).collect())
+    monkeypatch.setattr(Q, "BROADCAST_ROWS", 1)
+    monkeypatch.setattr(Q, "PUSHDOWN_TERMS", 0)
+    assert sorted(tuple(r) for r in search_many(index, qs).collect()) == base
+    assert sorted(tuple(r) for r in Q.missing_terms(query_plan(index, qs)["terms"], index.terms).collect()) == missing
