@@ -94,3 +94,24 @@ def test_paths_beyond_size_bounds_give_same_results(spark, index, monkeypatch):
     monkeypatch.setattr(Q, "PUSHDOWN_TERMS", 0)
     assert sorted(tuple(r) for r in search_many(index, qs).collect()) == base
     assert sorted(tuple(r) for r in Q.missing_terms(query_plan(index, qs)["terms"], index.terms).collect()) == missing
+
+
+@pytest.mark.parametrize("profile", ["weighted", "stemmed"])
+def test_build_with_sort_merge_join(spark, pages, profile):
+    # at scale the term statistics are too large to broadcast and the term
+    # join is a sort-merge join; force that path here (no broadcasts)
+    base = sorted(tuple(r) for r in build_index(pages, profile).postings.collect())
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        p = build_index(pages, profile).postings
+        got = sorted(tuple(r) for r in p.collect())
+        final = p._jdf.queryExecution().executedPlan().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "SortMergeJoin" in final
+    assert got == base
