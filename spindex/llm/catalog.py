@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import binary_packing, bitplane
+from . import binary_packing, bitplane, feistel_shards, quotient_dedup, source_schedule, warc_salvage
 from .common import documents, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +35,33 @@ def op5_bitplane_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shared_path(spark, "planes")
     manifest = bitplane.write_planes(documents(spark, sf_dir), out, vocabulary(), end_id=2)
     return bitplane.digests(bitplane.read_planes(spark, manifest))
+
+
+@query
+def op4_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    manifest = warc_salvage.write_archives(pages, shared_path(spark, "warc"))
+    return warc_salvage.resolved(warc_salvage.read_archives(spark, manifest))
+
+
+SQL["op4_warc_salvage"] = warc_salvage.SQL
+
+
+@query
+def op8_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = feistel_shards.shard(documents(spark, sf_dir), 8)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op9_quotient_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotient_dedup.dedup(documents(spark, sf_dir))
+
+
+SQL["op9_quotient_dedup"] = quotient_dedup.SQL
+
+
+@query
+def op10_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_schedule.taken(documents(spark, sf_dir))
