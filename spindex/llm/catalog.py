@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import binary_packing, bitplane, feistel_shards, quotient_dedup, source_schedule, warc_salvage
+from . import (binary_packing, bitplane, feistel_shards, quotient_dedup, simhash_bk, source_schedule,
+               warc_salvage)
 from .common import documents, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +66,9 @@ SQL["op9_quotient_dedup"] = quotient_dedup.SQL
 @query
 def op10_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_schedule.taken(documents(spark, sf_dir))
+
+
+@query
+def op3_simhash_bk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_bk.groups(documents(spark, sf_dir))
+    return found.select("doc_id", simhash_bk.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")

@@ -19,6 +19,8 @@ SPACE = " \t\n\x0b\x0c\r"
 
 #: A lookup table of at most this many fixed-width rows is broadcast.
 BROADCAST_ROWS = 200_000
+#: A key of more rows than this is hot.
+HOT_ROWS = 50_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,19 +57,24 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def lookup_join(rows: DataFrame, table: DataFrame, on: str, salt_by: Column, how: str = "left",
-                limit: int = BROADCAST_ROWS, salts: int = 32) -> DataFrame:
-    """Join ``rows`` with a table that has one fixed-width row a key.
+def lookup_join(rows: DataFrame, table: DataFrame, on: str | list[str], size: str, how: str = "left",
+                limit: int = BROADCAST_ROWS, hot: int = HOT_ROWS) -> DataFrame:
+    """Join ``rows`` with a saved table that has one fixed-width row a key and
+    knows, in column ``size``, about how many rows have it.
 
-    Up to ``limit`` rows the table is broadcast (its rows are counted first,
-    so give a saved table). Beyond that both sides are shuffled on the key and
-    a salt taken from the row, so that a key with a third of all rows is read
-    by ``salts`` tasks."""
+    Up to ``limit`` keys (counted first) the table is broadcast. Beyond that
+    only the keys of more than ``hot`` rows are, of which there is at most one
+    for each ``hot`` rows, and the rest is an ordinary join on the key: a key
+    with a third of all rows never meets in one task."""
     if table.limit(limit + 1).count() <= limit:
         return rows.join(F.broadcast(table), on, how)
-    spread = table.withColumn("_llm_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = rows.withColumn("_llm_salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)).cast("int"))
-    return salted.join(spread, [on, "_llm_salt"], how).drop("_llm_salt")
+    large, rest = table.where(F.col(size) > hot), table.where(~(F.col(size) > hot))
+    if large.limit(limit + 1).count() > limit:
+        return rows.join(table, on, how)
+    keys = [on] if isinstance(on, str) else on
+    there = F.broadcast(large)
+    return rows.join(there, on, "inner").unionByName(
+        rows.join(F.broadcast(large.select(*keys)), on, "left_anti").join(rest, on, how))
 
 
 def filesystem(uri: str):

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, SPACE, columns_of, id_text, saved, workers
+from .common import SPACE, id_text, lookup_join, saved, workers
 
 #: A merged range of quotients holds about this many fingerprints.
 RANGE_ROWS = 250_000
@@ -151,26 +151,16 @@ def dedup(docs: DataFrame) -> DataFrame:
     hashed = texts.select("doc_id", "points", F.xxhash64("bare").alias("fp"), F.sha2("bare", 256).alias("sha"))
     small = saved(hashed, "dedup-rows")
     twice = saved(repeated(small, small.count()), "dedup-fingerprints")
-    n = twice.limit(BROADCAST_ROWS + 1).count()
-    table = F.broadcast(twice) if n <= BROADCAST_ROWS else twice
-
     # byte verification: texts behind repeated fingerprints, grouped by their bytes.
     # Copies are combined where they are read, so a large group moves as a few rows.
-    suspects = (texts.withColumn("fp", F.xxhash64("bare")).join(table.select("fp"), "fp", "left_semi")
+    suspects = (lookup_join(texts.withColumn("fp", F.xxhash64("bare")), twice, "fp", "copies", "inner")
                 .groupBy("fp", "bare", "points").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")))
     best = F.struct(-F.col("points"), F.col("first").isNull(), F.col("first"))
     groups = (suspects.groupBy("fp", "bare").agg(F.sum("n").alias("group_size"), F.min(best).alias("b"))
               .select(F.sha2("bare", 256).alias("sha"), "fp", "group_size", F.col("b.first").alias("keep_id"),
                       (-F.col("b.col1")).alias("keep_points")))
     groups = saved(groups.where("group_size > 1"), "dedup-groups")
-    m = groups.limit(BROADCAST_ROWS + 1).count()
-    if m <= BROADCAST_ROWS:
-        joined = small.join(F.broadcast(groups), ["fp", "sha"], "left")
-    else:  # a group of a third of all rows is read by many tasks
-        salts = 32
-        spread = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        salted = small.withColumn("salt", F.pmod(F.xxhash64("doc_id", "points"), F.lit(salts)).cast("int"))
-        joined = salted.join(spread, ["fp", "sha", "salt"], "left")
+    joined = lookup_join(small, groups, ["fp", "sha"], "group_size")
     alone = F.col("group_size").isNull()
     keep = F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id"))
     stays = alone | (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("points") == F.col("keep_points")))

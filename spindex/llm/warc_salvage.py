@@ -115,8 +115,8 @@ def write_archives(pages: DataFrame, out: str, least: int = 100, most: int = FIL
     rows = rows.withColumn("digest", F.sha2("payload", 256))
     firsts = (rows.where(F.octet_length("payload") >= least).groupBy("digest")
               .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-              .select("digest", "first"))
-    marked = lookup_join(rows, saved(firsts, "warc-digests"), "digest", F.col("page_id"))
+              .select("digest", "first", "n"))
+    marked = lookup_join(rows, saved(firsts, "warc-digests"), "digest", "n")
     again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     marked = (marked.withColumn("kind", F.when(again, "revisit").otherwise("response"))
               .withColumn("refers_to", F.when(again, F.col("first"))))
@@ -283,10 +283,10 @@ def resolved(records: DataFrame) -> DataFrame:
                          F.octet_length("payload").cast("long").alias("own_bytes"))
     small = saved(small, "warc-records")
     response = F.col("record_type") == "response"
-    wanted = small.where(~response).select("payload_digest").distinct()
-    sizes = (small.where(response).join(wanted, "payload_digest", "left_semi").groupBy("payload_digest")
-             .agg(F.max("own_bytes").alias("payload_bytes")))
-    joined = lookup_join(small, saved(sizes, "warc-sizes"), "payload_digest", F.col("page_id"))
+    sizes = (small.groupBy("payload_digest")
+             .agg(F.max(F.when(response, F.col("own_bytes"))).alias("payload_bytes"), F.count(F.lit(1)).alias("n"),
+                  F.max((~response).cast("int")).alias("wanted")).where("wanted = 1"))
+    joined = lookup_join(small, saved(sizes, "warc-sizes"), "payload_digest", "n")
     return joined.select("page_id", F.when(response, F.col("own_bytes")).otherwise(F.col("payload_bytes"))
                          .alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
 
