@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (binary_packing, bitplane, feistel_shards, quotient_dedup, simhash_bk, source_schedule,
+from . import (binary_packing, bitplane, feistel_shards, lattice_lm, quotient_dedup, simhash_bk, source_schedule,
                warc_salvage)
 from .common import documents, shared_path
 
@@ -72,3 +72,8 @@ def op10_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_simhash_bk(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_bk.groups(documents(spark, sf_dir))
     return found.select("doc_id", simhash_bk.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query
+def op1_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_lm.score(documents(spark, sf_dir), vocabulary())
