@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (binary_packing, bitplane, feistel_shards, lattice_lm, quotient_dedup, simhash_bk, source_schedule,
-               warc_salvage)
+from . import (binary_packing, bitplane, feistel_shards, lattice_lm, line_chunks, quotient_dedup, risk_rules,
+               simhash_bk, source_schedule, warc_salvage)
 from .common import documents, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,21 @@ def op3_simhash_bk(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_lm.score(documents(spark, sf_dir), vocabulary())
+
+
+@query
+def op6_risk_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return risk_rules.verdicts(documents(spark, sf_dir), labels)
+
+
+SQL["op6_risk_rules"] = risk_rules.sql()
+
+
+@query
+def op7_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_chunks.without_repeats(documents(spark, sf_dir))
+    return out.select("doc_id", "text", F.col("_llm_lines_removed").alias("lines_removed"))
+
+
+SQL["op7_line_chunks"] = line_chunks.SQL

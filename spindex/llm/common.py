@@ -17,6 +17,9 @@ from ..session import ensure_checkpoint_dir, ship_package
 #: ASCII white space; words are the runs of every other character.
 SPACE = " \t\n\x0b\x0c\r"
 
+#: The same as a regular expression, one character.
+SPACE_RE = r"[\x20\x09-\x0D]"
+
 #: A lookup table of at most this many fixed-width rows is broadcast.
 BROADCAST_ROWS = 200_000
 #: A key of more rows than this is hot.
@@ -38,6 +41,13 @@ def id_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
 
 
+def without_space(text: Column) -> Column:
+    """A text without its ASCII white space."""
+    for c in SPACE:
+        text = F.replace(text, F.lit(c), F.lit(""))
+    return text
+
+
 def workers(spark: SparkSession) -> None:
     """What Python workers need: this package (shipped in local mode only)."""
     ensure_checkpoint_dir(spark)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, id_text, lookup_join, saved, workers
+from .common import id_text, lookup_join, saved, without_space, workers
 
 #: A merged range of quotients holds about this many fingerprints.
 RANGE_ROWS = 250_000
@@ -146,8 +146,8 @@ def dedup(docs: DataFrame) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256), one row a document."""
     spark = docs.sparkSession
     workers(spark)
-    bare = F.translate("text", SPACE, "")
-    texts = id_text(docs).select("doc_id", F.length("text").cast("long").alias("points"), bare.alias("bare"))
+    texts = id_text(docs).select("doc_id", F.length("text").cast("long").alias("points"),
+                                 without_space(F.col("text")).alias("bare"))
     hashed = texts.select("doc_id", "points", F.xxhash64("bare").alias("fp"), F.sha2("bare", 256).alias("sha"))
     small = saved(hashed, "dedup-rows")
     twice = saved(repeated(small, small.count()), "dedup-fingerprints")

@@ -29,23 +29,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.sequence import exclusive_prefix_sum
-from .common import saved, text_of, workers
+from .common import SPACE_RE, saved, text_of, workers
 
 BLOCK, LEAST_BLOCKS, MOST = 1024, 256, 3
 #: Slots ranked in one window.
 CHUNK = 1 << 16
 #: Sources are listed on the driver; a mix of more is refused, not cut.
 MOST_SOURCES = 1_000_000
-SPACES = r"[\x20\x09-\x0D]"
 TABLE = ("number int, source string, source_size long, weight double, target double, base long, blocks long, "
          "small long, larger long")
 
 
 def n_words(text: Column) -> Column:
     """Words of a text that isn't null: parts between white space, without the empty ones at its ends."""
-    parts = F.size(F.split(text, SPACES + "+"))
-    return (parts - F.rlike(text, F.lit(r"\A" + SPACES)).cast("int")
-            - F.rlike(text, F.lit(SPACES + r"\z|\A\z")).cast("int")).cast("long")
+    parts = F.size(F.split(text, SPACE_RE + "+"))
+    return (parts - F.rlike(text, F.lit(r"\A" + SPACE_RE)).cast("int")
+            - F.rlike(text, F.lit(SPACE_RE + r"\z|\A\z")).cast("int")).cast("long")
 
 
 def shared_out(sizes: list[int], weights: list[float], most: int = MOST) -> list[float]:
@@ -213,7 +212,7 @@ def mixed(docs: DataFrame, seed: int = 42) -> DataFrame:
     own = docs.withColumn("_llm_key", mark)
     own = own.withColumn("_llm_turn", F.row_number().over(Window.partitionBy("_llm_key").orderBy("_llm_key")))
     copies = own.join(by_row.drop("row"), ["_llm_key", "_llm_turn"]).select(*names, F.explode("takes").alias("_llm_take"))
-    units = F.split(F.col("text"), rf"(?<!{SPACES})(?={SPACES})")
+    units = F.split(F.col("text"), rf"(?<!{SPACE_RE})(?={SPACE_RE})")
     some = F.array_join(F.slice(units, F.col("_llm_take.start").cast("int") + 1,
                                 (F.col("_llm_take.stop") - F.col("_llm_take.start")).cast("int")), "")
     whole = (F.col("_llm_take.start") == 0) & (F.col("_llm_take.stop") == F.col("_llm_take.size"))
