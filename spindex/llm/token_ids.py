@@ -10,8 +10,8 @@ from __future__ import annotations
 
 import os
 import re
-
-import numpy as np
+import sys
+from array import array
 
 UNITS = re.compile(r"\s*\S+|\s+")
 #: One word of Latin letters, with at most one space before and punctuation after: two pre-tokens.
@@ -19,7 +19,7 @@ PLAIN = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,:;!?]*)")
 #: White space for ``re``, but not for the tokenizer's pattern.
 ODD = re.compile("[\x1c-\x1f]")
 #: Units kept by a worker; each is at most this long.
-KEEP, LONGEST = 400_000, 64
+KEEP, LONGEST = 1_000_000, 64
 #: Longer texts are cut unit by unit, without a list of all their units.
 LONG_TEXT = 1 << 20
 
@@ -33,7 +33,10 @@ def byte_letters() -> dict[int, str]:
 
 
 def packed(ids: list[int]) -> bytes:
-    return np.array(ids, dtype="<u4").tobytes()
+    own = array("I", ids)
+    if sys.byteorder == "big":
+        own.byteswap()
+    return own.tobytes()
 
 
 class Encoder(dict):
@@ -46,7 +49,8 @@ class Encoder(dict):
         super().__init__()
         self.tok = Tokenizer.from_file(path)
         self.letters = byte_letters()
-        self.words: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
+        self.model = self.tok.model
         pre = self.tok.pre_tokenizer
         self.by_unit = (type(pre).__name__ == "ByteLevel" and not pre.add_prefix_space
                         and self.tok.normalizer is None)
@@ -58,18 +62,27 @@ class Encoder(dict):
 
     def word(self, word: str) -> bytes:
         """Ids of one pre-token."""
-        if (got := self.words.get(word)) is None:
+        if word.isascii() and word[0] == " ":  # the space has its letter, the others stand for themselves
+            spelt = self.letters[32] + word[1:]
+        else:
             spelt = word.encode().decode("latin-1").translate(self.letters)
-            got = packed([t.id for t in self.tok.model.tokenize(spelt)])
-            if len(self.words) >= KEEP:
-                self.words.clear()
-            if len(word) <= LONGEST:
-                self.words[word] = got
+        return packed([t.id for t in self.model.tokenize(spelt)])
+
+    def new_marks(self, marks: str) -> bytes:
+        got = self.word(marks)
+        if len(marks) <= 3:
+            self.marks[marks] = got
         return got
 
     def __missing__(self, unit: str) -> bytes:
-        m = PLAIN.fullmatch(unit)
-        got = self.word(m[1]) + (self.word(m[2]) if m[2] else b"") if m else self.plain(unit)
+        if m := PLAIN.fullmatch(unit):
+            word, marks = m.groups()
+            if marks:  # the word may be known by itself, the marks mostly are
+                got = self[word] + (self.marks.get(marks) or self.new_marks(marks))
+            else:
+                got = self.word(word)
+        else:
+            got = self.plain(unit)
         if len(self) >= KEEP:
             self.clear()
         if len(unit) <= LONGEST:
