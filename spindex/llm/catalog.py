@@ -82,7 +82,8 @@ def op1_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_risk_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return risk_rules.verdicts(documents(spark, sf_dir), labels)
+    return risk_rules.verdicts(documents(spark, sf_dir), labels).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 SQL["op6_risk_rules"] = risk_rules.sql()

@@ -87,6 +87,20 @@ def lookup_join(rows: DataFrame, table: DataFrame, on: str | list[str], size: st
         rows.join(F.broadcast(large.select(*keys)), on, "left_anti").join(rest, on, how))
 
 
+def leave_out(docs: DataFrame, gone: DataFrame, mark: Column) -> DataFrame:
+    """The documents without those in ``gone`` (doc_id, mark), with their own
+    columns. ``mark`` is a hash that tells rows with one id apart. The table of
+    what goes is broadcast after a check of its rows; else documents are
+    joined by id and mark, of which no key is common."""
+    null, own = F.col("doc_id").isNull(), F.coalesce(F.col("doc_id").cast("long"), F.lit(0))
+    gone = saved(gone.select(null.alias("_llm_null"), own.alias("_llm_id"), F.col("mark").alias("_llm_mark"))
+                 .distinct(), "left-out")
+    few = gone.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    marked = docs.withColumns({"_llm_null": null, "_llm_id": own, "_llm_mark": mark})
+    return marked.join(F.broadcast(gone) if few else gone, ["_llm_null", "_llm_id", "_llm_mark"],
+                       "left_anti").select(*docs.columns)
+
+
 def filesystem(uri: str):
     """(pyarrow file system, path) of a folder that Spark names ``file:/...``,
     ``hdfs://...``, ``s3://...`` and so on."""

@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, SPACE_RE, saved, text_of, without_space
+from .common import BROADCAST_ROWS, SPACE_RE, leave_out, saved, text_of, without_space
 
 ALPHA, DELTA = 0.02, 0.05
 LEAST_WORDS, MOST_REPEATED = 50, 50
@@ -45,8 +45,8 @@ RULES: dict[str, tuple[str, tuple[float, ...]]] = {
 }
 
 
-def with_counts(docs: DataFrame, prefix: str = "") -> DataFrame:
-    """The rows with the counts as long columns, named with ``prefix``.
+def with_counts(docs: DataFrame) -> DataFrame:
+    """The rows with the counts as long columns.
 
     Repeated words: the text's 3-word windows are hashed (64 bits, inside one
     text). Only where some window comes twice are they sorted, those equal to a
@@ -79,18 +79,18 @@ def with_counts(docs: DataFrame, prefix: str = "") -> DataFrame:
         p("n_dup_lines"): (F.size(p("lines")) - F.size(F.array_distinct(p("lines")))).cast("long"),
         p("n_repeat_words"): F.coalesce(covered, F.lit(0)).cast("long"),
     })
-    return done.select(*docs.columns, *(F.col(p(c)).alias(prefix + c) for c in COUNTS))
+    return done.select(*docs.columns, *(F.col(p(c)).alias(c) for c in COUNTS))
 
 
-def base_failed(prefix: str = "") -> Column:
-    n, r = F.col(prefix + "n_words"), F.col(prefix + "n_repeat_words")
+def base_failed() -> Column:
+    n, r = F.col("n_words"), F.col("n_repeat_words")
     return (n < LEAST_WORDS) | (100 * r > MOST_REPEATED * n)
 
 
-def rule_number(rule: str, prefix: str = "") -> Column:
+def rule_number(rule: str) -> Column:
     text = RULES[rule][0]
     for c in COUNTS:
-        text = text.replace(c, f"cast({prefix}{c} as double)")
+        text = text.replace(c, f"cast({c} as double)")
     return F.expr(text)
 
 
@@ -136,38 +136,36 @@ def cutoffs(counted: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta:
     return seen.select("stratum", *map(chosen, RULES))
 
 
-def judged(counted: DataFrame, limits: DataFrame, prefix: str = "") -> DataFrame:
+def judged(counted: DataFrame, limits: DataFrame) -> DataFrame:
     """Adds ``base_failed`` and ``kept``. ``limits`` has one row a stratum and
-    is broadcast after a check of its rows."""
+    is broadcast after a check of its rows. ``counted`` should be saved: a
+    filter on the verdict would else be pushed into the counting and repeat it."""
     limits = saved(limits, "quality-cutoffs")
     few = limits.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    named = limits.select(F.col("stratum").alias("_llm_stratum"), *(F.col(r).alias(f"_llm_cut_{r}") for r in RULES))
-    joined = counted.join(F.broadcast(named) if few else named, F.col(prefix + "stratum") == F.col("_llm_stratum"), "left")
+    cuts = limits.select("stratum", *(F.col(r).alias(f"cut_{r}") for r in RULES))
     over = F.lit(False)
     for r in RULES:
-        over |= F.coalesce(rule_number(r, prefix) > F.col(f"_llm_cut_{r}"), F.lit(False))
-    return joined.withColumns({prefix + "base_failed": base_failed(prefix),
-                               prefix + "kept": ~base_failed(prefix) & ~over})
+        over |= F.coalesce(rule_number(r) > F.col(f"cut_{r}"), F.lit(False))
+    return (counted.join(F.broadcast(cuts) if few else cuts, "stratum", "left")
+            .withColumns({"base_failed": base_failed(), "kept": ~base_failed() & ~over}))
+
+
+def mark(docs: DataFrame) -> Column:
+    """Tells rows with one id apart: the verdict depends on text and stratum."""
+    return F.xxhash64(text_of(), stratum(docs))
 
 
 def verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, counts, base_failed, kept). The counts are taken once and saved."""
-    cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"),
+    """(doc_id, mark, stratum, counts, base_failed, kept). The counts are taken once and saved."""
+    cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), mark(docs).alias("mark"),
                        stratum(docs).alias("stratum"))
     counted = saved(with_counts(cols).drop("text"), "quality-counts")
-    out = judged(counted, cutoffs(counted, labels))
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return judged(counted, cutoffs(counted, labels))
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are kept, with their own columns. The cutoffs come
-    from a first pass over the labelled documents' counts; the text is read
-    again for the verdict, and never shuffled."""
-    cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"),
-                       stratum(docs).alias("stratum"))
-    limits = cutoffs(with_counts(cols).drop("text"), labels)
-    marked = with_counts(docs, "_llm_d_").withColumn("_llm_d_stratum", stratum(docs))
-    return judged(marked, limits, "_llm_d_").where("_llm_d_kept").select(*docs.columns)
+    """The documents that are kept, with their own columns."""
+    return leave_out(docs, verdicts(docs, labels).where("not kept"), mark(docs))
 
 
 def sql(alpha: float = ALPHA, delta: float = DELTA) -> str:

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, Rows, columns_of, id_text, lookup_join, saved, text_of, workers
+from .common import Rows, columns_of, id_text, leave_out, lookup_join, saved, text_of, workers
 from .components import components
 
 #: Members of a shard that share a tree.
@@ -221,11 +221,4 @@ def first_of_groups(docs: DataFrame, n: int = 3, radius: int = 2) -> DataFrame:
     columns. A document with a null id stays only in a group without any other
     id; rows that repeat the smallest id all stay."""
     found = groups(docs, n, radius)
-    key = {"_llm_null": F.col("doc_id").isNull(), "_llm_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0))}
-    gone = (found.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(*(c.alias(k) for k, c in key.items()), F.col("mark").alias("_llm_mark")).distinct())
-    gone = saved(gone, "simhash-gone")
-    few = gone.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    marked = docs.withColumns(key | {"_llm_mark": F.xxhash64(text_of())})
-    return marked.join(F.broadcast(gone) if few else gone, ["_llm_null", "_llm_id", "_llm_mark"],
-                       "left_anti").select(*docs.columns)
+    return leave_out(docs, found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))), F.xxhash64(text_of()))
