@@ -172,7 +172,7 @@ def write_part(batches: Iterator[pa.RecordBatch], out: str, path: str, end_id: i
         for doc_id, text in columns_of(batch, "doc_id", "text"):
             if writer is None:
                 fs.create_dir(folder, recursive=True)
-                stream = fs.open_output_stream(f"{name}.{task.taskAttemptId()}")
+                stream = fs.open_output_stream(f"{name}.{task.taskAttemptId()}", compression=None)
                 writer = Writer(stream, unit, level)
             writer.add(doc_id, enc.ids(text) + end)
     if writer is not None:

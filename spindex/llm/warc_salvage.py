@@ -88,7 +88,7 @@ def write_part(batches: Iterator[pa.RecordBatch], out: str, most: int) -> Iterat
             if stream is None:
                 fs.create_dir(folder, recursive=True)
                 mine = f"{folder}/_{task.partitionId()}-{len(done)}-{task.taskAttemptId()}"
-                stream, size, n = fs.open_output_stream(mine), 0, 0
+                stream, size, n = fs.open_output_stream(mine, compression=None), 0, 0
             page_id, url, payload, digest, kind, refers_to = values
             made = member(record(page_id, url, bytes(payload), digest, kind, refers_to))
             stream.write(made)

@@ -1,0 +1,200 @@
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+from xxhash import xxh64_intdigest
+
+from spindex.llm import line_chunks as L
+from spindex.llm import quotient_dedup as Q
+from spindex.llm import simhash_bk as S
+from spindex.llm.components import components
+
+
+# -- exact dedup -----------------------------------------------------------
+def test_quotient_filter_merges_losslessly():
+    rng = random.Random(2)
+    pool = [rng.getrandbits(64) for _ in range(300)] + [x << 40 | y for x in range(3) for y in range(50)]
+    parts = [[rng.choice(pool) for _ in range(rng.randrange(1, 400))] for _ in range(6)]
+    whole = Counter(x for p in parts for x in p)
+    made = [Q.QuotientFilter.of(np.array(p, np.uint64), np.ones(len(p), np.int64), 40) for p in parts]
+    out = made[0]
+    for m in made[1:]:
+        out = out.merged(m)
+    assert dict(zip(out.fingerprints().tolist(), out.counts.tolist(), strict=True)) == whole
+    assert all(out.count(x) == whole[x] for x in pool) and out.count(12345) == 0
+    again = [Q.QuotientFilter.read(r, 40) for r in out.pieces(4)]
+    assert np.concatenate([a.fingerprints() for a in again]).tolist() == out.fingerprints().tolist()
+
+
+def dedup_by_hand(rows):
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[re.sub(r"[\x20\x09-\x0D]", "", t or "")].append((-len(t or ""), i is None, i))
+    out = []
+    for bare, members in groups.items():
+        best = min(members)
+        for m in members:
+            out.append((m[2], best[2], len(members), m == best, hashlib.sha256(bare.encode()).hexdigest()))
+    return Counter(out)
+
+
+def test_dedup_by_hand(odd_docs, small_docs, no_docs):
+    for docs in (odd_docs, small_docs, no_docs):
+        got = Counter(tuple(r) for r in Q.dedup(docs).collect())
+        assert got == dedup_by_hand([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_joins_beyond_the_broadcast_bound(spark, odd_docs, monkeypatch):
+    from spindex.llm import common
+    monkeypatch.setattr(common.lookup_join, "__defaults__", ("left", 1, 2))
+    got = Counter(tuple(r) for r in Q.dedup(odd_docs).collect())
+    assert got == dedup_by_hand([(r.doc_id, r.text) for r in odd_docs.collect()])
+
+
+# -- SimHash ---------------------------------------------------------------
+def fingerprint_by_hand(text):
+    words = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
+    parts = [b" ".join(words[i:i + 3]) for i in range(len(words) - 2)] or ([b" ".join(words)] if words else [])
+    h = [xxh64_intdigest(p, 42) for p in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def classes(n, pairs):
+    top = list(range(n))
+
+    def find(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        top[max(a, b)] = min(a, b)
+    return [find(x) for x in range(n)]
+
+
+def groups_by_hand(rows):
+    fps = [fingerprint_by_hand(t) for _, t in rows]
+    pairs = [(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 2]
+    group = classes(len(rows), pairs)
+    least = defaultdict(list)
+    for g, (i, _) in zip(group, rows, strict=True):
+        least[g].append(i)
+    first = {g: min((x for x in v if x is not None), default=None) for g, v in least.items()}
+    return Counter((i, f"{f:016x}", first[g]) for (i, _), f, g in zip(rows, fps, group, strict=True))
+
+
+def test_simhash_by_hand(odd_docs, small_docs, no_docs):
+    for docs in (odd_docs, small_docs, no_docs):
+        got = S.groups(docs)
+        got = Counter(tuple(r) for r in got.select("doc_id", S.hex_digits(got.fp), "component_id").collect())
+        assert got == groups_by_hand([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def near_nodes(n=900, seed=4):
+    """Chains and clusters of fingerprints a bit or two apart, and others."""
+    rng = random.Random(seed)
+    out = {rng.getrandbits(64) for _ in range(n // 3)}
+    for _ in range(5):
+        x = rng.getrandbits(64)
+        for _ in range(n // 10):
+            x ^= 1 << rng.randrange(64) | 1 << rng.randrange(64)
+            out.add(x)
+        base = rng.getrandbits(64)
+        out |= {base ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) for _ in range(n // 30)}
+    return sorted(out)
+
+
+def test_bk_tree_finds_all_within_the_radius():
+    nodes = near_nodes()
+    tree = S.BKTree()
+    for x in nodes:
+        tree.add(x)
+    for x in nodes[::7]:
+        for radius in (0, 1, 2, 5):
+            assert sorted(tree.within(x, radius)) == [y for y in nodes if (x ^ y).bit_count() <= radius]
+
+
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def test_links_join_what_all_pairs_join(spark):
+    nodes = near_nodes()
+    frame = spark.createDataFrame([(signed(x),) for x in nodes], "fp long")
+    place = {signed(x): i for i, x in enumerate(nodes)}
+    for radius in (0, 1, 2):
+        want = classes(len(nodes), [(i, j) for i in range(len(nodes)) for j in range(i)
+                                    if (nodes[i] ^ nodes[j]).bit_count() <= radius])
+        for most in (256, 4):  # 4: nearly all shards go the way for large ones
+            found = [(place[r.a], place[r.b]) for r in S.links(frame, radius, most).collect()]
+            assert all((nodes[i] ^ nodes[j]).bit_count() <= 2 * radius for i, j in found)
+            assert classes(len(nodes), found) == want
+
+
+def test_components_of_paths_and_stars(spark):
+    edges = [(i, i + 1) for i in range(100, 160)] + [(7, x) for x in range(1000, 1200)] + [(500, 500), (3, 2), (2, 3)]
+    got = {r.a: r.b for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{i: 100 for i in range(101, 161)}, **{x: 7 for x in range(1000, 1200)}, 3: 2}
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_first_of_groups_keeps_columns(odd_docs):
+    kept = S.first_of_groups(odd_docs)
+    assert kept.columns == odd_docs.columns
+    want = groups_by_hand([(r.doc_id, r.text) for r in odd_docs.collect()])
+    assert Counter(r.doc_id for r in kept.collect()) == Counter(
+        {i: sum(n for (j, _, c), n in want.items() if j == i and c == i) for i, _, c in want if i == c})
+
+
+# -- line dedup ------------------------------------------------------------
+def chunks_by_hand(text):
+    lines, out, h0 = text.split("\n"), [[]], 0
+    for line in lines:
+        h = int(hashlib.md5(line.encode()).hexdigest()[:8], 16) % L.PRIME
+        out[-1].append(line)
+        if (h0 * L.BASE + h) % L.PRIME // 8 % L.DIVISOR == 0:
+            out.append([])
+        h0 = h
+    return [c for c in out if c]
+
+
+def lines_by_hand(rows):
+    seen, out = set(), {}
+    order = sorted({(i is not None, i or 0, t) for i, t in rows if t is not None}, key=lambda x: x[:2])
+    for null, i, t in order:
+        kept = []
+        for c in chunks_by_hand(t):
+            if len(c) < 2 or tuple(c) not in seen:
+                kept += c
+            if len(c) >= 2:
+                seen.add(tuple(c))
+        out[(null, i, t)] = "\n".join(kept)
+    return Counter((i, None if t is None else out[(i is not None, i or 0, t)]) for i, t in rows)
+
+
+def test_lines_by_hand(odd_docs, small_docs, no_docs, spark):
+    rng = random.Random(5)
+    lines = [f"line {k} " + "x" * rng.randrange(20) for k in range(30)]
+    passage = [f"passage {k}" for k in range(12)]
+    made = []
+    for i in range(60):
+        body = [rng.choice(lines) + str(rng.randrange(40)) for _ in range(rng.randrange(1, 12))]
+        at = rng.randrange(len(body) + 1)
+        made.append((i, "\n".join(body[:at] + passage + body[at:])))
+    shared = spark.createDataFrame([(i, t, len(t)) for i, t in made], "doc_id long, text string, n_chars long")
+    for docs in (shared, odd_docs, small_docs, no_docs):
+        got = L.without_repeats(docs)
+        assert got.columns == [*docs.columns, "_llm_lines_removed"]
+        rows = got.collect()
+        assert Counter((r.doc_id, r.text) for r in rows) == lines_by_hand([(r.doc_id, r.text) for r in docs.collect()])
+        assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in rows)
+    # the passage's inner chunks are found wherever it stands
+    left = sum(r.text.count("passage") for r in L.without_repeats(shared).collect())
+    assert left < 0.5 * 12 * 60
+
+
+def test_line_plans_have_no_python(small_docs):
+    plan = L.without_repeats(small_docs)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
