@@ -28,6 +28,8 @@ from .functions.text import natural_key
 # Fixed query texts of the single-query keys.
 QUERY_WEIGHTED = "the edon tion"
 QUERY_STEMMED = "edon tions reti"
+# Documents that the key of the collection's limit keeps (its tables are larger).
+LIMIT = 40
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -58,15 +60,19 @@ def _r6(c):
     return F.round(c, 6)
 
 
+def _rounded(results):
+    return results.withColumn("score", _r6(F.col("score")))
+
+
 # ---------------------------------------------------------------------------
 # Q7: ranked search, weighted profile, one literal query on pages
 # ---------------------------------------------------------------------------
 @register("search_weighted", O.with_(
     O.index_ctes("pages", "weighted", None) + O.query_ctes(QUERY_WEIGHTED) + O.search_ctes(),
-    "SELECT t.query_id, t.rank, t.doc_id, d.name, t.score FROM top t JOIN docs d ON t.doc_id = d.doc_id"))
+    "SELECT t.query_id, t.rank, t.doc_id, d.name, round(t.score, 6) AS score FROM top t JOIN docs d ON t.doc_id = d.doc_id"))
 def q_search_weighted(spark, sf):
     idx = build_index(_pages(spark, sf), "weighted", prune=None)
-    return S.search(idx, QUERY_WEIGHTED)
+    return _rounded(S.search(idx, QUERY_WEIGHTED))
 
 
 # ---------------------------------------------------------------------------
@@ -124,11 +130,10 @@ def q_scan_documents(spark, sf):
 @register("limit_collection", O.with_(
     ["named AS (SELECT CAST(page_id AS VARCHAR) || '.html' AS name FROM pages)",
      f"ids AS ({_sql_names('named', 'name')})"],
-    f"SELECT doc_id, name FROM ids WHERE doc_id < {C.MAX_DOCS}"))
+    f"SELECT doc_id, name FROM ids WHERE doc_id < {LIMIT}"))
 def q_limit_collection(spark, sf):
     pages = C.read_table(spark, sf, "pages")
-    coll = C.from_table(pages, "html", F.concat(F.col("page_id").cast("string"), F.lit(".html")))
-    return C.limit_collection(coll, C.MAX_DOCS).select("doc_id", "name")
+    return C.limited(pages, "html", F.concat(F.col("page_id").cast("string"), F.lit(".html")), LIMIT).select("doc_id", "name")
 
 
 @register("natural_sort", O.with_(
@@ -196,7 +201,7 @@ def q_stopword_hits(spark, sf):
 
 @register("export_mapping_text", O.with_(
     [O.docs_cte("pages")],
-    "SELECT doc_id, rpad(CAST(doc_id AS VARCHAR), 4, ' ') || chr(9) || "
+    "SELECT doc_id, rpad(CAST(doc_id AS VARCHAR), greatest(4, length(CAST(doc_id AS VARCHAR)))::INT, ' ') || chr(9) || "
     "CASE WHEN length(split_part(name, '.', 1)) >= 6 THEN split_part(name, '.', 1) "
     "ELSE lpad(split_part(name, '.', 1), 6, ' ') END || '.' || split_part(name, '.', 2) AS line FROM docs"))
 def q_export_mapping_text(spark, sf):
@@ -206,8 +211,8 @@ def q_export_mapping_text(spark, sf):
 
 @register("export_dictionary_text", O.with_(
     O.index_ctes("pages", "weighted", "once") + [f"d AS (SELECT term, num_docs, {_START} AS start FROM kept)"],
-    "SELECT term, rpad(term, 5, ' ') || chr(9) || rpad(CAST(num_docs AS VARCHAR), 4, ' ') || chr(9) || "
-    "rpad(CAST(start AS VARCHAR), 8, ' ') AS line FROM d"))
+    "SELECT term, rpad(term, greatest(5, length(term)::INT), ' ') || chr(9) || rpad(CAST(num_docs AS VARCHAR), greatest(4, length(CAST(num_docs AS VARCHAR)))::INT, ' ') || chr(9) || "
+    "rpad(CAST(start AS VARCHAR), greatest(8, length(CAST(start AS VARCHAR)))::INT, ' ') AS line FROM d"))
 def q_export_dictionary_text(spark, sf):
     from .sources.index_store import dictionary_text
     return dictionary_text(_weighted_pages(spark, sf).dictionary("start"))
@@ -215,8 +220,8 @@ def q_export_dictionary_text(spark, sf):
 
 @register("export_postings_text", O.with_(
     O.index_ctes("pages", "weighted", "once"),
-    "SELECT term, doc_id, rpad(CAST(doc_id AS VARCHAR), 4, ' ') || chr(9) || "
-    "rpad(printf('%.6f', weight), 8, ' ') AS line FROM post"))
+    "SELECT term, doc_id, rpad(CAST(doc_id AS VARCHAR), greatest(4, length(CAST(doc_id AS VARCHAR)))::INT, ' ') || chr(9) || "
+    "rpad(printf('%.6f', weight), greatest(8, length(printf('%.6f', weight)))::INT, ' ') AS line FROM post"))
 def q_export_postings_text(spark, sf):
     from .sources.index_store import postings_text
     return postings_text(_weighted_pages(spark, sf).postings)
@@ -226,9 +231,16 @@ def q_export_postings_text(spark, sf):
     O.index_ctes("pages", "raw") + [f"d AS (SELECT term, num_docs, {_END} AS e FROM kept)"],
     "SELECT term, term || chr(9) || CAST(num_docs AS VARCHAR) || chr(9) || CAST(e AS VARCHAR) AS line FROM d"))
 def q_export_raw_text(spark, sf):
-    d = build_index(_pages(spark, sf), "raw").dictionary("end")
-    return d.select("term", F.concat_ws("\t", "term", F.col("num_docs").cast("string"),
-                                        F.col("end").cast("string")).alias("line"))
+    from .sources.index_store import raw_dictionary_text
+    return raw_dictionary_text(build_index(_pages(spark, sf), "raw")).select("term", "line")
+
+
+@register("export_raw_postings", O.with_(
+    O.index_ctes("pages", "raw"),
+    "SELECT term, doc_id, CAST(doc_id AS VARCHAR) || ' ' || chr(9) || ' ' || CAST(raw_freq AS VARCHAR) AS line FROM post"))
+def q_export_raw_postings(spark, sf):
+    from .sources.index_store import raw_postings_text
+    return raw_postings_text(build_index(_pages(spark, sf), "raw")).select("term", "doc_id", "line")
 
 
 # ---------------------------------------------------------------------------
@@ -472,23 +484,23 @@ def q_score_documents(spark, sf):
     return plan["scores"].select("query_id", "doc_id", _r6(F.col("score")).alias("score"))
 
 
-@register("top_k", O.with_(_DOCS_Q + O.search_ctes(), "SELECT query_id, rank, doc_id, score FROM top"))
+@register("top_k", O.with_(_DOCS_Q + O.search_ctes(), "SELECT query_id, rank, doc_id, round(score, 6) AS score FROM top"))
 def q_top_k(spark, sf):
-    return S.query_plan(_docs_index(spark, sf), _benchmark(spark, sf))["top"]
+    return _rounded(S.query_plan(_docs_index(spark, sf), _benchmark(spark, sf))["top"])
 
 
 @register("search_stemmed", O.with_(
     O.index_ctes("pages", "stemmed", "once") + O.query_ctes(QUERY_STEMMED, "strict", stemmed=True) + O.search_ctes(),
-    "SELECT t.query_id, t.rank, t.doc_id, d.name, t.score FROM top t JOIN docs d ON t.doc_id = d.doc_id"))
+    "SELECT t.query_id, t.rank, t.doc_id, d.name, round(t.score, 6) AS score FROM top t JOIN docs d ON t.doc_id = d.doc_id"))
 def q_search_stemmed(spark, sf):
-    return S.search(_weighted_pages(spark, sf, "once", "stemmed"), QUERY_STEMMED)
+    return _rounded(S.search(_weighted_pages(spark, sf, "once", "stemmed"), QUERY_STEMMED))
 
 
 @register("search_many", O.with_(
     _DOCS_Q + O.search_ctes(),
-    "SELECT t.query_id, t.rank, t.doc_id, d.name, t.score FROM top t JOIN docs d ON t.doc_id = d.doc_id"))
+    "SELECT t.query_id, t.rank, t.doc_id, d.name, round(t.score, 6) AS score FROM top t JOIN docs d ON t.doc_id = d.doc_id"))
 def q_search_many(spark, sf):
-    return S.search_many(_docs_index(spark, sf), _benchmark(spark, sf))
+    return _rounded(S.search_many(_docs_index(spark, sf), _benchmark(spark, sf)))
 
 
 @register("result_preview", O.with_(
@@ -497,8 +509,7 @@ def q_search_many(spark, sf):
 def q_result_preview(spark, sf):
     coll = _documents(spark, sf)
     res = S.search_many(build_index(coll, "weighted", prune="once"), _benchmark(spark, sf))
-    n = Q._bounded_rows(res, Q.BROADCAST_ROWS)
-    return Q.result_preview(res, coll, None, bound_rows=n).select("query_id", "rank", "doc_id", "preview")
+    return Q.result_preview(res, coll).select("query_id", "rank", "doc_id", "preview")
 
 
 @register("queries_without_results", O.with_(
@@ -509,3 +520,38 @@ def q_queries_without_results(spark, sf):
     queries = _benchmark(spark, sf)
     res = S.search_many(build_index(coll, "stemmed", prune="once"), queries)
     return Q.queries_without_results(queries, res)
+
+
+# ---------------------------------------------------------------------------
+# The same on an index written to the shared folder and opened again
+# ---------------------------------------------------------------------------
+def _reopened(spark, sf):
+    import uuid
+
+    from .session import ensure_checkpoint_dir
+    from .sources.index_store import read_index, write_index
+    path = f"{ensure_checkpoint_dir(spark)}/index-{uuid.uuid4().hex}"
+    write_index(_docs_index(spark, sf), path)
+    return read_index(spark, path)
+
+
+@register("read_index", O.with_(O.index_ctes("documents", "weighted", "once"),
+                                f"SELECT term, num_docs, coll_freq, {_START} AS start FROM kept"))
+def q_read_index(spark, sf):
+    return _reopened(spark, sf).terms
+
+
+@register("search_reopened", SQL["search_many"])
+def q_search_reopened(spark, sf):
+    return _rounded(S.search_many(_reopened(spark, sf), _benchmark(spark, sf)))
+
+
+# ---------------------------------------------------------------------------
+# Result lines of the weighted stage's query tool
+# ---------------------------------------------------------------------------
+@register("search_lines", O.with_(
+    O.index_ctes("pages", "weighted", None) + O.query_ctes(QUERY_WEIGHTED) + O.search_ctes(),
+    "SELECT t.query_id, t.rank, 'docid: ' || t.doc_id || ', document name: ' || d.name || ', weight: ' || "
+    "printf('%.6f', t.score) AS line FROM top t JOIN docs d ON t.doc_id = d.doc_id"))
+def q_search_lines(spark, sf):
+    return S.result_lines(S.search(build_index(_pages(spark, sf), "weighted", prune=None), QUERY_WEIGHTED), decimals=6)

@@ -47,14 +47,13 @@ CSS_RE2 = rf"(?:[^{_B}]*,[{_B}]+)*[^{_B}]+[{_B}]*\{{[^}}]+\}}"
 CSS_JAVA = rf"(?:[^{_B}]*,[{_B}]+){{0,{CSS_CHAIN_CAP}}}[^{_B}]+[{_B}]*\{{[^}}]+\}}"
 ENTITY = rf"&[{_W}]+"
 TAG = r"<[^>]+>"
-COMMENT = r"/\*.*?\*/"              # unreachable: '/' is an ignored character
 URL = rf"(?:https?://|www[^\n])[^{_B}</]+"
 NUMBER = rf"[1-9][{DIGIT},.\-]*"
 EMAIL = rf"[^{_B}]+@[^{_B}]+\.[^<{_B},?!.]+"
 WORD_RE2 = rf"[A-z](?:[{_W}'\-]+|\.[{_W}]|<[^>]+>)*"
 WORD_JAVA = rf"[A-z](?:[{_W}'\-]++|\.[{_W}]|<[^>]+>)*+"
 
-# Normalizer patterns (removed from the lower-cased / raw lexeme)
+# Normalizer patterns (removed from the lower-cased / raw lexeme)
 URL_STRIP = r"https://|http://|www\."
 URL_STRIP_COMPACT = r"https://|http://|www|\."
 NUMBER_STRIP = r"[,\-]|\..*"
@@ -88,7 +87,7 @@ WIDTH_DOC_ID = 4
 WIDTH_WEIGHT = 8
 WIDTH_FILE_NAME = 6
 
-# Results per query.
+# Fixed value: results per query.
 TOP_K = 10
 
 

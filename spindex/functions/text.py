@@ -9,25 +9,27 @@ from pyspark.sql import functions as F
 def natural_key(name: Column) -> Column:
     """Version-sort key of the part of ``name`` before its first dot.
 
-    Digit runs become ``<4-digit length><digits without leading zeros>``
+    Digit runs become ``<10-digit length><digits without leading zeros>``
     (numeric order, and before letters); other characters keep binary order,
     except that non-letters are prefixed with ``~`` so that they sort after
-    letters, as in version sort.
+    letters, and that a ``~`` sorts even before the end of the name (U+0001
+    against U+0002), as in version sort.
     """
     stem = F.substring_index(F.coalesce(name, F.lit("")), ".", 1)
     parts = F.regexp_extract_all(stem, F.lit("[0-9]+|[^0-9]+"), 0)
 
     def enc(s: Column) -> Column:
         digits = F.regexp_replace(s, "^0+", "")
-        return F.when(s.rlike("^[0-9]"), F.concat(F.lpad(F.length(digits).cast("string"), 4, "0"), digits)) \
-            .otherwise(F.regexp_replace(s, "([^A-Za-z])", "~$1"))
+        return F.when(s.rlike("^[0-9]"), F.concat(F.lpad(F.length(digits).cast("string"), 10, "0"), digits)) \
+            .otherwise(F.regexp_replace(F.translate(s, "~", "\x01"), "([^A-Za-z\x01])", "~$1"))
 
-    return F.array_join(F.transform(parts, enc), "")
+    return F.concat(F.array_join(F.transform(parts, enc), ""), F.lit("\x02"))
 
 
 def pad(col: Column, width: int) -> Column:
-    """Right-pad with blanks to ``width`` characters, cutting longer values."""
-    return F.rpad(col.cast("string"), width, " ")
+    """Right-pad with blanks to ``width`` characters; a longer value is kept whole."""
+    c = col.cast("string")
+    return F.when(F.length(c) >= width, c).otherwise(F.rpad(c, width, " "))
 
 
 def pad_left_if_shorter(col: Column, width: int) -> Column:

@@ -1,8 +1,9 @@
 """Query-side operators.
 
 Every operator carries ``query_id``, so one plan answers a whole table of
-queries. Sizes that decide a broadcast are checked first (bounded ``limit``
-counts); beyond the bound the plain join runs and AQE plans it.
+queries. All of them are lazy: no job runs before the result is used, and
+Spark picks the joins by the bytes it estimates or, at run time, measures. A
+side is broadcast by hint only where its size is proven (``bound_rows``).
 """
 
 from __future__ import annotations
@@ -13,11 +14,8 @@ from pyspark.sql import functions as F
 from ..functions import analyzer as A
 from ..functions import rules as R
 
-# A query-term table up to this many rows is broadcast to the postings scan.
-BROADCAST_ROWS = 2_000_000
-# Up to this many distinct query terms are also pushed to the postings scan
-# as an IN filter (Parquet statistics / bloom filter skip the rest).
-PUSHDOWN_TERMS = 1000
+# Results of at most this many rows (fixed width: four numbers) are broadcast.
+RESULT_ROWS = 1_000_000
 
 
 def query_tokens(queries: DataFrame, analyzer: str = "full") -> DataFrame:
@@ -64,76 +62,52 @@ def query_terms(qtokens: DataFrame, mode: str = "lenient", stemmed: bool = False
     return kept.groupBy("query_id", term.alias("term")).agg(F.count(F.lit(1)).alias("mult"))
 
 
-def _bounded_rows(df: DataFrame, bound: int) -> int:
-    """Row count of ``df`` if at most ``bound``, else bound + 1 (stops early)."""
-    return df.limit(bound + 1).count()
-
-
-def lookup(qterms: DataFrame, postings: DataFrame) -> DataFrame:
+def lookup(qterms: DataFrame, postings: DataFrame, terms: list[str] | None = None) -> DataFrame:
     """(query_id, term, mult, doc_id, weight): postings of each query term.
 
-    Small query-term tables are broadcast (checked size); a few distinct
-    terms are also pushed into the postings scan as an IN filter.
-    """
-    n = _bounded_rows(qterms, BROADCAST_ROWS)
+    ``terms``, if the caller knows them all, are also pushed into the postings
+    scan (Parquet statistics and the term bloom filter skip the rest)."""
     p = postings.select("term", "doc_id", "weight")
-    if n <= PUSHDOWN_TERMS:
-        terms = [r.term for r in qterms.select("term").distinct().collect()]
+    if terms is not None:
         p = p.where(F.col("term").isin(terms))
-    q = F.broadcast(qterms) if n <= BROADCAST_ROWS else qterms
-    return q.join(p, "term")
+    return qterms.join(p, "term")
 
 
 def missing_terms(qterms: DataFrame, terms: DataFrame) -> DataFrame:
     """(query_id, term): query terms no document contains.
 
-    The dictionary is streamed through a semi-join with the (size-checked,
-    broadcast) distinct query terms; only the small set of present terms is
-    then anti-joined, so the dictionary is never shuffled.
-    """
+    The dictionary meets the distinct query terms first; only those present are
+    anti-joined."""
     wanted = qterms.select("term").distinct()
-    n = _bounded_rows(qterms, BROADCAST_ROWS)
-    present = terms.select("term").join(F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted, "term", "left_semi")
+    present = terms.select("term").join(wanted, "term", "left_semi")
     return qterms.select("query_id", "term").join(present, "term", "left_anti")
 
 
 def accumulate(matches: DataFrame) -> DataFrame:
-    """(query_id, doc_id, score): summed weights; a repeated query word counts each time."""
-    return matches.groupBy("query_id", "doc_id").agg(
-        F.sum(F.col("weight") * F.col("mult")).alias("score"))
+    """(query_id, doc_id, score): summed weights; a repeated query word counts
+    each time. The sum is taken in decimals, where the order of the terms
+    doesn't matter, so equal documents get equal scores."""
+    term = (F.col("weight") * F.col("mult")).cast("decimal(38,18)")
+    return matches.groupBy("query_id", "doc_id").agg(F.sum(term).cast("double").alias("score"))
 
 
 def top_k(scores: DataFrame, k: int = R.TOP_K) -> DataFrame:
-    """(query_id, rank, doc_id, score): best k per query.
+    """(query_id, rank, doc_id, score): best k per query, by the full score,
+    then doc id descending.
 
-    Order: score rounded to 6 decimals descending, then doc id descending.
     ``row_number() <= k`` becomes a WindowGroupLimit on both sides of the
     shuffle, so a query with many candidates sends only k rows per task.
     """
-    s = scores.withColumn("score", F.round("score", 6))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").desc())
-    return (s.withColumn("rank", F.row_number().over(w))
+    return (scores.withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("long").alias("rank"), "doc_id", "score"))
 
 
-def _small_side(df: DataFrame, bound_rows: int | None) -> DataFrame:
-    return F.broadcast(df) if bound_rows is not None and bound_rows <= BROADCAST_ROWS else df
-
-
 def _with_rows(results: DataFrame, table: DataFrame, bound_rows: int | None) -> DataFrame:
-    """Join ``table`` (keyed by doc_id) to ``results`` after the top-k cut.
-
-    With a proven bound of at most PUSHDOWN_TERMS result rows, the results are
-    collected once (bounded) and their doc ids pushed into the table's scan,
-    so a large mapping or collection is read only where results point.
-    """
-    if bound_rows is not None and bound_rows <= PUSHDOWN_TERMS:
-        rows = results.collect()
-        local = results.sparkSession.createDataFrame(rows, results.schema)
-        ids = sorted({r.doc_id for r in rows})
-        return F.broadcast(local).join(table.where(F.col("doc_id").isin(ids)), "doc_id")
-    return _small_side(results, bound_rows).join(table, "doc_id")
+    """Join ``table`` (keyed by doc_id) to ``results`` after the top-k cut."""
+    small = bound_rows is not None and bound_rows <= RESULT_ROWS
+    return (F.broadcast(results) if small else results).join(table, "doc_id")
 
 
 def resolve_names(top: DataFrame, mapping: DataFrame, bound_rows: int | None = None) -> DataFrame:

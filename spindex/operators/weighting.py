@@ -59,6 +59,14 @@ def relative_tf_col():
     return F.col("raw_freq").cast("double") / F.col("doc_len").cast("double")
 
 
+def require_skew_join(spark) -> None:
+    """A frequent term has a posting in most documents; the joins on the term
+    rely on Spark to split such a partition, so that must not be switched off."""
+    for name in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled"):
+        if spark.conf.get(name, "true").lower() != "true":
+            raise RuntimeError(f"{name} must be true: frequent terms would meet in one task")
+
+
 def weigh(tf: DataFrame, dfs: DataFrame, n_docs: DataFrame, relative: bool = True,
           idf: bool = True) -> DataFrame:
     """Postings (term, doc_id, raw_freq, tf, weight) of the terms kept in ``dfs``.
@@ -67,6 +75,7 @@ def weigh(tf: DataFrame, dfs: DataFrame, n_docs: DataFrame, relative: bool = Tru
     splits a skewed (frequent) term. N enters as a scalar subquery of the
     one-row ``n_docs`` table.
     """
+    require_skew_join(tf.sparkSession)
     joined = tf.join(dfs.select("term", "num_docs"), "term")
     tf_c = relative_tf_col() if relative else F.col("raw_freq").cast("double")
     weight = tf_c * idf_col(n_docs_scalar(n_docs)) if idf else tf_c

@@ -82,10 +82,10 @@ def valid_sql(t: str) -> str:
 def natural_key_sql(name: str) -> str:
     s = "s"
     digits = f"regexp_replace({s}, '^0+', '')"
-    enc = (f"CASE WHEN regexp_matches({s}, '^[0-9]') THEN lpad(CAST(length({digits}) AS VARCHAR), 4, '0') || {digits} "
-           f"ELSE regexp_replace({s}, '([^A-Za-z])', '~\\1', 'g') END")
+    enc = (f"CASE WHEN regexp_matches({s}, '^[0-9]') THEN lpad(CAST(length({digits}) AS VARCHAR), 10, '0') || {digits} "
+           f"ELSE regexp_replace(replace({s}, '~', chr(1)), '([^A-Za-z\\x01])', '~\\1', 'g') END")
     return (f"array_to_string(list_transform(regexp_extract_all(split_part(coalesce({name}, ''), '.', 1), "
-            f"'[0-9]+|[^0-9]+'), lambda s: {enc}), '')")
+            f"'[0-9]+|[^0-9]+'), lambda s: {enc}), '') || chr(2)")
 
 
 # ---------------------------------------------------------------------------
@@ -183,9 +183,9 @@ def search_ctes(k: int = R.TOP_K) -> list[str]:
     """matches, scores, top(query_id, rank, doc_id, score) over qterms and post."""
     return [
         "matches AS (SELECT q.query_id, q.term, q.mult, p.doc_id, p.weight FROM qterms q JOIN post p ON q.term = p.term)",
-        "scores AS (SELECT query_id, doc_id, sum(weight * mult) AS score FROM matches GROUP BY query_id, doc_id)",
-        "ranked AS (SELECT query_id, doc_id, round(score, 6) AS score, row_number() OVER (PARTITION BY query_id "
-        "ORDER BY round(score, 6) DESC, doc_id DESC) AS rnk FROM scores)",
+        "scores AS (SELECT query_id, doc_id, CAST(sum(CAST(weight * mult AS DECIMAL(38, 18))) AS DOUBLE) AS score FROM matches GROUP BY query_id, doc_id)",
+        "ranked AS (SELECT query_id, doc_id, score, row_number() OVER (PARTITION BY query_id "
+        "ORDER BY score DESC, doc_id DESC) AS rnk FROM scores)",
         f"top AS (SELECT query_id, CAST(rnk AS BIGINT) AS rank, doc_id, score FROM ranked WHERE rnk <= {k})",
     ]
 

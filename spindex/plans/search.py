@@ -1,8 +1,8 @@
 """Ranked retrieval (Q7-Q9): one plan for one query or a whole query table.
 
     queries -> analyzer (whole text) -> filters (lenient | strict) [-> stems]
-      -> (query_id, term, mult) [broadcast, checked size]
-      ⋈ postings (term IN pushed to the scan for few terms)
+      -> (query_id, term, mult)
+      ⋈ postings (known terms can be pushed into the scan)
       -> sum(weight * mult) per (query_id, doc_id)
       -> top k per query (WindowGroupLimit both sides of the shuffle)
       -> names (mapping joined after the cut)
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
-from ..functions.text import score_text
+from ..functions.text import fixed_decimal, score_text
 from ..operators import query as Q
 from .build import Index
 
@@ -24,37 +24,53 @@ def default_mode(index: Index) -> str:
     return "strict" if index.profile == "stemmed" else "lenient"
 
 
-def query_plan(index: Index, queries: DataFrame, k: int = R.TOP_K, mode: str | None = None) -> dict:
+def query_plan(index: Index, queries: DataFrame, k: int = R.TOP_K, mode: str | None = None,
+               terms: list[str] | None = None) -> dict:
     """All intermediate tables of a search, keyed by operator name."""
     if index.profile == "raw":
         raise ValueError("the raw profile stores counts, not weights; build a weighted or stemmed index")
     mode = mode or default_mode(index)
     qtok = Q.query_tokens(queries, index.analyzer)
-    terms = Q.query_terms(qtok, mode, stemmed=index.profile == "stemmed")
-    matches = Q.lookup(terms, index.postings)
+    found = Q.query_terms(qtok, mode, stemmed=index.profile == "stemmed")
+    matches = Q.lookup(found, index.postings, terms)
     scores = Q.accumulate(matches)
     top = Q.top_k(scores, k)
-    return {"tokens": qtok, "terms": terms, "matches": matches, "scores": scores, "top": top}
+    return {"tokens": qtok, "terms": found, "matches": matches, "scores": scores, "top": top}
+
+
+def known_terms(index: Index, queries: DataFrame, mode: str | None = None, most: int = 1000) -> list[str] | None:
+    """The distinct terms of a small query table, for a push into the scan of a
+    saved index; None if there are more than ``most``. Runs a job."""
+    found = query_plan(index, queries, mode=mode)["terms"].select("term").distinct().limit(most + 1).collect()
+    return [r.term for r in found] if len(found) <= most else None
 
 
 def search_many(index: Index, queries: DataFrame, k: int = R.TOP_K, mode: str | None = None,
-                n_queries: int | None = None) -> DataFrame:
+                n_queries: int | None = None, push_terms: bool = False) -> DataFrame:
     """(query_id, rank, doc_id, name, score) for a table (query_id, text).
 
-    ``n_queries`` is a known bound on the number of queries; without it the
-    table is counted up to the broadcast bound.
+    ``n_queries`` is a known bound on the number of queries. Nothing runs until
+    the result is used, unless ``push_terms`` asks for ``known_terms`` first.
     """
-    plan = query_plan(index, queries, k, mode)
-    if n_queries is None:
-        n_queries = Q._bounded_rows(queries, max(1, Q.BROADCAST_ROWS // max(k, 1)))
-    return Q.resolve_names(plan["top"], index.mapping, bound_rows=n_queries * k)
+    terms = known_terms(index, queries, mode) if push_terms else None
+    plan = query_plan(index, queries, k, mode, terms)
+    return Q.resolve_names(plan["top"], index.mapping, bound_rows=None if n_queries is None else n_queries * k)
 
 
-def search(index: Index, text: str, k: int = R.TOP_K, mode: str | None = None) -> DataFrame:
+def search(index: Index, text: str, k: int = R.TOP_K, mode: str | None = None, push_terms: bool = False) -> DataFrame:
     """One query string -> (query_id=0, rank, doc_id, name, score)."""
     spark = index.postings.sparkSession
     queries = spark.createDataFrame([(0, text)], "query_id long, text string")
-    return search_many(index, queries, k, mode, n_queries=1)
+    return search_many(index, queries, k, mode, n_queries=1, push_terms=push_terms)
+
+
+def result_lines(results: DataFrame, decimals: int | None = None) -> DataFrame:
+    """(query_id, rank, line): the result line of the weighted stage's query
+    tool, with the whole score or so many decimals."""
+    score = F.col("score").cast("string") if decimals is None else fixed_decimal(F.col("score"), decimals)
+    return results.select("query_id", "rank", F.concat(
+        F.lit("docid: "), F.col("doc_id").cast("string"), F.lit(", document name: "), F.col("name"),
+        F.lit(", weight: "), score).alias("line"))
 
 
 def formatted(results: DataFrame) -> DataFrame:

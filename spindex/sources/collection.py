@@ -5,7 +5,7 @@ A collection is a DataFrame ``doc_id BIGINT, name STRING, body STRING``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import natural_key
@@ -30,33 +30,40 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scan_documents(spark: SparkSession, path: str, glob: str = "*.html") -> DataFrame:
-    """Directory of text files -> (name, body); one row per file, whole text."""
-    df = spark.read.text(path, wholetext=True, pathGlobFilter=glob)
-    return df.select(
-        F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1).alias("name"),
-        F.col("value").alias("body"),
-    )
+    """Directory of text files -> (name, body, path); one row per file, whole
+    text. Names may repeat over folders, paths don't."""
+    df = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True, pathGlobFilter=glob)
+    return df.select(F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))).alias("name"), F.col("value").alias("body"),
+                     F.col("_metadata.file_path").alias("path"))
 
 
 def from_table(df: DataFrame, body: str | Column, name: str | Column | None = None,
-               doc_id: str | Column | None = None, partitions: int | None = None) -> DataFrame:
+               doc_id: str | Column | None = None, partitions: int | None = None,
+               key: str | Column | None = None) -> DataFrame:
     """A collection from any table.
 
     ``doc_id`` given: taken as the dense 0-based id (the caller vouches for it).
-    Otherwise ids are assigned in natural order of ``name`` (see ``assign_doc_ids``).
+    Otherwise ids are assigned in natural order of ``name`` (see
+    ``assign_doc_ids``); names may be null or repeat. ``key`` is a column that
+    is unique and not null, such as a path: with it only names are numbered and
+    the ids joined to the bodies; without it the bodies move with the names.
     """
-    b = F.col(body) if isinstance(body, str) else body
-    n = F.col(name) if isinstance(name, str) else name
+    col = lambda c: F.col(c) if isinstance(c, str) else c
+    b, n = col(body), None if name is None else col(name)
     if doc_id is not None:
-        i = F.col(doc_id) if isinstance(doc_id, str) else doc_id
+        i = col(doc_id)
         if n is None:
             n = i.cast("string")
         return balanced(df.select(i.cast("long").alias("doc_id"), n.alias("name"), b.alias("body")), partitions)
     if n is None:
         raise ValueError("a collection needs a doc_id or a name column")
-    named = df.select(n.alias("name"), b.alias("body"))
-    ids = assign_doc_ids(named.select("name"))
-    return balanced(ids.join(named, "name").select("doc_id", "name", "body"), partitions)
+    if key is None:
+        numbered = assign_doc_ids(df.select(n.alias("name"), b.alias("body")))
+    else:
+        named = df.select(n.alias("name"), b.alias("body"), col(key).alias("_key"))
+        ids = assign_doc_ids(named.select("name", "_key"), tiebreak=["_key"])
+        numbered = ids.select("doc_id", "_key").join(named, "_key")
+    return balanced(numbered.select("doc_id", "name", "body"), partitions)
 
 
 def pages_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +95,17 @@ def limit_collection(collection: DataFrame, n: int = MAX_DOCS) -> DataFrame:
     return collection.where(F.col("doc_id") < F.lit(n))
 
 
+def limited(df: DataFrame, body: str | Column, name: str | Column, n: int = MAX_DOCS) -> DataFrame:
+    """A collection of the first ``n`` rows in natural order of ``name``. Only
+    they are numbered: each task keeps its first n, and n rows meet in one."""
+    col = lambda c: F.col(c) if isinstance(c, str) else c
+    order = ["_nk", "name"]
+    first = (df.select(col(name).alias("name"), col(body).alias("body")).withColumn("_nk", natural_key(F.col("name")))
+             .orderBy(*order).limit(n))
+    place = F.row_number().over(Window.orderBy(*order)) - 1
+    return first.select(place.cast("long").alias("doc_id"), "name", "body")
+
+
 def mapping(collection: DataFrame) -> DataFrame:
     """(doc_id, name)."""
     return collection.select("doc_id", "name")

@@ -46,7 +46,7 @@ def read_index(spark: SparkSession, path: str) -> Index:
     row = meta.first()
     dictionary = spark.read.parquet(f"{path}/dictionary")
     return Index(postings=spark.read.parquet(f"{path}/postings"),
-                 terms=dictionary.select("term", "num_docs", "coll_freq"),
+                 terms=dictionary.select("term", "num_docs", "coll_freq", "start"),
                  mapping=spark.read.parquet(f"{path}/mapping"),
                  n_docs=meta.select("n_docs"), profile=row.profile, analyzer=row.analyzer)
 
@@ -66,7 +66,7 @@ def mapping_text(mapping: DataFrame) -> DataFrame:
 
 
 def dictionary_text(dictionary: DataFrame) -> DataFrame:
-    """``<term cut/padded to 5>\\t<num_docs to 4>\\t<start to 8>``."""
+    """``<term padded to 5>\\t<num_docs to 4>\\t<start to 8>``."""
     line = F.concat(pad(F.col("term"), R.WIDTH_TERM), F.lit("\t"), pad(F.col("num_docs"), R.WIDTH_NUM_DOCS),
                     F.lit("\t"), pad(F.col("start"), R.WIDTH_START))
     return dictionary.select("term", line.alias("line"))
@@ -90,11 +90,34 @@ def write_text_layout(index: Index, path: str) -> None:
         .select("line").write.mode("overwrite").text(f"{path}/postings_text")
 
 
+def raw_mapping_text(mapping: DataFrame) -> DataFrame:
+    """``<id> \t <name>``"""
+    return mapping.select("doc_id", F.concat(F.col("doc_id").cast("string"), F.lit(" \t "), F.col("name")).alias("line"))
+
+
+def raw_dictionary_text(index: Index) -> DataFrame:
+    """``<term>\t<num_docs>\t<end>``; a term's postings are the num_docs lines before ``end``."""
+    d = exclusive_prefix_sum(index.terms.select("term", "num_docs"), ["term"], "num_docs", out_col="end", inclusive=True)
+    return d.select("term", F.concat_ws("\t", "term", F.col("num_docs").cast("string"),
+                                        F.col("end").cast("string")).alias("line"))
+
+
+def raw_postings_text(index: Index) -> DataFrame:
+    """``<doc id> \t <frequency>``"""
+    return index.postings.select("term", "doc_id", F.concat(
+        F.col("doc_id").cast("string"), F.lit(" \t "), F.col("raw_freq").cast("string")).alias("line"))
+
+
+def _write_lines(df: DataFrame, order: list[str], header: str, path: str) -> None:
+    """Plain lines (nothing quoted or trimmed) in order, under a header a file."""
+    (df.repartitionByRange(*order).sortWithinPartitions(*order).select(F.col("line").alias(header))
+     .write.mode("overwrite").option("header", True).option("sep", "\x01").option("quote", "").option("escape", "")
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
 def write_raw_text(index: Index, path: str) -> None:
-    """The raw stage's tab-separated files with header rows."""
-    index.mapping.write.mode("overwrite").option("sep", "\t").option("header", True).csv(f"{path}/mapping_raw")
-    dictionary = exclusive_prefix_sum(index.terms, ["term"], "num_docs", out_col="end", inclusive=True)
-    dictionary.select("term", "num_docs", "end").write.mode("overwrite").option("sep", "\t") \
-        .option("header", True).csv(f"{path}/dictionary_raw")
-    index.postings.select("term", "doc_id", "raw_freq").write.mode("overwrite").option("sep", "\t") \
-        .option("header", True).csv(f"{path}/postings_raw")
+    """The raw stage's files: header rows, dictionary and postings in term
+    order, so the offsets count lines of the postings files in name order."""
+    _write_lines(raw_mapping_text(index.mapping), ["doc_id"], "DOCID \t FREQUENCY", f"{path}/mapping_raw")
+    _write_lines(raw_dictionary_text(index), ["term"], "TERM \t NUMDOC \t START", f"{path}/dictionary_raw")
+    _write_lines(raw_postings_text(index), ["term", "doc_id"], "DOCID \t FREQUENCY", f"{path}/postings_raw")

@@ -49,3 +49,32 @@ def test_limit_collection(spark):
     df = spark.createDataFrame([(f"{i}.html", "x") for i in range(20)], "name string, body string")
     coll = C.from_table(df, "body", "name")
     assert sorted(r.name for r in C.limit_collection(coll, 5).collect()) == [f"{i}.html" for i in range(5)]
+
+
+def test_names_null_repeated_and_encoded(spark, scratch):
+    df = spark.createDataFrame([("index.html", "a"), ("index.html", "b"), (None, "c"), ("b.html", "d")], "name string, body string")
+    rows = C.from_table(df, "body", "name").collect()
+    assert sorted(r.doc_id for r in rows) == [0, 1, 2, 3]
+    assert sorted(((r.name or "", r.body) for r in rows)) == [("", "c"), ("b.html", "d"), ("index.html", "a"), ("index.html", "b")]
+    for folder in ("x", "y"):
+        os.makedirs(os.path.join(scratch, folder))
+        for name in ("a b.html", "index.html"):
+            with open(os.path.join(scratch, folder, name), "w") as f:
+                f.write(f"{folder} {name}")
+    scan = C.scan_documents(spark, scratch)
+    assert sorted(r.name for r in scan.collect()) == ["a b.html", "a b.html", "index.html", "index.html"]
+    rows = sorted((r.doc_id, r.name, r.body) for r in C.from_table(scan, "body", "name", key="path").collect())
+    assert [r[0] for r in rows] == [0, 1, 2, 3] and len({r[2] for r in rows}) == 4
+
+
+def test_tilde_sorts_before_the_end(spark):
+    df = spark.createDataFrame([("ab",), ("a",), ("a~",), ("a~1",), ("a1",), ("9" * 12_000,)], "name string")
+    order = [r.name for r in C.assign_doc_ids(df).orderBy("doc_id").collect()]
+    assert order == ["9" * 12_000, "a~", "a~1", "a", "a1", "ab"]
+
+
+def test_limited_numbers_only_what_it_keeps(spark):
+    df = spark.createDataFrame([(f"{i}.html", "x") for i in range(20)], "name string, body string").repartition(7)
+    coll = C.limited(df, "body", "name", 5)
+    assert "TakeOrderedAndProject" in coll._jdf.queryExecution().executedPlan().toString()
+    assert [(r.doc_id, r.name) for r in coll.orderBy("doc_id").collect()] == [(i, f"{i}.html") for i in range(5)]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMOKE
 from spindex.operators import tokens as T
 from spindex.plans.build import build_index
-from spindex.plans.search import query_plan, search_many
+from spindex.plans.search import query_plan, search, search_many
 from spindex.sources import collection as C
 
 
@@ -83,17 +83,36 @@ def test_collection_tokenized_once(pages, profile, prune):
     assert final.count("Generate posexplode") == 1
 
 
-def test_paths_beyond_size_bounds_give_same_results(spark, index, monkeypatch):
-    # the small tables always fit the broadcast and pushdown bounds; shrink the
-    # bounds so the plain-join paths (as on large query tables) run too
-    from spindex.operators import query as Q
+def test_search_runs_no_job(spark, index):
     qs = C.read_table(spark, SF_SMOKE, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    base = sorted(tuple(r) for r in search_many(index, qs).collect())
-    missing = sorted(tuple(r) for r in Q.missing_terms(query_plan(index, qs)["terms"], index.terms).collect())
-    monkeypatch.setattr(Q, "BROADCAST_ROWS", 1)
-    monkeypatch.setattr(Q, "PUSHDOWN_TERMS", 0)
-    assert sorted(tuple(r) for r in search_many(index, qs).collect()) == base
-    assert sorted(tuple(r) for r in Q.missing_terms(query_plan(index, qs)["terms"], index.terms).collect()) == missing
+    spark.sparkContext.setJobGroup("lazy-search", "no job expected")
+    try:
+        search(index, "the edon tion")
+        search_many(index, qs)
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("lazy-search")) == 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_pushed_terms_change_nothing(spark, index):
+    qs = C.read_table(spark, SF_SMOKE, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    assert sorted(map(tuple, search_many(index, qs, push_terms=True).collect())) == sorted(
+        map(tuple, search_many(index, qs).collect()))
+
+
+def test_long_documents_rank_by_their_full_weight(spark):
+    bodies = ["kiwi " + "pear " * 19_999, "kiwi " + "pear " * 20_099]
+    docs = spark.createDataFrame([(i, f"{i}.html", b) for i, b in enumerate(bodies)], "doc_id long, name string, body string")
+    assert [r.doc_id for r in search(build_index(docs, "weighted", prune=None), "kiwi").orderBy("rank").collect()] == [0, 1]
+
+
+def test_skew_join_must_be_on(spark, pages):
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    try:
+        with pytest.raises(RuntimeError):
+            build_index(pages, "weighted")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.skewJoin.enabled")
 
 
 @pytest.mark.parametrize("profile", ["weighted", "stemmed"])

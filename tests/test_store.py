@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMOKE, collection
 from spindex.plans.build import build_index
-from spindex.plans.search import query_plan, search, search_many
+from spindex.plans.search import known_terms, query_plan, search, search_many
 from spindex.sources import collection as C
 from spindex.sources import index_store as S
 
@@ -37,11 +37,10 @@ def test_single_query_pushes_term_filter(spark, scratch):
     S.write_index(idx, f"{scratch}/w")
     back = S.read_index(spark, f"{scratch}/w")
     qs = spark.createDataFrame([(0, "kiwi")], "query_id long, text string")
-    top = query_plan(back, qs)["top"]
+    top = query_plan(back, qs, terms=known_terms(back, qs))["top"]
     assert "EqualTo(term,kiwi)" in top._jdf.queryExecution().executedPlan().toString()  # one term read
-    df = search(back, "kiwi")
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "EqualTo(doc_id,1)" in plan          # the mapping scan reads the hits only
+    df = search(back, "kiwi", push_terms=True)
+    assert "EqualTo(term,kiwi)" in df._jdf.queryExecution().executedPlan().toString()
     assert [r.doc_id for r in df.collect()] == [1]
 
 
@@ -50,7 +49,7 @@ def test_text_layouts(spark):
     m = [r.line for r in S.mapping_text(idx.mapping).orderBy("doc_id").collect()]
     assert m == ["0   \t     0.html", "1   \t     1.html", "2   \t     2.html"]
     d = {r.term: r.line for r in S.dictionary_text(idx.dictionary("start")).collect()}
-    assert d["banana"] == "banan\t2   \t1       "
+    assert d["banana"] == "banana\t2   \t1       "
     p = {(r.term, r.doc_id): r.line for r in S.postings_text(idx.postings).collect()}
     assert p[("apple", 0)] == "0   \t0.984748"
 
@@ -61,11 +60,46 @@ def test_text_sinks_write(spark, scratch):
     assert [r.value for r in spark.read.text(f"{scratch}/txt/mapping_text").collect()] == \
         ["0   \t     0.html", "1   \t     1.html", "2   \t     2.html"]
     lines = [r.value for r in spark.read.text(f"{scratch}/txt/dictionary_text").collect()]
-    assert lines == ["apple\t1   \t0       ", "banan\t2   \t1       ", "cherr\t1   \t3       "]
+    assert lines == ["apple\t1   \t0       ", "banana\t2   \t1       ", "cherry\t1   \t3       "]
     posts = [r.value for r in spark.read.text(f"{scratch}/txt/postings_text").collect()]
     assert posts == ["0   \t0.984748", "0   \t0.392030", "1   \t0.392030", "1   \t0.492374"]
     raw = build_index(collection(spark, ["apple banana apple", "banana cherry the", ""]), "raw")
     S.write_raw_text(raw, f"{scratch}/raw")
-    d = spark.read.option("sep", "\t").option("header", True).csv(f"{scratch}/raw/dictionary_raw")
-    assert sorted((r.term, r.num_docs, r.end) for r in d.collect()) == \
-        [("apple", "1", "1"), ("banana", "2", "3"), ("cherry", "1", "4"), ("the", "1", "5")]
+    d, p = plain_lines(f"{scratch}/raw/dictionary_raw"), plain_lines(f"{scratch}/raw/postings_raw")
+    assert d == ["apple\t1\t1", "banana\t2\t3", "cherry\t1\t4", "the\t1\t5"]
+    assert p == ["0 \t 2", "0 \t 1", "1 \t 1", "1 \t 1", "1 \t 1"]
+
+
+def plain_lines(folder):
+    """Lines of a folder's files in name order, without their headers."""
+    import glob
+    out = []
+    for name in sorted(glob.glob(f"{folder}/part-*")):
+        with open(name, encoding="utf-8", newline="\n") as f:
+            out += f.read().split("\n")[1:-1]
+    return out
+
+
+def test_raw_offsets_point_at_postings(spark, scratch):
+    pages = C.pages_collection(spark, SF_SMOKE)
+    idx = build_index(pages, "raw")
+    S.write_raw_text(idx, f"{scratch}/raw")
+    lines = plain_lines(f"{scratch}/raw/postings_raw")
+    want = {}
+    for r in idx.postings.collect():
+        want.setdefault(r.term, []).append((r.doc_id, r.raw_freq))
+    rows = [x.rsplit("\t", 2) for x in plain_lines(f"{scratch}/raw/dictionary_raw")]
+    assert len(rows) == len(want) and len(lines) == sum(map(len, want.values()))
+    for term, n, end in rows:
+        got = [tuple(map(int, x.split(" \t "))) for x in lines[int(end) - int(n):int(end)]]
+        assert got == sorted(want[term])
+
+
+def test_exports_keep_long_values(spark):
+    ids = spark.createDataFrame([(12345, "12345678.html")], "doc_id long, name string")
+    assert S.mapping_text(ids).first().line.split("\t") == ["12345", "12345678.html"]
+    d = spark.createDataFrame([("inform", 12345, 123456789), ("infora", 1, 0)], "term string, num_docs long, start long")
+    lines = [r.line.split("\t") for r in S.dictionary_text(d).collect()]
+    assert [[x.strip() for x in y] for y in lines] == [["inform", "12345", "123456789"], ["infora", "1", "0"]]
+    p = spark.createDataFrame([("t", 12345, 12.5)], "term string, doc_id long, weight double")
+    assert S.postings_text(p).first().line == "12345\t12.500000"
