@@ -29,14 +29,17 @@ IGNORE_CLASS = r'[ \[\]+$|=%*{}/0\-"#>();:!?.,\t\x{a0}\x{85}\x{e2}\x{0}]'
 # Line breaks: universal newlines, no token crosses a line.
 LINE_SPLIT = r"\r\n|\r|\n"
 
-# Longest comma-joined selector chain the JVM pattern follows: the JVM regex
-# recurses once per chain member. Lines that could hold a longer chain (a '{'
-# and at least this many commas) are scanned exactly by exact_scan instead.
-CSS_CHAIN_CAP = 200
-
-# Unspaced runs at least this long, in a line with an '@', are scanned exactly
-# as well: the e-mail rule's regex re-scans the run from every word start.
-LONG_RUN = 2048
+# Marks that ``analyzer.marked`` puts into a line before it is scanned, so that
+# the costly rules are tried only where they match (Unicode noncharacters; one
+# that stands in a text already becomes U+FDEF, which no rule knows either).
+M_CSS = "﷐"      # before each character at which the CSS rule matches
+M_BRACE = "﷑"    # the '{' at which such a match turns to its block
+M_OPEN = "﷒"     # a '<' that no '>' follows
+M_MAIL = "﷓"     # before each character at which the e-mail rule matches
+M_DOT = "﷔"      # the '.' before such a match's tail
+M_ANY = "﷕"      # a '{' that a block follows, while marks are made
+MARKS = M_CSS + M_BRACE + M_OPEN + M_MAIL + M_DOT + M_ANY
+NO_MARK = "﷯"
 
 # ---------------------------------------------------------------------------
 # Token rules
@@ -44,14 +47,33 @@ LONG_RUN = 2048
 _B = BLANK
 _W = WORDCH
 CSS_RE2 = rf"(?:[^{_B}]*,[{_B}]+)*[^{_B}]+[{_B}]*\{{[^}}]+\}}"
-CSS_JAVA = rf"(?:[^{_B}]*,[{_B}]+){{0,{CSS_CHAIN_CAP}}}[^{_B}]+[{_B}]*\{{[^}}]+\}}"
 ENTITY = rf"&[{_W}]+"
 TAG = r"<[^>]+>"
 URL = rf"(?:https?://|www[^\n])[^{_B}</]+"
 NUMBER = rf"[1-9][{DIGIT},.\-]*"
 EMAIL = rf"[^{_B}]+@[^{_B}]+\.[^<{_B},?!.]+"
+MAIL_TAIL = rf"[^<{_B},?!.{M_OPEN}]"
 WORD_RE2 = rf"[A-z](?:[{_W}'\-]+|\.[{_W}]|<[^>]+>)*"
-WORD_JAVA = rf"[A-z](?:[{_W}'\-]++|\.[{_W}]|<[^>]+>)*+"
+
+# The same rules for java.util.regex over a marked line, without backtracking:
+# every part is possessive, and marks may stand before any character.
+_M = f"[{M_CSS}{M_MAIL}]*+"
+IGNORE_JAVA = rf"(?:{_M}[{IGNORE_CLASS[1:-1]}{M_BRACE}{M_DOT}])++"
+CSS_JAVA = rf"{M_CSS}[^{M_BRACE}]*+{M_BRACE}[^}}]++\}}"
+ENTITY_JAVA = rf"{_M}&(?:{_M}[{_W}])++"
+TAG_JAVA = rf"{_M}<(?!{_M}>)[^>]++>"
+URL_JAVA = (_M + _M.join("http") + rf"(?:{_M}s)?" + _M + _M.join("://"), _M + _M.join("www") + rf"{_M}[^\n{M_CSS}{M_MAIL}]")
+URL_JAVA = rf"(?:{URL_JAVA[0]}|{URL_JAVA[1]})(?:{_M}[^{_B}</{M_OPEN}{M_CSS}{M_MAIL}])++"
+NUMBER_JAVA = rf"{_M}[1-9](?:{_M}[{DIGIT},.\-{M_DOT}])*+"
+EMAIL_JAVA = rf"{M_MAIL}[^{M_DOT}]*+{M_DOT}{MAIL_TAIL}++"
+WORD_JAVA = rf"[A-z](?:(?:{_M}[{_W}'\-])++|{_M}[.{M_DOT}]{_M}[{_W}]|{_M}<(?!{_M}>)[^>]++>)*+"
+
+# And over a line without marks (the CSS and the e-mail rule match nowhere in it).
+IGNORE_PLAIN = IGNORE_CLASS + "++"
+TAG_PLAIN = r"<[^>]++>"
+URL_PLAIN = rf"(?:https?://|www[^\n])[^{_B}</{M_OPEN}]++"
+NUMBER_PLAIN = rf"[1-9][{DIGIT},.\-]*+"
+WORD_PLAIN = rf"[A-z](?:[{_W}'\-]++|\.[{_W}]|<[^>]++>)*+"
 
 # Normalizer patterns (removed from the lower-cased / raw lexeme)
 URL_STRIP = r"https://|http://|www\."
@@ -98,29 +120,33 @@ TOP_K = 10
 class Rule:
     """One token rule. ``emit`` False means the lexeme is consumed and dropped.
 
-    ``gate`` names a character without which the rule cannot match a line;
-    the JVM pattern for a line leaves the rule out when the character is
-    absent (exact, and it keeps the costly rules off ordinary lines).
-    ``norm`` names the normalizer applied to an emitted lexeme.
+    ``java`` is its pattern over a marked line, ``plain`` over one without
+    marks (None: it matches nowhere there), ``re2`` the plain form of the
+    oracle. ``norm`` names the normalizer applied to an emitted lexeme.
     """
 
     kind: str
     java: str
+    plain: str | None
     re2: str
     emit: bool
     norm: str | None = None
-    gate: str | None = None
 
 
+_TAG = Rule("tag", TAG_JAVA, TAG_PLAIN, TAG, emit=False)
+_ENTITY = Rule("entity", ENTITY_JAVA, ENTITY, ENTITY, emit=False)
+_NUMBER = Rule("number", NUMBER_JAVA, NUMBER_PLAIN, NUMBER, emit=True, norm="number")
+_WORD = Rule("word", WORD_JAVA, WORD_PLAIN, WORD_RE2, emit=True, norm="word")
+
 # The full analyzer: rules tried in this order at each position, first match wins.
 FULL_RULES = (
-    Rule("css", CSS_JAVA, CSS_RE2, emit=False, gate="{"),
-    Rule("entity", ENTITY, ENTITY, emit=False),
-    Rule("tag", TAG, TAG, emit=False),
-    Rule("url", URL, URL, emit=True, norm="url"),
-    Rule("number", NUMBER, NUMBER, emit=True, norm="number"),
-    Rule("email", EMAIL, EMAIL, emit=True, norm="keep", gate="@"),
-    Rule("word", WORD_JAVA, WORD_RE2, emit=True, norm="word"),
+    Rule("css", CSS_JAVA, None, CSS_RE2, emit=False),
+    _ENTITY,
+    _TAG,
+    Rule("url", URL_JAVA, URL_PLAIN, URL, emit=True, norm="url"),
+    _NUMBER,
+    Rule("email", EMAIL_JAVA, None, EMAIL, emit=True, norm="keep"),
+    _WORD,
 )
 
 # The earlier, compact analyzer: no CSS rule, other order, other normalizers.
@@ -128,12 +154,12 @@ FULL_RULES = (
 # start with disjoint characters ('&' against [A-z]), so listing entity last
 # changes no match and keeps the emitted rules contiguous.
 COMPACT_RULES = (
-    Rule("tag", TAG, TAG, emit=False),
-    Rule("url", URL, URL, emit=True, norm="url_compact"),
-    Rule("email", EMAIL, EMAIL, emit=True, norm="email_compact", gate="@"),
-    Rule("number", NUMBER, NUMBER, emit=True, norm="number"),
-    Rule("word", WORD_JAVA, WORD_RE2, emit=True, norm="word"),
-    Rule("entity", ENTITY, ENTITY, emit=False),
+    _TAG,
+    Rule("url", URL_JAVA, URL_PLAIN, URL, emit=True, norm="url_compact"),
+    Rule("email", EMAIL_JAVA, None, EMAIL, emit=True, norm="email_compact"),
+    _NUMBER,
+    _WORD,
+    _ENTITY,
 )
 
 RULE_SETS = {"full": FULL_RULES, "compact": COMPACT_RULES}

@@ -20,8 +20,6 @@ RESULT_ROWS = 1_000_000
 
 def query_tokens(queries: DataFrame, analyzer: str = "full") -> DataFrame:
     """(query_id, pos, token): the document analyzer on each query text, read whole."""
-    from ..session import ship_package
-    ship_package(queries.sparkSession)
     toks = A.tokens(F.col("text"), analyzer, by_line=False)
     return (queries.select("query_id", F.posexplode_outer(toks).alias("pos", "token"))
             .where(F.col("token").isNotNull())

@@ -16,8 +16,6 @@ PROFILES = ("raw", "weighted", "stemmed")
 
 def document_lexemes(collection: DataFrame, analyzer: str = "full") -> DataFrame:
     """(doc_id, lexemes, doc_len): one raw lexeme per token; empty documents included."""
-    from ..session import ship_package
-    ship_package(collection.sparkSession)
     lx = A.lexemes(F.col("body"), analyzer)
     return collection.select("doc_id", lx.alias("lexemes")).withColumn(
         "doc_len", F.size("lexemes").cast("long"))

@@ -59,7 +59,7 @@ def kind_case(x: str, analyzer: str = "full") -> str:
 
 def lexemes_sql(body: str, analyzer: str = "full", by_line: bool = True, group: int = 1) -> str:
     """Rule lexemes (group 1) or all lexemes, ignored runs included (group 0)."""
-    pattern = lit(A.line_pattern(analyzer, java=False))
+    pattern = lit(A.line_pattern(analyzer, "re2"))
     text = f"coalesce({body}, '')"
     if not by_line:
         arr = f"regexp_extract_all({text}, {pattern}, {group})"
