@@ -4,7 +4,7 @@ Layout under one folder:
   postings/    term, doc_id, raw_freq, tf, weight — range-partitioned and
                sorted on (term, doc_id): a term's postings are contiguous and
                a term predicate skips row groups by their statistics
-  dictionary/  term, num_docs, coll_freq, start — sorted on term
+  dictionary/  term, num_docs, coll_freq, start — sorted on term in each file
   mapping/     doc_id, name — sorted on doc_id
   meta/        one row: profile, analyzer, n_docs
 """
@@ -32,8 +32,7 @@ def write_index(index: Index, path: str, mode: str = "overwrite") -> None:
     terms = written.groupBy("term").agg(F.count(F.lit(1)).alias("num_docs"),
                                         F.sum("raw_freq").cast("long").alias("coll_freq"))
     dictionary = exclusive_prefix_sum(terms, ["term"], "num_docs", out_col="start")
-    (dictionary.select("term", "num_docs", "coll_freq", "start")
-     .repartitionByRange("term").sortWithinPartitions("term")
+    (dictionary.select("term", "num_docs", "coll_freq", "start").sortWithinPartitions("term")
      .write.mode(mode).parquet(f"{path}/dictionary"))
     (index.mapping.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
      .write.mode(mode).parquet(f"{path}/mapping"))
