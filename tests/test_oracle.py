@@ -46,5 +46,6 @@ def test_entry_runs(spark):
     assert df.count() >= 0
 
 
-def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+def test_every_library_query_has_an_oracle():
+    from spindex import catalog
+    assert set(catalog.QUERIES) == set(catalog.SQL) and set(E.oracle_sql()) <= set(E.queries())
