@@ -1,3 +1,4 @@
+import functools
 import random
 import zlib
 
@@ -11,8 +12,11 @@ from spindex.llm.common import shared_path
 from spindex.llm.token_ids import encoder
 
 
+library = functools.cache(Tokenizer.from_file)
+
+
 def plain(path, text):
-    return Tokenizer.from_file(path).encode(text or "", add_special_tokens=False).ids
+    return library(path).encode(text or "", add_special_tokens=False).ids
 
 
 def crc(ids):
