@@ -42,12 +42,14 @@ MANIFEST = "part int, path string, n_docs long, n_tokens long, n_bytes long"
 MANIFEST_ARROW = pa.schema([("part", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()),
                             ("n_tokens", pa.int64()), ("n_bytes", pa.int64())])
 DOCS = "doc_id long, start long, n_tokens long, ids binary"
+SUMS = "doc_id long, start long, n_tokens long, ids_crc32 long"
+SUMS_ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 DOCS_ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 
 
 def to_planes(ids: np.ndarray, unit: str) -> list[bytes]:
     """The 4 byte planes or 32 bit planes of uint32 ids, lowest first; a plane of zeros is empty."""
-    by_byte = np.ascontiguousarray(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    by_byte = np.ascontiguousarray(ids.astype("<u4", copy=False).view(np.uint8).reshape(-1, 4).T)
     out = []
     for plane in by_byte:
         if not plane.any():
@@ -195,14 +197,14 @@ def write_planes(docs: DataFrame, out: str, path: str, end_id: int, unit: str =
                                    MANIFEST), "planes-manifest")
 
 
-def read_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows = Rows(DOCS_ARROW)
+def read_part(batches: Iterator[pa.RecordBatch], sums: bool) -> Iterator[pa.RecordBatch]:
+    rows = Rows(SUMS_ARROW if sums else DOCS_ARROW)
     for batch in batches:
         for file, start in columns_of(batch, "path", "base"):
             fs, name = filesystem(file)
             with fs.open_input_file(name) as f:
                 for doc_id, ids in Reader(f, f.size()).documents():
-                    rows.add(doc_id, start, len(ids) // 4, ids, weight=len(ids))
+                    rows.add(doc_id, start, len(ids) // 4, zlib.crc32(ids) if sums else ids, weight=0 if sums else len(ids))
                     start += len(ids) // 4
                     if rows.full():
                         yield rows.take()
@@ -210,9 +212,10 @@ def read_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows.take()
 
 
-def read_planes(spark: SparkSession, manifest: DataFrame) -> DataFrame:
+def read_planes(spark: SparkSession, manifest: DataFrame, sums: bool = False) -> DataFrame:
     """(doc_id, start, n_tokens, ids): the documents of all files, one task a
-    file. The manifest has one row a file, which is one a task of the writing
+    file; with ``sums`` a checksum ``ids_crc32`` of the ids in their place,
+    taken where they are read. The manifest has one row a file, which is one a task of the writing
     job: the driver numbers the files' first ids."""
     workers(spark)
     files, base, rows = sorted(manifest.select("part", "path", "n_tokens").collect()), 0, []
@@ -222,7 +225,7 @@ def read_planes(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     table = spark.createDataFrame(rows, "path string, base long")
     if rows:
         table = table.repartitionByRange(len(rows), "base")
-    return table.mapInArrow(read_part, DOCS)
+    return table.mapInArrow(partial(read_part, sums=sums), SUMS if sums else DOCS)
 
 
 def digests(read: DataFrame) -> DataFrame:

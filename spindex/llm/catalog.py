@@ -35,7 +35,7 @@ def op2_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_bitplane_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shared_path(spark, "planes")
     manifest = bitplane.write_planes(documents(spark, sf_dir), out, vocabulary(), end_id=2)
-    return bitplane.digests(bitplane.read_planes(spark, manifest))
+    return bitplane.read_planes(spark, manifest, sums=True)
 
 
 @query

@@ -111,7 +111,9 @@ def test_file_blocks_and_damage(tmp_path):
 
 
 def check_planes(spark, docs, vocabulary, unit):
-    got = P.digests(P.read_planes(spark, P.write_planes(docs, shared_path(spark, "planes"), vocabulary, 2, unit))).collect()
+    manifest = P.write_planes(docs, shared_path(spark, "planes"), vocabulary, 2, unit)
+    got = P.digests(P.read_planes(spark, manifest)).collect()
+    assert sorted(map(str, got)) == sorted(map(str, P.read_planes(spark, manifest, sums=True).collect()))
     want = {}
     for r in docs.collect():
         want.setdefault(r.doc_id, []).append(plain(vocabulary, r.text) + [2])
