@@ -1,10 +1,12 @@
 """Removal of passages that documents share, by content-defined chunks of lines.
 
 A rolling hash over the hashes of the last two lines decides after which lines
-a chunk ends (one place in ``DIVISOR`` on average), so a passage is cut alike
-in every document, whatever stands before it. Chunks of two lines or more that
-occur again anywhere (in another document or the same) keep their first
-occurrence, by (id, text hash, place); the others are removed.
+a chunk ends: those where it is smaller than at both neighbours. So the four
+lines around a place decide it, a passage is cut alike in every document,
+whatever stands before it, and every chunk has two lines or more (three on
+average), but for documents of one line. Chunks of two lines or more that occur
+again anywhere (in another document or the same) keep their first occurrence,
+by (id, text hash, place); the others are removed.
 
 First pass: a chunk is two 64-bit hashes; hashes found once are done. Second
 pass: the texts of chunks whose hashes were found again are compared byte for
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import lookup_join, saved, text_of
 
-DIVISOR, LEAST_LINES = 2, 2
+LEAST_LINES = 2
 #: Modulus and base of the rolling hash.
 PRIME, BASE = (1 << 31) - 1, 1_000_003
 #: Removed chunks up to which the table of them is broadcast.
@@ -43,12 +45,15 @@ def with_chunks(docs: DataFrame) -> DataFrame:
     one = docs.withColumn("_llm_lines", F.split(text_of(), "\n"))
     one = one.withColumn("_llm_hashes", F.transform("_llm_lines", line_hash))
     h, n = F.col("_llm_hashes"), F.size("_llm_hashes")
+    one = one.withColumn("_llm_rolled", F.transform(
+        h, lambda own, i: (F.coalesce(F.get(h, i - 1), F.lit(0)) * BASE + own) % PRIME))
+    r = F.col("_llm_rolled")
 
     def ends(i: Column) -> Column:
-        rolled = (F.coalesce(F.get(h, i - 2), F.lit(0)) * BASE + F.get(h, i - 1)) % PRIME
-        return (F.floor(rolled / 8) % DIVISOR == 0) | (i == n)
+        own = F.get(r, i - 1)
+        return ((i >= LEAST_LINES) & (i <= n - LEAST_LINES) & (own < F.get(r, i - 2)) & (own <= F.get(r, i))) | (i == n)
 
-    return one.withColumn("_llm_ends", F.filter(F.sequence(F.lit(1), n), ends)).drop("_llm_hashes")
+    return one.withColumn("_llm_ends", F.filter(F.sequence(F.lit(1), n), ends)).drop("_llm_hashes", "_llm_rolled")
 
 
 def chunk(k: Column) -> Column:
@@ -120,10 +125,12 @@ SQL = f"""
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
            FROM documents WHERE text IS NOT NULL),
 h AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT % {PRIME} AS h FROM l),
-r AS (SELECT *, ((coalesce(lag(h) OVER d, 0) * {BASE} + h) % {PRIME}) // 8 % {DIVISOR} = 0 AS cut FROM h
+r AS (SELECT *, (coalesce(lag(h) OVER d, 0) * {BASE} + h) % {PRIME} AS r, count(*) OVER (PARTITION BY doc_id) AS n FROM h
       WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+m AS (SELECT *, i >= {LEAST_LINES} AND i <= n - {LEAST_LINES} AND coalesce(r < lag(r) OVER d AND r <= lead(r) OVER d, false) AS cut
+      FROM r WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
 c AS (SELECT *, coalesce(sum(cut::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k
-      FROM r),
+      FROM m),
 t AS (SELECT doc_id, k, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS text FROM c GROUP BY doc_id, k),
 g AS (SELECT doc_id, k, row_number() OVER (PARTITION BY text, n ORDER BY doc_id, k) > 1 AS gone FROM t WHERE n >= {LEAST_LINES}),
 o AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT coalesce(gone, false)) AS text,

@@ -150,14 +150,11 @@ def test_first_of_groups_keeps_columns(odd_docs):
 
 # -- line dedup ------------------------------------------------------------
 def chunks_by_hand(text):
-    lines, out, h0 = text.split("\n"), [[]], 0
-    for line in lines:
-        h = int(hashlib.md5(line.encode()).hexdigest()[:8], 16) % L.PRIME
-        out[-1].append(line)
-        if (h0 * L.BASE + h) % L.PRIME // 8 % L.DIVISOR == 0:
-            out.append([])
-        h0 = h
-    return [c for c in out if c]
+    lines = text.split("\n")
+    h = [0] + [int(hashlib.md5(line.encode()).hexdigest()[:8], 16) % L.PRIME for line in lines]
+    rolled = [(x * L.BASE + y) % L.PRIME for x, y in zip(h, h[1:], strict=False)]
+    ends = [k + 1 for k in range(1, len(lines) - 2) if rolled[k - 1] > rolled[k] <= rolled[k + 1]]
+    return [lines[i:j] for i, j in zip([0, *ends], [*ends, len(lines)], strict=True)]
 
 
 def lines_by_hand(rows):
@@ -192,7 +189,17 @@ def test_lines_by_hand(odd_docs, small_docs, no_docs, spark):
         assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in rows)
     # the passage's inner chunks are found wherever it stands
     left = sum(r.text.count("passage") for r in L.without_repeats(shared).collect())
-    assert left < 0.5 * 12 * 60
+    assert left < 0.45 * 12 * 60
+
+
+def test_chunks_have_two_lines_or_more(spark):
+    rng = random.Random(9)
+    text = "\n".join(str(rng.randrange(10**6)) for _ in range(5_000))
+    docs = spark.createDataFrame([(1, text), (2, "one line"), (3, "a\nb\nc"), (4, "same\n" * 500)], "doc_id long, text string")
+    sizes = {r.doc_id: [j - i for i, j in zip([0, *r._llm_ends], r._llm_ends, strict=False)]
+             for r in L.with_chunks(docs).collect()}
+    assert min(sizes[1]) >= 2 and sum(sizes[1]) == 5_000 and max(sizes[1]) < 12
+    assert (sizes[2], sizes[3]) == ([1], [3]) and sum(sizes[4]) == 501
 
 
 def test_line_plans_have_no_python(small_docs):
