@@ -1,14 +1,23 @@
 """Document scores of a subword lattice.
 
-The pieces of an existing byte-level vocabulary carry unigram scores: how often
-the tokenizer's own segmentation of the training words uses each, add-half
-smoothed together with the end of text. All segmentations of a word (with the
-space before it) into pieces are weighed: a forward recursion in log space over
-the word's bytes sums them, so a text's score is its marginal log10
+A text is its words and the end. The lattice of a word (with the space before
+it) has an arc for every piece of an existing byte-level vocabulary that stands
+somewhere in it, and, if the training texts have the word, one arc over all of
+it: the training words are long pieces, whose table grows with the corpus. All
+segmentations are weighed by unigram scores: a forward recursion in log space
+over the word's bytes sums them, so a text's score is its marginal log10
 probability under the model, not that of one best segmentation. Pieces never
 cross white space, so a text's lattice is the product of its words' lattices
 and the end. Every byte is a piece: no word has probability zero.
 
+Scores: a training word's arc has its count less an absolute discount, which is
+n1 / (n1 + 2 n2) of the numbers n1, n2 of words seen once and twice. What the
+discounts leave goes to spelling: a piece with a space first, then pieces
+without, then a stop, by how often the tokenizer's own segmentation of the
+distinct training words uses each (an unseen word is like a word seen once, not
+like a common one), add-half smoothed. All words and the end sum to one at most
+(pieces that hold more white space are never used).
+
 The lattice of a word is computed once. Word counts (which grow with the
 corpus) are one shuffled table; a text's score is a join of its words with it.
 The commonest words (at most ``HOT`` of at most ``LONGEST`` bytes, so a table of
@@ -28,6 +37,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from functools import partial
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -95,11 +105,11 @@ def spelt(word: bytes, letters: dict[int, str]) -> str:
 
 
 def count_pieces(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    """How often the segmentations of the distinct words use each piece."""
     enc, total = encoder(path), Counter()
     for batch in batches:
-        for k, word, c in columns_of(batch, "k", "word", "c"):
-            for token in enc.tok.model.tokenize(spelt(k if word is None else word, enc.letters)):
-                total[token.id] += c
+        for k, word in columns_of(batch, "k", "word"):
+            total.update(t.id for t in enc.tok.model.tokenize(spelt(k if word is None else word, enc.letters)))
     if total:
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(list(total.values()), pa.int64())],
                                          schema=PIECES_ARROW)
@@ -115,11 +125,44 @@ def vocabulary(path: str) -> dict[int, bytes]:
             if i not in special}
 
 
-def scores(pieces: dict[int, bytes], counts: dict[int, int], ends: int) -> tuple[dict[bytes, float], float]:
-    """Natural log scores of the pieces, and of the end of text."""
-    total = sum(counts.values()) + ends + 0.5 * (len(pieces) + 1)
-    return ({p: math.log((counts.get(i, 0) + 0.5) / total) for i, p in pieces.items()},
-            math.log((ends + 0.5) / total))
+def scores(pieces: dict[int, bytes], counts: dict[int, int], words: int) -> tuple[dict[bytes, float], float]:
+    """Natural log scores of the pieces and of the stop after a word's last
+    one, from the segmentations of ``words`` words. Pieces with a space first
+    begin a word, the others go on with it, so each kind sums to one (the
+    others together with the stop)."""
+    at = {p: counts.get(i, 0) + 0.5 for i, p in pieces.items()}
+    first = sum(c for p, c in at.items() if p[0] == 32)
+    later = sum(c for p, c in at.items() if p[0] != 32) + words + 0.5
+    return {p: math.log(c / (first if p[0] == 32 else later)) for p, c in at.items()}, math.log((words + 0.5) / later)
+
+
+class Model(NamedTuple):
+    """Scores of the pieces (and their beginnings) and the stop, natural logs;
+    the discount; distinct training words; training texts; training tokens
+    with their ends."""
+    tree: dict[bytes, float]
+    stop: float
+    discount: float
+    words: int
+    ends: int
+    tokens: int
+
+    def word(self, word: bytes, count: int) -> float:
+        """log10 of a word's marginal probability; ``count`` is how often the training texts have it."""
+        spelling = (math.log((self.discount * self.words + 0.5) / (self.tokens + 1))
+                    + marginal(b" " + word, self.tree) + self.stop)
+        if count <= self.discount:
+            return spelling / math.log(10)
+        whole = math.log((count - self.discount) / (self.tokens + 1))
+        high, low = max(whole, spelling), min(whole, spelling)
+        return (high + math.log1p(math.exp(low - high))) / math.log(10)
+
+    def end(self) -> float:
+        return math.log10((self.ends + 0.5) / (self.tokens + 1))
+
+
+def discount(once: int, twice: int) -> float:
+    return once / (once + 2 * twice) if once else 0.5
 
 
 def prefixes(score: dict[bytes, float]) -> dict[bytes, float]:
@@ -154,11 +197,10 @@ def marginal(text: bytes, tree: dict[bytes, float]) -> float:
     return -math.inf if alpha[n] is None else alpha[n]
 
 
-def score_words(batches: Iterator[pa.RecordBatch], tree) -> Iterator[pa.RecordBatch]:
-    known = tree.value
+def score_words(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
+    known = Model(*model.value)
     for batch in batches:
-        lp = [marginal(b" " + (k if w is None else w), known) / math.log(10)
-              for k, w in columns_of(batch, "k", "word")]
+        lp = [known.word(k if w is None else w, c) for k, w, c in columns_of(batch, "k", "word", "c")]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(lp, pa.float64())],
                                          names=["k", "c", "lp"])
 
@@ -203,13 +245,16 @@ def score(docs: DataFrame, path: str, hot: int = HOT) -> DataFrame:
     # one row each: the training corpus' size, and the scores of the vocabulary's pieces
     fold = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS))
     ends = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where(fold != HELD_OUT).count()
-    n, v = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
-    n, v = n + ends, v + (ends > 0)
+    n, v, once, twice = counted.agg(
+        F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1)), F.count(F.when(F.col("c") == 1, 1)),
+        F.count(F.when(F.col("c") == 2, 1))).first()
     used = (counted.where("c > 0").mapInArrow(partial(count_pieces, path=path), "piece int, n long")
             .groupBy("piece").agg(F.sum("n").alias("n")).collect())  # a row for each piece of the vocabulary at most
-    known, end = scores(vocabulary(path), {r.piece: r.n for r in used}, ends)
-    tree = spark.sparkContext.broadcast(prefixes(known))
-    words = saved(counted.mapInArrow(partial(score_words, tree=tree), SCORED), "lm-words")
+    known, stop = scores(vocabulary(path), {r.piece: r.n for r in used}, v)
+    model = Model(prefixes(known), stop, discount(once, twice), v, ends, n + ends)
+    n, v = n + ends, v + (ends > 0)
+    words = saved(counted.mapInArrow(partial(score_words, model=spark.sparkContext.broadcast(tuple(model))), SCORED),
+                  "lm-words")
 
     # the count above which words are common: at most ``hot`` of them
     level = F.floor(F.log2("c") * 4).cast("int")
@@ -240,4 +285,4 @@ def score(docs: DataFrame, path: str, hot: int = HOT) -> DataFrame:
         "doc_id", (fold == HELD_OUT).alias("held_out"), "n_tokens",
         (F.col("n_known") + int(ends > 0)).cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base") + math.log10(ends + 0.5) - F.col("n_tokens") * norm).alias("base_score"),
-        (F.col("lattice") + end / math.log(10)).alias("score"))
+        (F.col("lattice") + model.end()).alias("score"))

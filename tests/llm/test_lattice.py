@@ -38,18 +38,27 @@ def by_hand(rows, path):
     for h, (_, t) in zip(held, rows, strict=True):
         if not h:
             counts.update(words(t))
-    for w, c in counts.items():
-        for t in model.tokenize(M.spelt(w, letters)):
-            used[t.id] += c
-    known, end = M.scores(M.vocabulary(path), used, ends)
+    for w in counts:
+        used.update(t.id for t in model.tokenize(M.spelt(w, letters)))
+    known, stop = M.scores(M.vocabulary(path), used, len(counts))
     tree = M.prefixes(known)
     n, v = sum(counts.values()) + ends, len(counts) + (ends > 0)
+    seen = Counter(counts.values())
+    less = seen[1] / (seen[1] + 2 * seen[2]) if seen[1] else 0.5
+
+    def word(w):
+        spelling = (less * len(counts) + 0.5) / (n + 1) * math.exp(M.marginal(b" " + w, tree) + stop)
+        whole = max(counts[w] - less, 0) / (n + 1)
+        if whole + spelling:
+            return math.log10(whole + spelling)
+        return (math.log((less * len(counts) + 0.5) / (n + 1)) + M.marginal(b" " + w, tree) + stop) / math.log(10)
+
     out = []
     for h, (i, t) in zip(held, rows, strict=True):
         own = words(t)
         cs = [counts[w] for w in own] + [ends]
         out.append((i, h, len(cs), sum(c > 0 for c in cs), n, sum(math.log10((c + 0.5) / (n + 0.5 * (v + 1))) for c in cs),
-                    (sum(M.marginal(b" " + w, tree) for w in own) + end) / math.log(10)))
+                    sum(map(word, own)) + math.log10((ends + 0.5) / (n + 1))))
     return out
 
 
@@ -69,8 +78,26 @@ def test_no_texts(no_docs, vocabulary):
 
 
 def test_scores_are_a_distribution(vocabulary):
-    known, end = M.scores(M.vocabulary(vocabulary), {5: 10, 300: 4}, 3)
-    assert math.isclose(sum(map(math.exp, known.values())) + math.exp(end), 1.0, rel_tol=1e-9)
+    known, stop = M.scores(M.vocabulary(vocabulary), {5: 10, 300: 4}, 3)
+    assert math.isclose(sum(math.exp(s) for p, s in known.items() if p[0] == 32), 1.0, rel_tol=1e-9)
+    assert math.isclose(sum(math.exp(s) for p, s in known.items() if p[0] != 32) + math.exp(stop), 1.0, rel_tol=1e-9)
+
+
+def test_words_and_the_end_sum_to_one():
+    """All words over one letter, with pieces of one and two letters: their probabilities and the end's."""
+    pieces = {0: b" ", 1: b"a", 2: b"aa", 3: b" a"}
+    known, stop = M.scores(pieces, {0: 2, 1: 3, 2: 1, 3: 4}, 4)
+    counts = {b"a": 5, b"aaa": 1, b"aaaa": 2}
+    model = M.Model(M.prefixes(known), stop, M.discount(1, 1), len(counts), 3, sum(counts.values()) + 3)
+    total = 10 ** model.end() + sum(10 ** model.word(b"a" * k, counts.get(b"a" * k, 0)) for k in range(400))
+    assert math.isclose(total, 1.0, rel_tol=1e-9)
+
+
+def test_training_words_outweigh_spelling(spark, small_docs, vocabulary):
+    """Held-out texts score far better than by spelling alone, and near the base, which spells nothing."""
+    rows = [r for r in M.score(small_docs, vocabulary).collect() if r.held_out]
+    tokens = sum(r.n_tokens for r in rows)
+    assert sum(r.score for r in rows) > sum(r.base_score for r in rows) - 1.5 * tokens
 
 
 def test_held_out_texts_beat_shuffled_letters(spark, small_docs, vocabulary):
