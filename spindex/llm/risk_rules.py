@@ -12,6 +12,15 @@ taken. So with probability 1 - ``delta`` no stratum loses more than ``alpha``
 of its good documents to all rules together. A stratum with too few labels to
 prove anything has no cutoff: only the base rules hold there.
 
+That split leaves about 2,000 good labels a stratum as the least that allow a
+cutoff. ``walked_cutoffs``, by which ``kept_documents`` and so the pipeline
+choose, gives the same promise from about 220 (4 strata): a stratum goes
+through one fixed sequence of nested rule sets, loosest first (``STEPS``), each
+tested by the false rejections of the whole set against ``alpha``, at ``delta``
+/ strata, and stops at the first set that fails. Going on only after a success
+needs no correction for the number of sets. ``verdicts`` by itself, the query,
+keeps the split: its SQL gives those rows.
+
 All of it is DataFrame operations. The counts are taken inside each row (the
 text is never exploded or shuffled); what is shuffled is one small row a
 labelled document and one row a stratum.
@@ -26,6 +35,8 @@ labels only the base rules hold.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,6 +54,9 @@ RULES: dict[str, tuple[str, tuple[float, ...]]] = {
     "long_words": ("word_chars / n_words", (6.5, 7.0, 7.5, 8.0, 9.0, 10.0, 12.0)),
     "short_words": ("- word_chars / n_words", (-5.0, -4.5, -4.0, -3.5, -3.0, -2.5, -2.0)),
 }
+#: The walk: in each step one rule gets the next stricter cutoff of its grid, in the order of RULES.
+STEPS: list[tuple[str, float]] = [(r, c) for level in zip(*(reversed(g) for _, g in RULES.values()), strict=True)
+                                  for r, c in zip(RULES, level, strict=True)]
 
 
 def with_counts(docs: DataFrame) -> DataFrame:
@@ -113,13 +127,17 @@ def tail(n: Column, k: Column, p: float) -> Column:
     return F.when(k >= n * p, F.lit(1.0)).otherwise(found)
 
 
-def cutoffs(counted: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """(stratum, one column a rule): the allowed cutoffs, null where there is
-    none. ``counted`` has doc_id, the counts and ``stratum``."""
+def labelled_good(counted: DataFrame, labels: DataFrame) -> DataFrame:
     marks = (labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").alias("_llm_id"))
              .agg(F.min("quality").alias("_llm_quality")))
-    good = (counted.where(~base_failed()).join(marks, F.col("doc_id") == F.col("_llm_id"))
+    return (counted.where(~base_failed()).join(marks, F.col("doc_id") == F.col("_llm_id"))
             .where("_llm_quality = 1"))
+
+
+def cutoffs(counted: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+    """(stratum, one column a rule): the allowed cutoffs, null where there is
+    none. ``counted`` has doc_id, the counts and ``stratum``."""
+    good = labelled_good(counted, labels)
     lost = [F.sum((rule_number(r) > c).cast("long")).alias(f"{r}_{i}")
             for r, (_, grid) in RULES.items() for i, c in enumerate(grid)]
     seen = good.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *lost)
@@ -136,6 +154,28 @@ def cutoffs(counted: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta:
     return seen.select("stratum", *map(chosen, RULES))
 
 
+def walked_cutoffs(counted: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+    """As ``cutoffs``, by the walk through STEPS."""
+    # the step whose rule set is the first to reject the document
+    first = F.least(*(F.when(rule_number(r) > c, F.lit(s)).otherwise(F.lit(len(STEPS)))
+                      for s, (r, c) in enumerate(STEPS)))
+    good = labelled_good(counted, labels).select("stratum", first.alias("first"))
+    seen = good.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *(
+        F.sum((F.col("first") <= s).cast("long")).alias(f"lost_{s}") for s in range(len(STEPS))))
+    every = Window.partitionBy(F.lit(1))  # one row a stratum
+    seen = seen.withColumn("level", F.lit(delta) / F.count(F.lit(1)).over(every))
+    failed = F.array(*(tail(F.col("n").cast("double"), F.col(f"lost_{s}"), alpha) > F.col("level")
+                       for s in range(len(STEPS))))
+    seen = seen.withColumn("stop", F.array_position(failed, True))  # from 1, 0: none failed
+    seen = seen.withColumn("done", F.when(F.col("stop") == 0, F.lit(len(STEPS))).otherwise(F.col("stop") - 1))
+
+    def chosen(rule: str) -> Column:
+        own = reversed([(s, c) for s, (r, c) in enumerate(STEPS) if r == rule])
+        return F.coalesce(*(F.when(F.col("done") > s, F.lit(c)) for s, c in own)).alias(rule)
+
+    return seen.select("stratum", *map(chosen, RULES))
+
+
 def judged(counted: DataFrame, limits: DataFrame) -> DataFrame:
     """Adds ``base_failed`` and ``kept``. ``limits`` has one row a stratum and
     is broadcast after a check of its rows. ``counted`` should be saved: a
@@ -155,17 +195,18 @@ def mark(docs: DataFrame) -> Column:
     return F.xxhash64(text_of(), stratum(docs))
 
 
-def verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def verdicts(docs: DataFrame, labels: DataFrame,
+             limits: Callable[[DataFrame, DataFrame], DataFrame] = cutoffs) -> DataFrame:
     """(doc_id, mark, stratum, counts, base_failed, kept). The counts are taken once and saved."""
     cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), mark(docs).alias("mark"),
                        stratum(docs).alias("stratum"))
     counted = saved(with_counts(cols).drop("text"), "quality-counts")
-    return judged(counted, cutoffs(counted, labels))
+    return judged(counted, limits(counted, labels))
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are kept, with their own columns."""
-    return leave_out(docs, verdicts(docs, labels).where("not kept"), mark(docs))
+    """The documents that are kept by the walk's cutoffs, with their own columns."""
+    return leave_out(docs, verdicts(docs, labels, walked_cutoffs).where("not kept"), mark(docs))
 
 
 def sql(alpha: float = ALPHA, delta: float = DELTA) -> str:

@@ -81,6 +81,66 @@ def test_cutoffs_hold_their_promise(spark):
     assert all(r[c] is None for r in R.cutoffs(few, labels).collect() for c in R.RULES)
 
 
+def walk_by_hand(rows, quality):
+    """Cutoffs by stratum, each set of the walk counted afresh."""
+    good = defaultdict(list)
+    for r in rows:
+        if quality.get(r["doc_id"]) == 1 and r["n_words"] >= 50 and 2 * r["n_repeat_words"] <= r["n_words"]:
+            good[r["stratum"]].append({
+                "symbols": r["n_symbols"] / r["n_words"], "dup_lines": r["n_dup_lines"] / r["n_lines"],
+                "repeat_words": r["n_repeat_words"] / r["n_words"], "long_words": r["word_chars"] / r["n_words"],
+                "short_words": -r["word_chars"] / r["n_words"]})
+    out = {}
+    for stratum, members in good.items():
+        cuts, n = dict.fromkeys(R.RULES), len(members)
+        for level in range(7):
+            for rule, (_, grid) in R.RULES.items():
+                wider = {**cuts, rule: grid[6 - level]}
+                k = sum(any(c is not None and m[r] > c for r, c in wider.items()) for m in members)
+                under = sum(math.exp(math.lgamma(n + 1) - math.lgamma(x + 1) - math.lgamma(n - x + 1) + x * math.log(0.02)
+                                     + (n - x) * math.log(0.98)) for x in range(k + 1))
+                if under > 0.05 / len(good):
+                    break
+                cuts = wider
+            else:
+                continue
+            break
+        out[stratum] = cuts
+    return out
+
+
+def test_walked_cutoffs_by_hand(spark):
+    found = []
+    for n, share, seed in ((1_200, 0, 1), (1_200, 0.01, 2), (1_200, 0.2, 3), (300, 0, 4), (3_000, 0.02, 5)):
+        frame, labels = labelled(spark, n, share, seed)
+        rng = random.Random(seed)
+        wide = [r.asDict() | {"n_dup_lines": rng.choice([0] * 60 + [1, 2, 4]), "n_repeat_words": rng.choice([0] * 40 + [9, 30, 60]),
+                              "word_chars": rng.choice([500, 480, 530, 560, 640])} for r in frame.collect()]
+        frame = spark.createDataFrame([tuple(r[c] for c in frame.columns) for r in wide], frame.schema)
+        want = walk_by_hand(wide, {r.doc_id: r.quality for r in labels.collect()})
+        got = {r.stratum: {c: r[c] for c in R.RULES} for r in R.walked_cutoffs(frame, labels).collect()}
+        assert got == want
+        found += [c["symbols"] for c in want.values()]
+    assert None in found and any(c is not None for c in found)
+
+
+def test_some_hundred_labels_are_enough_to_reject(spark):
+    rng = random.Random(6)
+    docs, labels = [], []
+    for i in range(900):
+        bad = i % 4 == 0
+        words = ["".join(rng.choice("abcdefgh") for _ in range(5)) + ("#" if bad and rng.random() < 0.7 else "") for _ in range(60)]
+        docs.append((i, " ".join(words), "en", bad))
+        if i % 8 < 6:
+            labels.append((i, int(not bad)))
+    docs = spark.createDataFrame(docs, "doc_id long, text string, lang string, bad boolean")
+    labels = spark.createDataFrame(labels, "doc_id long, quality int")
+    kept = R.kept_documents(docs, labels).collect()
+    assert Counter(r.bad for r in kept) == {False: 675}
+    # the query's own cutoffs stay those of its SQL, which so few labels don't allow
+    assert R.verdicts(docs, labels).where("kept").count() == 900
+
+
 def test_odd_labels_and_documents(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(0, 1, "a"), (0, 0, "b"), (None, 1, None), (1, None, None)],
                                    "doc_id long, quality int, text string")
