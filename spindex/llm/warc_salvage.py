@@ -39,6 +39,8 @@ from .common import Rows, columns_of, filesystem, lookup_join, saved, workers
 FILE_BYTES, PIECE = 64 << 20, 1 << 20
 GZIP, VERSION = b"\x1f\x8b\x08", b"WARC/1."
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: ASCII digits, of which no more count than a file's size can have.
+LENGTH = re.compile(r"0*([0-9]{1,18})")
 HEAD_LINE = re.compile(rb"([!-9;-~]+):[ \t]*(.*)")
 
 MANIFEST = "path string, records long"
@@ -129,17 +131,21 @@ class Damaged(Exception):
 
 
 class Window:
-    """A file seen through a window of bounded size that moves forwards."""
+    """A file seen through a window of bounded size that moves forwards.
+    ``size`` is the file's size, None if it isn't known."""
 
-    def __init__(self, file):
-        self.file, self.at, self.data, self.end = file, 0, b"", False
+    def __init__(self, file, size: int | None = None):
+        self.file, self.size, self.at, self.data, self.end = file, size, 0, b"", False
 
     def read(self, start: int, n: int) -> bytes:
         """Up to n bytes from ``start``, which never lies before an earlier ``drop``."""
-        while not self.end and start + n > self.at + len(self.data):
-            more = self.file.read(max(PIECE, start + n - self.at - len(self.data)))
-            self.end = not more
-            self.data += more
+        lack, parts = start + n - self.at - len(self.data), [self.data]
+        while not self.end and lack > 0:
+            parts.append(self.file.read(PIECE))
+            self.end = not parts[-1]
+            lack -= len(parts[-1])
+        if len(parts) > 1:
+            self.data = b"".join(parts)
         return self.data[start - self.at:start - self.at + n]
 
     def drop(self, start: int) -> None:
@@ -169,8 +175,9 @@ def parse_head(head: bytes) -> dict[str, str]:
         if not (m := HEAD_LINE.fullmatch(line)):
             raise Damaged("a header line is malformed")
         fields[m[1].decode().lower()] = m[2].decode("utf-8", "replace").strip()
-    if not fields.get("content-length", "").isdigit():
+    if not (m := LENGTH.fullmatch(fields.get("content-length", ""))):
         raise Damaged("no content length")
+    fields["content-length"] = m[1]
     return fields
 
 
@@ -212,16 +219,18 @@ def plain(w: Window, start: int) -> tuple[dict[str, str], bytes, int]:
         raise Damaged("the header doesn't end")
     fields = parse_head(head)
     body, size = start + len(head) + 4, int(fields["content-length"])
+    if w.size is not None and body + size + 4 > w.size:
+        raise Damaged("the record is longer than the file")
     after = w.read(body + size, 4)
     if len(after) < 4:
         raise Damaged("the record is cut short")
     return *checked(fields, w.read(body, size), after), body + size + 4
 
 
-def salvage(file) -> Iterator[tuple[int, int, dict[str, str] | None, bytes, str | None]]:
+def salvage(file, size: int | None = None) -> Iterator[tuple[int, int, dict[str, str] | None, bytes, str | None]]:
     """(start, end, header, block, None) of each sound record and (start, end,
     None, b"", reason) of each gap, in file order; the two cover the file."""
-    w, at, gap = Window(file), 0, None
+    w, at, gap = Window(file, size), 0, None
     while w.read(at, 1):
         mark = w.read(at, 7)
         try:
@@ -255,7 +264,7 @@ def read_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (path,) in columns_of(batch, "path"):
             fs, name = filesystem(path)
             with fs.open_input_stream(name, buffer_size=PIECE, compression=None) as f:
-                for start, end, h, block, gap in salvage(f):
+                for start, end, h, block, gap in salvage(f, fs.get_file_info(name).size):
                     if h is None:
                         rows.add(None, None, None, None, None, path, start, end, gap)
                     else:

@@ -3,6 +3,8 @@ import io
 import random
 from collections import defaultdict
 
+import pyarrow as pa
+
 from spindex.llm import warc_salvage as W
 from spindex.llm.common import filesystem, shared_path
 
@@ -62,6 +64,52 @@ def test_gaps_larger_than_the_window():
     assert got == [b for _, b in recs] and [(e - s) for s, e, _ in gaps] == [len(noise)]
 
 
+class Asked(io.BytesIO):
+    """Remembers the largest read and how far the file was read."""
+    most = 0
+
+    def read(self, n=-1):
+        assert n >= 0
+        self.most = max(self.most, n)
+        return super().read(n)
+
+
+def test_lengths_that_cannot_be(tmp_path):
+    recs = made(4, gz=False)
+    length = f"Content-Length: {len(recs[1][1])}".encode()
+    tail = recs[2][0] + recs[3][0]
+    for wrong in (b"99999999999999", b"1" + b"0" * 25, b"9" * 5_000, "\u00b2".encode(), "\u0663".encode(), b"-1", b"", b"300000"):
+        data = recs[0][0] + recs[1][0].replace(length, b"Content-Length: " + wrong) + tail
+        for size in (len(data), None):
+            file = Asked(data)
+            found = list(W.salvage(file, size))
+            assert [b for _, _, h, b, _ in found if h] == [recs[i][1] for i in (0, 2, 3)]
+            assert sum(h is None for _, _, h, _, _ in found) == 1 and found[-1][1] == len(data)
+            assert file.most <= W.PIECE
+        if wrong == b"1" + b"0" * 25:
+            (tmp_path / "x.warc").write_bytes(data)
+    path = pa.RecordBatch.from_pydict({"path": [str(tmp_path / "x.warc")]})
+    rows = [r for b in W.read_files(iter([path])) for r in b.to_pylist()]
+    assert [r["payload"] for r in rows if r["gap"] is None] == [recs[i][1] for i in (0, 2, 3)]
+    # leading zeros are a length
+    data = recs[0][0] + recs[1][0].replace(length, b"Content-Length: " + b"0" * 5_000 + length[16:]) + tail
+    assert bodies(data) == ([b for _, b in recs], [])
+
+
+def test_a_length_beyond_the_file_does_not_read_the_rest():
+    first, second = (W.record(i, None, b"text", hashlib.sha256(b"text").hexdigest(), "response", None) for i in (1, 2))
+    data = first.replace(b"Content-Length: 4", b"Content-Length: 99999999") + second + b"x" * (8 * W.PIECE)
+    file = Asked(data)
+    found = W.salvage(file, len(data))
+    assert next(found)[:2] == (0, len(first) + 7) and next(found)[3] == b"text" and file.tell() <= 2 * W.PIECE
+
+
+def test_a_record_of_many_pieces():
+    body = bytes(range(256)) * (4 * W.PIECE // 256) + b"end"
+    data = W.record(1, None, body, hashlib.sha256(body).hexdigest(), "response", None)
+    assert bodies(data + made(1, gz=False)[0][0])[0] == [body, made(1, gz=False)[0][1]]
+
+
 def pages_by_hand(rows):
     groups = defaultdict(list)
     for i, h in rows:
