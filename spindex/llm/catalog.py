@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (binary_packing, bitplane, feistel_shards, lattice_lm, line_chunks, quotient_dedup, risk_rules,
-               simhash_bk, source_schedule, warc_salvage)
+from . import (binary_packing, bitplane, feistel_shards, filter_audit, lattice_lm, line_chunks, minhash_join,
+               quotient_dedup, risk_rules, simhash_bk, source_cubes, source_schedule, warc_salvage)
 from .common import documents, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,24 @@ def op7_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op7_line_chunks"] = line_chunks.SQL
+
+
+@query
+def op11_filter_tries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+SQL["op11_filter_tries"] = filter_audit.SQL
+
+
+@query
+def op12_source_cubes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_cubes.audit(documents(spark, sf_dir))
+
+
+SQL["op12_source_cubes"] = source_cubes.SQL
+
+
+@query
+def op13_hamming_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_join.groups(documents(spark, sf_dir), n=4)
