@@ -314,6 +314,6 @@ SELECT part, filter_order, step::INTEGER AS step,
        coalesce(sum(n) FILTER (WHERE mask = own), 0)::BIGINT AS unique_fails,
        coalesce(sum(good) FILTER (WHERE mask & own <> 0 AND mask & before = 0), 0)::BIGINT AS good_lost,
        coalesce(sum(toxic) FILTER (WHERE mask & own <> 0 AND mask & before = 0), 0)::BIGINT AS toxic_lost,
-       coalesce(sum(n * 120 // bit_count(mask)) FILTER (WHERE mask & own <> 0), 0)::BIGINT AS shapley
+       coalesce(sum(n * 120 // greatest(1, bit_count(mask))) FILTER (WHERE mask & own <> 0), 0)::BIGINT AS shapley
 FROM c, s GROUP BY part, filter_order, step
 """
