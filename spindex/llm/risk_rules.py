@@ -2,24 +2,22 @@
 
 Rules turn a document's counts into one number each (share of symbols, of
 repeated lines, ...) and reject above a cutoff. Cutoffs are chosen from fixed
-grids by the labelled documents of good quality that pass the base rules, for
-each stratum (language) by itself: a cutoff is allowed if, were its true rate
-of false rejection ``alpha`` / rules or more, so few rejected good documents as
-were seen would have a probability of at most ``delta`` / (strata * rules *
-cutoffs) (the exact binomial tail, i.e. a Clopper-Pearson bound, with a
-Bonferroni correction for every test made). The strictest allowed cutoff is
-taken. So with probability 1 - ``delta`` no stratum loses more than ``alpha``
-of its good documents to all rules together. A stratum with too few labels to
-prove anything has no cutoff: only the base rules hold there.
-
-That split leaves about 2,000 good labels a stratum as the least that allow a
-cutoff. ``walked_cutoffs``, by which ``kept_documents`` and so the pipeline
-choose, gives the same promise from about 220 (4 strata): a stratum goes
-through one fixed sequence of nested rule sets, loosest first (``STEPS``), each
-tested by the false rejections of the whole set against ``alpha``, at ``delta``
-/ strata, and stops at the first set that fails. Going on only after a success
-needs no correction for the number of sets. ``verdicts`` by itself, the query,
-keeps the split: its SQL gives those rows.
+grids, for each stratum (language) by itself, by the labelled documents of good
+quality that pass the base rules. A stratum goes through one fixed sequence of
+nested rule sets, loosest first (``STEPS``). Each set is tested as a whole: it is
+allowed if, were its true rate of false rejection ``alpha`` or more, so few
+rejected good documents as were seen would have a probability of at most
+``delta`` / strata (the exact binomial tail, i.e. a Clopper-Pearson bound, with a
+Bonferroni correction for the strata). The walk stops at the first set that
+fails; going on only after a success needs no correction for the number of sets.
+So with probability 1 - ``delta`` no stratum loses more than ``alpha`` of its
+good documents *that pass the base rules* to all cutoffs together; what the base
+rules reject isn't bounded. With 4 strata about 220 good labels a stratum are
+the least that allow a cutoff; with fewer only the base rules hold there.
+
+``cutoffs`` is another way, on request: every cutoff of every rule is tested by
+itself at ``alpha`` / rules and ``delta`` / (strata * rules * cutoffs). It needs
+about 2,000 good labels a stratum.
 
 All of it is DataFrame operations. The counts are taken inside each row (the
 text is never exploded or shuffled); what is shuffled is one small row a
@@ -135,8 +133,8 @@ def labelled_good(counted: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def cutoffs(counted: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """(stratum, one column a rule): the allowed cutoffs, null where there is
-    none. ``counted`` has doc_id, the counts and ``stratum``."""
+    """(stratum, one column a rule): the strictest allowed cutoffs, each tested
+    by itself, null where there is none. ``counted`` has doc_id, the counts and ``stratum``."""
     good = labelled_good(counted, labels)
     lost = [F.sum((rule_number(r) > c).cast("long")).alias(f"{r}_{i}")
             for r, (_, grid) in RULES.items() for i, c in enumerate(grid)]
@@ -155,7 +153,7 @@ def cutoffs(counted: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta:
 
 
 def walked_cutoffs(counted: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """As ``cutoffs``, by the walk through STEPS."""
+    """(stratum, one column a rule): the cutoffs of the last set of STEPS that was allowed, null where there is none."""
     # the step whose rule set is the first to reject the document
     first = F.least(*(F.when(rule_number(r) > c, F.lit(s)).otherwise(F.lit(len(STEPS)))
                       for s, (r, c) in enumerate(STEPS)))
@@ -196,7 +194,7 @@ def mark(docs: DataFrame) -> Column:
 
 
 def verdicts(docs: DataFrame, labels: DataFrame,
-             limits: Callable[[DataFrame, DataFrame], DataFrame] = cutoffs) -> DataFrame:
+             limits: Callable[[DataFrame, DataFrame], DataFrame] = walked_cutoffs) -> DataFrame:
     """(doc_id, mark, stratum, counts, base_failed, kept). The counts are taken once and saved."""
     cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), mark(docs).alias("mark"),
                        stratum(docs).alias("stratum"))
@@ -205,24 +203,21 @@ def verdicts(docs: DataFrame, labels: DataFrame,
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are kept by the walk's cutoffs, with their own columns."""
-    return leave_out(docs, verdicts(docs, labels, walked_cutoffs).where("not kept"), mark(docs))
+    """The documents that are kept, with their own columns."""
+    return leave_out(docs, verdicts(docs, labels).where("not kept"), mark(docs))
 
 
 def sql(alpha: float = ALPHA, delta: float = DELTA) -> str:
     """The same in DuckDB SQL; the binomial tail is summed by lgamma."""
-    share = alpha / len(RULES)
-    grid = [(r, n, i, c) for r, (n, g) in RULES.items() for i, c in enumerate(g)]
 
     def number(text: str) -> str:
         for c in COUNTS:
             text = text.replace(c, f"{c}::DOUBLE")
         return text
 
-    tests = " UNION ALL ".join(
-        f"SELECT lang, '{r}' AS rule, {c}::DOUBLE AS cut, count(*) AS n, "
-        f"count(*) FILTER (WHERE {number(x)} > {c}) AS k FROM good GROUP BY lang" for r, x, _, c in grid)
-    picked = ", ".join(f"min(cut) FILTER (WHERE rule = '{r}') AS {r}" for r in RULES)
+    first = ", ".join(f"CASE WHEN {number(RULES[r][0])} > {c} THEN {s} ELSE {len(STEPS)} END" for s, (r, c) in enumerate(STEPS))
+    steps = ", ".join(f"({s}, '{r}', {c}::DOUBLE)" for s, (r, c) in enumerate(STEPS))
+    picked = ", ".join(f"arg_max(cut, s) FILTER (WHERE rule = '{r}' AND s < done) AS {r}" for r in RULES)
     over = " OR ".join(f"coalesce({number(x)} > {r}, false)" for r, (x, _) in RULES.items())
     return rf"""
 WITH t AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS text FROM documents),
@@ -242,14 +237,18 @@ s AS (SELECT w.rid, doc_id, lang, len(words) AS n_words,
              coalesce(n_repeat_words, 0) AS n_repeat_words
       FROM w LEFT JOIN cov USING (rid) LEFT JOIN ln USING (rid)),
 b AS (SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words AS base_failed FROM s),
-good AS (SELECT b.* FROM b JOIN (SELECT doc_id, min(quality) AS q FROM labels WHERE quality IS NOT NULL GROUP BY doc_id) l
+good AS (SELECT lang, least({first}) AS first FROM b
+         JOIN (SELECT doc_id, min(quality) AS q FROM labels WHERE quality IS NOT NULL GROUP BY doc_id) l
          USING (doc_id) WHERE q = 1 AND NOT base_failed),
-tests AS ({tests}),
-terms AS (SELECT lang, rule, cut, n, unnest(generate_series(0, k)) AS x FROM tests WHERE k < n * {share}),
-ok AS (SELECT lang, rule, cut FROM terms GROUP BY lang, rule, cut HAVING
-         sum(exp(lgamma(n + 1) - lgamma(x + 1) - lgamma(n - x + 1) + x * ln({share}) + (n - x) * ln(1 - {share})))
-         <= {delta} / ((SELECT count(DISTINCT lang) FROM good) * {len(grid)})),
-cuts AS (SELECT lang, {picked} FROM ok GROUP BY lang)
+steps AS (SELECT * FROM (VALUES {steps}) v(s, rule, cut)),
+tests AS (SELECT lang, s, count(*) AS n, count(*) FILTER (WHERE first <= s) AS k FROM good, steps GROUP BY lang, s),
+terms AS (SELECT lang, s, n, unnest(generate_series(0, k)) AS x FROM tests WHERE k < n * {alpha}),
+ok AS (SELECT lang, s FROM terms GROUP BY lang, s HAVING
+         sum(exp(lgamma(n + 1) - lgamma(x + 1) - lgamma(n - x + 1) + x * ln({alpha}) + (n - x) * ln(1 - {alpha})))
+         <= {delta} / (SELECT count(DISTINCT lang) FROM good)),
+walk AS (SELECT tests.lang, coalesce(min(tests.s) FILTER (WHERE ok.s IS NULL), {len(STEPS)}) AS done
+         FROM tests LEFT JOIN ok ON tests.lang = ok.lang AND tests.s = ok.s GROUP BY tests.lang),
+cuts AS (SELECT lang, {picked} FROM walk, steps GROUP BY lang)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT ({over}) AS kept
 FROM b LEFT JOIN cuts USING (lang)

@@ -65,20 +65,21 @@ def labelled(spark, n, bad_share=0.002, seed=10):
     return frame, spark.createDataFrame(labels, "doc_id long, quality int")
 
 
-def test_cutoffs_hold_their_promise(spark):
+@pytest.mark.parametrize("way", [R.walked_cutoffs, R.cutoffs])
+def test_cutoffs_hold_their_promise(spark, way):
     frame, labels = labelled(spark, 30_000)
-    limits = {r.stratum: r for r in R.cutoffs(frame, labels).collect()}
+    limits = {r.stratum: r for r in way(frame, labels).collect()}
     assert set(limits) == {"en", "xx"} and all(r.symbols is not None for r in limits.values())
     fresh, marks = labelled(spark, 30_000, seed=11)
-    out = R.judged(fresh, R.cutoffs(frame, labels)).join(marks, "doc_id")
+    out = R.judged(fresh, way(frame, labels)).join(marks, "doc_id")
     rates = {(r.stratum, r.quality): r.k for r in
              out.groupBy("stratum", "quality").agg(F.avg(F.col("kept").cast("int")).alias("k")).collect()}
     assert all(rates[s, 1] > 1 - R.ALPHA and rates[s, 0] < 0.05 for s in limits)
     # a share of false rejections above the limit is never allowed, few labels prove nothing
     frame, labels = labelled(spark, 30_000, bad_share=0.2)
-    assert all(r.symbols is None or r.symbols >= 0.4 for r in R.cutoffs(frame, labels).collect())
+    assert all(r.symbols is None or r.symbols >= 0.4 for r in way(frame, labels).collect())
     few, labels = labelled(spark, 300)
-    assert all(r[c] is None for r in R.cutoffs(few, labels).collect() for c in R.RULES)
+    assert all(r[c] is None for r in way(few, labels).collect() for c in R.RULES)
 
 
 def walk_by_hand(rows, quality):
@@ -137,8 +138,22 @@ def test_some_hundred_labels_are_enough_to_reject(spark):
     labels = spark.createDataFrame(labels, "doc_id long, quality int")
     kept = R.kept_documents(docs, labels).collect()
     assert Counter(r.bad for r in kept) == {False: 675}
-    # the query's own cutoffs stay those of its SQL, which so few labels don't allow
-    assert R.verdicts(docs, labels).where("kept").count() == 900
+    assert R.verdicts(docs, labels).where("kept").count() == 675
+    # each cutoff by itself needs more labels
+    assert R.verdicts(docs, labels, R.cutoffs).where("kept").count() == 900
+
+
+def test_query_acts_on_the_larger_table(spark):
+    """The cutoffs found on sf0.1, and what they reject beyond the base rules, by label."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    out = R.verdicts(docs, labels).select("doc_id", "stratum", "base_failed", "kept")
+    marks = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    seen = Counter()
+    for r in out.join(marks, "doc_id", "left").collect():
+        seen[r.quality, r.base_failed, r.kept] += 1
+    assert seen[0, False, True] == 0 and seen[0, False, False] > 200  # labelled bad
+    assert seen[1, False, False] < R.ALPHA * (seen[1, False, True] + seen[1, False, False])
+    assert not any(kept and failed for _, failed, kept in seen)
 
 
 def test_odd_labels_and_documents(spark, odd_docs, no_docs):
