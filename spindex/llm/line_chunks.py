@@ -1,24 +1,27 @@
 """Removal of passages that documents share, by content-defined chunks of lines.
 
-A rolling hash over the hashes of the last two lines decides after which lines
-a chunk ends: those where it is smaller than at both neighbours. So the four
-lines around a place decide it, a passage is cut alike in every document,
-whatever stands before it, and every chunk has two lines or more (three on
-average), but for documents of one line. Chunks of two lines or more that occur
-again anywhere (in another document or the same) keep their first occurrence,
-by (id, text hash, place); the others are removed.
-
-First pass: a chunk is two 64-bit hashes; hashes found once are done. Second
-pass: the texts of chunks whose hashes were found again are compared byte for
-byte (the smallest and the largest text behind a hash must be equal) before
+A rolling hash over the hashes of two lines is taken at every line. It decides
+the boundaries: two neighbouring lines belong to one chunk if their rolling hash
+was seen before, anywhere (in an earlier document, or further up in the same),
+and a boundary lies between them if not. So a boundary depends on the two lines
+beside it alone: whatever stands before or after a passage, its chunk begins and
+ends where the passage does, and a chunk of two lines is found as surely as one
+of a hundred. Chunks of two lines or more are removed; a line by itself is never
+one. The first occurrence, by (id, text hash, place), is what stays: the first
+occurrence of a line is never in a chunk, so no line disappears altogether. Two
+neighbouring blank lines say nothing and are no part of a chunk.
+
+First pass: every pair of neighbouring lines is a 64-bit hash; hashes found once
+are done. Second pass: the pairs whose hashes were found again are compared byte
+for byte (the smallest and the largest text behind a hash must be equal) before
 anything goes. Third pass: documents that lose chunks are rebuilt. Only small
-rows and repeated chunks are shuffled; the copies of a chunk are combined where
-they are read.
+rows and repeated pairs are shuffled; copies are combined where they are read.
 
 All of it is DataFrame operations. Null text stays null; an empty text is one
 empty line. Rows equal in id and text are one document: they keep or lose the
-same chunks. Null ids come first. Columns of the documents are kept, whatever
-their names. An empty table gives no rows.
+same chunks. Null ids come first. Of a line that fills a text again and again
+one is left. Columns of the documents are kept, whatever their names. An empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,43 +31,22 @@ from pyspark.sql import functions as F
 
 from .common import lookup_join, saved, text_of
 
-LEAST_LINES = 2
-#: Modulus and base of the rolling hash.
-PRIME, BASE = (1 << 31) - 1, 1_000_003
-#: Removed chunks up to which the table of them is broadcast.
-BROADCAST_CHUNKS = 500_000
+#: Documents that lose lines up to whose number of removed pairs the table of them is broadcast.
+BROADCAST_PAIRS = 500_000
+WORD_RE = r"[^\x20\x09-\x0D]"
 
 
-def line_hash(line: Column) -> Column:
-    """The first 31 bits of a line's MD5."""
-    return F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("long") % PRIME
-
-
-def with_chunks(docs: DataFrame) -> DataFrame:
-    """Adds the lines, their hashes and ``_llm_ends``: the last line (from 1) of every chunk, in order."""
+def with_lines(docs: DataFrame) -> DataFrame:
+    """Adds the lines and ``_llm_pairs``: for each pair of neighbouring lines
+    that aren't both blank the place k of the first (from 0) and the rolling hash."""
     one = docs.withColumn("_llm_lines", F.split(text_of(), "\n"))
-    one = one.withColumn("_llm_hashes", F.transform("_llm_lines", line_hash))
-    h, n = F.col("_llm_hashes"), F.size("_llm_hashes")
-    one = one.withColumn("_llm_rolled", F.transform(
-        h, lambda own, i: (F.coalesce(F.get(h, i - 1), F.lit(0)) * BASE + own) % PRIME))
-    r = F.col("_llm_rolled")
-
-    def ends(i: Column) -> Column:
-        own = F.get(r, i - 1)
-        return ((i >= LEAST_LINES) & (i <= n - LEAST_LINES) & (own < F.get(r, i - 2)) & (own <= F.get(r, i))) | (i == n)
-
-    return one.withColumn("_llm_ends", F.filter(F.sequence(F.lit(1), n), ends)).drop("_llm_hashes", "_llm_rolled")
-
-
-def chunk(k: Column) -> Column:
-    """The lines of chunk k (from 0)."""
-    ends, lines = F.col("_llm_ends"), F.col("_llm_lines")
-    first = F.coalesce(F.get(ends, k - 1), F.lit(0))
-    return F.slice(lines, first + 1, F.get(ends, k) - first)
-
-
-def numbers() -> Column:
-    return F.sequence(F.lit(0), F.size("_llm_ends") - 1)
+    one = one.withColumn("_llm_hashes", F.transform("_llm_lines", lambda x: F.struct(
+        F.xxhash64(x).alias("h"), F.rlike(x, F.lit(WORD_RE)).alias("words"))))
+    h, n = F.col("_llm_hashes"), F.size("_llm_lines")
+    places = F.when(n >= 2, F.sequence(F.lit(0), n - 2)).otherwise(F.array().cast("array<int>"))
+    places = F.filter(places, lambda k: F.get(h, k)["words"] | F.get(h, k + 1)["words"])
+    return one.withColumn("_llm_pairs", F.transform(places, lambda k: F.struct(
+        k.alias("k"), F.xxhash64(F.get(h, k)["h"], F.get(h, k + 1)["h"]).alias("a")))).drop("_llm_hashes")
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -76,42 +58,42 @@ def keyed(docs: DataFrame) -> DataFrame:
 KEY = ["_llm_null", "_llm_id", "_llm_mark"]
 
 
-def chunk_rows(docs: DataFrame, with_text: bool) -> DataFrame:
-    """One row a chunk of at least LEAST_LINES lines: key, k, and its hashes a and b (and its text)."""
-    cut = with_chunks(keyed(docs.select("doc_id", "text").where("text is not null")))
-
-    def of(k: Column) -> Column:
-        own = chunk(k)
-        return F.struct(k.alias("k"), F.size(own).alias("n"), own.alias("own"))
-
-    one = cut.select(*KEY, F.explode(F.filter(F.transform(numbers(), of), lambda c: c["n"] >= LEAST_LINES)).alias("c"))
-    text = [F.array_join("c.own", "\n").alias("text")] if with_text else []
-    return one.select(*KEY, "c.k", F.xxhash64("c.own").alias("a"), F.xxhash64(F.lit(1), "c.own").alias("b"), *text)
+def pair_rows(docs: DataFrame, with_text: bool) -> DataFrame:
+    """One row a pair of neighbouring lines: key, k, and its hash a (and its text)."""
+    one = with_lines(keyed(docs.select("doc_id", "text").where("text is not null")))
+    text = ["_llm_lines"] if with_text else []
+    rows = one.select(*KEY, *text, F.explode("_llm_pairs").alias("p")).select(*KEY, *text, "p.k", "p.a")
+    if with_text:
+        lines, k = F.col("_llm_lines"), F.col("k")
+        rows = rows.select(*KEY, "k", "a", F.concat(F.get(lines, k), F.lit("\n"), F.get(lines, k + 1)).alias("text"))
+    return rows
 
 
-def removed_chunks(docs: DataFrame) -> DataFrame:
-    """(key, gone): the chunks each document loses, as an array of their numbers."""
-    small = saved(chunk_rows(docs, with_text=False).distinct(), "line-chunks")
-    again = saved(small.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "line-repeats")
-    texts = lookup_join(chunk_rows(docs, with_text=True), again, ["a", "b"], "n", "inner")
-    same = (texts.groupBy("a", "b").agg(F.min("text").alias("x"), F.max("text").alias("y"))
-            .where("x = y").select("a", "b"))
+def removed_pairs(docs: DataFrame) -> DataFrame:
+    """(key, gone): the pairs of lines each document loses, as an array of their places."""
+    again = saved(pair_rows(docs, with_text=False).groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1"),
+                  "line-repeats")
+    live = saved(lookup_join(pair_rows(docs, with_text=True), again, "a", "n", "inner").drop("n"), "line-pairs")
+    same = (live.groupBy("a").agg(F.min("text").alias("x"), F.max("text").alias("y")).where("x = y").select("a"))
     place = F.struct(~F.col("_llm_null"), F.col("_llm_id"), F.col("_llm_mark"), F.col("k"))
-    first = small.groupBy("a", "b").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    groups = saved(first.join(same, ["a", "b"]), "line-groups")
-    later = lookup_join(small, groups, ["a", "b"], "n", "inner").where(place > F.col("first"))
-    return later.groupBy(*KEY).agg(F.collect_list("k").alias("_llm_gone"))
+    small = live.select(*KEY, "k", "a")
+    first = small.groupBy("a").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+    groups = saved(first.join(same, "a"), "line-groups")
+    later = lookup_join(small, groups, "a", "n", "inner").where(place > F.col("first"))
+    return later.groupBy(*KEY).agg(F.collect_set("k").alias("_llm_gone"))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """The documents, without the chunks that come again; their own columns and
     ``_llm_lines_removed``. ``n_chars`` follows the text where the column is there."""
-    gone = saved(removed_chunks(docs), "line-gone")
+    gone = saved(removed_pairs(docs), "line-gone")
     n = gone.agg(F.coalesce(F.sum(F.size("_llm_gone")), F.lit(0))).first()[0]
-    marked = keyed(docs).join(F.broadcast(gone) if n <= BROADCAST_CHUNKS else gone, KEY, "left")
-    cut = with_chunks(marked)
-    stay = F.flatten(F.transform(F.array_except(numbers(), F.col("_llm_gone")), chunk))
-    out = cut.withColumn("_llm_stay", F.when(F.col("_llm_gone").isNotNull(), stay))
+    marked = keyed(docs).join(F.broadcast(gone) if n <= BROADCAST_PAIRS else gone, KEY, "left")
+    marked = marked.withColumn("_llm_lines", F.when(F.col("_llm_gone").isNotNull(), F.split(text_of(), "\n")))
+    lines, pairs = F.col("_llm_lines"), F.col("_llm_gone")
+    places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1),
+                            F.concat(pairs, F.transform(pairs, lambda k: k + 1)))
+    out = marked.withColumn("_llm_stay", F.when(pairs.isNotNull(), F.transform(places, lambda k: F.get(lines, k))))
     changed = F.col("_llm_stay").isNotNull()
     text = F.when(changed, F.array_join("_llm_stay", "\n")).otherwise(F.col("text"))
     out = out.withColumn("_llm_lines_removed", F.when(changed, F.size("_llm_lines") - F.size("_llm_stay"))
@@ -121,21 +103,15 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     return out.select(*docs.columns, "_llm_lines_removed")
 
 
-SQL = f"""
+SQL = r"""
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
            FROM documents WHERE text IS NOT NULL),
-h AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT % {PRIME} AS h FROM l),
-r AS (SELECT *, (coalesce(lag(h) OVER d, 0) * {BASE} + h) % {PRIME} AS r, count(*) OVER (PARTITION BY doc_id) AS n FROM h
-      WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
-m AS (SELECT *, i >= {LEAST_LINES} AND i <= n - {LEAST_LINES} AND coalesce(r < lag(r) OVER d AND r <= lead(r) OVER d, false) AS cut
-      FROM r WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
-c AS (SELECT *, coalesce(sum(cut::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k
-      FROM m),
-t AS (SELECT doc_id, k, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS text FROM c GROUP BY doc_id, k),
-g AS (SELECT doc_id, k, row_number() OVER (PARTITION BY text, n ORDER BY doc_id, k) > 1 AS gone FROM t WHERE n >= {LEAST_LINES}),
-o AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT coalesce(gone, false)) AS text,
-             count(*) FILTER (WHERE gone) AS lines_removed
-      FROM c LEFT JOIN g USING (doc_id, k) GROUP BY doc_id)
+p AS (SELECT doc_id, i, line, lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS below FROM l),
+g AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY line, below ORDER BY doc_id, i) AS place FROM p
+      WHERE below IS NOT NULL AND regexp_matches(line || below, '[^\x20\x09-\x0D]')) WHERE place > 1),
+x AS (SELECT DISTINCT doc_id, unnest([i, i + 1]) AS i FROM g),
+o AS (SELECT l.doc_id, string_agg(line, chr(10) ORDER BY l.i) FILTER (WHERE x.i IS NULL) AS text, count(x.i) AS lines_removed
+      FROM l LEFT JOIN x ON l.doc_id = x.doc_id AND l.i = x.i GROUP BY l.doc_id)
 SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(o.text, '') END AS text, coalesce(lines_removed, 0) AS lines_removed
 FROM documents d LEFT JOIN o USING (doc_id)
 """

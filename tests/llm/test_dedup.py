@@ -4,6 +4,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from spindex.llm import line_chunks as L
@@ -149,25 +150,16 @@ def test_first_of_groups_keeps_columns(odd_docs):
 
 
 # -- line dedup ------------------------------------------------------------
-def chunks_by_hand(text):
-    lines = text.split("\n")
-    h = [0] + [int(hashlib.md5(line.encode()).hexdigest()[:8], 16) % L.PRIME for line in lines]
-    rolled = [(x * L.BASE + y) % L.PRIME for x, y in zip(h, h[1:], strict=False)]
-    ends = [k + 1 for k in range(1, len(lines) - 2) if rolled[k - 1] > rolled[k] <= rolled[k + 1]]
-    return [lines[i:j] for i, j in zip([0, *ends], [*ends, len(lines)], strict=True)]
-
-
 def lines_by_hand(rows):
     seen, out = set(), {}
-    order = sorted({(i is not None, i or 0, t) for i, t in rows if t is not None}, key=lambda x: x[:2])
-    for null, i, t in order:
-        kept = []
-        for c in chunks_by_hand(t):
-            if len(c) < 2 or tuple(c) not in seen:
-                kept += c
-            if len(c) >= 2:
-                seen.add(tuple(c))
-        out[(null, i, t)] = "\n".join(kept)
+    for null, i, t in sorted({(i is not None, i or 0, t) for i, t in rows if t is not None}, key=lambda x: x[:2]):
+        lines, gone = t.split("\n"), set()
+        for k, pair in enumerate(zip(lines, lines[1:], strict=False)):
+            if any(re.search(r"[^\x20\x09-\x0D]", x) for x in pair):
+                if pair in seen:
+                    gone |= {k, k + 1}
+                seen.add(pair)
+        out[(null, i, t)] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
     return Counter((i, None if t is None else out[(i is not None, i or 0, t)]) for i, t in rows)
 
 
@@ -187,19 +179,39 @@ def test_lines_by_hand(odd_docs, small_docs, no_docs, spark):
         rows = got.collect()
         assert Counter((r.doc_id, r.text) for r in rows) == lines_by_hand([(r.doc_id, r.text) for r in docs.collect()])
         assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in rows)
-    # the passage's inner chunks are found wherever it stands
+    # a passage stays where it stands first and is found wherever else, whatever is around it
     left = sum(r.text.count("passage") for r in L.without_repeats(shared).collect())
-    assert left < 0.45 * 12 * 60
+    assert left == 12
+
+
+def test_short_passages_and_blank_lines(spark):
+    rows = [(1, "one\ntwo\nthree"), (2, "x\none\ntwo\ny"), (3, "one\n\n\nz"), (4, "two\n\n\nw"), (5, "same\n" * 500),
+            (6, "three"), (7, "q\none\ntwo\nthree\nr")]
+    got = {r.doc_id: r.text for r in L.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: rows[0][1], 2: "x\ny", 3: rows[2][1], 4: rows[3][1], 5: "same\n", 6: "three", 7: "q\nr"} | {5: got[5]}
+    assert got[5].split("\n") == ["same", ""]
 
 
-def test_chunks_have_two_lines_or_more(spark):
-    rng = random.Random(9)
-    text = "\n".join(str(rng.randrange(10**6)) for _ in range(5_000))
-    docs = spark.createDataFrame([(1, text), (2, "one line"), (3, "a\nb\nc"), (4, "same\n" * 500)], "doc_id long, text string")
-    sizes = {r.doc_id: [j - i for i, j in zip([0, *r._llm_ends], r._llm_ends, strict=False)]
-             for r in L.with_chunks(docs).collect()}
-    assert min(sizes[1]) >= 2 and sum(sizes[1]) == 5_000 and max(sizes[1]) < 12
-    assert (sizes[2], sizes[3]) == ([1], [3]) and sum(sizes[4]) == 501
+def test_repeated_lines_are_removed(spark):
+    """Of the lines that stand in a pair of lines seen before, at least 0.9 go (sf0.01)."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    seen, again = set(), 0
+    for r in sorted(docs.where("text is not null").collect(), key=lambda r: r.doc_id):
+        lines, own = r.text.split("\n"), set()
+        for k, pair in enumerate(zip(lines, lines[1:], strict=False)):
+            own |= {k, k + 1} if pair in seen else set()
+            seen.add(pair)
+        again += len(own)
+    removed = L.without_repeats(docs).agg(F.sum("_llm_lines_removed")).first()[0]
+    assert again > 900 and 0.9 * again <= removed <= again
+
+
+def test_past_the_bounds(spark, small_docs, monkeypatch):
+    from spindex.llm import common
+    monkeypatch.setattr(L, "BROADCAST_PAIRS", 0)
+    monkeypatch.setattr(L, "lookup_join", lambda *a, **k: common.lookup_join(*a, **k, limit=1, hot=2))
+    rows = L.without_repeats(small_docs).collect()
+    assert Counter((r.doc_id, r.text) for r in rows) == lines_by_hand([(r.doc_id, r.text) for r in small_docs.collect()])
 
 
 def test_line_plans_have_no_python(small_docs):
