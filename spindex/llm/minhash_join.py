@@ -50,6 +50,8 @@ from .components import components
 
 #: Members held against one hub, and members of a key in one block, in a task.
 PAIRS, BLOCK = 1000, 512
+#: Repeated keys grow with the corpus: beyond so many (and so many hot ones) they are joined, not broadcast.
+FEW_KEYS = 1000
 
 DIGEST = "doc_id long, n_shingles long, c1 long, c2 long, sig binary, bits binary"
 DIGEST_ARROW = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()),
@@ -277,7 +279,7 @@ def class_links(docs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
     """(a, b): links between classes, enough to connect all that are linked."""
     keys = classes.select("cls", "n_shingles", "sig").mapInArrow(key_rows, KEYS)
     again = saved(keys.groupBy("slot", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "minhash-keys")
-    live = saved(lookup_join(keys, again, ["slot", "key"], "n", "inner"), "minhash-members")
+    live = saved(lookup_join(keys, again, ["slot", "key"], "n", "inner", limit=FEW_KEYS), "minhash-members")
     # first pass: every member of a key against the key's hub
     rank = F.struct(F.xxhash64(F.floor(F.col("slot") / M.WIDTH), F.col("cls")).alias("r"), "cls", "n_shingles")
     hubs = saved(live.groupBy("slot", "key").agg(F.min(rank).alias("hub"), F.count(F.lit(1)).alias("m"))
