@@ -115,6 +115,14 @@ def _weighted_pages(spark, sf, prune="once", profile="weighted"):
     return build_index(_pages(spark, sf), profile, prune=prune)
 
 
+def _shared(spark, name):
+    """A fresh folder under the session's shared checkpoint folder."""
+    import uuid
+
+    from .session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def _docs_index(spark, sf, profile="weighted"):
     return build_index(_documents(spark, sf), profile, prune="once")
 
@@ -127,6 +135,15 @@ def q_scan_documents(spark, sf):
     return _pages(spark, sf).select("doc_id", "name", "body")
 
 
+@register("scan_directory", "SELECT CAST(page_id AS VARCHAR) AS name, coalesce(html, '') || chr(10) AS body FROM pages")
+def q_scan_directory(spark, sf):
+    """The pages as a directory of text files (a folder a page, closed by a line end), scanned."""
+    path = _shared(spark, "pages")
+    C.read_table(spark, sf, "pages").select("page_id", "html").write.partitionBy("page_id").text(path)
+    found = C.scan_documents(spark, path, "*.txt")
+    return found.select(F.regexp_extract("path", "page_id=([^/]*)/", 1).alias("name"), "body")
+
+
 @register("limit_collection", O.with_(
     ["named AS (SELECT CAST(page_id AS VARCHAR) || '.html' AS name FROM pages)",
      f"ids AS ({_sql_names('named', 'name')})"],
@@ -199,29 +216,38 @@ def q_stopword_hits(spark, sf):
     return tt.where(F.col("term").isin(*R.STOPWORDS)).groupBy("term").agg(F.count(F.lit(1)).alias("hits"))
 
 
-@register("export_mapping_text", O.with_(
-    [O.docs_cte("pages")],
-    "SELECT doc_id, rpad(CAST(doc_id AS VARCHAR), greatest(4, length(CAST(doc_id AS VARCHAR)))::INT, ' ') || chr(9) || "
-    "CASE WHEN length(split_part(name, '.', 1)) >= 6 THEN split_part(name, '.', 1) "
-    "ELSE lpad(split_part(name, '.', 1), 6, ' ') END || '.' || split_part(name, '.', 2) AS line FROM docs"))
+def _fixed_sql(rows: str, keys: str, fields: dict[str, tuple[str, int]], line: str) -> str:
+    """Lines of ``rows`` (a relation) with every field as wide, in bytes, as its longest value."""
+    wide = ", ".join(f"greatest({n}, coalesce(max(strlen({x})), 0)) AS w_{f}" for f, (x, n) in fields.items())
+    for f, (x, _) in fields.items():
+        blanks = f"repeat(' ', (w_{f} - strlen({x}))::BIGINT)"
+        line = line.replace(f"<{f}>", f"{x} || {blanks}").replace(f">{f}<", f"{blanks} || {x}")
+    return f"SELECT {keys}, {line} AS line FROM {rows}, (SELECT {wide} FROM {rows})"
+
+
+_NAME = "coalesce(name, '')"
+
+
+@register("export_mapping_text", O.with_([O.docs_cte("pages")], _fixed_sql(
+    "docs", "doc_id", {"id": ("CAST(doc_id AS VARCHAR)", R.WIDTH_DOC_ID), "base": (f"split_part({_NAME}, '.', 1)", R.WIDTH_FILE_NAME),
+                       "ext": (f"split_part({_NAME}, '.', 2)", 0)}, "<id> || chr(9) || >base< || '.' || <ext>")))
 def q_export_mapping_text(spark, sf):
     from .sources.index_store import mapping_text
     return mapping_text(_pages(spark, sf).select("doc_id", "name"))
 
 
 @register("export_dictionary_text", O.with_(
-    O.index_ctes("pages", "weighted", "once") + [f"d AS (SELECT term, num_docs, {_START} AS start FROM kept)"],
-    "SELECT term, rpad(term, greatest(5, length(term)::INT), ' ') || chr(9) || rpad(CAST(num_docs AS VARCHAR), greatest(4, length(CAST(num_docs AS VARCHAR)))::INT, ' ') || chr(9) || "
-    "rpad(CAST(start AS VARCHAR), greatest(8, length(CAST(start AS VARCHAR)))::INT, ' ') AS line FROM d"))
+    O.index_ctes("pages", "weighted", "once") + [f"d AS (SELECT term, num_docs, {_START} AS start FROM kept)"], _fixed_sql(
+        "d", "term", {"t": ("term", R.WIDTH_TERM), "n": ("CAST(num_docs AS VARCHAR)", R.WIDTH_NUM_DOCS),
+                      "s": ("CAST(start AS VARCHAR)", R.WIDTH_START)}, "<t> || chr(9) || <n> || chr(9) || <s>")))
 def q_export_dictionary_text(spark, sf):
     from .sources.index_store import dictionary_text
     return dictionary_text(_weighted_pages(spark, sf).dictionary("start"))
 
 
-@register("export_postings_text", O.with_(
-    O.index_ctes("pages", "weighted", "once"),
-    "SELECT term, doc_id, rpad(CAST(doc_id AS VARCHAR), greatest(4, length(CAST(doc_id AS VARCHAR)))::INT, ' ') || chr(9) || "
-    "rpad(printf('%.6f', weight), greatest(8, length(printf('%.6f', weight)))::INT, ' ') AS line FROM post"))
+@register("export_postings_text", O.with_(O.index_ctes("pages", "weighted", "once"), _fixed_sql(
+    "post", "term, doc_id", {"id": ("CAST(doc_id AS VARCHAR)", R.WIDTH_DOC_ID), "w": ("printf('%.6f', weight)", R.WIDTH_WEIGHT)},
+    "<id> || chr(9) || <w>")))
 def q_export_postings_text(spark, sf):
     from .sources.index_store import postings_text
     return postings_text(_weighted_pages(spark, sf).postings)
@@ -507,9 +533,15 @@ def q_search_many(spark, sf):
     _DOCS_Q + O.search_ctes(),
     "SELECT t.query_id, t.rank, t.doc_id, d.body AS preview FROM top t JOIN docs d ON t.doc_id = d.doc_id"))
 def q_result_preview(spark, sf):
-    coll = _documents(spark, sf)
-    res = S.search_many(build_index(coll, "weighted", prune="once"), _benchmark(spark, sf))
-    return Q.result_preview(res, coll).select("query_id", "rank", "doc_id", "preview")
+    from .sources.index_store import read_documents, write_documents
+    coll, queries = _documents(spark, sf), _benchmark(spark, sf)
+    path = _shared(spark, "store")
+    write_documents(coll, path)
+    store = read_documents(spark, path)
+    n = queries.count()
+    res = S.search_many(_reopened(spark, sf), queries, n_queries=n)
+    return Q.result_preview(res, store.documents, bound_rows=n * R.TOP_K, buckets=store.buckets).select(
+        "query_id", "rank", "doc_id", "preview")
 
 
 @register("queries_without_results", O.with_(
@@ -526,11 +558,8 @@ def q_queries_without_results(spark, sf):
 # The same on an index written to the shared folder and opened again
 # ---------------------------------------------------------------------------
 def _reopened(spark, sf):
-    import uuid
-
-    from .session import ensure_checkpoint_dir
     from .sources.index_store import read_index, write_index
-    path = f"{ensure_checkpoint_dir(spark)}/index-{uuid.uuid4().hex}"
+    path = _shared(spark, "index")
     write_index(_docs_index(spark, sf), path)
     return read_index(spark, path)
 

@@ -26,16 +26,22 @@ def natural_key(name: Column) -> Column:
     return F.concat(F.array_join(F.transform(parts, enc), ""), F.lit("\x02"))
 
 
-def pad(col: Column, width: int) -> Column:
-    """Right-pad with blanks to ``width`` characters; a longer value is kept whole."""
+def blanks(col: Column, width: Column | int) -> Column:
+    """The blanks that a value lacks to ``width`` bytes of UTF-8; none if it is longer."""
+    lacking = (F.lit(width) if isinstance(width, int) else width) - F.octet_length(col)
+    return F.repeat(F.lit(" "), F.greatest(lacking, F.lit(0)).cast("int"))
+
+
+def pad(col: Column, width: Column | int) -> Column:
+    """Right-pad with blanks to ``width`` bytes; a longer value is kept whole."""
     c = col.cast("string")
-    return F.when(F.length(c) >= width, c).otherwise(F.rpad(c, width, " "))
+    return F.concat(c, blanks(c, width))
 
 
-def pad_left_if_shorter(col: Column, width: int) -> Column:
-    """Left-pad with blanks to ``width``; a longer value is kept whole."""
+def pad_left(col: Column, width: Column | int) -> Column:
+    """Left-pad with blanks to ``width`` bytes; a longer value is kept whole."""
     c = col.cast("string")
-    return F.when(F.length(c) >= width, c).otherwise(F.lpad(c, width, " "))
+    return F.concat(blanks(c, width), c)
 
 
 def fixed_decimal(col: Column, decimals: int = 6) -> Column:

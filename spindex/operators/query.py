@@ -8,11 +8,12 @@ side is broadcast by hint only where its size is proven (``bound_rows``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import analyzer as A
 from ..functions import rules as R
+from ..session import ensure_checkpoint_dir
 
 # Results of at most this many rows (fixed width: four numbers) are broadcast.
 RESULT_ROWS = 1_000_000
@@ -60,15 +61,24 @@ def query_terms(qtokens: DataFrame, mode: str = "lenient", stemmed: bool = False
     return kept.groupBy("query_id", term.alias("term")).agg(F.count(F.lit(1)).alias("mult"))
 
 
-def lookup(qterms: DataFrame, postings: DataFrame, terms: list[str] | None = None) -> DataFrame:
+def bucket_of(key: str, buckets: int) -> Column:
+    """The folder of a saved index or document store in which a key lies."""
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def lookup(qterms: DataFrame, postings: DataFrame, buckets: int | None = None, few: bool = False) -> DataFrame:
     """(query_id, term, mult, doc_id, weight): postings of each query term.
 
-    ``terms``, if the caller knows them all, are also pushed into the postings
-    scan (Parquet statistics and the term bloom filter skip the rest)."""
-    p = postings.select("term", "doc_id", "weight")
-    if terms is not None:
-        p = p.where(F.col("term").isin(terms))
-    return qterms.join(p, "term")
+    On a saved index (``buckets`` folders) the terms' folders are part of the
+    join key: Spark prunes the others when the terms are known, at run time, if
+    it broadcasts them: where it estimates them to be small, or if the caller
+    knows that they are ``few``, such as the words of one text. A query table
+    too large for that reads most folders anyway."""
+    if buckets is None:
+        return qterms.join(postings.select("term", "doc_id", "weight"), "term")
+    # the comparison is always true: Spark prunes by a side only if it sees a selective condition on it
+    placed = qterms.withColumn("bucket", bucket_of("term", buckets)).where(F.col("bucket") >= 0)
+    return (F.broadcast(placed) if few else placed).join(postings.select("bucket", "term", "doc_id", "weight"), ["bucket", "term"]).drop("bucket")
 
 
 def missing_terms(qterms: DataFrame, terms: DataFrame) -> DataFrame:
@@ -102,10 +112,10 @@ def top_k(scores: DataFrame, k: int = R.TOP_K) -> DataFrame:
             .select("query_id", F.col("rank").cast("long").alias("rank"), "doc_id", "score"))
 
 
-def _with_rows(results: DataFrame, table: DataFrame, bound_rows: int | None) -> DataFrame:
+def _with_rows(results: DataFrame, table: DataFrame, bound_rows: int | None, on: str | list[str] = "doc_id") -> DataFrame:
     """Join ``table`` (keyed by doc_id) to ``results`` after the top-k cut."""
     small = bound_rows is not None and bound_rows <= RESULT_ROWS
-    return (F.broadcast(results) if small else results).join(table, "doc_id")
+    return (F.broadcast(results) if small else results).join(table, on)
 
 
 def resolve_names(top: DataFrame, mapping: DataFrame, bound_rows: int | None = None) -> DataFrame:
@@ -115,11 +125,22 @@ def resolve_names(top: DataFrame, mapping: DataFrame, bound_rows: int | None = N
 
 
 def result_preview(results: DataFrame, collection: DataFrame, chars: int | None = None,
-                   bound_rows: int | None = None) -> DataFrame:
+                   bound_rows: int | None = None, buckets: int | None = None) -> DataFrame:
     """Adds ``preview``: the text of each result document (first ``chars``
-    characters if given), fetched after the top-k cut."""
+    characters if given), fetched after the top-k cut.
+
+    The documents of a store (``buckets`` folders, see ``sources.index_store``)
+    are read from the folders of the results only. For that the results, some
+    numbers a row, are computed first and written to the checkpoint folder (the
+    one job that runs here); with ``bound_rows``, a proven bound such as k *
+    queries, they are broadcast and no text moves."""
     body = F.col("body") if chars is None else F.substring("body", 1, chars)
-    return _with_rows(results, collection.select("doc_id", body.alias("preview")), bound_rows)
+    if buckets is None:
+        return _with_rows(results, collection.select("doc_id", body.alias("preview")), bound_rows)
+    ensure_checkpoint_dir(results.sparkSession)
+    placed = results.checkpoint().withColumn("bucket", bucket_of("doc_id", buckets)).where(F.col("bucket") >= 0)
+    return _with_rows(placed, collection.select("bucket", "doc_id", body.alias("preview")), bound_rows,
+                      ["bucket", "doc_id"]).drop("bucket")
 
 
 def queries_without_results(queries: DataFrame, results: DataFrame) -> DataFrame:

@@ -34,6 +34,7 @@ class Index:
     n_docs: DataFrame            # one row: n_docs
     profile: str = "weighted"
     analyzer: str = "full"
+    buckets: int | None = None   # folders of the postings of a saved index
 
     def dictionary(self, offset: str = "start") -> DataFrame:
         """(term, num_docs, start): ``start`` = position of the term's first

@@ -2,7 +2,7 @@
 
     queries -> analyzer (whole text) -> filters (lenient | strict) [-> stems]
       -> (query_id, term, mult)
-      ⋈ postings (known terms can be pushed into the scan)
+      ⋈ postings (of a saved index only the folders of the terms)
       -> sum(weight * mult) per (query_id, doc_id)
       -> top k per query (WindowGroupLimit both sides of the shuffle)
       -> names (mapping joined after the cut)
@@ -24,44 +24,35 @@ def default_mode(index: Index) -> str:
     return "strict" if index.profile == "stemmed" else "lenient"
 
 
-def query_plan(index: Index, queries: DataFrame, k: int = R.TOP_K, mode: str | None = None,
-               terms: list[str] | None = None) -> dict:
+def query_plan(index: Index, queries: DataFrame, k: int = R.TOP_K, mode: str | None = None, few: bool = False) -> dict:
     """All intermediate tables of a search, keyed by operator name."""
     if index.profile == "raw":
         raise ValueError("the raw profile stores counts, not weights; build a weighted or stemmed index")
     mode = mode or default_mode(index)
     qtok = Q.query_tokens(queries, index.analyzer)
     found = Q.query_terms(qtok, mode, stemmed=index.profile == "stemmed")
-    matches = Q.lookup(found, index.postings, terms)
+    matches = Q.lookup(found, index.postings, index.buckets, few)
     scores = Q.accumulate(matches)
     top = Q.top_k(scores, k)
     return {"tokens": qtok, "terms": found, "matches": matches, "scores": scores, "top": top}
 
 
-def known_terms(index: Index, queries: DataFrame, mode: str | None = None, most: int = 1000) -> list[str] | None:
-    """The distinct terms of a small query table, for a push into the scan of a
-    saved index; None if there are more than ``most``. Runs a job."""
-    found = query_plan(index, queries, mode=mode)["terms"].select("term").distinct().limit(most + 1).collect()
-    return [r.term for r in found] if len(found) <= most else None
-
-
 def search_many(index: Index, queries: DataFrame, k: int = R.TOP_K, mode: str | None = None,
-                n_queries: int | None = None, push_terms: bool = False) -> DataFrame:
+                n_queries: int | None = None, few: bool = False) -> DataFrame:
     """(query_id, rank, doc_id, name, score) for a table (query_id, text).
 
-    ``n_queries`` is a known bound on the number of queries. Nothing runs until
-    the result is used, unless ``push_terms`` asks for ``known_terms`` first.
+    ``n_queries`` is a known bound on the number of queries; ``few`` says that
+    all their words fit a broadcast. Nothing runs until the result is used.
     """
-    terms = known_terms(index, queries, mode) if push_terms else None
-    plan = query_plan(index, queries, k, mode, terms)
+    plan = query_plan(index, queries, k, mode, few)
     return Q.resolve_names(plan["top"], index.mapping, bound_rows=None if n_queries is None else n_queries * k)
 
 
-def search(index: Index, text: str, k: int = R.TOP_K, mode: str | None = None, push_terms: bool = False) -> DataFrame:
+def search(index: Index, text: str, k: int = R.TOP_K, mode: str | None = None) -> DataFrame:
     """One query string -> (query_id=0, rank, doc_id, name, score)."""
     spark = index.postings.sparkSession
     queries = spark.createDataFrame([(0, text)], "query_id long, text string")
-    return search_many(index, queries, k, mode, n_queries=1, push_terms=push_terms)
+    return search_many(index, queries, k, mode, n_queries=1, few=True)
 
 
 def result_lines(results: DataFrame, decimals: int | None = None) -> DataFrame:

@@ -35,9 +35,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def scan_documents(spark: SparkSession, path: str, glob: str = "*.html") -> DataFrame:
     """Directory of text files -> (name, body, path); one row per file, whole
-    text. Names may repeat over folders, paths don't."""
+    text, read as UTF-8: what can't be decoded becomes U+FFFD. Names may repeat
+    over folders, paths don't."""
     df = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True, pathGlobFilter=glob)
-    return df.select(F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))).alias("name"), F.col("value").alias("body"),
+    return df.select(F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))).alias("name"),
+                     F.make_valid_utf8("value").alias("body"),
                      F.col("_metadata.file_path").alias("path"))
 
 

@@ -1,31 +1,43 @@
-"""Persisted index (S6-S9) and the original text layouts.
+"""Persisted index (S6-S9), document store (Q10) and the original text layouts.
 
-Layout under one folder:
-  postings/    term, doc_id, raw_freq, tf, weight — range-partitioned and
-               sorted on (term, doc_id): a term's postings are contiguous and
-               a term predicate skips row groups by their statistics
+Layout of an index under one folder:
+  postings/    bucket=<n>/: term, doc_id, raw_freq, tf, weight — a term's
+               postings lie in one bucket (hash of the term), sorted on (term,
+               doc_id); a search reads only the folders of its terms' buckets,
+               found at run time (dynamic partition pruning)
   dictionary/  term, num_docs, coll_freq, start — sorted on term in each file
   mapping/     doc_id, name — sorted on doc_id
-  meta/        one row: profile, analyzer, n_docs
+  meta/        one row: profile, analyzer, n_docs, buckets
+
+A document store is the collection, laid out the same way by a hash of doc_id:
+the texts of k results are read from at most k folders, and no text is shuffled.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
-from ..functions.text import fixed_decimal, pad, pad_left_if_shorter
+from ..functions.text import fixed_decimal, pad, pad_left
+from ..operators.query import bucket_of
 from ..operators.sequence import exclusive_prefix_sum
 from ..plans.build import Index
 
+# Folders of an index or a store. More folders, less to read for a search; a
+# large index takes some thousands (a bucket should be some hundred MB).
+BUCKETS = 64
+
 
-def write_index(index: Index, path: str, mode: str = "overwrite") -> None:
+def write_index(index: Index, path: str, mode: str = "overwrite", buckets: int = BUCKETS) -> None:
     """Write postings, then derive the dictionary from the written postings
     (a columnar re-read, instead of tokenizing the collection a second time)."""
-    (index.postings.repartitionByRange("term", "doc_id")
-     .sortWithinPartitions("term", "doc_id")
-     .write.mode(mode)
+    order = ["bucket", "term", "doc_id"]
+    (index.postings.select("term", "doc_id", "raw_freq", "tf", "weight", bucket_of("term", buckets).alias("bucket"))
+     .repartitionByRange(*order).sortWithinPartitions(*order)
+     .write.mode(mode).partitionBy("bucket")
      .option("parquet.bloom.filter.enabled#term", "true")
      .parquet(f"{path}/postings"))
     written = index.postings.sparkSession.read.parquet(f"{path}/postings")
@@ -36,7 +48,8 @@ def write_index(index: Index, path: str, mode: str = "overwrite") -> None:
      .write.mode(mode).parquet(f"{path}/dictionary"))
     (index.mapping.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
      .write.mode(mode).parquet(f"{path}/mapping"))
-    (index.n_docs.select(F.lit(index.profile).alias("profile"), F.lit(index.analyzer).alias("analyzer"), "n_docs")
+    (index.n_docs.select(F.lit(index.profile).alias("profile"), F.lit(index.analyzer).alias("analyzer"), "n_docs",
+                         F.lit(buckets).alias("buckets"))
      .coalesce(1).write.mode(mode).parquet(f"{path}/meta"))
 
 
@@ -47,51 +60,106 @@ def read_index(spark: SparkSession, path: str) -> Index:
     return Index(postings=spark.read.parquet(f"{path}/postings"),
                  terms=dictionary.select("term", "num_docs", "coll_freq", "start"),
                  mapping=spark.read.parquet(f"{path}/mapping"),
-                 n_docs=meta.select("n_docs"), profile=row.profile, analyzer=row.analyzer)
+                 n_docs=meta.select("n_docs"), profile=row.profile, analyzer=row.analyzer, buckets=row.buckets)
+
+
+@dataclass
+class DocumentStore:
+    """A written collection (doc_id, name, body, bucket) that is read by document."""
+
+    documents: DataFrame
+    buckets: int
+
+
+def write_documents(collection: DataFrame, path: str, mode: str = "overwrite", buckets: int = BUCKETS) -> None:
+    order = ["bucket", "doc_id"]
+    (collection.select("doc_id", "name", "body", bucket_of("doc_id", buckets).alias("bucket"))
+     .repartitionByRange(*order).sortWithinPartitions(*order)
+     .write.mode(mode).partitionBy("bucket").parquet(f"{path}/documents"))
+    (collection.sparkSession.range(1).select(F.lit(buckets).alias("buckets"))
+     .coalesce(1).write.mode(mode).parquet(f"{path}/documents_meta"))
+
+
+def read_documents(spark: SparkSession, path: str) -> DocumentStore:
+    return DocumentStore(spark.read.parquet(f"{path}/documents"),
+                         spark.read.parquet(f"{path}/documents_meta").first().buckets)
 
 
 # --------------------------------------------------------------------------
 # Text layouts of the original tools
 # --------------------------------------------------------------------------
-def mapping_text(mapping: DataFrame) -> DataFrame:
-    """``<id padded to 4>\\t<name before the dot, left-padded to 6>.<ext>``."""
-    base = F.substring_index("name", ".", 1)
+# A file's records all have one length: each field is as wide as its longest
+# value (in bytes of UTF-8), at least as wide as in the original.
+
+
+def widths(rows: DataFrame, fields: dict[str, tuple[Column, int]]) -> DataFrame:
+    """One row: the width in bytes of each field (a text column and the least width)."""
+    return rows.agg(*(F.greatest(F.lit(least), F.coalesce(F.max(F.octet_length(c)), F.lit(0))).alias(f)
+                      for f, (c, least) in fields.items()))
+
+
+def mapping_fields() -> dict[str, tuple[Column, int]]:
+    name = F.coalesce("name", F.lit(""))
     # the extension is the part after the first dot, up to a second one
-    ext = F.when(F.instr("name", ".") > 0, F.substring_index(F.substring_index("name", ".", 2), ".", -1)) \
-        .otherwise(F.lit(""))
-    line = F.concat(pad(F.col("doc_id"), R.WIDTH_DOC_ID), F.lit("\t"),
-                    pad_left_if_shorter(base, R.WIDTH_FILE_NAME), F.lit("."), ext)
-    return mapping.select("doc_id", line.alias("line"))
+    ext = F.when(F.instr(name, ".") > 0, F.substring_index(F.substring_index(name, ".", 2), ".", -1)).otherwise(F.lit(""))
+    return {"doc_id": (F.col("doc_id").cast("string"), R.WIDTH_DOC_ID),
+            "base": (F.substring_index(name, ".", 1), R.WIDTH_FILE_NAME), "ext": (ext, 0)}
+
+
+def dictionary_fields() -> dict[str, tuple[Column, int]]:
+    return {"term": (F.col("term"), R.WIDTH_TERM), "num_docs": (F.col("num_docs").cast("string"), R.WIDTH_NUM_DOCS),
+            "start": (F.col("start").cast("string"), R.WIDTH_START)}
+
+
+def postings_fields() -> dict[str, tuple[Column, int]]:
+    return {"doc_id": (F.col("doc_id").cast("string"), R.WIDTH_DOC_ID),
+            "weight": (fixed_decimal(F.col("weight"), 6), R.WIDTH_WEIGHT)}
+
+
+def _padded(rows: DataFrame, fields: dict[str, tuple[Column, int]]) -> dict[str, Column]:
+    """The fields, padded to widths that are scalar subqueries of ``rows`` (no job runs before the lines are used)."""
+    wide = widths(rows, fields)
+    return {f: (pad_left if f == "base" else pad)(c, wide.select(f).scalar()) for f, (c, _) in fields.items()}
+
+
+def mapping_text(mapping: DataFrame) -> DataFrame:
+    """``<id>\\t<name before the dot, to the right>.<extension>``; a missing name is empty."""
+    f = _padded(mapping, mapping_fields())
+    return mapping.select("doc_id", F.concat(f["doc_id"], F.lit("\t"), f["base"], F.lit("."), f["ext"]).alias("line"))
 
 
 def dictionary_text(dictionary: DataFrame) -> DataFrame:
-    """``<term padded to 5>\\t<num_docs to 4>\\t<start to 8>``."""
-    line = F.concat(pad(F.col("term"), R.WIDTH_TERM), F.lit("\t"), pad(F.col("num_docs"), R.WIDTH_NUM_DOCS),
-                    F.lit("\t"), pad(F.col("start"), R.WIDTH_START))
-    return dictionary.select("term", line.alias("line"))
+    """``<term>\\t<num_docs>\\t<start>``."""
+    f = _padded(dictionary, dictionary_fields())
+    return dictionary.select("term", F.concat(f["term"], F.lit("\t"), f["num_docs"], F.lit("\t"), f["start"]).alias("line"))
 
 
 def postings_text(postings: DataFrame) -> DataFrame:
-    """``<doc id to 4>\\t<weight, fixed notation, to 8>``."""
-    line = F.concat(pad(F.col("doc_id"), R.WIDTH_DOC_ID), F.lit("\t"),
-                    pad(fixed_decimal(F.col("weight"), 6), R.WIDTH_WEIGHT))
-    return postings.select("term", "doc_id", line.alias("line"))
+    """``<doc id>\\t<weight, fixed notation>``."""
+    f = _padded(postings, postings_fields())
+    return postings.select("term", "doc_id", F.concat(f["doc_id"], F.lit("\t"), f["weight"]).alias("line"))
 
 
 def write_text_layout(index: Index, path: str) -> None:
-    """Fixed-width text files in term / id order (one part per range)."""
-    mapping_text(index.mapping).repartitionByRange("doc_id").sortWithinPartitions("doc_id") \
-        .select("line").write.mode("overwrite").text(f"{path}/mapping_text")
+    """Fixed-width text files in term / id order (one part per range), and
+    beside each folder a Parquet file ``<folder>_widths`` of one row: the width
+    of each field and ``record``, the bytes of a record with its line end. The
+    n-th record of a file begins at byte n * record."""
     dictionary = exclusive_prefix_sum(index.terms, ["term"], "num_docs", out_col="start")
-    dictionary_text(dictionary).repartitionByRange("term").sortWithinPartitions("term") \
-        .select("line").write.mode("overwrite").text(f"{path}/dictionary_text")
-    postings_text(index.postings).repartitionByRange("term", "doc_id").sortWithinPartitions("term", "doc_id") \
-        .select("line").write.mode("overwrite").text(f"{path}/postings_text")
+    for name, rows, fields, text, order in (
+            ("mapping_text", index.mapping, mapping_fields(), mapping_text, ["doc_id"]),
+            ("dictionary_text", dictionary, dictionary_fields(), dictionary_text, ["term"]),
+            ("postings_text", index.postings, postings_fields(), postings_text, ["term", "doc_id"])):
+        wide = widths(rows, fields).withColumn("record", sum((F.col(f) for f in fields), F.lit(len(fields))))
+        wide.coalesce(1).write.mode("overwrite").parquet(f"{path}/{name}_widths")
+        text(rows).repartitionByRange(*order).sortWithinPartitions(*order) \
+            .select("line").write.mode("overwrite").text(f"{path}/{name}")
 
 
 def raw_mapping_text(mapping: DataFrame) -> DataFrame:
-    """``<id> \t <name>``"""
-    return mapping.select("doc_id", F.concat(F.col("doc_id").cast("string"), F.lit(" \t "), F.col("name")).alias("line"))
+    """``<id> \t <name>``; a missing name is empty"""
+    return mapping.select("doc_id", F.concat(F.col("doc_id").cast("string"), F.lit(" \t "),
+                                             F.coalesce("name", F.lit(""))).alias("line"))
 
 
 def raw_dictionary_text(index: Index) -> DataFrame:

@@ -78,3 +78,11 @@ def test_limited_numbers_only_what_it_keeps(spark):
     coll = C.limited(df, "body", "name", 5)
     assert "TakeOrderedAndProject" in coll._jdf.queryExecution().executedPlan().toString()
     assert [(r.doc_id, r.name) for r in coll.orderBy("doc_id").collect()] == [(i, f"{i}.html") for i in range(5)]
+
+
+def test_undecodable_bytes_are_replaced(spark, tmp_path):
+    (tmp_path / "a.html").write_bytes(b"caf\xe9 noir\n\xff\xfe")
+    (tmp_path / "b.html").write_bytes("café".encode())
+    rows = {r.name: r for r in C.scan_documents(spark, str(tmp_path)).selectExpr("*", "is_valid_utf8(body) AS ok").collect()}
+    assert rows["a.html"].ok and rows["a.html"].body == "caf\ufffd noir\n\ufffd\ufffd"
+    assert rows["b.html"].ok and rows["b.html"].body == "café"

@@ -96,7 +96,7 @@ def test_search_runs_no_job(spark, index):
 
 def test_pushed_terms_change_nothing(spark, index):
     qs = C.read_table(spark, SF_SMOKE, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    assert sorted(map(tuple, search_many(index, qs, push_terms=True).collect())) == sorted(
+    assert sorted(map(tuple, search_many(index, qs, n_queries=10_000).collect())) == sorted(
         map(tuple, search_many(index, qs).collect()))
 
 
