@@ -60,14 +60,14 @@ def term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = 0
 
     def given() -> Iterator[pa.RecordBatch]:
-        out = Rows(COUNTS_ARROW, max_rows=200_000)
         for (lang, source), (n, docs) in groups.items():
-            for term, c in n.items():
-                out.add(lang, source, term.decode(), c, docs[term], weight=len(term) + 40)
-                if out.full():
-                    yield out.take()
-        if len(out):
-            yield out.take()
+            terms = list(n)
+            for lo in range(0, len(terms), 50_000):
+                own = terms[lo:lo + 50_000]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(pa.scalar(lang), len(own)), pa.repeat(pa.scalar(source), len(own)),
+                     pa.array(own, pa.binary()).cast(pa.string()), pa.array([n[t] for t in own], pa.int64()),
+                     pa.array([docs[t] for t in own], pa.int64())], schema=COUNTS_ARROW)
         groups.clear()
 
     for batch in batches:
