@@ -31,6 +31,8 @@ from .common import id_text, lookup_join, saved, without_space, workers
 
 #: A merged range of quotients holds about this many fingerprints.
 RANGE_ROWS = 250_000
+#: So many entries of a range wait for a merge at least.
+MERGE_ROWS = 1_000_000
 FILTER = "range_id int, quotients binary, runs binary, remainders binary, counts binary"
 FILTER_ARROW = pa.schema([("range_id", pa.int32()), ("quotients", pa.binary()), ("runs", pa.binary()),
                           ("remainders", pa.binary()), ("counts", pa.binary())])
@@ -69,10 +71,11 @@ class QuotientFilter:
         i = int(np.searchsorted(run, np.uint64(r)))
         return int(self.counts[start + i]) if i < len(run) and int(run[i]) == r else 0
 
-    def merged(self, other: QuotientFilter) -> QuotientFilter:
-        """Both multisets as one; nothing is lost."""
-        return QuotientFilter.of(np.concatenate([self.fingerprints(), other.fingerprints()]),
-                                 np.concatenate([self.counts, other.counts]), self.bits)
+    def merged(self, *others: QuotientFilter) -> QuotientFilter:
+        """All multisets as one, by one ordered merge; nothing is lost."""
+        every = (self, *others)
+        return QuotientFilter.of(np.concatenate([x.fingerprints() for x in every]),
+                                 np.concatenate([x.counts for x in every]), self.bits)
 
     def pieces(self, range_bits: int) -> Iterator[dict]:
         """The filter as ranges of quotients: a range is the quotient's first ``range_bits`` bits."""
@@ -81,15 +84,30 @@ class QuotientFilter:
         for i in np.unique(ids):
             a, b = np.searchsorted(ids, [i, i + 1])
             x, y = (int(ends[a - 1]) if a else 0), int(ends[b - 1])
-            yield {"range_id": int(i), "quotients": self.quotients[a:b].astype("<u8").tobytes(),
-                   "runs": self.runs[a:b].astype("<i8").tobytes(),
-                   "remainders": self.remainders[x:y].astype("<u8").tobytes(),
-                   "counts": self.counts[x:y].astype("<i8").tobytes()}
+            steps = np.diff(self.quotients[a:b], prepend=np.uint64(0))
+            yield {"range_id": int(i), "quotients": int(steps[0]).to_bytes(8, "little") + packed(steps[1:]),
+                   "runs": packed(self.runs[a:b]), "counts": packed(self.counts[x:y]),
+                   "remainders": self.remainders[x:y].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :-(-self.bits // 8)].tobytes()}
 
     @classmethod
     def read(cls, row: dict, bits: int) -> QuotientFilter:
-        kinds = (("quotients", "<u8"), ("runs", "<i8"), ("remainders", "<u8"), ("counts", "<i8"))
-        return cls(*(np.frombuffer(row[k], t) for k, t in kinds), bits)
+        first = np.frombuffer(row["quotients"][:8], "<u8")
+        quotients = np.cumsum(np.concatenate([first, unpacked(row["quotients"][8:], np.uint64)]), dtype=np.uint64)
+        raw = np.frombuffer(row["remainders"], np.uint8).reshape(-1, -(-bits // 8))
+        remainders = np.zeros((len(raw), 8), np.uint8)
+        remainders[:, :raw.shape[1]] = raw
+        return cls(quotients, unpacked(row["runs"], np.int64), remainders.view("<u8").ravel(),
+                   unpacked(row["counts"], np.int64), bits)
+
+
+def packed(numbers: np.ndarray) -> bytes:
+    """The width that the largest number needs (1, 2, 4 or 8 bytes), then all of them in it."""
+    width = next(w for w in (1, 2, 4, 8) if w == 8 or not len(numbers) or int(numbers.max()) < 1 << (8 * w))
+    return bytes([width]) + numbers.astype(f"<u{width}").tobytes()
+
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(kind)
 
 
 def build(batches: Iterator[pa.RecordBatch], bits: int, range_bits: int,
@@ -114,23 +132,27 @@ def build(batches: Iterator[pa.RecordBatch], bits: int, range_bits: int,
 
 def merge(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     """Range by range (rows come sorted by range): the fingerprints counted more than once."""
-    now, held = None, None
+    now, waiting, n = None, [], 0
 
     def out():
+        held = waiting[0].merged(*waiting[1:])
         many = held.counts > 1
         return pa.RecordBatch.from_arrays([pa.array(held.fingerprints()[many].view(np.int64)),
                                            pa.array(held.counts[many])], schema=REPEATED_ARROW)
 
     for batch in batches:
         for row in batch.to_pylist():
-            one = QuotientFilter.read(row, bits)
-            if row["range_id"] == now:
-                held = held.merged(one)
-                continue
-            if held is not None:
-                yield out()
-            now, held = row["range_id"], one
-    if held is not None:
+            if row["range_id"] != now:
+                if waiting:
+                    yield out()
+                now, waiting, n = row["range_id"], [], 0
+            waiting.append(QuotientFilter.read(row, bits))
+            n += len(waiting[-1].counts)
+            # what waits is merged when it outgrows what is merged: each entry a few times, however many the pieces
+            if n > max(MERGE_ROWS, 2 * len(waiting[0].counts)):
+                waiting = [waiting[0].merged(*waiting[1:])]
+                n = len(waiting[0].counts)
+    if waiting:
         yield out()
 
 

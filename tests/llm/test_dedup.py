@@ -14,6 +14,32 @@ from spindex.llm.components import components
 
 
 # -- exact dedup -----------------------------------------------------------
+def test_many_pieces_merge_as_fast_as_few(monkeypatch):
+    import time
+
+    import pyarrow as pa
+    rng = np.random.default_rng(4)
+    fps = rng.integers(0, 1 << 40, 200_000, dtype=np.uint64)
+    fps[::7] = fps[1::7][:len(fps[::7])] if len(fps[1::7]) >= len(fps[::7]) else np.resize(fps[1::7], len(fps[::7]))
+    values, counts = np.unique(fps, return_counts=True)
+    want = dict(zip(values[counts > 1].view(np.int64).tolist(), counts[counts > 1].tolist(), strict=True))
+    took = {}
+    for most in (Q.MERGE_ROWS, 20_000):  # the second merges on the way
+        monkeypatch.setattr(Q, "MERGE_ROWS", most)
+        for pieces in (10, 1000):
+            rows = [x for part in np.array_split(fps, pieces)
+                    for x in Q.QuotientFilter.of(part, np.ones(len(part), np.int64), 40).pieces(4)]
+            rows.sort(key=lambda x: x["range_id"])
+            entry = sum(len(x[k]) for x in rows for k in ("quotients", "runs", "remainders", "counts")) / len(fps)
+            began = time.process_time()
+            got = {}
+            for b in Q.merge(iter([pa.RecordBatch.from_pylist(rows, Q.FILTER_ARROW)]), 40):
+                got |= dict(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+            took[most, pieces] = time.process_time() - began
+            assert got == want and entry < 12
+    assert took[20_000, 1000] < 10 * took[20_000, 10] + 1
+
+
 def test_quotient_filter_merges_losslessly():
     rng = random.Random(2)
     pool = [rng.getrandbits(64) for _ in range(300)] + [x << 40 | y for x in range(3) for y in range(50)]
