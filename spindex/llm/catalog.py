@@ -42,7 +42,7 @@ def op5_bitplane_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     manifest = warc_salvage.write_archives(pages, shared_path(spark, "warc"))
-    return warc_salvage.resolved(warc_salvage.read_archives(spark, manifest))
+    return warc_salvage.resolved(warc_salvage.read_archives(spark, manifest), manifest)
 
 
 SQL["op4_warc_salvage"] = warc_salvage.SQL

@@ -283,14 +283,20 @@ def read_archives(spark: SparkSession, paths: DataFrame) -> DataFrame:
     return paths.select("path").repartition(max(1, min(paths.count(), 10_000)), "path").mapInArrow(read_files, RECORDS)
 
 
-def resolved(records: DataFrame) -> DataFrame:
+def resolved(records: DataFrame, manifest: DataFrame | None = None) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to): a
     revisit has the size of the response with its digest, recomputed from that
-    response's block; its own record has none."""
-    sound = records.where(F.col("gap").isNull())
-    small = sound.select("page_id", "record_type", "refers_to", "payload_digest",
-                         F.octet_length("payload").cast("long").alias("own_bytes"))
-    small = saved(small, "warc-records")
+    response's block; its own record has none. With the manifest of the writer,
+    fewer records than were written are an error that names the gaps."""
+    small = saved(records.select("page_id", "record_type", "refers_to", "payload_digest", "path", "gap",
+                                 F.octet_length("payload").cast("long").alias("own_bytes")), "warc-records")
+    if manifest is not None:
+        written = manifest.agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0]
+        found = small.where(F.col("gap").isNull()).count()
+        if found != written:
+            gaps = [f"{r.path}: {r.gap}" for r in small.where(F.col("gap").isNotNull()).limit(20).collect()]
+            raise RuntimeError(f"{found} of {written} records could be read; gaps: {gaps}")
+    small = small.where(F.col("gap").isNull()).drop("path", "gap")
     response = F.col("record_type") == "response"
     sizes = (small.groupBy("payload_digest")
              .agg(F.max(F.when(response, F.col("own_bytes"))).alias("payload_bytes"), F.count(F.lit(1)).alias("n"),

@@ -153,3 +153,19 @@ def test_pages_round_trip(spark):
     found = W.read_archives(spark, manifest).where(f"path = '{path}'").collect()
     assert sum(r.gap is not None for r in found) == 1
     assert sum(r.gap is None for r in found) == manifest.first().records - 1
+
+
+def test_a_damaged_archive_is_an_error(spark, tmp_path):
+    import glob
+
+    import pytest
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    manifest = W.write_archives(pages, str(tmp_path / "own"))
+    assert W.resolved(W.read_archives(spark, manifest), manifest).count() == pages.count()
+    path = max(glob.glob(str(tmp_path / "own" / "**" / "*.gz"), recursive=True))
+    raw = bytearray(open(path, "rb").read())
+    raw[len(raw) // 2] ^= 0xFF
+    with open(path, "wb") as f:
+        f.write(raw)
+    with pytest.raises(RuntimeError, match="records could be read; gaps"):
+        W.resolved(W.read_archives(spark, manifest), manifest)
