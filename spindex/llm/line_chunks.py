@@ -62,7 +62,10 @@ def pair_rows(docs: DataFrame, with_text: bool) -> DataFrame:
     """One row a pair of neighbouring lines: key, k, and its hash a (and its text)."""
     one = with_lines(keyed(docs.select("doc_id", "text").where("text is not null")))
     text = ["_llm_lines"] if with_text else []
-    rows = one.select(*KEY, *text, F.explode("_llm_pairs").alias("p")).select(*KEY, *text, "p.k", "p.a")
+    # explode_outer and a filter: for a plain explode the optimizer infers a filter on the array's size, in which
+    # the hashes are taken anew for every line
+    rows = (one.select(*KEY, *text, F.explode_outer("_llm_pairs").alias("p")).where(F.col("p").isNotNull())
+            .select(*KEY, *text, "p.k", "p.a"))
     if with_text:
         lines, k = F.col("_llm_lines"), F.col("k")
         rows = rows.select(*KEY, "k", "a", F.concat(F.get(lines, k), F.lit("\n"), F.get(lines, k + 1)).alias("text"))
