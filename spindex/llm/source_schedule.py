@@ -13,6 +13,10 @@ every source near its share. The r-th slot of a source takes its block r modulo
 the number of its blocks: a source is gone through whole before any of it comes
 again, and three times at most (a slot beyond that stays empty).
 
+Sources may be as many as documents: they are numbered, summed and given their
+intervals as a table, the driver sees one row a round of sharing, and points
+find their interval by a sort inside cells of about ``CHUNK`` slots.
+
 Null text is an empty text of size 0; documents of size 0 are never taken.
 Null ids are shuffled like any other; repeated rows are mixed one by one; other
 columns are not read (``mixed`` keeps them all). An empty table gives no rows.
@@ -20,7 +24,8 @@ columns are not read (``mixed`` keeps them all). An empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
@@ -29,15 +34,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.sequence import exclusive_prefix_sum
-from .common import SPACE_RE, saved, text_of, workers
+from .common import BROADCAST_ROWS, SPACE_RE, lookup_join, saved, text_of, workers
 
 BLOCK, LEAST_BLOCKS, MOST = 1024, 256, 3
 #: Slots ranked in one window.
 CHUNK = 1 << 16
-#: Sources are listed on the driver; a mix of more is refused, not cut.
-MOST_SOURCES = 1_000_000
-TABLE = ("number int, source string, source_size long, weight double, target double, base long, blocks long, "
-         "small long, larger long")
+#: Parts of a slot in which intervals are measured: whole numbers, so sums don't depend on their order.
+UNIT = 1 << 16
+
+
+@dataclass
+class Sources:
+    """The mix's sources. ``table`` has a saved row a source: none and source
+    (null told apart), n_docs, number, base (words of sources before it),
+    source_size, target, blocks, small (words of a block), larger (blocks with
+    one word more), and its interval of ``share`` units from ``low`` on."""
+
+    table: DataFrame
+    units: int
+    slots: int
 
 
 def n_words(text: Column) -> Column:
@@ -47,69 +62,64 @@ def n_words(text: Column) -> Column:
             - F.rlike(text, F.lit(SPACE_RE + r"\z|\A\z")).cast("int")).cast("long")
 
 
-def shared_out(sizes: list[int], weights: list[float], most: int = MOST) -> list[float]:
-    """Targets: the total by weight, none above ``most`` times its size."""
-    targets, open_, left = [0.0] * len(sizes), list(range(len(sizes))), float(sum(sizes))
-    while open_:
-        level = left / sum(weights[i] for i in open_)
-        above = {i for i in open_ if level * weights[i] > most * sizes[i]}
-        for i in above or open_:
-            targets[i] = float(most * sizes[i]) if above else level * weights[i]
-        if not above:
-            break
-        left -= sum(targets[i] for i in above)
-        open_ = [i for i in open_ if i not in above]
-    return targets
-
-
-def source_table(sized: DataFrame, block: int = BLOCK, most: int = MOST) -> list[tuple]:
-    """Rows of TABLE, one a source: ``base`` words of sources before it, its
-    number of blocks, a block's words, and how many blocks have one word more."""
-    found = sized.groupBy("source").agg(F.sum("size").cast("long").alias("n")).limit(MOST_SOURCES + 1).collect()
-    if len(found) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    found = sorted(((r.source, r.n or 0) for r in found), key=lambda x: (x[0] is None, x[0] or ""))
-    weights = [float(i % 3 + 1) for i in range(len(found))]
-    targets, base, rows = shared_out([n for _, n in found], weights, most), 0, []
-    for i, (source, n) in enumerate(found):
-        blocks = min(n, max(-(-n // block), LEAST_BLOCKS))
-        rows.append((i, source, n, weights[i], targets[i], base, blocks, n // max(blocks, 1), n % max(blocks, 1)))
-        base += n
-    return rows
-
-
-def laid_out(docs: DataFrame, seed: int = 42, keep: Column | None = None,
-             block: int = BLOCK) -> tuple[DataFrame, list[tuple]]:
-    """(row, doc_id, size, number, at, keep): every document with its place
-    ``at`` in the shuffled words of its source, saved; and the sources' table."""
+def water_level(total: int, weight: int, closed: Callable[[float], tuple[int, int]]) -> float:
+    """The level at which sum(min(cap, level * weight)) is ``total``.
+    ``closed`` gives the caps' and the weights' sums of the sources whose
+    weight * level is above their cap. The level only rises, so these only
+    grow; each round is a Newton step on a concave sum, and few are needed."""
+    level, before = (total / weight if weight else 0.0), None
+    while True:
+        caps, gone = closed(level)
+        if (caps, gone) == before or gone >= weight:
+            return level
+        level, before = max(level, (total - caps) / (weight - gone)), (caps, gone)
+
+
+def source_table(sized: DataFrame, block: int = BLOCK, most: int = MOST) -> Sources:
+    key = ["none", "source"]
+    sums = (sized.withColumn("none", F.col("source").isNull()).withColumn("source", F.coalesce("source", F.lit("")))
+            .groupBy(*key).agg(F.sum("size").cast("long").alias("source_size"), F.count(F.lit(1)).alias("n_docs")))
+    numbered = exclusive_prefix_sum(exclusive_prefix_sum(sums, key, out_col="number"), key, "source_size", out_col="base")
+    numbered = numbered.withColumns({"weight": F.col("number") % 3 + 1, "cap": F.col("source_size") * most})
+    all_ = numbered.agg(F.sum("source_size").alias("total"), F.sum("weight").alias("weight")).first()
+
+    def closed(level: float) -> tuple[int, int]:
+        row = (numbered.where(F.col("weight") * F.lit(level) > F.col("cap"))
+               .agg(F.sum("cap").alias("caps"), F.sum("weight").alias("weight")).first())
+        return row.caps or 0, row.weight or 0
+
+    level = water_level(all_.total or 0, all_.weight or 0, closed)
+    n = F.col("source_size")
+    words, some = (F.nullif(F.col(c), F.lit(0).cast("long")) for c in ("source_size", "blocks"))
+    table = (numbered.withColumn("target", F.least(F.col("cap").cast("double"), F.col("weight") * F.lit(level)))
+             .withColumn("blocks", F.least(n, F.greatest(F.ceil(n / block), F.lit(LEAST_BLOCKS).cast("long"))))
+             .withColumns({"small": F.floor(n / some), "larger": n % some,
+                           # a source needs target / (words of a block) slots
+                           "share": F.coalesce(F.round(F.col("target") * F.col("blocks") / words * UNIT), F.lit(0)).cast("long")}))
+    table = saved(exclusive_prefix_sum(table, key, "share", out_col="low").drop("weight", "cap"), "mix-sources")
+    units = table.agg(F.sum("share").alias("units")).first().units or 0
+    return Sources(table, units, round(units / UNIT))
+
+
+def laid_out(docs: DataFrame, seed: int = 42, keep: Column | None = None, block: int = BLOCK,
+             limit: int = BROADCAST_ROWS) -> tuple[DataFrame, Sources]:
+    """(row, doc_id, size, number, at, keep, and facts of its source): every
+    document with its place ``at`` in the shuffled words of its source, saved;
+    and the sources. Up to ``limit`` sources are broadcast to the documents."""
     spark = docs.sparkSession
     workers(spark)
     keep = F.lit(None).cast("long") if keep is None else keep
     sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
                         n_words(text_of()).alias("size"), keep.alias("keep"))
     sized = saved(sized, "mix-sizes")
-    table = source_table(sized, block)
-    order = (sized.withColumn("_llm_null", F.col("source").isNull())
-             .withColumn("_llm_turn", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string")))))
-    cols = ["_llm_null", "source", "_llm_turn", "doc_id", "size", "keep"]
-    placed = exclusive_prefix_sum(order, cols, "size", out_col="_llm_at")
-    names = spark.createDataFrame([(r[0], r[1], r[5]) for r in table], "number int, _llm_source string, base long")
-    # one row a source: at most MOST_SOURCES
-    rows = (placed.join(F.broadcast(names), F.col("source").eqNullSafe(F.col("_llm_source")))
+    sources = source_table(sized, block)
+    order = (sized.withColumns({"none": F.col("source").isNull(), "source": F.coalesce("source", F.lit(""))})
+             .withColumn("turn", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string")))))
+    placed = exclusive_prefix_sum(order, ["none", "source", "turn", "doc_id", "size", "keep"], "size", out_col="place")
+    rows = (lookup_join(placed, sources.table, ["none", "source"], "n_docs", "inner", limit)
             .select(F.monotonically_increasing_id().alias("row"), "doc_id", "size", "number",
-                    (F.col("_llm_at") - F.col("base")).alias("at"), "keep"))
-    return saved(rows, "mix-rows"), table
-
-
-def slot_plan(table: list[tuple]) -> tuple[np.ndarray, int]:
-    """Upper ends of the sources' intervals, by number, and the count of slots.
-    A source needs target / (words of a block) slots."""
-    need = np.array([r[4] * r[6] / r[2] if r[2] else 0.0 for r in table])
-    if not need.sum():
-        return np.zeros(len(table)), 0
-    ends = np.cumsum(need) / need.sum()
-    ends[np.flatnonzero(need)[-1]:] = 1.0
-    return ends, int(round(need.sum()))
+                    (F.col("place") - F.col("base")).alias("at"), "keep", "source_size", "target", "small", "larger"))
+    return saved(rows, "mix-rows"), sources
 
 
 def corput(t: np.ndarray) -> np.ndarray:
@@ -122,40 +132,51 @@ def corput(t: np.ndarray) -> np.ndarray:
     return u
 
 
-def to_source(batches: Iterator[pa.RecordBatch], ends: np.ndarray) -> Iterator[pa.RecordBatch]:
+def to_point(batches: Iterator[pa.RecordBatch], units: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         t = batch.column(0).to_numpy()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(t), pa.array(np.searchsorted(ends, corput(t), side="right").astype(np.int32))],
-            names=["t", "number"])
-
-
-def schedule(spark, table: list[tuple], most: int = MOST) -> DataFrame:
+        yield pa.RecordBatch.from_arrays([pa.array(t), pa.array(np.floor(corput(t) * units).astype(np.int64))],
+                                         names=["t", "point"])
+
+
+def slot_sources(spark, sources: Sources, chunk: int = CHUNK) -> DataFrame:
+    """(t, number, blocks): the source of each slot. Units are cut into cells of
+    about ``chunk`` slots, an interval has a row in each cell that it meets,
+    and a point takes the last interval begun before it in its cell."""
+    width = max(1, -(-sources.units // max(1, -(-sources.slots // chunk))))
+    points = (spark.range(sources.slots).select(F.col("id").alias("t"))
+              .mapInArrow(partial(to_point, units=sources.units), "t long, point long"))
+    points = points.select(F.floor(F.col("point") / width).alias("cell"), "point", "t",
+                           F.lit(None).cast("struct<number: bigint, blocks: bigint>").alias("own"))
+    first, last = F.floor(F.col("low") / width), F.floor((F.col("low") + F.col("share") - 1) / width)
+    begun = (sources.table.where("share > 0").select("*", F.explode(F.sequence(first, last)).alias("cell"))
+             .select("cell", F.greatest("low", F.col("cell") * width).alias("point"), F.lit(None).cast("long").alias("t"),
+                     F.struct("number", "blocks").alias("own")))
+    so_far = Window.partitionBy("cell").orderBy("point", F.col("t").asc_nulls_first()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    found = points.unionByName(begun).withColumn("own", F.last("own", ignorenulls=True).over(so_far))
+    return found.where("t is not null").select("t", "own.number", "own.blocks")
+
+
+def schedule(spark, sources: Sources, most: int = MOST, chunk: int = CHUNK) -> DataFrame:
     """(t, number, epoch, block): the slots of the mix in order of t. Slots are
     ranked inside chunks and chunk counts summed before, so no task sees all
     slots of a source."""
-    ends, n = slot_plan(table)
-    slots = spark.range(n).select(F.col("id").alias("t")).mapInArrow(partial(to_source, ends=ends),
-                                                                     "t long, number int")
-    slots = saved(slots.withColumn("chunk", F.floor(F.col("t") / CHUNK)), "mix-slots")
+    slots = saved(slot_sources(spark, sources, chunk).withColumn("chunk", F.floor(F.col("t") / chunk)), "mix-slots")
     counts = slots.groupBy("number", "chunk").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("number").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("number", "chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     inside = Window.partitionBy("number", "chunk").orderBy("t")
-    blocks = spark.createDataFrame([(r[0], r[6]) for r in table], "number int, blocks long")
     rank = F.col("before") + F.row_number().over(inside) - 1
-    return (slots.join(counts, ["number", "chunk"]).join(F.broadcast(blocks), "number")
+    return (slots.join(counts, ["number", "chunk"])
             .select("t", "number", rank.alias("rank"), "blocks")
             .select("t", "number", F.floor(F.col("rank") / F.col("blocks")).alias("epoch"),
                     F.pmod("rank", "blocks").alias("block")).where(F.col("epoch") < most))
 
 
-def pieces(rows: DataFrame, table: list[tuple]) -> DataFrame:
+def pieces(rows: DataFrame) -> DataFrame:
     """(row, doc_id, number, block, start, stop, size, keep): each document cut
     at its source's blocks; start and stop count the document's words."""
-    cuts = rows.sparkSession.createDataFrame([(r[0], r[7], r[8]) for r in table if r[2]],
-                                             "number int, small long, larger long")
-
     def block_of(x: Column) -> Column:  # the first ``larger`` blocks have one word more
         edge = F.col("larger") * (F.col("small") + 1)
         return F.when(x < edge, F.floor(x / (F.col("small") + 1))).otherwise(
@@ -164,34 +185,31 @@ def pieces(rows: DataFrame, table: list[tuple]) -> DataFrame:
     def begin(b: Column) -> Column:
         return b * F.col("small") + F.least(b, F.col("larger"))
 
-    here = rows.where("size > 0").join(F.broadcast(cuts), "number")
-    cut = here.withColumn("block", F.explode(F.sequence(block_of(F.col("at")),
-                                                        block_of(F.col("at") + F.col("size") - 1))))
+    cut = rows.where("size > 0").withColumn(
+        "block", F.explode(F.sequence(block_of(F.col("at")), block_of(F.col("at") + F.col("size") - 1))))
     start = F.greatest(F.lit(0), begin(F.col("block")) - F.col("at"))
     stop = F.least(F.col("size"), begin(F.col("block") + 1) - F.col("at"))
     return cut.select("row", "doc_id", "number", "block", start.alias("start"), stop.alias("stop"), "size", "keep")
 
 
-def mix(docs: DataFrame, seed: int = 42) -> tuple[DataFrame, DataFrame, list[tuple]]:
-    """(the mix, the documents laid out, the sources' table). The mix has a row
+def mix(docs: DataFrame, seed: int = 42, limit: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame, Sources]:
+    """(the mix, the documents laid out, the sources). The mix has a row
     (t, row, doc_id, epoch, start, stop, size, keep) for each stretch of a
     document in a slot; in order of (t, row) it is what a trainer reads."""
-    rows, table = laid_out(docs, seed)
-    return _mixed_rows(rows, table), rows, table
+    rows, sources = laid_out(docs, seed, limit=limit)
+    return _mixed_rows(rows, sources), rows, sources
 
 
-def _mixed_rows(rows: DataFrame, table: list[tuple]) -> DataFrame:
-    slots = schedule(rows.sparkSession, table)
-    return slots.join(pieces(rows, table), ["number", "block"]).drop("number", "block")
+def _mixed_rows(rows: DataFrame, sources: Sources) -> DataFrame:
+    slots = schedule(rows.sparkSession, sources)
+    return slots.join(pieces(rows), ["number", "block"]).drop("number", "block")
 
 
-def taken(docs: DataFrame, seed: int = 42) -> DataFrame:
+def taken(docs: DataFrame, seed: int = 42, limit: int = BROADCAST_ROWS) -> DataFrame:
     """(doc_id, size, source_size, target, taken) of every document."""
-    mixed_rows, rows, table = mix(docs, seed)
+    mixed_rows, rows, _ = mix(docs, seed, limit)
     sums = mixed_rows.groupBy("row").agg(F.sum(F.col("stop") - F.col("start")).alias("taken"))
-    facts = rows.sparkSession.createDataFrame([(r[0], r[2], r[4]) for r in table],
-                                              "number int, source_size long, target double")
-    return (rows.join(sums, "row", "left").join(F.broadcast(facts), "number")
+    return (rows.join(sums, "row", "left")
             .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
 
 
@@ -201,8 +219,8 @@ def mixed(docs: DataFrame, seed: int = 42) -> DataFrame:
     pass) the words taken, with the white space before each word. ``n_chars``
     follows the text where the column is there. The text is shuffled once."""
     names, mark = docs.columns, F.xxhash64(*[F.col(c).cast("string") for c in docs.columns])
-    rows, table = laid_out(docs, seed, keep=mark)
-    passes = (_mixed_rows(rows, table).groupBy("row", "epoch")
+    rows, sources = laid_out(docs, seed, keep=mark)
+    passes = (_mixed_rows(rows, sources).groupBy("row", "epoch")
               .agg(F.first("doc_id").alias("_llm_id"), F.first("keep").alias("_llm_key"), F.first("size").alias("size"),
                    F.min("start").alias("start"), F.max("stop").alias("stop")))
     # rows equal in every column are told apart by their turn

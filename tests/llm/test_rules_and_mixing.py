@@ -229,8 +229,15 @@ def test_targets():
     for _ in range(200):
         sizes = [rng.choice([0, 1, rng.randrange(10**6)]) for _ in range(rng.randrange(1, 9))]
         weights = [float(i % 3 + 1) for i in range(len(sizes))]
-        assert X.shared_out(sizes, weights) == pytest.approx(targets_by_hand(sizes, weights), rel=1e-6, abs=1e-6)
-    assert X.shared_out([], []) == []
+
+        def closed(level):
+            above = [(3 * s, w) for s, w in zip(sizes, weights, strict=True) if level * w > 3 * s]
+            return sum(c for c, _ in above), sum(w for _, w in above)
+
+        level = X.water_level(sum(sizes), sum(weights), closed)
+        got = [min(3 * s, level * w) for s, w in zip(sizes, weights, strict=True)]
+        assert got == pytest.approx(targets_by_hand(sizes, weights), rel=1e-6, abs=1e-6)
+    assert X.water_level(0, 0, lambda level: (0, 0)) == 0
 
 
 def test_points():
@@ -274,18 +281,42 @@ def test_mix(spark, small_docs, odd_docs, no_docs):
 
 
 def test_slots_follow_the_schedule(small_docs):
-    rows, table = X.laid_out(small_docs)
-    slots = sorted(X.schedule(small_docs.sparkSession, table).collect())
-    ends, n = X.slot_plan(table)
+    rows, sources = X.laid_out(small_docs)
+    table = sorted(sources.table.collect(), key=lambda r: r.number)
+    assert [r.number for r in table] == list(range(len(table)))
+    need = np.array([r.target * r.blocks / r.source_size for r in table])
+    ends = np.cumsum(need) / need.sum()
+    assert sources.slots == round(need.sum())
     turn = Counter()
     want = []
-    for t in range(n):
+    for t in range(sources.slots):
         s = int(np.searchsorted(ends, int(f"{t:053b}"[::-1], 2) / 2**53, side="right"))
-        epoch, block = divmod(turn[s], table[s][6])
+        epoch, block = divmod(turn[s], table[s].blocks)
         turn[s] += 1
         if epoch < 3:
             want.append((t, s, epoch, block))
-    assert [tuple(r) for r in slots] == want
+    for chunk in (X.CHUNK, 50):  # one cell, and many that intervals and ranks go across
+        slots = sorted(X.schedule(small_docs.sparkSession, sources, chunk=chunk).collect())
+        assert [tuple(r) for r in slots] == want
+
+
+def test_many_sources(spark, small_docs):
+    """More sources than are broadcast: the rows of the plain way."""
+    docs = small_docs.withColumn("source", F.when(F.col("doc_id") % 3 > 0, "hot").otherwise(F.col("doc_id").cast("string")))
+    source = {r.doc_id: r.source for r in docs.collect()}
+    out = X.taken(docs, limit=5).collect()
+    assert Counter(map(tuple, out)) == Counter(map(tuple, X.taken(docs).collect()))
+    sizes, took = Counter(), Counter()
+    for r in out:
+        sizes[source[r.doc_id]] += r.size
+        took[source[r.doc_id]] += r.taken
+    order = sorted(sizes)
+    target = dict(zip(order, targets_by_hand([sizes[s] for s in order], [i % 3 + 1 for i in range(len(order))]), strict=True))
+    assert len(order) > 5 and len(out) == len(source)
+    for r in out:
+        s = source[r.doc_id]
+        assert r.source_size == sizes[s] and abs(r.target - target[s]) < 1e-3 and r.taken <= 3 * r.size
+        assert abs(took[s] - target[s]) <= 0.04 * target[s] + 2, (s, took[s], target[s])
 
 
 def test_mixed_documents(small_docs, odd_docs):
