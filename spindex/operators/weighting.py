@@ -59,24 +59,34 @@ def relative_tf_col():
     return F.col("raw_freq").cast("double") / F.col("doc_len").cast("double")
 
 
-def require_skew_join(spark) -> None:
-    """A frequent term has a posting in most documents; the joins on the term
-    rely on Spark to split such a partition, so that must not be switched off."""
-    for name in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled"):
-        if spark.conf.get(name, "true").lower() != "true":
-            raise RuntimeError(f"{name} must be true: frequent terms would meet in one task")
+#: A common term is in more documents than both of these: a number, and a share of the collection.
+COMMON_DOCS, COMMON_SHARE = 1000, 0.005
+
+
+def join_terms(tf: DataFrame, table: DataFrame, n_docs: DataFrame) -> DataFrame:
+    """``tf`` joined on term with a table of one row a term that has its ``num_docs``.
+
+    A common term has a posting in a large share of the documents, so the
+    common terms are broadcast and their postings aren't shuffled; only the
+    rest is joined in the ordinary way. There are at most (mean distinct terms
+    of a document) / COMMON_SHARE of them, however large the collection is.
+    """
+    common = F.col("num_docs") > F.greatest(F.lit(float(COMMON_DOCS)), n_docs_scalar(n_docs) * COMMON_SHARE)
+    hot = table.where(common)
+    # not an anti join: that would be pushed below the counts, and the collection tokenized twice
+    rest = (tf.join(F.broadcast(hot.select("term", F.col("num_docs").alias("_common"))), "term", "left")
+            .where("_common is null").drop("_common"))
+    return tf.join(F.broadcast(hot), "term").unionByName(rest.join(table.where(~common), "term"))
 
 
 def weigh(tf: DataFrame, dfs: DataFrame, n_docs: DataFrame, relative: bool = True,
           idf: bool = True) -> DataFrame:
     """Postings (term, doc_id, raw_freq, tf, weight) of the terms kept in ``dfs``.
 
-    tf ⋈ dfs on term is an equi-join; AQE picks broadcast or sort-merge and
-    splits a skewed (frequent) term. N enters as a scalar subquery of the
-    one-row ``n_docs`` table.
+    Common terms are joined by broadcast (``join_terms``). N enters as a scalar
+    subquery of the one-row ``n_docs`` table.
     """
-    require_skew_join(tf.sparkSession)
-    joined = tf.join(dfs.select("term", "num_docs"), "term")
+    joined = join_terms(tf, dfs.select("term", "num_docs"), n_docs)
     tf_c = relative_tf_col() if relative else F.col("raw_freq").cast("double")
     weight = tf_c * idf_col(n_docs_scalar(n_docs)) if idf else tf_c
     return joined.select("term", "doc_id", "raw_freq", tf_c.alias("tf"), weight.alias("weight"))

@@ -5,7 +5,7 @@
       -> (doc, term) counts [shuffle 1, map-side combined]
       -> [stemmed: stem the distinct vocabulary, join back, re-sum]
       -> per-term counts [partial agg] -> pruning
-      -> postings ⋈ kept terms [shuffle on term, AQE skew split] × N (one row)
+      -> postings ⋈ kept terms [common terms broadcast, the rest shuffled on term] × N (one row)
 
 The dictionary's ``start`` offsets are a running sum over terms in binary
 order, computed range-partitioned (see operators.sequence).
@@ -45,18 +45,19 @@ class Index:
         return out.select("term", "num_docs", offset)
 
 
-def stemmed_frequency(tf: DataFrame) -> DataFrame:
+def stemmed_frequency(tf: DataFrame, n_docs: DataFrame) -> DataFrame:
     """Stem the distinct vocabulary once, join it back, re-sum per (doc, stem)."""
     from ..functions.stemmer import stem
 
     # the vocabulary is read off tf through a filter on an aggregate of its
     # counts: a bare distinct lets the optimizer drop tf's aggregate in this
     # branch, and the tokenizing stage would run twice instead of being reused
-    vocab = tf.groupBy("term").agg(F.sum("raw_freq").alias("_cf")).where(F.col("_cf") > 0).select("term")
+    vocab = (tf.groupBy("term").agg(F.sum("raw_freq").alias("_cf"), F.count(F.lit(1)).alias("num_docs"))
+             .where(F.col("_cf") > 0))
     # non-nullable stem: otherwise the optimizer infers isnotnull(stem(term))
     # from the joins downstream and pushes the stemmer down onto every token
-    stems = vocab.select("term", F.coalesce(stem(F.col("term")), F.lit("")).alias("stem"))
-    return (tf.join(stems, "term")
+    stems = vocab.select("term", "num_docs", F.coalesce(stem(F.col("term")), F.lit("")).alias("stem"))
+    return (Wt.join_terms(tf, stems, n_docs)
             .groupBy("doc_id", "doc_len", F.col("stem").alias("term"))
             .agg(F.sum("raw_freq").cast("long").alias("raw_freq")))
 
@@ -65,7 +66,7 @@ def frequencies(collection: DataFrame, profile: str = "weighted", analyzer: str
     """(doc_id, doc_len, term, raw_freq) of a profile."""
     tf = T.term_frequency(T.profile_rows(T.token_rows(collection, analyzer), profile))
     if profile == "stemmed":
-        tf = stemmed_frequency(tf)
+        tf = stemmed_frequency(tf, Wt.collection_size(collection))
     return tf
 
 
