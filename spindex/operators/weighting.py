@@ -66,17 +66,20 @@ COMMON_DOCS, COMMON_SHARE = 1000, 0.005
 def join_terms(tf: DataFrame, table: DataFrame, n_docs: DataFrame) -> DataFrame:
     """``tf`` joined on term with a table of one row a term that has its ``num_docs``.
 
-    A common term has a posting in a large share of the documents, so the
-    common terms are broadcast and their postings aren't shuffled; only the
-    rest is joined in the ordinary way. There are at most (mean distinct terms
-    of a document) / COMMON_SHARE of them, however large the collection is.
+    A common term has a posting in a large share of the documents. The common
+    terms are broadcast, and their postings go through the join on the rest by
+    a hash of the document, so that they meet in no task. There are at most
+    (mean distinct terms of a document) / COMMON_SHARE common terms, however
+    large the collection is. One pass over ``tf``.
     """
     common = F.col("num_docs") > F.greatest(F.lit(float(COMMON_DOCS)), n_docs_scalar(n_docs) * COMMON_SHARE)
-    hot = table.where(common)
-    # not an anti join: that would be pushed below the counts, and the collection tokenized twice
-    rest = (tf.join(F.broadcast(hot.select("term", F.col("num_docs").alias("_common"))), "term", "left")
-            .where("_common is null").drop("_common"))
-    return tf.join(F.broadcast(hot), "term").unionByName(rest.join(table.where(~common), "term"))
+    facts = [c for c in table.columns if c != "term"]
+    hot = table.where(common).select("term", *(F.col(c).alias(f"_hot_{c}") for c in facts))
+    rest = table.where(~common).select("term", F.lit(-1).cast("long").alias("_turn"), *facts)
+    turn = F.when(F.col("_hot_num_docs").isNull(), F.lit(-1).cast("long")).otherwise(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)))
+    joined = tf.join(F.broadcast(hot), "term", "left").withColumn("_turn", turn).join(rest, ["term", "_turn"], "left")
+    joined = joined.where(F.coalesce("_hot_num_docs", "num_docs").isNotNull())
+    return joined.select(*tf.columns, *(F.coalesce(f"_hot_{c}", c).alias(c) for c in facts))
 
 
 def weigh(tf: DataFrame, dfs: DataFrame, n_docs: DataFrame, relative: bool = True,

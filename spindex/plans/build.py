@@ -5,7 +5,7 @@
       -> (doc, term) counts [shuffle 1, map-side combined]
       -> [stemmed: stem the distinct vocabulary, join back, re-sum]
       -> per-term counts [partial agg] -> pruning
-      -> postings ⋈ kept terms [common terms broadcast, the rest shuffled on term] × N (one row)
+      -> postings ⋈ kept terms [common terms broadcast, the rest shuffled on term; one pass] × N (one row)
 
 The dictionary's ``start`` offsets are a running sum over terms in binary
 order, computed range-partitioned (see operators.sequence).
@@ -58,7 +58,7 @@ def stemmed_frequency(tf: DataFrame, n_docs: DataFrame) -> DataFrame:
     # from the joins downstream and pushes the stemmer down onto every token
     stems = vocab.select("term", "num_docs", F.coalesce(stem(F.col("term")), F.lit("")).alias("stem"))
     return (Wt.join_terms(tf, stems, n_docs)
-            .groupBy("doc_id", "doc_len", F.col("stem").alias("term"))
+            .groupBy("doc_id", "doc_len", F.coalesce("stem", F.lit("")).alias("term"))
             .agg(F.sum("raw_freq").cast("long").alias("raw_freq")))
 
 
