@@ -13,16 +13,18 @@ and the end. Every byte is a piece: no word has probability zero.
 Scores: a training word's arc has its count less an absolute discount, which is
 n1 / (n1 + 2 n2) of the numbers n1, n2 of words seen once and twice. What the
 discounts leave goes to spelling: a piece with a space first, then pieces
-without, then a stop, by how often the tokenizer's own segmentation of the
-distinct training words uses each (an unseen word is like a word seen once, not
-like a common one), add-half smoothed. All words and the end sum to one at most
-(pieces that hold more white space are never used).
+without, then a stop. The vocabulary's file has no probabilities, so the pieces
+get theirs from the lattice itself: from the tokenizer's own segmentation of the
+distinct training words (an unseen word is like a word seen once, not like a
+common one), ``ROUNDS`` rounds of expected uses, forward and backward over all
+segmentations of every distinct training word, each add-half smoothed. All words
+and the end sum to one at most (pieces that hold more white space are never used).
 
 The lattice of a word is computed once. Word counts (which grow with the
 corpus) are one shuffled table; a text's score is a join of its words with it.
-The commonest words (at most ``HOT`` of at most ``LONGEST`` bytes, so a table of
-bounded size) are broadcast and added up where the text is read; only the others
-move, once a text and word.
+The commonest words (at most ``HOT``, each by a key of at most ``LONGEST`` bytes,
+so a table of bounded size) are broadcast and added up where the text is read;
+only the others move, once a text and word.
 
 Training texts are those whose crc32(id as text) mod 5 is not 1; a null id
 counts as the empty text (mod 0: training). Null text is an empty text (the end
@@ -34,7 +36,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import partial
 from typing import NamedTuple
@@ -49,12 +51,16 @@ from .token_ids import encoder
 
 HOT, LONGEST = 200_000, 48
 FOLDS, HELD_OUT = 5, 1
+#: Rounds of expected uses; these are counted in whole numbers of 1 / UNIT, so sums don't depend on their order.
+ROUNDS, UNIT = 2, 1 << 20
 #: Distinct words that a task counts before it gives them out.
 WAITING = 250_000
 COUNTS = "k binary, word binary, c long"
 COUNTS_ARROW = pa.schema([("k", pa.binary()), ("word", pa.binary()), ("c", pa.int64())])
 PIECES_ARROW = pa.schema([("piece", pa.int32()), ("n", pa.int64())])
 SCORED = "k binary, c long, lp double"
+USES = "piece binary, n long"
+USES_ARROW = pa.schema([("piece", pa.binary()), ("n", pa.int64())])
 PARTS = ("row long, doc_id long, n_tokens long, k binary, tf long, base double, lattice double, known long")
 PARTS_ARROW = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("k", pa.binary()),
                          ("tf", pa.int64()), ("base", pa.float64()), ("lattice", pa.float64()), ("known", pa.int64())])
@@ -125,7 +131,7 @@ def vocabulary(path: str) -> dict[int, bytes]:
             if i not in special}
 
 
-def scores(pieces: dict[int, bytes], counts: dict[int, int], words: int) -> tuple[dict[bytes, float], float]:
+def scores(pieces: dict[int, bytes], counts: dict[int, float], words: int) -> tuple[dict[bytes, float], float]:
     """Natural log scores of the pieces and of the stop after a word's last
     one, from the segmentations of ``words`` words. Pieces with a space first
     begin a word, the others go on with it, so each kind sums to one (the
@@ -171,9 +177,10 @@ def prefixes(score: dict[bytes, float]) -> dict[bytes, float]:
     return out | score
 
 
-def marginal(text: bytes, tree: dict[bytes, float]) -> float:
-    """log of the summed probability of all segmentations of ``text``: forward
-    over its bytes, from each reached place along the pieces that begin there."""
+def forward(text: bytes, tree: dict[bytes, float]) -> list[float | None]:
+    """log of the summed probability of all segmentations of each beginning of
+    ``text`` (None: there is none): over its bytes, from each reached place
+    along the pieces that begin there."""
     n = len(text)
     alpha: list[float | None] = [None] * (n + 1)
     alpha[0] = 0.0
@@ -194,7 +201,78 @@ def marginal(text: bytes, tree: dict[bytes, float]) -> float:
                     alpha[j] = old + log1p(exp(new - old))
                 else:
                     alpha[j] = new + log1p(exp(old - new))
-    return -math.inf if alpha[n] is None else alpha[n]
+    return alpha
+
+
+def marginal(text: bytes, tree: dict[bytes, float]) -> float:
+    """log of the summed probability of all segmentations of ``text``."""
+    last = forward(text, tree)[-1]
+    return -math.inf if last is None else last
+
+
+def add_uses(text: bytes, tree: dict[bytes, float], uses: dict[bytes, int]) -> None:
+    """Adds to ``uses`` how often a segmentation of ``text``, drawn by its
+    probability, uses each piece on average. Log space, and nothing kept but a
+    number a byte: for words of any length."""
+    alpha = forward(text, tree)
+    n, total = len(text), alpha[-1]
+    if total is None:
+        return
+    beta: list[float | None] = [None] * n + [0.0]
+    for i in range(n - 1, -1, -1):
+        if alpha[i] is None:
+            continue
+        for j in range(i + 1, n + 1):
+            p = tree.get(text[i:j], 1.0)
+            if p > 0:
+                break
+            if p < 0 and beta[j] is not None:
+                new, old = p + beta[j], beta[i]
+                uses[text[i:j]] += round(math.exp(alpha[i] + new - total) * UNIT)
+                beta[i] = new if old is None else max(old, new) + math.log1p(math.exp(-abs(old - new)))
+
+
+def add_uses_short(text: bytes, chance: dict[bytes, float], uses: dict[bytes, int]) -> bool:
+    """The same for a short word by plain products, several times as fast;
+    ``chance`` has the pieces' probabilities and 0 for beginnings of pieces.
+    False (and nothing added) where they are too small for that."""
+    n, look, arcs = len(text), chance.get, []
+    alpha, beta = [0.0] * (n + 1), [0.0] * (n + 1)
+    alpha[0] = 1.0
+    for i in range(n):
+        here = alpha[i]
+        if here:
+            for j in range(i + 1, n + 1):
+                piece = text[i:j]
+                p = look(piece, -1.0)
+                if p < 0:
+                    break
+                if p:
+                    alpha[j] += here * p
+                    arcs.append((i, j, p, piece))
+    if alpha[n] < 1e-290:
+        return False
+    beta[n] = UNIT / alpha[n]
+    for i, j, p, piece in reversed(arcs):
+        b = p * beta[j]
+        if b:
+            beta[i] += b
+            uses[piece] += int(alpha[i] * b + 0.5)
+    return True
+
+
+def count_uses(batches: Iterator[pa.RecordBatch], tree) -> Iterator[pa.RecordBatch]:
+    """Expected uses of each piece in the distinct words read, in 1 / UNIT."""
+    scores, uses = tree.value, defaultdict(int)
+    chance = {p: math.exp(s) if s < 0 else 0.0 for p, s in scores.items()}
+    for batch in batches:
+        for k, word in columns_of(batch, "k", "word"):
+            text = b" " + (k if word is None else word)
+            if len(text) > LONGEST + 1 or not add_uses_short(text, chance, uses):
+                add_uses(text, scores, uses)
+    if uses:
+        yield pa.RecordBatch.from_arrays([pa.array(list(uses), pa.binary()), pa.array(list(uses.values()), pa.int64())],
+                                         schema=USES_ARROW)
 
 
 def score_words(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
@@ -217,6 +295,8 @@ def read_texts(batches: Iterator[pa.RecordBatch], hot) -> Iterator[pa.RecordBatc
         for row, doc_id, text in columns_of(batch, "row", "doc_id", "text", raw=("text",)):
             words = words_of(text)
             found = [get(w, 0) for w in words]
+            if 0 in found:  # a long word is common by its key
+                found = [i if i or len(w) <= LONGEST else get(key_of(w), 0) for w, i in zip(words, found, strict=True)]
             at = np.array(found, np.int64)
             rows.add(row, doc_id, len(words) + 1, b" " + row.to_bytes(8, "little"), 0, float(base[at].sum()),
                      float(lattice[at].sum()), int(known[at].sum()))
@@ -234,7 +314,7 @@ def half(c: Column) -> Column:
     return F.log10(c + F.lit(0.5))
 
 
-def score(docs: DataFrame, path: str, hot: int = HOT) -> DataFrame:
+def score(docs: DataFrame, path: str, hot: int = HOT, rounds: int = ROUNDS) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)."""
     spark = docs.sparkSession
     workers(spark)
@@ -250,23 +330,29 @@ def score(docs: DataFrame, path: str, hot: int = HOT) -> DataFrame:
         F.count(F.when(F.col("c") == 2, 1))).first()
     used = (counted.where("c > 0").mapInArrow(partial(count_pieces, path=path), "piece int, n long")
             .groupBy("piece").agg(F.sum("n").alias("n")).collect())  # a row for each piece of the vocabulary at most
-    known, stop = scores(vocabulary(path), {r.piece: r.n for r in used}, v)
+    pieces = vocabulary(path)
+    known, stop = scores(pieces, {r.piece: r.n for r in used}, v)
+    ids = {p: i for i, p in pieces.items()}
+    for _ in range(rounds if v else 0):
+        tree = spark.sparkContext.broadcast(prefixes(known))
+        used = (counted.where("c > 0").mapInArrow(partial(count_uses, tree=tree), USES)
+                .groupBy("piece").agg(F.sum("n").alias("n")).collect())  # at most a row a piece again
+        known, stop = scores(pieces, {ids[bytes(r.piece)]: r.n / UNIT for r in used}, v)
     model = Model(prefixes(known), stop, discount(once, twice), v, ends, n + ends)
     n, v = n + ends, v + (ends > 0)
     words = saved(counted.mapInArrow(partial(score_words, model=spark.sparkContext.broadcast(tuple(model))), SCORED),
                   "lm-words")
 
-    # the count above which words are common: at most ``hot`` of them
+    # the count from which words are common: at most ``hot`` of them
     level = F.floor(F.log2("c") * 4).cast("int")
-    short = F.octet_length("k") <= LONGEST
-    levels = words.where((F.col("c") > 0) & short).groupBy(level.alias("l")).agg(F.count(F.lit(1)).alias("n")).collect()
+    levels = words.where("c > 0").groupBy(level.alias("l")).agg(F.count(F.lit(1)).alias("n")).collect()
     least, total = 1 << 20, 0
     for r in sorted(levels, key=lambda r: -r.l):
         total += r.n
         if total > hot:
             break
         least = r.l
-    is_hot = F.coalesce((F.col("c") > 0) & short & (level >= least), F.lit(False))
+    is_hot = F.coalesce((F.col("c") > 0) & (level >= least), F.lit(False))
     common = words.where(is_hot).select("k", half(F.col("c")).alias("base"), "lp").toArrow()
     table = spark.sparkContext.broadcast((common["k"].to_pylist(), common["base"].to_numpy(), common["lp"].to_numpy(),
                                           np.ones(len(common))))

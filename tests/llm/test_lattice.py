@@ -25,6 +25,47 @@ def test_forward_sums_all_segmentations():
     assert M.marginal(b"zz", M.prefixes({b"a": -1.0})) == -math.inf
 
 
+def test_expected_uses_are_those_of_all_segmentations():
+    rng = random.Random(8)
+    for _ in range(50):
+        pieces = {b"a", b"b", b" "} | {bytes(rng.choice(b"ab ") for _ in range(rng.randrange(2, 5))) for _ in range(6)}
+        score = {p: math.log(rng.uniform(0.01, 0.2)) for p in pieces}
+        text = bytes(rng.choice(b"ab ") for _ in range(rng.randrange(1, 9)))
+
+        def every(rest):
+            if not rest:
+                yield []
+            for p in pieces:
+                if rest.startswith(p):
+                    yield from ([p, *more] for more in every(rest[len(p):]))
+        chances = [(cut, math.exp(sum(score[p] for p in cut))) for cut in every(text)]
+        total, want, slow, fast = sum(c for _, c in chances), Counter(), Counter(), Counter()
+        for cut, c in chances:
+            for p in cut:
+                want[p] += c / total
+        M.add_uses(text, M.prefixes(score), slow)
+        assert M.add_uses_short(text, {p: math.exp(s) if s < 0 else 0.0 for p, s in M.prefixes(score).items()}, fast)
+        for p in pieces:
+            assert slow[p] / M.UNIT == pytest.approx(want[p], abs=1e-5) and fast[p] / M.UNIT == pytest.approx(want[p], abs=1e-5)
+
+
+def test_a_round_raises_the_likelihood_and_short_numbers_are_left_to_logs():
+    words_ = [b" abab", b" abba", b" baab", b" ab", b" b"] * 4
+    pieces = dict(enumerate([b" ", b"a", b"b", b"ab", b"ba", b" a", b" ab", b"abb"]))
+    ids = {p: i for i, p in pieces.items()}
+    known, stop = M.scores(pieces, {}, len(words_))
+    seen = []
+    for _ in range(4):
+        tree, uses = M.prefixes(known), Counter()
+        seen.append(sum(M.marginal(w, tree) + stop for w in words_))
+        for w in words_:
+            M.add_uses(w, tree, uses)
+        known, stop = M.scores(pieces, {ids[p]: n / M.UNIT for p, n in uses.items()}, len(words_))
+    assert seen == sorted(seen) and seen[-1] > seen[0] + 1
+    uses = Counter()
+    assert not M.add_uses_short(b"a" * 40, {b"a": 1e-10}, uses) and not uses
+
+
 def words(text):
     return re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
 
@@ -40,7 +81,13 @@ def by_hand(rows, path):
             counts.update(words(t))
     for w in counts:
         used.update(t.id for t in model.tokenize(M.spelt(w, letters)))
-    known, stop = M.scores(M.vocabulary(path), used, len(counts))
+    pieces = M.vocabulary(path)
+    known, stop = M.scores(pieces, used, len(counts))
+    for _ in range(M.ROUNDS if counts else 0):
+        uses, tree = Counter(), M.prefixes(known)
+        for w in counts:
+            M.add_uses(b" " + w, tree, uses)
+        known, stop = M.scores(pieces, {i: uses[p] / M.UNIT for i, p in pieces.items()}, len(counts))
     tree = M.prefixes(known)
     n, v = sum(counts.values()) + ends, len(counts) + (ends > 0)
     seen = Counter(counts.values())
@@ -70,7 +117,18 @@ def test_scores_by_hand(odd_docs, small_docs, vocabulary, hot):
         want = sorted(by_hand([(r.doc_id, r.text) for r in docs.collect()], vocabulary), key=key)
         assert [r[:5] for r in got] == [r[:5] for r in want]
         for a, b in zip(got, want, strict=True):
-            assert a[5:] == pytest.approx(b[5:], rel=1e-9)
+            assert a[5] == pytest.approx(b[5], rel=1e-9)
+            assert a[6] == pytest.approx(b[6], rel=1e-7)  # short words' uses are rounded in another place
+
+
+@pytest.mark.parametrize("hot", [M.HOT, 3])
+def test_a_long_word_that_stands_everywhere(spark, vocabulary, hot):
+    """A separator of over 48 bytes is a common word like any other; longer ones too."""
+    rows = [(i, f"w{i % 7} {'-' * 60} w{i % 3} {'=' * 5000}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r) for r in M.score(docs, vocabulary, hot).collect())
+    for a, b in zip(got, sorted(by_hand(rows, vocabulary)), strict=True):
+        assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], rel=1e-7)
 
 
 def test_no_texts(no_docs, vocabulary):
