@@ -53,6 +53,8 @@ HOT, LONGEST = 200_000, 48
 FOLDS, HELD_OUT = 5, 1
 #: Rounds of expected uses; these are counted in whole numbers of 1 / UNIT, so sums don't depend on their order.
 ROUNDS, UNIT = 2, 1 << 20
+#: Words of one length that are taken through the lattice together.
+TOGETHER = 4096
 #: Distinct words that a task counts before it gives them out.
 WAITING = 250_000
 COUNTS = "k binary, word binary, c long"
@@ -232,44 +234,88 @@ def add_uses(text: bytes, tree: dict[bytes, float], uses: dict[bytes, int]) -> N
                 beta[i] = new if old is None else max(old, new) + math.log1p(math.exp(-abs(old - new)))
 
 
-def add_uses_short(text: bytes, chance: dict[bytes, float], uses: dict[bytes, int]) -> bool:
-    """The same for a short word by plain products, several times as fast;
-    ``chance`` has the pieces' probabilities and 0 for beginnings of pieces.
-    False (and nothing added) where they are too small for that."""
-    n, look, arcs = len(text), chance.get, []
-    alpha, beta = [0.0] * (n + 1), [0.0] * (n + 1)
+class Net(NamedTuple):
+    """The pieces and their beginnings as numbered states, 0 the empty one,
+    those that go on first: the state after a byte (0: none), the pieces'
+    probabilities (0 for beginnings) and the strings."""
+    after: np.ndarray
+    chance: np.ndarray
+    names: list[bytes]
+
+
+def net(tree: dict[bytes, float]) -> Net:
+    go_on = {p[:-1] for p in tree} | {b""}
+    names = sorted(go_on) + sorted(tree.keys() - go_on)  # the empty string sorts first
+    number = {p: i for i, p in enumerate(names)}
+    after = np.zeros((len(go_on), 256), np.int32)
+    for p in tree:
+        after[number[p[:-1]], p[-1]] = number[p]
+    return Net(after, np.array([math.exp(tree[p]) if tree.get(p, 0.0) < 0 else 0.0 for p in names]), names)
+
+
+def add_uses_many(words: list[bytes], net: Net, uses: np.ndarray) -> list[bytes]:
+    """The same for many short words of one length at a time, by plain products;
+    ``uses`` counts by state. Gives back the words whose probability is too
+    small for that (nothing is added for them)."""
+    m, n, last = len(words), len(words[0]), len(net.after)
+    letters = np.ascontiguousarray(np.frombuffer(b"".join(words), np.uint8).reshape(m, n).T)
+    alpha, beta, arcs = np.zeros((n + 1, m)), np.zeros((n + 1, m)), []
     alpha[0] = 1.0
     for i in range(n):
-        here = alpha[i]
-        if here:
-            for j in range(i + 1, n + 1):
-                piece = text[i:j]
-                p = look(piece, -1.0)
-                if p < 0:
-                    break
-                if p:
-                    alpha[j] += here * p
-                    arcs.append((i, j, p, piece))
-    if alpha[n] < 1e-290:
-        return False
-    beta[n] = UNIT / alpha[n]
-    for i, j, p, piece in reversed(arcs):
-        b = p * beta[j]
-        if b:
-            beta[i] += b
-            uses[piece] += int(alpha[i] * b + 0.5)
-    return True
+        at = np.flatnonzero(alpha[i])
+        state = np.zeros(len(at), np.int32)
+        for j in range(i, n):
+            state = net.after[state, letters[j, at]]
+            there = state > 0
+            at, state = at[there], state[there]
+            if not len(at):
+                break
+            p = net.chance[state]
+            whole = p > 0
+            words_at, pieces, p = at[whole], state[whole], p[whole]
+            alpha[j + 1, words_at] += alpha[i, words_at] * p
+            arcs.append((i, j + 1, words_at, pieces, p))
+            deeper = state < last
+            at, state = at[deeper], state[deeper]
+    good = alpha[n] >= 1e-290
+    beta[n, good] = UNIT / alpha[n, good]
+    found, numbers = [], []
+    for i, j, at, pieces, p in reversed(arcs):
+        share = p * beta[j, at]
+        beta[i, at] += share
+        found.append(pieces)
+        numbers.append(np.floor(alpha[i, at] * share + 0.5))
+    if found:  # whole numbers far below 2 ** 53: the sum is exact
+        uses += np.bincount(np.concatenate(found), np.concatenate(numbers), len(uses)).astype(np.int64)
+    return [w for w, g in zip(words, good, strict=True) if not g]
 
 
 def count_uses(batches: Iterator[pa.RecordBatch], tree) -> Iterator[pa.RecordBatch]:
-    """Expected uses of each piece in the distinct words read, in 1 / UNIT."""
-    scores, uses = tree.value, defaultdict(int)
-    chance = {p: math.exp(s) if s < 0 else 0.0 for p, s in scores.items()}
+    """Expected uses of each piece in the distinct words read, in 1 / UNIT.
+    Short words wait by length until there are ``TOGETHER``."""
+    states, uses, waiting = net(tree.value), defaultdict(int), defaultdict(list)
+    counts = np.zeros(len(states.names), np.int64)
+
+    def done(words):
+        for w in add_uses_many(words, states, counts):
+            add_uses(w, tree.value, uses)
+        words.clear()
+
     for batch in batches:
         for k, word in columns_of(batch, "k", "word"):
             text = b" " + (k if word is None else word)
-            if len(text) > LONGEST + 1 or not add_uses_short(text, chance, uses):
-                add_uses(text, scores, uses)
+            if len(text) > LONGEST + 1:
+                add_uses(text, tree.value, uses)
+                continue
+            group = waiting[len(text)]
+            group.append(text)
+            if len(group) >= TOGETHER:
+                done(group)
+    for group in waiting.values():
+        if group:
+            done(group)
+    for i in np.flatnonzero(counts):
+        uses[states.names[i]] += int(counts[i])
     if uses:
         yield pa.RecordBatch.from_arrays([pa.array(list(uses), pa.binary()), pa.array(list(uses.values()), pa.int64())],
                                          schema=USES_ARROW)

@@ -39,14 +39,20 @@ def test_expected_uses_are_those_of_all_segmentations():
                 if rest.startswith(p):
                     yield from ([p, *more] for more in every(rest[len(p):]))
         chances = [(cut, math.exp(sum(score[p] for p in cut))) for cut in every(text)]
-        total, want, slow, fast = sum(c for _, c in chances), Counter(), Counter(), Counter()
+        total, want, slow = sum(c for _, c in chances), Counter(), Counter()
         for cut, c in chances:
             for p in cut:
                 want[p] += c / total
         M.add_uses(text, M.prefixes(score), slow)
-        assert M.add_uses_short(text, {p: math.exp(s) if s < 0 else 0.0 for p, s in M.prefixes(score).items()}, fast)
+        net = M.net(M.prefixes(score))
+        counts = M.np.zeros(len(net.names), M.np.int64)
+        assert M.add_uses_many([text, text[::-1], text], net, counts) == []
+        back = Counter()
+        M.add_uses(text[::-1], M.prefixes(score), back)
+        fast = dict(zip(net.names, counts, strict=True))
         for p in pieces:
-            assert slow[p] / M.UNIT == pytest.approx(want[p], abs=1e-5) and fast[p] / M.UNIT == pytest.approx(want[p], abs=1e-5)
+            assert slow[p] / M.UNIT == pytest.approx(want[p], abs=1e-5)
+            assert (fast[p] - back[p]) / M.UNIT == pytest.approx(2 * want[p], abs=1e-4)
 
 
 def test_a_round_raises_the_likelihood_and_short_numbers_are_left_to_logs():
@@ -62,8 +68,10 @@ def test_a_round_raises_the_likelihood_and_short_numbers_are_left_to_logs():
             M.add_uses(w, tree, uses)
         known, stop = M.scores(pieces, {ids[p]: n / M.UNIT for p, n in uses.items()}, len(words_))
     assert seen == sorted(seen) and seen[-1] > seen[0] + 1
-    uses = Counter()
-    assert not M.add_uses_short(b"a" * 40, {b"a": 1e-10}, uses) and not uses
+    net = M.net({b"a": -23.0, b"b": -1.0})
+    counts = M.np.zeros(len(net.names), M.np.int64)
+    assert M.add_uses_many([b"a" * 40, b"b" * 40, b"c" * 40], net, counts) == [b"a" * 40, b"c" * 40]
+    assert dict(zip(net.names, counts, strict=True)) == {b"": 0, b"a": 0, b"b": 40 * M.UNIT}
 
 
 def words(text):
