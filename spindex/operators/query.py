@@ -57,8 +57,10 @@ def query_terms(qtokens: DataFrame, mode: str = "lenient", stemmed: bool = False
     term = F.col("token")
     if stemmed:
         from ..functions.stemmer import stem
-        term = F.coalesce(stem(term), F.lit(""))
-    return kept.groupBy("query_id", term.alias("term")).agg(F.count(F.lit(1)).alias("mult"))
+        term = stem(term)
+    # an expression, not the column: otherwise what holds for the tokens is inferred for the terms of the
+    # postings they meet, whose tokenizing stage then differs from that of the term statistics and runs twice
+    return kept.groupBy("query_id", F.coalesce(term, F.lit("")).alias("term")).agg(F.count(F.lit(1)).alias("mult"))
 
 
 def bucket_of(key: str, buckets: int) -> Column:

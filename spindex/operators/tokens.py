@@ -32,14 +32,17 @@ def token_rows(collection: DataFrame, analyzer: str = "full") -> DataFrame:
 
     The explode comes right after the scan, so normalizing runs per row in
     whole-stage codegen. ``explode_outer`` + filter: a plain explode makes the
-    optimizer repeat the whole scan in an inferred ``size() > 0`` filter.
+    optimizer repeat the whole scan in an inferred ``size() > 0`` filter. The
+    term comes out of an explode of its own: filters on it, given or inferred
+    from a join, then read the column instead of normalizing the lexeme again
+    (with some copies of that the generated method is too long to be compiled).
     """
     return (document_lexemes(collection, analyzer)
             .select("doc_id", "doc_len", F.posexplode_outer("lexemes").alias("pos", "lexeme"))
             .where(F.col("lexeme").isNotNull())
             .select("doc_id", "doc_len", F.col("pos").cast("long").alias("pos"),
-                    # non-nullable, so no isnotnull(token) is inferred and evaluated again
-                    F.coalesce(A.token_of(F.col("lexeme"), analyzer), F.lit("")).alias("term")))
+                    # non-nullable, so no isnotnull(term) is inferred
+                    F.explode(F.array(F.coalesce(A.token_of(F.col("lexeme"), analyzer), F.lit("")))).alias("term")))
 
 
 def profile_rows(rows: DataFrame, profile: str) -> DataFrame:

@@ -89,7 +89,9 @@ def weigh(tf: DataFrame, dfs: DataFrame, n_docs: DataFrame, relative: bool = Tru
     Common terms are joined by broadcast (``join_terms``). N enters as a scalar
     subquery of the one-row ``n_docs`` table.
     """
-    joined = join_terms(tf, dfs.select("term", "num_docs"), n_docs)
+    # always true; with it each use of the postings reads raw_freq, as the term
+    # statistics do, and shares their (doc, term) exchange
+    joined = join_terms(tf.where(F.col("raw_freq") > 0), dfs.select("term", "num_docs"), n_docs)
     tf_c = relative_tf_col() if relative else F.col("raw_freq").cast("double")
     weight = tf_c * idf_col(n_docs_scalar(n_docs)) if idf else tf_c
     return joined.select("term", "doc_id", "raw_freq", tf_c.alias("tf"), weight.alias("weight"))
