@@ -499,8 +499,8 @@ def q_term_lookup(spark, sf):
 
 @register("missing_terms", O.with_(_DOCS_Q, "SELECT query_id, term FROM qterms WHERE term NOT IN (SELECT term FROM kept)"))
 def q_missing_terms(spark, sf):
-    idx = _docs_index(spark, sf)
-    return Q.missing_terms(Q.query_terms(Q.query_tokens(_benchmark(spark, sf))), idx.terms)
+    terms = Q.query_terms(Q.query_tokens(_benchmark(spark, sf)))
+    return Q.missing_terms(terms, _docs_index(spark, sf).of(terms.select("term").distinct()).terms)
 
 
 @register("score_documents", O.with_(_DOCS_Q + O.search_ctes(),

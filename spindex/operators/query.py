@@ -8,6 +8,8 @@ side is broadcast by hint only where its size is proven (``bound_rows``).
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,12 +79,29 @@ def lookup(qterms: DataFrame, postings: DataFrame, buckets: int | None = None, f
     knows that they are ``few``, such as the words of one text. A query table
     too large for that reads most folders anyway."""
     if buckets is None:
-        return qterms.join(postings.select("term", "doc_id", "weight"), "term")
+        return qterms.join(postings.select("term", "doc_id", "weight", *(p for p in PARTS if p in postings.columns)), "term")
     # the comparison is always true: Spark prunes by a side only if it sees a selective condition on it
     placed = qterms.withColumn("bucket", bucket_of("term", buckets)).where(F.col("bucket") >= 0)
     return (F.broadcast(placed) if few else placed).join(postings.select("bucket", "term", "doc_id", "weight"), ["bucket", "term"]).drop("bucket")
 
 
+def by_document(qterms: DataFrame, postings: DataFrame, buckets: int | None = None) -> DataFrame:
+    """The postings of all query terms, dealt out by document.
+
+    A posting meets many queries. Dealt out before that, all matches of a
+    document arise in one task and are summed there: none is shuffled, and a
+    task's sums are those of its documents. The number of partitions is given,
+    as the postings' size does not tell that of the matches."""
+    wanted = qterms.select("term").distinct()
+    if buckets is None:
+        own = postings.select("term", "doc_id", "weight")
+    else:
+        placed = wanted.withColumn("bucket", bucket_of("term", buckets)).where(F.col("bucket") >= 0)
+        own = postings.select("bucket", "term", "doc_id", "weight").join(placed, ["bucket", "term"], "left_semi").drop("bucket")
+    dealt = own.repartition(int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id")
+    return dealt.select("*", *(c.alias(p) for p, c in zip(PARTS, parts(F.col("weight")))))
+
+
 def missing_terms(qterms: DataFrame, terms: DataFrame) -> DataFrame:
     """(query_id, term): query terms no document contains.
 
@@ -96,9 +115,37 @@ def missing_terms(qterms: DataFrame, terms: DataFrame) -> DataFrame:
 def accumulate(matches: DataFrame) -> DataFrame:
     """(query_id, doc_id, score): summed weights; a repeated query word counts
     each time. The sum is taken in decimals, where the order of the terms
-    doesn't matter, so equal documents get equal scores."""
-    term = (F.col("weight") * F.col("mult")).cast("decimal(38,18)")
-    return matches.groupBy("query_id", "doc_id").agg(F.sum(term).cast("double").alias("score"))
+    doesn't matter, so equal documents get equal scores; matches that bring the
+    ``PARTS`` of their weights (``by_document``) get the same sums from longs."""
+    term = F.col("weight") * F.col("mult")
+    if not set(PARTS) <= set(matches.columns):
+        return matches.groupBy("query_id", "doc_id").agg(F.sum(term.cast("decimal(38,18)")).cast("double").alias("score"))
+    each = [F.sum(F.when(F.col("mult") == 1, F.col(p)).otherwise(c)).alias(p) for p, c in zip(PARTS, parts(term))]
+    return matches.groupBy("query_id", "doc_id").agg(*each).select("query_id", "doc_id", joined_parts().alias("score"))
+
+
+# A decimal(38,18) as three longs: what stands before the point, and the first and the last nine digits behind it.
+PARTS = ["_whole", "_high", "_low"]
+_NINE = 10**9
+
+
+def parts(value: Column) -> list[Column]:
+    """The three parts of a number below 10**12, rounded to 18 decimals."""
+    d = value.cast("decimal(38,18)").cast("decimal(30,18)")
+    whole = d.cast("long")
+    behind = (d - whole.cast("decimal(12,0)")).cast("decimal(18,18)") * F.lit(_NINE)
+    high = behind.cast("long")
+    low = ((behind - high.cast("decimal(10,0)")).cast("decimal(9,9)") * F.lit(_NINE)).cast("long")
+    return [whole, high, low]
+
+
+def joined_parts() -> Column:
+    """The number that sums of ``PARTS`` make, as a double."""
+    whole, high, low = PARTS
+    digits = F.expr(f"({high} + {low} div {_NINE}) % {_NINE} * {_NINE} + {low} % {_NINE}")
+    before = F.expr(f"{whole} + ({high} + {low} div {_NINE}) div {_NINE}")
+    behind = (digits.cast("decimal(18,0)") * F.lit(Decimal("1e-18"))).cast("decimal(18,18)")
+    return (before.cast("decimal(12,0)") + behind).cast("double")
 
 
 def top_k(scores: DataFrame, k: int = R.TOP_K) -> DataFrame:

@@ -13,6 +13,7 @@ order, computed range-partitioned (see operators.sequence).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -35,6 +36,15 @@ class Index:
     profile: str = "weighted"
     analyzer: str = "full"
     buckets: int | None = None   # folders of the postings of a saved index
+    # of an index that is not saved: the same index of the terms in a table (term) only
+    part: Callable[[DataFrame], Index] | None = None
+
+    def of(self, wanted: DataFrame) -> Index:
+        """The index as far as the terms of ``wanted`` need it. An index that is
+        not saved is a plan; a search that reads off it lets the words of the
+        queries through before anything is counted, shuffled or joined. N and
+        the lengths of the documents are those of the whole collection."""
+        return self if self.part is None else self.part(wanted)
 
     def dictionary(self, offset: str = "start") -> DataFrame:
         """(term, num_docs, start): ``start`` = position of the term's first
@@ -45,8 +55,9 @@ class Index:
         return out.select("term", "num_docs", offset)
 
 
-def stemmed_frequency(tf: DataFrame, n_docs: DataFrame) -> DataFrame:
-    """Stem the distinct vocabulary once, join it back, re-sum per (doc, stem)."""
+def stemmed_frequency(tf: DataFrame, n_docs: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """Stem the distinct vocabulary once, join it back, re-sum per (doc, stem);
+    of the stems in ``wanted`` if given."""
     from ..functions.stemmer import stem
 
     # the vocabulary is read off tf through a filter on an aggregate of its
@@ -57,22 +68,26 @@ def stemmed_frequency(tf: DataFrame, n_docs: DataFrame) -> DataFrame:
     # non-nullable stem: otherwise the optimizer infers isnotnull(stem(term))
     # from the joins downstream and pushes the stemmer down onto every token
     stems = vocab.select("term", "num_docs", F.coalesce(stem(F.col("term")), F.lit("")).alias("stem"))
+    if wanted is not None:
+        stems = stems.join(wanted.select(F.col("term").alias("stem")), "stem", "left_semi")
     return (Wt.join_terms(tf, stems, n_docs)
             .groupBy("doc_id", "doc_len", F.coalesce("stem", F.lit("")).alias("term"))
             .agg(F.sum("raw_freq").cast("long").alias("raw_freq")))
 
 
-def frequencies(collection: DataFrame, profile: str = "weighted", analyzer: str = "full") -> DataFrame:
-    """(doc_id, doc_len, term, raw_freq) of a profile."""
-    tf = T.term_frequency(T.profile_rows(T.token_rows(collection, analyzer), profile))
+def frequencies(collection: DataFrame, profile: str = "weighted", analyzer: str = "full",
+                wanted: DataFrame | None = None) -> DataFrame:
+    """(doc_id, doc_len, term, raw_freq) of a profile; of the terms in ``wanted`` if given."""
+    rows = T.profile_rows(T.token_rows(collection, analyzer), profile)
     if profile == "stemmed":
-        tf = stemmed_frequency(tf, Wt.collection_size(collection))
-    return tf
+        return stemmed_frequency(T.term_frequency(rows), Wt.collection_size(collection), wanted)
+    return T.term_frequency(rows if wanted is None else rows.join(wanted.select("term"), "term", "left_semi"))
 
 
 def build_index(collection: DataFrame, profile: str = "weighted", prune: str | None = "once",
-                analyzer: str = "full") -> Index:
-    """Build the index of a collection (doc_id, name, body).
+                analyzer: str = "full", wanted: DataFrame | None = None) -> Index:
+    """Build the index of a collection (doc_id, name, body); with ``wanted``, a
+    table (term), the part of it that belongs to these terms.
 
     ``raw``: every token, raw counts, no pruning, weight = count.
     ``weighted``: length/stopword filters, relative tf × idf, pruning.
@@ -80,10 +95,11 @@ def build_index(collection: DataFrame, profile: str = "weighted", prune: str | N
     """
     if profile == "raw":
         prune = None
-    tf = frequencies(collection, profile, analyzer)
+    tf = frequencies(collection, profile, analyzer, wanted)
     dfs = Wt.prune(Wt.document_frequency(tf), prune)
     n_docs = Wt.collection_size(collection)
     weighted = profile != "raw"
     postings = Wt.weigh(tf, dfs, n_docs, relative=weighted, idf=weighted)
     return Index(postings=postings, terms=dfs.select("term", "num_docs", "coll_freq"),
-                 mapping=mapping(collection), n_docs=n_docs, profile=profile, analyzer=analyzer)
+                 mapping=mapping(collection), n_docs=n_docs, profile=profile, analyzer=analyzer,
+                 part=lambda terms: build_index(collection, profile, prune, analyzer, terms))

@@ -2,7 +2,8 @@
 
     queries -> analyzer (whole text) -> filters (lenient | strict) [-> stems]
       -> (query_id, term, mult)
-      ⋈ postings (of a saved index only the folders of the terms)
+      ⋈ postings (of a saved index only the folders of the terms; of one that is not, only the terms)
+        [a table of queries: the postings dealt out by document first]
       -> sum(weight * mult) per (query_id, doc_id)
       -> top k per query (WindowGroupLimit both sides of the shuffle)
       -> names (mapping joined after the cut)
@@ -31,8 +32,9 @@ def query_plan(index: Index, queries: DataFrame, k: int = R.TOP_K, mode: str | N
     mode = mode or default_mode(index)
     qtok = Q.query_tokens(queries, index.analyzer)
     found = Q.query_terms(qtok, mode, stemmed=index.profile == "stemmed")
-    matches = Q.lookup(found, index.postings, index.buckets, few)
-    scores = Q.accumulate(matches)
+    postings = index.of(found.select("term").distinct()).postings
+    matches = Q.lookup(found, postings, index.buckets, few)
+    scores = Q.accumulate(matches if few else Q.lookup(found, Q.by_document(found, postings, index.buckets)))
     top = Q.top_k(scores, k)
     return {"tokens": qtok, "terms": found, "matches": matches, "scores": scores, "top": top}
 
