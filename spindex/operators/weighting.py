@@ -89,12 +89,22 @@ def weigh(tf: DataFrame, dfs: DataFrame, n_docs: DataFrame, relative: bool = Tru
     Common terms are joined by broadcast (``join_terms``). N enters as a scalar
     subquery of the one-row ``n_docs`` table.
     """
+    return weights(counts(tf, dfs, n_docs), n_docs, relative, idf)
+
+
+def counts(tf: DataFrame, dfs: DataFrame, n_docs: DataFrame) -> DataFrame:
+    """What the weights of the postings are made of: (doc_id, doc_len, term, raw_freq, num_docs)."""
     # always true; with it each use of the postings reads raw_freq, as the term
     # statistics do, and shares their (doc, term) exchange
-    joined = join_terms(tf.where(F.col("raw_freq") > 0), dfs.select("term", "num_docs"), n_docs)
+    return join_terms(tf.where(F.col("raw_freq") > 0), dfs.select("term", "num_docs"), n_docs)
+
+
+def weights(joined: DataFrame, n_docs: DataFrame, relative: bool = True, idf: bool = True) -> DataFrame:
+    """Postings from ``counts``; further columns stay behind them."""
     tf_c = relative_tf_col() if relative else F.col("raw_freq").cast("double")
     weight = tf_c * idf_col(n_docs_scalar(n_docs)) if idf else tf_c
-    return joined.select("term", "doc_id", "raw_freq", tf_c.alias("tf"), weight.alias("weight"))
+    more = [c for c in joined.columns if c not in ("doc_id", "doc_len", "term", "raw_freq", "num_docs")]
+    return joined.select("term", "doc_id", "raw_freq", tf_c.alias("tf"), weight.alias("weight"), *more)
 
 
 # Posting lists are cut into segments of this many document ids.

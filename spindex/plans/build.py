@@ -39,6 +39,10 @@ class Index:
     # of an index that is not saved: the same index of the terms in a table (term) only
     part: Callable[[DataFrame], Index] | None = None
 
+    # the counts the postings are weighed from (term, doc_id and others), and how
+    counts: DataFrame | None = None
+    weigh: Callable[[DataFrame], DataFrame] | None = None
+
     def of(self, wanted: DataFrame) -> Index:
         """The index as far as the terms of ``wanted`` need it. An index that is
         not saved is a plan; a search that reads off it lets the words of the
@@ -99,7 +103,8 @@ def build_index(collection: DataFrame, profile: str = "weighted", prune: str | N
     dfs = Wt.prune(Wt.document_frequency(tf), prune)
     n_docs = Wt.collection_size(collection)
     weighted = profile != "raw"
-    postings = Wt.weigh(tf, dfs, n_docs, relative=weighted, idf=weighted)
-    return Index(postings=postings, terms=dfs.select("term", "num_docs", "coll_freq"),
+    counts = Wt.counts(tf, dfs, n_docs)
+    weigh = lambda joined: Wt.weights(joined, n_docs, relative=weighted, idf=weighted)
+    return Index(postings=weigh(counts), counts=counts, weigh=weigh, terms=dfs.select("term", "num_docs", "coll_freq"),
                  mapping=mapping(collection), n_docs=n_docs, profile=profile, analyzer=analyzer,
                  part=lambda terms: build_index(collection, profile, prune, analyzer, terms))

@@ -29,18 +29,22 @@ from ..plans.build import Index
 # Folders of an index or a store. More folders, less to read for a search; a
 # large index takes some thousands (a bucket should be some hundred MB).
 BUCKETS = 64
+POSTINGS = "term string, doc_id long, raw_freq long, tf double, weight double, bucket int"
 
 
 def write_index(index: Index, path: str, mode: str = "overwrite", buckets: int = BUCKETS) -> None:
     """Write postings, then derive the dictionary from the written postings
-    (a columnar re-read, instead of tokenizing the collection a second time)."""
+    (a columnar re-read, instead of tokenizing the collection a second time).
+    Counts are sorted, not weights, which are as long and don't compress."""
     order = ["bucket", "term", "doc_id"]
-    (index.postings.select("term", "doc_id", "raw_freq", "tf", "weight", bucket_of("term", buckets).alias("bucket"))
-     .repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = index.postings.select("term", "doc_id", "raw_freq", "tf", "weight") if index.counts is None else index.counts
+    rows = rows.withColumn("bucket", bucket_of("term", buckets)).repartitionByRange(*order).sortWithinPartitions(*order)
+    ((rows if index.counts is None else index.weigh(rows))
      .write.mode(mode).partitionBy("bucket")
      .option("parquet.bloom.filter.enabled#term", "true")
      .parquet(f"{path}/postings"))
-    written = index.postings.sparkSession.read.parquet(f"{path}/postings")
+    # an empty table leaves no file to tell the columns from
+    written = index.postings.sparkSession.read.schema(POSTINGS).parquet(f"{path}/postings")
     terms = written.groupBy("term").agg(F.count(F.lit(1)).alias("num_docs"),
                                         F.sum("raw_freq").cast("long").alias("coll_freq"))
     dictionary = exclusive_prefix_sum(terms, ["term"], "num_docs", out_col="start")
@@ -57,7 +61,7 @@ def read_index(spark: SparkSession, path: str) -> Index:
     meta = spark.read.parquet(f"{path}/meta")
     row = meta.first()
     dictionary = spark.read.parquet(f"{path}/dictionary")
-    return Index(postings=spark.read.parquet(f"{path}/postings"),
+    return Index(postings=spark.read.schema(POSTINGS).parquet(f"{path}/postings"),
                  terms=dictionary.select("term", "num_docs", "coll_freq", "start"),
                  mapping=spark.read.parquet(f"{path}/mapping"),
                  n_docs=meta.select("n_docs"), profile=row.profile, analyzer=row.analyzer, buckets=row.buckets)
