@@ -106,8 +106,7 @@ _END = "CAST(sum(num_docs) OVER (ORDER BY term ROWS BETWEEN UNBOUNDED PRECEDING
 
 def _kinded(collection: DataFrame, analyzer: str = "full") -> DataFrame:
     emitted = [r.kind for r in R.RULE_SETS[analyzer] if r.emit]
-    rows = (collection.select("doc_id", F.explode_outer(A.kinded_lexemes(F.col("body"), analyzer)).alias("k"))
-            .where(F.col("k").isNotNull()).select("doc_id", "k.kind", "k.lexeme"))
+    rows = T.kinded_rows(collection, analyzer)
     return rows.withColumn("token", F.when(F.col("kind").isin(*emitted), A.token_of(F.col("lexeme"), analyzer)))
 
 

@@ -257,13 +257,17 @@ def tokens(body: Column, analyzer: str = "full", by_line: bool = True) -> Column
     return F.transform(lexemes(body, analyzer, by_line), lambda x: token_of(x, analyzer))
 
 
+def kept_lexeme(x: Column) -> Column:
+    """A group-0 lexeme without its marks, but for the one that an e-mail begins with."""
+    return F.when(x.startswith(R.M_MAIL), F.concat(F.lit(R.M_MAIL), restored(x))).otherwise(restored(x))
+
+
 def kinded_lexemes(body: Column, analyzer: str = "full") -> Column:
     """array<struct<kind, lexeme>>, ignored runs and dropped kinds included; an
     e-mail's lexeme keeps its mark, as ``token_of`` takes it."""
     return F.transform(
         lexemes(body, analyzer, group=0),
-        lambda x: F.struct(lexeme_kind(x, analyzer).alias("kind"), F.when(
-            x.startswith(R.M_MAIL), F.concat(F.lit(R.M_MAIL), restored(x))).otherwise(restored(x)).alias("lexeme")),
+        lambda x: F.struct(lexeme_kind(x, analyzer).alias("kind"), kept_lexeme(x).alias("lexeme")),
     )
 
 

@@ -45,6 +45,18 @@ def token_rows(collection: DataFrame, analyzer: str = "full") -> DataFrame:
                     F.explode(F.array(F.coalesce(A.token_of(F.col("lexeme"), analyzer), F.lit("")))).alias("term")))
 
 
+def kinded_rows(collection: DataFrame, analyzer: str = "full") -> DataFrame:
+    """(doc_id, kind, lexeme): one row per lexeme, ignored runs and dropped kinds
+    included; an e-mail's lexeme keeps its mark, as ``token_of`` takes it.
+
+    Kinds are told per row behind the explode, in compiled code; the kind has an
+    explode of its own, so that a filter on it reads the column."""
+    x = F.col("lexeme")
+    return (collection.select("doc_id", F.explode_outer(A.lexemes(F.col("body"), analyzer, group=0)).alias("lexeme"))
+            .where(x.isNotNull())
+            .select("doc_id", F.explode(F.array(A.lexeme_kind(x, analyzer))).alias("kind"), A.kept_lexeme(x).alias("lexeme")))
+
+
 def profile_rows(rows: DataFrame, profile: str) -> DataFrame:
     """The token rows a profile indexes (before stemming)."""
     if profile not in PROFILES:

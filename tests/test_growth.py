@@ -4,6 +4,7 @@ import pytest
 from conftest import collection
 from pyspark.sql import functions as F
 
+from spindex.operators import query as Q
 from spindex.operators import weighting as Wt
 from spindex.plans.build import build_index
 from spindex.plans.search import query_plan
@@ -50,3 +51,51 @@ def test_a_lexeme_is_normalized_once(spark, stored):
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "StartsWith(lexeme" in plan
     assert not [x for x in plan.splitlines() if "Filter" in x and "StartsWith(lexeme" in x]
+
+
+@pytest.mark.parametrize("profile", ["weighted", "stemmed"])
+def test_the_part_of_some_terms_is_that_of_the_whole(spark, stored, profile):
+    coll, _ = stored
+    idx = build_index(coll, profile)
+    wanted = idx.terms.select("term").where(F.length("term") < 5)
+    part = idx.of(wanted)
+    for a, b in ((part.terms, idx.terms), (part.postings, idx.postings)):
+        want = sorted(map(tuple, b.join(wanted, "term", "left_semi").select(*a.columns).collect()))
+        assert want and sorted(map(tuple, a.collect())) == want
+
+
+def test_sums_of_parts_are_the_decimal_sums(spark):
+    rows = [(q, d, ((q * 7919 + d * 104729 + i * 31) % 99991) / 7e4 * 10.0 ** -(i % 9), 1 + i % 3)
+            for q in range(3) for d in range(40) for i in range(30)]
+    m = spark.createDataFrame(rows, "query_id long, doc_id long, weight double, mult long")
+    split = m.select("*", *(c.alias(p) for p, c in zip(Q.PARTS, Q.parts(F.col("weight")))))
+    assert sorted(map(tuple, Q.accumulate(split).collect())) == sorted(map(tuple, Q.accumulate(m).collect()))
+
+
+def test_no_match_is_shuffled(spark, stored):
+    coll, queries = stored
+    plan = query_plan(build_index(coll, "weighted"), queries)["scores"]._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(doc_id" in plan and "hashpartitioning(query_id#" in plan
+    assert not [x for x in plan.splitlines() if "Exchange hashpartitioning(query_id" in x and "doc_id" in x]
+
+
+def test_a_saved_index_is_sorted_by_its_counts(spark, stored, scratch):
+    from spindex.sources import index_store as S
+    idx = build_index(stored[0], "weighted")
+    S.write_index(idx, f"{scratch}/i", buckets=3)
+    cols = ["term", "doc_id", "raw_freq", "tf", "weight"]
+    back = S.read_index(spark, f"{scratch}/i").postings.select(*cols)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, idx.postings.select(*cols).collect()))
+    assert idx.counts.columns and "weight" not in idx.counts.columns
+
+
+def test_kinds_by_row_are_those_by_array(spark):
+    from spindex.functions import analyzer as A
+    from spindex.operators import tokens as T
+    coll = collection(spark, ["mail a.b@c.org, <b>bold</b> &amp; 12,5 http://x.y/z", "p { x: y } word's", "", None])
+    want = [tuple(r) for r in coll.select("doc_id", F.explode(A.kinded_lexemes(F.col("body"))).alias("k"))
+            .select("doc_id", "k.kind", "k.lexeme").collect()]
+    got = T.kinded_rows(coll)
+    assert sorted(map(tuple, got.collect())) == sorted(want) and {"email", "css", "url"} <= {k for _, k, _ in want}
+    plan = got.where("kind = 'email'")._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Filter" in x and "CASE" in x]
