@@ -136,11 +136,13 @@ def q_scan_documents(spark, sf):
 
 @register("scan_directory", "SELECT CAST(page_id AS VARCHAR) AS name, coalesce(html, '') || chr(10) AS body FROM pages")
 def q_scan_directory(spark, sf):
-    """The pages as a directory of text files (a folder a page, closed by a line end), scanned."""
+    """The pages as a directory of text files (a file a page, closed by a line end), scanned."""
     path = _shared(spark, "pages")
-    C.read_table(spark, sf, "pages").select("page_id", "html").write.partitionBy("page_id").text(path)
+    page = F.coalesce(F.col("page_id").cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    pages = C.read_table(spark, sf, "pages")
+    C.write_files(pages.select(F.concat(F.lit("page_id="), page, F.lit(".txt")).alias("name"), F.col("html").alias("body")), path)
     found = C.scan_documents(spark, path, "*.txt")
-    return found.select(F.regexp_extract("path", "page_id=([^/]*)/", 1).alias("name"), "body")
+    return found.select(F.regexp_extract("name", r"^page_id=(.*)\.txt$", 1).alias("name"), "body")
 
 
 @register("limit_collection", O.with_(

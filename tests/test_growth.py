@@ -99,3 +99,23 @@ def test_kinds_by_row_are_those_by_array(spark):
     assert sorted(map(tuple, got.collect())) == sorted(want) and {"email", "css", "url"} <= {k for _, k, _ in want}
     plan = got.where("kind = 'email'")._jdf.queryExecution().optimizedPlan().toString()
     assert not [x for x in plan.splitlines() if "Filter" in x and "CASE" in x]
+
+
+def test_a_scanned_directory_has_one_file_a_page_and_few_folders(spark, scratch):
+    import os
+
+    from spindex import catalog
+    from spindex.session import ensure_checkpoint_dir
+    from spindex.sources import collection as C
+    rows = [(i, None if i % 50 == 7 else f"<p>page {i}\nend") for i in range(1200)] + [(3, "again")]
+    spark.createDataFrame(rows, "page_id long, html string").coalesce(1).write.parquet(f"{scratch}/pages.parquet")
+    top = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(top))
+    got = sorted((int(r.name), r.body) for r in catalog.QUERIES["scan_directory"](spark, scratch).collect())
+    want = {i: (b or "") + "\n" for i, b in rows[:1200]}
+    want[3] += "again\n"
+    assert got == sorted(want.items())
+    made = [(d, f) for x in set(os.listdir(top)) - before for d, _, f in os.walk(f"{top}/{x}")]
+    assert sum(len(f) for _, f in made) == 1200 and len(made) <= 4
+    C.write_files(spark.createDataFrame([], "name string, body string"), f"{scratch}/none")
+    assert C.scan_documents(spark, f"{scratch}/none", "*.txt").count() == 0
