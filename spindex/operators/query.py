@@ -19,6 +19,8 @@ from ..session import ensure_checkpoint_dir
 
 # Results of at most this many rows (fixed width: four numbers) are broadcast.
 RESULT_ROWS = 1_000_000
+# Documents whose postings meet a table of queries in one task, on an index that knows how many it has.
+TASK_DOCS = 4096
 
 
 def query_tokens(queries: DataFrame, analyzer: str = "full") -> DataFrame:
@@ -85,20 +87,23 @@ def lookup(qterms: DataFrame, postings: DataFrame, buckets: int | None = None, f
     return (F.broadcast(placed) if few else placed).join(postings.select("bucket", "term", "doc_id", "weight"), ["bucket", "term"]).drop("bucket")
 
 
-def by_document(qterms: DataFrame, postings: DataFrame, buckets: int | None = None) -> DataFrame:
+def by_document(qterms: DataFrame, postings: DataFrame, buckets: int | None = None, n_docs: int | None = None) -> DataFrame:
     """The postings of all query terms, dealt out by document.
 
     A posting meets many queries. Dealt out before that, all matches of a
     document arise in one task and are summed there: none is shuffled, and a
     task's sums are those of its documents. The number of partitions is given,
-    as the postings' size does not tell that of the matches."""
+    as the postings' size does not tell that of the matches; with ``n_docs``,
+    the number of documents of a saved index, a task has about ``TASK_DOCS`` of
+    them at most, however large the index is."""
     wanted = qterms.select("term").distinct()
     if buckets is None:
         own = postings.select("term", "doc_id", "weight")
     else:
         placed = wanted.withColumn("bucket", bucket_of("term", buckets)).where(F.col("bucket") >= 0)
         own = postings.select("bucket", "term", "doc_id", "weight").join(placed, ["bucket", "term"], "left_semi").drop("bucket")
-    dealt = own.repartition(int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id")
+    tasks = max(int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(n_docs or 0) // TASK_DOCS))
+    dealt = own.repartition(tasks, "doc_id")
     return dealt.select("*", *(c.alias(p) for p, c in zip(PARTS, parts(F.col("weight")))))
 
 

@@ -36,6 +36,7 @@ class Index:
     profile: str = "weighted"
     analyzer: str = "full"
     buckets: int | None = None   # folders of the postings of a saved index
+    size: int | None = None      # n_docs of a saved index
     # of an index that is not saved: the same index of the terms in a table (term) only
     part: Callable[[DataFrame], Index] | None = None
 

@@ -34,7 +34,7 @@ def query_plan(index: Index, queries: DataFrame, k: int = R.TOP_K, mode: str | N
     found = Q.query_terms(qtok, mode, stemmed=index.profile == "stemmed")
     postings = index.of(found.select("term").distinct()).postings
     matches = Q.lookup(found, postings, index.buckets, few)
-    scores = Q.accumulate(matches if few else Q.lookup(found, Q.by_document(found, postings, index.buckets)))
+    scores = Q.accumulate(matches if few else Q.lookup(found, Q.by_document(found, postings, index.buckets, index.size)))
     top = Q.top_k(scores, k)
     return {"tokens": qtok, "terms": found, "matches": matches, "scores": scores, "top": top}
 

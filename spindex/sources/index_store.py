@@ -64,7 +64,8 @@ def read_index(spark: SparkSession, path: str) -> Index:
     return Index(postings=spark.read.schema(POSTINGS).parquet(f"{path}/postings"),
                  terms=dictionary.select("term", "num_docs", "coll_freq", "start"),
                  mapping=spark.read.parquet(f"{path}/mapping"),
-                 n_docs=meta.select("n_docs"), profile=row.profile, analyzer=row.analyzer, buckets=row.buckets)
+                 n_docs=meta.select("n_docs"), profile=row.profile, analyzer=row.analyzer, buckets=row.buckets,
+                 size=row.n_docs)
 
 
 @dataclass

@@ -119,3 +119,15 @@ def test_a_scanned_directory_has_one_file_a_page_and_few_folders(spark, scratch)
     assert sum(len(f) for _, f in made) == 1200 and len(made) <= 4
     C.write_files(spark.createDataFrame([], "name string, body string"), f"{scratch}/none")
     assert C.scan_documents(spark, f"{scratch}/none", "*.txt").count() == 0
+
+
+def test_a_task_of_a_search_has_a_bounded_number_of_documents(spark, stored, scratch, monkeypatch):
+    from spindex.sources import index_store as S
+    coll, queries = stored
+    S.write_index(build_index(coll, "weighted"), f"{scratch}/i", buckets=3)
+    want = sorted(map(tuple, query_plan(S.read_index(spark, f"{scratch}/i"), queries)["top"].collect()))
+    monkeypatch.setattr(Q, "TASK_DOCS", 3)
+    top = query_plan(S.read_index(spark, f"{scratch}/i"), queries)["top"]
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert [x for x in plan.splitlines() if "hashpartitioning(doc_id" in x and f", {coll.count() // 3})" in x]
+    assert sorted(map(tuple, top.collect())) == want
