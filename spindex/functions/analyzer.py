@@ -38,6 +38,8 @@ so after an explode it runs inside whole-stage codegen.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -106,9 +108,13 @@ def _mark_css(line: Column) -> Column:
                                        F.lit(R.M_BRACE), last(x))).otherwise(x))
         return F.concat(F.when(led, F.lit(R.M_BRACE)).otherwise(F.lit("")), own)
 
+    def regions(head: Column) -> Column:
+        return _let(F.regexp_extract_all(head, F.lit(_REGION), 0),
+                    lambda rs: F.array_join(F.transform(rs, lambda r, i: region(rs, r, i)), ""))
+
+    # behind the last such '{' nothing is marked: only what is before is taken apart
     done = _let(braces, lambda b: F.when(_has(b, R.M_ANY), _let(
-        F.regexp_extract_all(b, F.lit(_REGION), 0),
-        lambda rs: F.array_join(F.transform(rs, lambda r, i: region(rs, r, i)), ""))).otherwise(line))
+        F.substring_index(b, R.M_ANY, -1), lambda t: F.concat(regions(_without(b, t)), t))).otherwise(line))
     return F.when(_has(line, "{") & _has(line, "}"), done).otherwise(line)
 
 
@@ -142,8 +148,9 @@ def marked(line: Column, analyzer: str = "full") -> Column:
 
 
 def restored(lexeme: Column) -> Column:
-    """A lexeme without its marks."""
-    return F.translate(lexeme, R.M_BRACE + R.M_OPEN + R.M_DOT + R.M_CSS + R.M_MAIL, "{<.")
+    """A lexeme without its marks (no ASCII text has any)."""
+    return F.when(F.octet_length(lexeme) == F.length(lexeme), lexeme).otherwise(
+        F.translate(lexeme, R.M_BRACE + R.M_OPEN + R.M_DOT + R.M_CSS + R.M_MAIL, "{<."))
 
 
 _ANY_MARK = f"[{R.M_CSS}{R.M_BRACE}{R.M_OPEN}{R.M_MAIL}{R.M_DOT}]"
@@ -166,7 +173,8 @@ def line_lexemes(line: Column, analyzer: str = "full", group: int = 1) -> Column
 
 def split_lines(body: Column) -> Column:
     """Universal-newline split; a NULL body reads as empty text."""
-    return F.split(F.coalesce(body, F.lit("")), R.LINE_SPLIT)
+    text = F.coalesce(body, F.lit(""))
+    return F.when(_has(text, "\n") | _has(text, "\r"), F.split(text, R.LINE_SPLIT)).otherwise(F.array(text))
 
 
 def lexemes(body: Column, analyzer: str = "full", by_line: bool = True, group: int = 1) -> Column:
@@ -177,7 +185,7 @@ def lexemes(body: Column, analyzer: str = "full", by_line: bool = True, group: i
     ``by_line`` False scans the text as one string, as a query is read.
     """
     text = F.coalesce(body, F.lit(""))
-    text = F.when(text.rlike(f"[{R.MARKS}]"), F.translate(text, R.MARKS, R.NO_MARK * len(R.MARKS))).otherwise(text)
+    text = F.when(reduce(or_, (_has(text, m) for m in R.MARKS)), F.translate(text, R.MARKS, R.NO_MARK * len(R.MARKS))).otherwise(text)
     if not by_line:
         arr = line_lexemes(text, analyzer, group)
     else:

@@ -131,3 +131,11 @@ def test_a_task_of_a_search_has_a_bounded_number_of_documents(spark, stored, scr
     plan = top._jdf.queryExecution().executedPlan().toString()
     assert [x for x in plan.splitlines() if "hashpartitioning(doc_id" in x and f", {coll.count() // 3})" in x]
     assert sorted(map(tuple, top.collect())) == want
+
+
+def test_a_line_is_taken_apart_only_before_its_last_block(spark):
+    from spindex.functions import analyzer as A
+    line = "a, b {c} d{e f, {g}h{} " + "word, " * 50 + "x@y.z"
+    df = spark.createDataFrame([(line,)], "line string").select(A._mark_css(F.col("line")).alias("m"))
+    assert "regexp_extract_all(substring(" in df._jdf.queryExecution().optimizedPlan().toString()
+    assert df.first().m.endswith("g}h{} " + "word, " * 50 + "x@y.z") and A.R.M_CSS in df.first().m
