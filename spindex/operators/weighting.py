@@ -77,7 +77,9 @@ def join_terms(tf: DataFrame, table: DataFrame, n_docs: DataFrame) -> DataFrame:
     hot = table.where(common).select("term", *(F.col(c).alias(f"_hot_{c}") for c in facts))
     rest = table.where(~common).select("term", F.lit(-1).cast("long").alias("_turn"), *facts)
     turn = F.when(F.col("_hot_num_docs").isNull(), F.lit(-1).cast("long")).otherwise(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)))
-    joined = tf.join(F.broadcast(hot), "term", "left").withColumn("_turn", turn).join(rest, ["term", "_turn"], "left")
+    # the table is one row a term, much less than the postings: they are not sorted for it
+    joined = tf.join(F.broadcast(hot), "term", "left").withColumn("_turn", turn).join(
+        rest.hint("shuffle_hash"), ["term", "_turn"], "left")
     joined = joined.where(F.coalesce("_hot_num_docs", "num_docs").isNotNull())
     return joined.select(*tf.columns, *(F.coalesce(f"_hot_{c}", c).alias(c) for c in facts))
 

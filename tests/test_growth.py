@@ -133,6 +133,11 @@ def test_a_task_of_a_search_has_a_bounded_number_of_documents(spark, stored, scr
     assert sorted(map(tuple, top.collect())) == want
 
 
+def test_postings_are_not_sorted_for_the_terms(spark, stored):
+    plan = build_index(stored[0], "weighted").postings._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin [term" in plan and "SortMergeJoin" not in plan
+
+
 def test_a_line_is_taken_apart_only_before_its_last_block(spark):
     from spindex.functions import analyzer as A
     line = "a, b {c} d{e f, {g}h{} " + "word, " * 50 + "x@y.z"
