@@ -473,8 +473,8 @@ def _index_key(profile: str):
                   "FROM post p JOIN d ON p.term = d.term")
 
     def run(spark, sf):
-        idx = build_index(_pages(spark, sf), profile, prune=prune)
-        return idx.postings.join(idx.dictionary("start"), "term").select(
+        idx = build_index(_pages(spark, sf), profile, prune=prune, keep=_shared(spark, "counts"))
+        return idx.entries("start").select(
             "term", "doc_id", "raw_freq", _r6(F.col("weight")).alias("weight"), "num_docs", "start")
     return sql, run
 

@@ -43,6 +43,7 @@ class Index:
     # the counts the postings are weighed from (term, doc_id and others), and how
     counts: DataFrame | None = None
     weigh: Callable[[DataFrame], DataFrame] | None = None
+    tf: DataFrame | None = None  # what they are counted in, before pruning: doc_id, doc_len, term, raw_freq
 
     def of(self, wanted: DataFrame) -> Index:
         """The index as far as the terms of ``wanted`` need it. An index that is
@@ -59,6 +60,13 @@ class Index:
                                    out_col=offset, inclusive=(offset == "end"))
         return out.select("term", "num_docs", offset)
 
+    def entries(self, offset: str = "start") -> DataFrame:
+        """The postings with ``num_docs`` and ``start`` (or ``end``) of their terms,
+        of an index that is not saved: the dictionary is the table that the
+        counts are joined with for their weights, so they are joined once."""
+        joined = Wt.join_terms(self.tf, self.dictionary(offset), self.n_docs)
+        return self.weigh(joined.withColumn("_docs", F.col("num_docs"))).withColumnRenamed("_docs", "num_docs")
+
 
 def stemmed_frequency(tf: DataFrame, n_docs: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """Stem the distinct vocabulary once, join it back, re-sum per (doc, stem);
@@ -90,9 +98,12 @@ def frequencies(collection: DataFrame, profile: str = "weighted", analyzer: str
 
 
 def build_index(collection: DataFrame, profile: str = "weighted", prune: str | None = "once",
-                analyzer: str = "full", wanted: DataFrame | None = None) -> Index:
+                analyzer: str = "full", wanted: DataFrame | None = None, keep: str | None = None) -> Index:
     """Build the index of a collection (doc_id, name, body); with ``wanted``, a
-    table (term), the part of it that belongs to these terms.
+    table (term), the part of it that belongs to these terms. With ``keep``, a
+    folder, the counts of the terms in the documents are written there first
+    (one job) and read by all that follows: the dictionary's offsets take a job
+    of their own, which otherwise tokenizes the collection once more.
 
     ``raw``: every token, raw counts, no pruning, weight = count.
     ``weighted``: length/stopword filters, relative tf × idf, pruning.
@@ -101,11 +112,14 @@ def build_index(collection: DataFrame, profile: str = "weighted", prune: str | N
     if profile == "raw":
         prune = None
     tf = frequencies(collection, profile, analyzer, wanted)
+    if keep is not None:
+        tf.write.parquet(keep)
+        tf = collection.sparkSession.read.schema(tf.schema).parquet(keep)
     dfs = Wt.prune(Wt.document_frequency(tf), prune)
     n_docs = Wt.collection_size(collection)
     weighted = profile != "raw"
     counts = Wt.counts(tf, dfs, n_docs)
     weigh = lambda joined: Wt.weights(joined, n_docs, relative=weighted, idf=weighted)
-    return Index(postings=weigh(counts), counts=counts, weigh=weigh, terms=dfs.select("term", "num_docs", "coll_freq"),
+    return Index(postings=weigh(counts), counts=counts, weigh=weigh, tf=tf, terms=dfs.select("term", "num_docs", "coll_freq"),
                  mapping=mapping(collection), n_docs=n_docs, profile=profile, analyzer=analyzer,
                  part=lambda terms: build_index(collection, profile, prune, analyzer, terms))

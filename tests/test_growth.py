@@ -133,6 +133,18 @@ def test_a_task_of_a_search_has_a_bounded_number_of_documents(spark, stored, scr
     assert sorted(map(tuple, top.collect())) == want
 
 
+@pytest.mark.parametrize("profile", ["raw", "weighted", "stemmed"])
+def test_an_index_with_its_dictionary_is_counted_once(spark, stored, scratch, profile):
+    coll, read = counted(spark, stored[0])
+    idx = build_index(coll, profile, keep=f"{scratch}/counts")
+    got = idx.entries("start")
+    rows = sorted(map(tuple, got.collect()))
+    assert read.value == coll.count()
+    plain = build_index(stored[0], profile)
+    want = plain.postings.join(plain.dictionary("start"), "term").select(*got.columns)
+    assert rows and rows == sorted(map(tuple, want.collect()))
+
+
 def test_postings_are_not_sorted_for_the_terms(spark, stored):
     plan = build_index(stored[0], "weighted").postings._jdf.queryExecution().executedPlan().toString()
     assert "ShuffledHashJoin [term" in plan and "SortMergeJoin" not in plan
