@@ -448,7 +448,7 @@ def q_posting_lists(spark, sf):
 @register("index_stats", O.with_(O.index_ctes("pages", "weighted", "once"),
                                  "SELECT count(*) AS postings, count(DISTINCT term) AS terms FROM post"))
 def q_index_stats(spark, sf):
-    return Wt.index_stats(_weighted_pages(spark, sf).postings)
+    return Wt.index_stats(build_index(_pages(spark, sf), "weighted", prune="once", by_hash=True).postings)
 
 
 # ---------------------------------------------------------------------------
@@ -473,7 +473,7 @@ def _index_key(profile: str):
                   "FROM post p JOIN d ON p.term = d.term")
 
     def run(spark, sf):
-        idx = build_index(_pages(spark, sf), profile, prune=prune, keep=_shared(spark, "counts"))
+        idx = build_index(_pages(spark, sf), profile, prune=prune, keep=_shared(spark, "counts"), by_hash=True)
         return idx.entries("start").select(
             "term", "doc_id", "raw_freq", _r6(F.col("weight")).alias("weight"), "num_docs", "start")
     return sql, run

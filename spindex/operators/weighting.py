@@ -63,8 +63,10 @@ def relative_tf_col():
 COMMON_DOCS, COMMON_SHARE = 1000, 0.005
 
 
-def join_terms(tf: DataFrame, table: DataFrame, n_docs: DataFrame) -> DataFrame:
-    """``tf`` joined on term with a table of one row a term that has its ``num_docs``.
+def join_terms(tf: DataFrame, table: DataFrame, n_docs: DataFrame, by_hash: bool = False) -> DataFrame:
+    """``tf`` joined on term with a table of one row a term that has its
+    ``num_docs``; ``by_hash``: without sorting ``tf`` for it, a task's share of
+    the table (much less than that of ``tf``) being held in memory.
 
     A common term has a posting in a large share of the documents. The common
     terms are broadcast, and their postings go through the join on the rest by
@@ -77,9 +79,8 @@ def join_terms(tf: DataFrame, table: DataFrame, n_docs: DataFrame) -> DataFrame:
     hot = table.where(common).select("term", *(F.col(c).alias(f"_hot_{c}") for c in facts))
     rest = table.where(~common).select("term", F.lit(-1).cast("long").alias("_turn"), *facts)
     turn = F.when(F.col("_hot_num_docs").isNull(), F.lit(-1).cast("long")).otherwise(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)))
-    # the table is one row a term, much less than the postings: they are not sorted for it
-    joined = tf.join(F.broadcast(hot), "term", "left").withColumn("_turn", turn).join(
-        rest.hint("shuffle_hash"), ["term", "_turn"], "left")
+    rest = rest.hint("shuffle_hash") if by_hash else rest
+    joined = tf.join(F.broadcast(hot), "term", "left").withColumn("_turn", turn).join(rest, ["term", "_turn"], "left")
     joined = joined.where(F.coalesce("_hot_num_docs", "num_docs").isNotNull())
     return joined.select(*tf.columns, *(F.coalesce(f"_hot_{c}", c).alias(c) for c in facts))
 
@@ -94,11 +95,11 @@ def weigh(tf: DataFrame, dfs: DataFrame, n_docs: DataFrame, relative: bool = Tru
     return weights(counts(tf, dfs, n_docs), n_docs, relative, idf)
 
 
-def counts(tf: DataFrame, dfs: DataFrame, n_docs: DataFrame) -> DataFrame:
+def counts(tf: DataFrame, dfs: DataFrame, n_docs: DataFrame, by_hash: bool = False) -> DataFrame:
     """What the weights of the postings are made of: (doc_id, doc_len, term, raw_freq, num_docs)."""
     # always true; with it each use of the postings reads raw_freq, as the term
     # statistics do, and shares their (doc, term) exchange
-    return join_terms(tf.where(F.col("raw_freq") > 0), dfs.select("term", "num_docs"), n_docs)
+    return join_terms(tf.where(F.col("raw_freq") > 0), dfs.select("term", "num_docs"), n_docs, by_hash)
 
 
 def weights(joined: DataFrame, n_docs: DataFrame, relative: bool = True, idf: bool = True) -> DataFrame:

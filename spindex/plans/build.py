@@ -64,11 +64,12 @@ class Index:
         """The postings with ``num_docs`` and ``start`` (or ``end``) of their terms,
         of an index that is not saved: the dictionary is the table that the
         counts are joined with for their weights, so they are joined once."""
-        joined = Wt.join_terms(self.tf, self.dictionary(offset), self.n_docs)
+        joined = Wt.join_terms(self.tf, self.dictionary(offset), self.n_docs, by_hash=True)
         return self.weigh(joined.withColumn("_docs", F.col("num_docs"))).withColumnRenamed("_docs", "num_docs")
 
 
-def stemmed_frequency(tf: DataFrame, n_docs: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+def stemmed_frequency(tf: DataFrame, n_docs: DataFrame, wanted: DataFrame | None = None,
+                      by_hash: bool = False) -> DataFrame:
     """Stem the distinct vocabulary once, join it back, re-sum per (doc, stem);
     of the stems in ``wanted`` if given."""
     from ..functions.stemmer import stem
@@ -83,27 +84,29 @@ def stemmed_frequency(tf: DataFrame, n_docs: DataFrame, wanted: DataFrame | None
     stems = vocab.select("term", "num_docs", F.coalesce(stem(F.col("term")), F.lit("")).alias("stem"))
     if wanted is not None:
         stems = stems.join(wanted.select(F.col("term").alias("stem")), "stem", "left_semi")
-    return (Wt.join_terms(tf, stems, n_docs)
+    return (Wt.join_terms(tf, stems, n_docs, by_hash)
             .groupBy("doc_id", "doc_len", F.coalesce("stem", F.lit("")).alias("term"))
             .agg(F.sum("raw_freq").cast("long").alias("raw_freq")))
 
 
 def frequencies(collection: DataFrame, profile: str = "weighted", analyzer: str = "full",
-                wanted: DataFrame | None = None) -> DataFrame:
+                wanted: DataFrame | None = None, by_hash: bool = False) -> DataFrame:
     """(doc_id, doc_len, term, raw_freq) of a profile; of the terms in ``wanted`` if given."""
     rows = T.profile_rows(T.token_rows(collection, analyzer), profile)
     if profile == "stemmed":
-        return stemmed_frequency(T.term_frequency(rows), Wt.collection_size(collection), wanted)
+        return stemmed_frequency(T.term_frequency(rows), Wt.collection_size(collection), wanted, by_hash)
     return T.term_frequency(rows if wanted is None else rows.join(wanted.select("term"), "term", "left_semi"))
 
 
 def build_index(collection: DataFrame, profile: str = "weighted", prune: str | None = "once",
-                analyzer: str = "full", wanted: DataFrame | None = None, keep: str | None = None) -> Index:
+                analyzer: str = "full", wanted: DataFrame | None = None, keep: str | None = None,
+                by_hash: bool = False) -> Index:
     """Build the index of a collection (doc_id, name, body); with ``wanted``, a
     table (term), the part of it that belongs to these terms. With ``keep``, a
     folder, the counts of the terms in the documents are written there first
     (one job) and read by all that follows: the dictionary's offsets take a job
     of their own, which otherwise tokenizes the collection once more.
+    ``by_hash``: joins on the terms are hash joins (``weighting.join_terms``).
 
     ``raw``: every token, raw counts, no pruning, weight = count.
     ``weighted``: length/stopword filters, relative tf × idf, pruning.
@@ -111,15 +114,15 @@ def build_index(collection: DataFrame, profile: str = "weighted", prune: str | N
     """
     if profile == "raw":
         prune = None
-    tf = frequencies(collection, profile, analyzer, wanted)
+    tf = frequencies(collection, profile, analyzer, wanted, by_hash)
     if keep is not None:
         tf.write.parquet(keep)
         tf = collection.sparkSession.read.schema(tf.schema).parquet(keep)
     dfs = Wt.prune(Wt.document_frequency(tf), prune)
     n_docs = Wt.collection_size(collection)
     weighted = profile != "raw"
-    counts = Wt.counts(tf, dfs, n_docs)
+    counts = Wt.counts(tf, dfs, n_docs, by_hash)
     weigh = lambda joined: Wt.weights(joined, n_docs, relative=weighted, idf=weighted)
     return Index(postings=weigh(counts), counts=counts, weigh=weigh, tf=tf, terms=dfs.select("term", "num_docs", "coll_freq"),
                  mapping=mapping(collection), n_docs=n_docs, profile=profile, analyzer=analyzer,
-                 part=lambda terms: build_index(collection, profile, prune, analyzer, terms))
+                 part=lambda terms: build_index(collection, profile, prune, analyzer, terms, by_hash=by_hash))

@@ -145,9 +145,14 @@ def test_an_index_with_its_dictionary_is_counted_once(spark, stored, scratch, pr
     assert rows and rows == sorted(map(tuple, want.collect()))
 
 
-def test_postings_are_not_sorted_for_the_terms(spark, stored):
-    plan = build_index(stored[0], "weighted").postings._jdf.queryExecution().executedPlan().toString()
+def test_postings_are_not_sorted_to_be_counted(spark, stored, scratch):
+    from spindex import catalog
+    stored[0].select(F.col("doc_id").alias("page_id"), F.col("body").alias("html")).write.parquet(f"{scratch}/pages.parquet")
+    stats = catalog.QUERIES["index_stats"](spark, scratch)
+    plan = stats._jdf.queryExecution().executedPlan().toString()
     assert "ShuffledHashJoin [term" in plan and "SortMergeJoin" not in plan
+    p = build_index(stored[0], "weighted").postings
+    assert tuple(stats.first()) == (p.count(), p.select("term").distinct().count())
 
 
 def test_a_line_is_taken_apart_only_before_its_last_block(spark):
